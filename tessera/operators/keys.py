@@ -5,9 +5,8 @@ into one task: the rows are range-partitioned on the order columns and
 sorted inside each partition, every partition is counted, the running
 offsets of those counts (one row per partition, so a bounded broadcast)
 are joined back and added to each row's index inside its partition.
-Both uses of the ranged data come from the same deterministic plan (fixed
-range bounds, a total order inside each partition), so a recomputed
-partition gets the same ids after an executor loss.
+The tagged rows are written to the checkpoint folder first, so the counts
+and the ids are taken from the same copy even when a task is re-run.
 """
 
 from __future__ import annotations
@@ -18,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.scalar import business_code, non_blank, normalize_name
+from tessera.tables import materialize
 
 UNKNOWN_ID = 0
 UNKNOWN_CODE = "UNK"
@@ -38,16 +38,22 @@ def dense_ids(
     num_partitions: int | None = None,
 ) -> DataFrame:
     """Add ``id_col`` = start, start+1, ... following ``order`` across the
-    whole DataFrame (``ROW_NUMBER() OVER (ORDER BY ...)``, KEY-1)."""
+    whole DataFrame (``ROW_NUMBER() OVER (ORDER BY ...)``, KEY-1).
+
+    The range-partitioned, locally sorted rows are written to the reliable
+    checkpoint folder together with their (partition, index) tag before the
+    partition counts are taken: range bounds come from a sample of the
+    input, so two separate evaluations could disagree, while the written
+    copy gives the counts and the ids the same rows.
+    """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [_sort_key(c) for c in order]
-    ranged = (
+    ranged = materialize(
         df.repartitionByRange(n, *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_mid", F.monotonically_increasing_id())
-        .withColumn("_part", F.shiftright(F.col("_mid"), _LOCAL_BITS))
-    )
+    ).withColumn("_part", F.shiftright(F.col("_mid"), _LOCAL_BITS))
     counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         "_part",
@@ -57,6 +63,7 @@ def dense_ids(
         ).alias("_offset"),
     )
     local = F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
+    # one row per range partition: a bounded broadcast
     return (
         ranged.join(F.broadcast(offsets), "_part")
         .withColumn(id_col, (F.col("_offset") + local + F.lit(start)).cast("long"))
@@ -64,7 +71,6 @@ def dense_ids(
     )
 
 
-
 def build_dim(
     df: DataFrame,
     src_col: str,
