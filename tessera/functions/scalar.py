@@ -40,33 +40,52 @@ def pct(part: ColumnOrName, total: ColumnOrName, scale: int = 2) -> Column:
     return F.round(safe_divide(_col(part).cast("double") * F.lit(100.0), total), scale)
 
 
-_UNITS = {
-    "second": "SECOND",
-    "minute": "MINUTE",
-    "hour": "HOUR",
-    "day": "DAY",
-    "week": "WEEK",
-    "month": "MONTH",
-    "quarter": "QUARTER",
-    "year": "YEAR",
-}
+_MICROS = {"second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000}
+
+
+def micros_between(start: ColumnOrName, end: ColumnOrName) -> Column:
+    """Exact microseconds from ``start`` to ``end`` (time-zone free: the
+    difference of two TIMESTAMP_NTZ values is a day-time interval whose
+    fields are summed)."""
+    iv = _col(end).cast("timestamp_ntz") - _col(start).cast("timestamp_ntz")
+    part = lambda f: F.extract(F.lit(f), iv)
+    return (
+        part("DAY").cast("long") * F.lit(86_400_000_000)
+        + part("HOUR").cast("long") * F.lit(3_600_000_000)
+        + part("MINUTE").cast("long") * F.lit(60_000_000)
+        + (part("SECOND") * F.lit(1_000_000)).cast("long")
+    )
+
+
+def minutes_between(start: ColumnOrName, end: ColumnOrName) -> Column:
+    """Elapsed minutes as a fraction."""
+    return micros_between(start, end) / F.lit(60_000_000.0)
 
 
 def boundaries_between(unit: str, start: ColumnOrName, end: ColumnOrName) -> Column:
     """Number of ``unit`` boundaries crossed going from ``start`` to ``end``.
 
     Warehouse DATEDIFF counts boundaries (00:59 -> 01:01 is one hour), while
-    Spark ``timestampdiff`` counts whole elapsed units; truncating both
+    Spark's elapsed-time difference counts whole units; truncating both
     operands to the unit first gives the boundary count.
     """
-    u = _UNITS[unit.lower()]
+    u = unit.lower()
     s, e = _col(start), _col(end)
-    if u == "DAY":
+    if u in _MICROS:
+        t = u.upper()
+        return (micros_between(F.date_trunc(t, s), F.date_trunc(t, e)) / F.lit(_MICROS[u])).cast("long")
+    if u == "day":
         return F.datediff(F.to_date(e), F.to_date(s)).cast("long")
-    if u == "WEEK":
+    if u == "week":
         weeks = F.datediff(F.to_date(F.date_trunc("WEEK", e)), F.to_date(F.date_trunc("WEEK", s)))
         return (weeks / F.lit(7)).cast("long")
-    return F.timestampdiff(u, F.date_trunc(u, s), F.date_trunc(u, e)).cast("long")
+    if u == "month":
+        return ((F.year(e) * 12 + F.month(e)) - (F.year(s) * 12 + F.month(s))).cast("long")
+    if u == "quarter":
+        return ((F.year(e) * 4 + F.quarter(e)) - (F.year(s) * 4 + F.quarter(s))).cast("long")
+    if u == "year":
+        return (F.year(e) - F.year(s)).cast("long")
+    raise ValueError(f"unsupported unit {unit}")
 
 
 def round_to_int(c: ColumnOrName) -> Column:

@@ -32,4 +32,4 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from tessera.plans import q_pipeline, q_star  # noqa: F401
+    from tessera.plans import q_cdc, q_pipeline, q_star  # noqa: F401
