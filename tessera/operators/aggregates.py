@@ -74,8 +74,10 @@ def share_within(
 
 
 def trend(df: DataFrame, ts: str, unit: str, dims: Sequence[str], name: str = "n", bucket: str = "bucket") -> DataFrame:
-    """Count per time bucket x dims (``DATE_TRUNC(unit, ts)``, AGG-9)."""
-    return df.groupBy(F.date_trunc(unit, F.col(ts)).alias(bucket), *dims).agg(F.count(F.lit(1)).alias(name))
+    """Count per time bucket x dims (``DATE_TRUNC(unit, ts)``, AGG-9). The
+    bucket is a wall-clock ``TIMESTAMP_NTZ`` whatever the session zone."""
+    b = F.date_trunc(unit, F.col(ts)).cast("timestamp_ntz")
+    return df.groupBy(b.alias(bucket), *dims).agg(F.count(F.lit(1)).alias(name))
 
 
 def daily_rollup(
