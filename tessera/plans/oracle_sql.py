@@ -11,19 +11,7 @@ LINE_ORDER_SQL = (
     "l.l_discount, l.l_tax, l.l_returnflag, l.l_linestatus, l.l_shipdate"
 )
 
-FLAT_CTE = f"""
-lines AS (
-  SELECT l.*, p.p_name, p.p_brand, p.p_type, p.p_size, s.s_name, s.s_nationkey, n.n_name, r.r_name,
-         CAST(row_number() OVER (PARTITION BY l.l_orderkey ORDER BY {LINE_ORDER_SQL}) - 1 AS INTEGER) AS pos
-  FROM lineitem l
-  JOIN part p ON l.l_partkey = p.p_partkey
-  JOIN supplier s ON l.l_suppkey = s.s_suppkey
-  JOIN nation n ON s.s_nationkey = n.n_nationkey
-  JOIN region r ON n.n_regionkey = r.r_regionkey
-),
-flat AS (
-  SELECT 'landing/order_' || lpad(CAST(l_orderkey AS VARCHAR), 12, '0') || '.json' AS source_file,
-         pos,
+_FIELDS_SQL = """
          'VIN' || lpad(CAST(l_partkey AS VARCHAR), 7, '0') AS vin,
          n_name AS county_name,
          CAST(year(l_shipdate) AS INTEGER) AS model_year,
@@ -38,8 +26,28 @@ flat AS (
          CAST(NULL AS VARCHAR) AS vehicle_location,
          s_name AS electric_utility,
          CAST(p_size AS VARCHAR) AS census_tract_2020,
-         'C' || lpad(CAST(s_nationkey AS VARCHAR), 2, '0') AS counties
-  FROM lines
+         'C' || lpad(CAST(s_nationkey AS VARCHAR), 2, '0') AS counties"""
+
+
+def flat_cte(source_file_sql: str, file_pos_sql: str) -> str:
+    """lines (joined, per-order ``pos``) -> flat (registration fields,
+    ``source_file`` and the element position ``pos`` inside the file) ->
+    clean (latest per VIN)."""
+    return f"""
+lines AS (
+  SELECT l.*, p.p_name, p.p_brand, p.p_type, p.p_size, s.s_name, s.s_nationkey, n.n_name, r.r_name,
+         CAST(row_number() OVER (PARTITION BY l.l_orderkey ORDER BY {LINE_ORDER_SQL}) - 1 AS INTEGER) AS pos
+  FROM lineitem l
+  JOIN part p ON l.l_partkey = p.p_partkey
+  JOIN supplier s ON l.l_suppkey = s.s_suppkey
+  JOIN nation n ON s.s_nationkey = n.n_nationkey
+  JOIN region r ON n.n_regionkey = r.r_regionkey
+),
+flat AS (
+  SELECT {source_file_sql} AS source_file,
+         {file_pos_sql} AS pos,
+         {_FIELDS_SQL}
+  FROM lines l
 ),
 clean AS (
   SELECT vin, county_name, make, model, model_year, ev_type, electric_range, base_msrp,
@@ -53,6 +61,14 @@ clean AS (
 """
 
 
+FLAT_CTE = flat_cte("'landing/order_' || lpad(CAST(l_orderkey AS VARCHAR), 12, '0') || '.json'", "pos")
+
+FILE_FLAT_CTE = flat_cte(
+    "'file_key=' || lpad(CAST(l_orderkey // 1000 AS VARCHAR), 6, '0')",
+    f"CAST(row_number() OVER (PARTITION BY l_orderkey // 1000 ORDER BY l_orderkey, {LINE_ORDER_SQL}) - 1 AS INTEGER)",
+)
+
+
 def with_flat(body: str) -> str:
     return f"WITH {FLAT_CTE}\n{body}"
 

@@ -159,3 +159,35 @@ def flat_registrations(spark: SparkSession, sf_dir: str, via_json: bool = True,
 
 def _spark_type(kind: str) -> str:
     return {"int": "int", "double": "double", "string": "string"}[kind]
+
+
+def typed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Joined line items with their per-order position (``pos``)."""
+    lines = _joined_lines(spark, sf_dir)
+    order = Window.partitionBy("l_orderkey").orderBy(*[F.col(c).asc() for c in _LINE_ORDER])
+    return lines.withColumn("pos", (F.row_number().over(order) - 1).cast("int"))
+
+
+def file_key_of(orderkey: Column, orders_per_file: int) -> Column:
+    return F.concat(F.lit("file_key="), F.lpad((orderkey / F.lit(orders_per_file)).cast("long").cast("string"), 6, "0"))
+
+
+def write_landing_files(spark: SparkSession, sf_dir: str, path: str, orders_per_file: int = 1000) -> None:
+    """Land the registrations as JSON files, one document per file, each
+    holding the lines of ``orders_per_file`` consecutive orders in
+    (order, line) order - the input of the file-arrival stream."""
+    lines = typed_lines(spark, sf_dir)
+    f = _fields(F.col)
+    f["dol_vehicle_id"] = F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("pos").cast("string"))
+    by_pos = {pos: name for pos, name, _ in REGISTRATION_POSITIONS}
+    row = F.array(*[
+        f[by_pos[p]].cast("string") if p in by_pos else F.lit(None).cast("string") for p in range(ROW_WIDTH)
+    ])
+    keyed = lines.select(
+        (F.col("l_orderkey") / F.lit(orders_per_file)).cast("long").alias("file_no"),
+        F.struct(F.col("l_orderkey"), *[F.col(c) for c in _LINE_ORDER], row.alias("row")).alias("s"),
+    )
+    docs = keyed.groupBy("file_no").agg(F.sort_array(F.collect_list("s")).alias("rows"))
+    body = F.to_json(F.struct(F.transform("rows", lambda x: x["row"]).alias("data")))
+    out = docs.select(F.lpad(F.col("file_no").cast("string"), 6, "0").alias("file_key"), body.alias("value"))
+    out.repartition("file_key").write.mode("errorifexists").partitionBy("file_key").text(path)

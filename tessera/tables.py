@@ -35,15 +35,7 @@ def _fs(spark: SparkSession, path: str):
 
 
 def committed_snapshots(spark: SparkSession, root: str) -> list[int]:
-    fs, p = _fs(spark, root)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        m = _SNAP.search(st.getPath().getName())
-        if m and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(m.group(1)))
-    return sorted(out)
+    return committed_snapshots_named(spark, root, "snap")
 
 
 def current_path(spark: SparkSession, root: str) -> str | None:
@@ -101,3 +93,84 @@ def export_open(df: DataFrame, path: str, ntz_cols: Sequence[str] = (), fmt: str
         out.writeTo(path).using("iceberg").createOrReplace()
     else:
         out.write.mode("overwrite").parquet(path)
+
+
+class BucketedTable:
+    """Keyed table stored as hash buckets with a versioned manifest, so an
+    upsert rewrites only the buckets its keys fall into (DED-2, CDC-1 on
+    streams).
+
+    Layout: ``<root>/data/v=<version>/_b=<bucket>/`` parquet files and
+    ``<root>/_manifest/v=<version>/`` (bucket, path) rows. A version is
+    committed when its manifest has a ``_SUCCESS`` marker; readers use the
+    highest committed manifest. Versions are micro-batch ids, so a batch
+    that is replayed after a failure finds its manifest and is skipped.
+    """
+
+    def __init__(self, root: str, keys: Sequence[str], buckets: int = 16):
+        self.root = root.rstrip("/")
+        self.keys = list(keys)
+        self.buckets = buckets
+
+    def bucket(self):
+        return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
+
+    def _manifest_root(self) -> str:
+        return f"{self.root}/_manifest"
+
+    def versions(self, spark: SparkSession) -> list[int]:
+        return committed_snapshots_named(spark, self._manifest_root(), "v")
+
+    def manifest(self, spark: SparkSession) -> dict[int, str]:
+        vs = self.versions(spark)
+        if not vs:
+            return {}
+        rows = spark.read.json(f"{self._manifest_root()}/v={vs[-1]}").collect()  # one row per bucket
+        return {int(r["bucket"]): r["path"] for r in rows}
+
+    def read(self, spark: SparkSession, schema=None) -> DataFrame | None:
+        m = self.manifest(spark)
+        if not m:
+            return spark.createDataFrame([], schema) if schema is not None else None
+        return spark.read.parquet(*sorted(m.values()))
+
+    def upsert(self, batch: DataFrame, merge, version: int) -> bool:
+        """Apply ``merge(stored_rows_of_touched_buckets | None, batch)``
+        and commit it as ``version``; returns False when already applied."""
+        spark = batch.sparkSession
+        if version in self.versions(spark):
+            return False
+        m = self.manifest(spark)
+        b = self.bucket()
+        tagged = batch.withColumn("_b", b)
+        touched = sorted(r["_b"] for r in tagged.select("_b").distinct().collect())  # at most `buckets` rows
+        if not touched:
+            return False
+        old_paths = [m[t] for t in touched if t in m]
+        old = spark.read.parquet(*old_paths) if old_paths else None
+        merged = merge(old, batch)
+        out = f"{self.root}/data/v={version}"
+        merged.withColumn("_b", b).repartition("_b").write.mode("overwrite").partitionBy("_b").parquet(out)
+        for t in touched:
+            m[t] = f"{out}/_b={t}"
+        # buckets that end up empty after the merge have no folder
+        fs, _ = _fs(spark, out)
+        m = {k: v for k, v in m.items() if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(v))}
+        rows = [(k, v) for k, v in sorted(m.items())]
+        spark.createDataFrame(rows, "bucket int, path string").coalesce(1).write.mode("overwrite").json(
+            f"{self._manifest_root()}/v={version}"
+        )
+        return True
+
+
+def committed_snapshots_named(spark: SparkSession, root: str, prefix: str) -> list[int]:
+    pat = re.compile(rf"{prefix}=(\d+)$")
+    fs, p = _fs(spark, root)
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
+        m = pat.search(st.getPath().getName())
+        if m and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            out.append(int(m.group(1)))
+    return sorted(out)
