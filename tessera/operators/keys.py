@@ -1,12 +1,11 @@
 """Surrogate keys, business codes and dimension builders (KEY-1..6).
 
 ``dense_ids`` numbers rows 1..N by a global order without moving all rows
-into one task: the rows are range-partitioned on the order columns and
-sorted inside each partition, every partition is counted, the running
-offsets of those counts (one row per partition, so a bounded broadcast)
-are joined back and added to each row's index inside its partition.
-The tagged rows are written to the checkpoint folder first, so the counts
-and the ids are taken from the same copy even when a task is re-run.
+into one task: rows are split into key ranges, numbered inside their
+range, and the running offsets of the range counts (one row per range, a
+bounded broadcast) are added.
+Buckets are a pure function of the key (see ``dense_ids``), so counts and
+ids agree on every evaluation without materializing anything.
 """
 
 from __future__ import annotations
@@ -17,17 +16,35 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.scalar import business_code, non_blank, normalize_name
-from tessera.tables import materialize
 
 UNKNOWN_ID = 0
 UNKNOWN_CODE = "UNK"
 UNKNOWN_NAME = "UNKNOWN"
 
-_LOCAL_BITS = 33  # monotonically_increasing_id keeps the row index in the low 33 bits
 
 
-def _sort_key(c: Column | str) -> Column:
-    return F.col(c).asc_nulls_last() if isinstance(c, str) else c
+def _sort_struct(order: Sequence[Column | str]) -> Column:
+    """One comparable key for ascending, NULLS LAST order: (is null, value)
+    per column, compared field by field."""
+    fields = []
+    for i, c in enumerate(order):
+        col = F.col(c) if isinstance(c, str) else c
+        fields += [col.isNull().alias(f"n{i}"), col.alias(f"v{i}")]
+    return F.struct(*fields)
+
+
+def _bucket_of(key: Column, bounds: list[Column]) -> Column:
+    """Index of the range ``key`` falls in among sorted ``bounds`` (number
+    of bounds <= key), as a balanced CASE tree: log2(#bounds) comparisons
+    per row, all inside generated code."""
+
+    def tree(lo: int, hi: int) -> Column:  # bucket index is in [lo, hi]
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi + 1) // 2  # key >= bounds[mid - 1] -> bucket >= mid
+        return F.when(key < bounds[mid - 1], tree(lo, mid - 1)).otherwise(tree(mid, hi))
+
+    return tree(0, len(bounds))
 
 
 def dense_ids(
@@ -35,42 +52,65 @@ def dense_ids(
     order: Sequence[Column | str],
     id_col: str,
     start: int = 1,
-    num_partitions: int | None = None,
+    num_buckets: int | None = None,
+    sample_per_bucket: int = 20,
 ) -> DataFrame:
-    """Add ``id_col`` = start, start+1, ... following ``order`` across the
-    whole DataFrame (``ROW_NUMBER() OVER (ORDER BY ...)``, KEY-1).
-
-    The range-partitioned, locally sorted rows are written to the reliable
-    checkpoint folder together with their (partition, index) tag before the
-    partition counts are taken: range bounds come from a sample of the
-    input, so two separate evaluations could disagree, while the written
-    copy gives the counts and the ids the same rows.
+    """Add ``id_col`` = start, start+1, ... following ``order`` (ascending,
+    NULLS LAST) across the whole DataFrame: ``ROW_NUMBER() OVER (ORDER BY
+    ...)`` without the single-task window (KEY-1).
+
+    1. Range bounds come from a content-determined sample: the keys with
+       the smallest hashes (a bounded top-k; the driver receives
+       ``num_buckets * sample_per_bucket`` keys at most).
+    2. Each row's bucket is a pure function of its key and the bounds, so
+       every evaluation - the per-bucket counts, the numbering, a task
+       re-run after an executor loss - puts a row in the same bucket.
+    3. Rows are numbered inside their bucket by a window partitioned by
+       bucket; bucket counts (partial aggregate) give running offsets, one
+       row per bucket, joined back as a bounded broadcast.
+
+    ``order`` should be a total order (unique keys): equal keys share a
+    bucket, so one key repeated across a third of the rows would make its
+    bucket that large.
     """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [_sort_key(c) for c in order]
-    ranged = materialize(
-        df.repartitionByRange(n, *keys)
-        .sortWithinPartitions(*keys)
-        .withColumn("_mid", F.monotonically_increasing_id())
-    ).withColumn("_part", F.shiftright(F.col("_mid"), _LOCAL_BITS))
-    counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    n = num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sk = _sort_struct(order)
+    tagged = df.withColumn("_sk", sk)
+    sample = (
+        tagged.select("_sk").orderBy(F.xxhash64("_sk"), F.col("_sk")).limit(n * sample_per_bucket).collect()
+    )
+    keys = sorted({tuple(r["_sk"]) for r in sample}, key=_py_key)
+    step = len(keys) / n if keys else 0
+    picked = sorted({keys[int(step * i)] for i in range(1, n)}, key=_py_key) if len(keys) >= n else keys[1:]
+    key_type = tagged.schema["_sk"].dataType
+    bounds = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(b, key_type.fields)]) for b in picked
+    ]
+    # one shuffle by bucket feeds both the counts and the numbering: the
+    # two branches share the same exchange, so the input is read once here
+    bucketed = tagged.withColumn("_bk", _bucket_of(F.col("_sk"), bounds) if bounds else F.lit(0)).repartition(n, "_bk")
+    counts = bucketed.groupBy("_bk").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
-        "_part",
+        "_bk",
         F.coalesce(
-            F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
+            F.sum("_n").over(Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
         ).alias("_offset"),
     )
-    local = F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
-    # one row per range partition: a bounded broadcast
+    local = F.row_number().over(Window.partitionBy("_bk").orderBy("_sk"))
     return (
-        ranged.join(F.broadcast(offsets), "_part")
-        .withColumn(id_col, (F.col("_offset") + local + F.lit(start)).cast("long"))
-        .drop("_mid", "_part", "_offset")
+        bucketed.withColumn("_local", local)
+        .join(F.broadcast(offsets), "_bk")  # one row per bucket
+        .withColumn(id_col, (F.col("_offset") + F.col("_local") + F.lit(start - 1)).cast("long"))
+        .drop("_sk", "_bk", "_local", "_offset")
     )
 
 
+def _py_key(t: tuple):
+    """Python ordering equal to Spark's for the (is null, value) pairs."""
+    return tuple((isnull, (0, 0) if v is None else (1, v)) for isnull, v in zip(t[0::2], t[1::2]))
+
+
 def build_dim(
     df: DataFrame,
     src_col: str,
@@ -82,7 +122,7 @@ def build_dim(
     ``<prefix>_name``; plus the unknown member (0, UNK, UNKNOWN) (KEY-3)."""
     id_c, code_c, name_c = f"{prefix}_id", f"{prefix}_code", f"{prefix}_name"
     names = df.where(non_blank(src_col)).select(normalize_name(src_col).alias(name_c)).distinct()
-    numbered = dense_ids(names, [F.col(name_c).asc_nulls_last()], id_c)
+    numbered = dense_ids(names, [F.col(name_c)], id_c)
     dim = numbered.select(F.col(id_c), business_code(name_c).alias(code_c), F.col(name_c))
     if unknown:
         dim = _unknown_row(df, [(id_c, "long", UNKNOWN_ID), (code_c, "string", UNKNOWN_CODE), (name_c, "string", UNKNOWN_NAME)]).unionByName(dim)
@@ -110,7 +150,7 @@ def build_child_dim(
         .select(p_id, name_c)
         .distinct()
     )
-    numbered = dense_ids(pairs, [F.col(p_id).asc_nulls_last(), F.col(name_c).asc_nulls_last()], id_c)
+    numbered = dense_ids(pairs, [F.col(p_id), F.col(name_c)], id_c)
     dim = numbered.select(F.col(id_c), F.col(p_id), business_code(name_c).alias(code_c), F.col(name_c))
     unk = _unknown_row(df, [(id_c, "long", UNKNOWN_ID), (p_id, "long", UNKNOWN_ID), (code_c, "string", UNKNOWN_CODE), (name_c, "string", UNKNOWN_NAME)])
     return unk.unionByName(dim)
@@ -121,7 +161,7 @@ def build_numeric_dim(df: DataFrame, src_col: str, prefix: str, value_type: str
     value, code = value as text, unknown member has a NULL value."""
     id_c, code_c = f"{prefix}_id", f"{prefix}_code"
     values = df.where(F.col(src_col).isNotNull()).select(F.col(src_col).cast(value_type).alias(src_col)).distinct()
-    numbered = dense_ids(values, [F.col(src_col).asc_nulls_last()], id_c)
+    numbered = dense_ids(values, [F.col(src_col)], id_c)
     dim = numbered.select(F.col(id_c), F.col(src_col).cast("string").alias(code_c), F.col(src_col))
     unk = _unknown_row(df, [(id_c, "long", UNKNOWN_ID), (code_c, "string", UNKNOWN_CODE), (src_col, value_type, None)])
     return unk.unionByName(dim)
@@ -132,7 +172,7 @@ def build_pair_dim(df: DataFrame, code_src: str, name_src: str, prefix: str) ->
     (name, code) with NULLs last (county lookup of the gold layer, KEY-6)."""
     id_c, code_c, name_c = f"{prefix}_id", f"{prefix}_code", f"{prefix}_name"
     pairs = df.select(F.col(code_src).alias(code_c), F.col(name_src).alias(name_c)).distinct()
-    numbered = dense_ids(pairs, [F.col(name_c).asc_nulls_last(), F.col(code_c).asc_nulls_last()], id_c)
+    numbered = dense_ids(pairs, [F.col(name_c), F.col(code_c)], id_c)
     return numbered.select(id_c, code_c, name_c)
 
 
@@ -150,3 +190,35 @@ def code_collisions(dim: DataFrame, prefix: str) -> DataFrame:
 def _unknown_row(df: DataFrame, fields: Sequence[tuple[str, str, object]]) -> DataFrame:
     spark = df.sparkSession
     return spark.range(1).select(*[F.lit(v).cast(t).alias(n) for n, t, v in fields])
+
+
+def build_name_dims(df: DataFrame, specs: Sequence[tuple[str, str]], materialize_fn=None) -> dict[str, DataFrame]:
+    """Several name dimensions (``(prefix, source column)`` each) in one
+    pass: one scan emits (dimension, normalized name) pairs, one distinct,
+    one numbering over (dimension, name); each dimension's ids then start
+    at 1 by subtracting its first id (one row per dimension, a bounded
+    broadcast). Same result as ``build_dim`` per column."""
+    pairs = df.select(
+        F.explode(
+            F.array(*[
+                F.struct(F.lit(prefix).alias("_dim"), normalize_name(src).alias("_name"), non_blank(src).alias("_ok"))
+                for prefix, src in specs
+            ])
+        ).alias("_p")
+    ).select("_p.*").where(F.col("_ok")).drop("_ok").distinct()
+    numbered = dense_ids(pairs, ["_dim", "_name"], "_gid")
+    first = numbered.groupBy("_dim").agg(F.min("_gid").alias("_first"))
+    local = numbered.join(F.broadcast(first), "_dim").select(
+        "_dim", "_name", (F.col("_gid") - F.col("_first") + 1).alias("_id")
+    )
+    if materialize_fn is not None:
+        local = materialize_fn(local)
+    out = {}
+    for prefix, _ in specs:
+        id_c, code_c, name_c = f"{prefix}_id", f"{prefix}_code", f"{prefix}_name"
+        dim = local.where(F.col("_dim") == prefix).select(
+            F.col("_id").cast("long").alias(id_c), business_code("_name").alias(code_c), F.col("_name").alias(name_c)
+        )
+        unk = _unknown_row(df, [(id_c, "long", UNKNOWN_ID), (code_c, "string", UNKNOWN_CODE), (name_c, "string", UNKNOWN_NAME)])
+        out[prefix] = unk.unionByName(dim)
+    return out

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.joins import Lookup, denormalize, resolve_keys
-from tessera.operators.keys import build_child_dim, build_dim, build_numeric_dim, dense_ids
+from tessera.operators.keys import build_child_dim, build_name_dims, build_numeric_dim, dense_ids
 from tessera.tables import materialize
 
 # (dimension prefix, source column) for the name dimensions
@@ -33,9 +33,10 @@ class Star:
 class Dims(dict):
     """Dimensions built on first use (each build numbers its rows)."""
 
-    def __init__(self, flat: DataFrame):
+    def __init__(self, flat: DataFrame, materialize_dims: bool = False):
         super().__init__()
         self._flat = flat
+        self._materialize = materialize_dims
         self._src = dict(NAME_DIMS)
 
     def __missing__(self, prefix: str) -> DataFrame:
@@ -44,13 +45,20 @@ class Dims(dict):
         elif prefix == "model_year":
             dim = build_numeric_dim(self._flat, "model_year", "model_year")
         else:
-            dim = build_dim(self._flat, self._src[prefix], prefix)
+            # all name dimensions come from one pass over the records
+            together = build_name_dims(self._flat, NAME_DIMS, materialize if self._materialize else None)
+            self.update(together)
+            return together[prefix]
+        if self._materialize:
+            # a dimension is a table: written once, then joined by the fact
+            # and again by the denormalized base without being recomputed
+            dim = materialize(dim)
         self[prefix] = dim
         return dim
 
 
-def build_dims(flat: DataFrame) -> Dims:
-    return Dims(flat)
+def build_dims(flat: DataFrame, materialize_dims: bool = False) -> Dims:
+    return Dims(flat, materialize_dims)
 
 
 def build_fact(flat: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
@@ -66,13 +74,14 @@ def build_fact(flat: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
         Lookup(dims["legislative_district"], "legislative_district", "legislative_district_name", "legislative_district_id"),
         Lookup(dims["county"], "counties", "county_name", "county_id"),
     ]
-    resolved = resolve_keys(flat, lookups)
     order = [
-        F.coalesce(F.col("vin"), F.lit("")).asc(),
-        F.coalesce(F.col("dol_vehicle_id"), F.lit("")).asc(),
-        F.coalesce(F.col("source_file"), F.lit("")).asc(),
+        F.coalesce(F.col("vin"), F.lit("")),
+        F.coalesce(F.col("dol_vehicle_id"), F.lit("")),
+        F.coalesce(F.col("source_file"), F.lit("")),
     ]
-    numbered = dense_ids(resolved, order, "registration_fact_id")
+    # the id order uses source columns only, so rows are numbered before
+    # the lookups and the numbering does not re-run the dimension joins
+    numbered = resolve_keys(dense_ids(flat, order, "registration_fact_id"), lookups)
     return numbered.select(
         "registration_fact_id", "vin", "dol_vehicle_id", "make_id", "model_id", "ev_type_id",
         "cafv_id", "model_year_id", "utility_id", "legislative_district_id", "county_id",
@@ -89,7 +98,7 @@ def build_star(flat: DataFrame, materialize_flat: bool = True) -> Star:
     base = flat.where(F.col("vin").isNotNull())
     if materialize_flat:
         base = materialize(base)
-    dims = build_dims(base)
+    dims = build_dims(base, materialize_dims=True)
     return Star(dims, build_fact(base, dims))
 
 

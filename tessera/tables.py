@@ -174,3 +174,16 @@ def committed_snapshots_named(spark: SparkSession, root: str, prefix: str) -> li
         if m and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
             out.append(int(m.group(1)))
     return sorted(out)
+
+
+def count_files(spark: SparkSession, root: str, suffixes: Sequence[str] = (".txt", ".json", ".parquet")) -> int:
+    """Data files under ``root`` (recursive listing on the driver; file
+    names only, no data)."""
+    fs, p = _fs(spark, root)
+    it = fs.listFiles(p, True)
+    n = 0
+    while it.hasNext():
+        name = it.next().getPath().getName()
+        if not name.startswith(("_", ".")) and name.endswith(tuple(suffixes)):
+            n += 1
+    return n
