@@ -11,9 +11,10 @@ for insert/update, ``DELETE``) and the tracked attributes. Per key and in
 * a delete closes the open version and opens nothing; a delete with no
   open version is ignored.
 
-``scd2_apply`` recomputes only the keys touched by a batch, from their
-stored versions plus the new changes, so late or out-of-order changes give
-the same history as in-order ones and re-applying a batch changes nothing.
+``scd2_apply`` recomputes only the keys touched by a batch, from the
+stored change log of those keys plus the new changes, so late or
+out-of-order changes give the same history as in-order ones and
+re-applying a batch changes nothing.
 """
 
 from __future__ import annotations
@@ -110,6 +111,14 @@ def versions_to_changes(history: DataFrame, keys: Sequence[str], tracked: Sequen
     return ups.unionByName(dels)
 
 
+def change_log_merge(log: DataFrame | None, changes: DataFrame, keys: Sequence[str],
+                     ts: str = "ts", lsn: str = "lsn") -> DataFrame:
+    """Stored change log plus a batch, each change once (DED-3): the state
+    from which any history is rebuilt exactly."""
+    both = changes if log is None else log.unionByName(changes.select(*log.columns))
+    return both.dropDuplicates([*keys, ts, lsn])
+
+
 def scd2_apply(
     history: DataFrame | None,
     changes: DataFrame,
@@ -118,18 +127,32 @@ def scd2_apply(
     ts: str = "ts",
     lsn: str = "lsn",
     op: str = "op",
+    log: DataFrame | None = None,
 ) -> DataFrame:
     """New full history after applying a batch of ``changes``. Keys not in
-    the batch keep their versions untouched; touched keys are rebuilt from
-    their stored versions plus the batch (dedup on key, ts, lsn)."""
+    the batch keep their versions untouched; touched keys are rebuilt.
+
+    With ``log`` (the stored change log, ``change_log_merge``) the touched
+    keys are rebuilt from every change ever received, so late and
+    out-of-order batches give exactly the in-order history: a delete that
+    found nothing open, or an update equal to its predecessor, can become
+    significant when an older change arrives later. Without a log the
+    touched keys are rebuilt from their stored versions, which is exact
+    when changes arrive in order (and re-applying a batch changes nothing).
+    """
     batch = changes.select(*keys, F.col(ts).alias("ts"), F.col(lsn).alias("lsn"), F.col(op).alias("op"), *tracked)
-    if history is None:
+    if history is None and log is None:
         return versions_from_changes(batch, keys, tracked)
     touched = batch.select(*keys).distinct()
-    old_touched = history.join(touched, list(keys), "left_semi")
-    untouched = history.join(touched, list(keys), "left_anti")
-    replay = versions_to_changes(old_touched, keys, tracked).unionByName(batch)
+    if log is not None:
+        past = log.select(*keys, F.col(ts).alias("ts"), F.col(lsn).alias("lsn"), F.col(op).alias("op"), *tracked)
+        replay = past.join(touched, list(keys), "left_semi").unionByName(batch)
+    else:
+        replay = versions_to_changes(history.join(touched, list(keys), "left_semi"), keys, tracked).unionByName(batch)
     rebuilt = versions_from_changes(replay, keys, tracked)
+    if history is None:
+        return rebuilt
+    untouched = history.join(touched, list(keys), "left_anti")
     return untouched.unionByName(rebuilt.select(*history.columns))
 
 

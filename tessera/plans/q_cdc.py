@@ -68,14 +68,17 @@ def q_scd2_history(spark, sf_dir):
 @query("scd2_incremental", with_hist("SELECT * FROM hist"))
 def q_scd2_incremental(spark, sf_dir):
     """Two interleaved batches (morning changes, then afternoon changes,
-    which are older than many already applied) plus a redelivery of the
-    first batch: must give the same history as one batch."""
-    changes = feeds.catalog_changes(spark, sf_dir)
+    many of them older than changes already applied) and a redelivery of
+    the first batch, each applied with the stored change log: must give
+    the history of one in-order batch."""
+    changes = feeds.catalog_changes(spark, sf_dir).select("catalog_id", "ts", "lsn", "op", *TRACKED)
     morning = changes.where(F.hour("ts") < 12)
     afternoon = changes.where(F.hour("ts") >= 12)
-    h1 = materialize(S.scd2_apply(None, morning, KEYS, TRACKED))
-    h2 = materialize(S.scd2_apply(h1, afternoon, KEYS, TRACKED))
-    return S.scd2_apply(h2, morning, KEYS, TRACKED)
+    log, hist = None, None
+    for batch in [morning, afternoon, morning]:
+        log = materialize(S.change_log_merge(log, batch, KEYS))
+        hist = materialize(S.scd2_apply(hist, batch, KEYS, TRACKED, log=log))
+    return hist
 
 
 @query("scd2_current", with_hist("SELECT * FROM hist WHERE is_current"))

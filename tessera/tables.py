@@ -134,6 +134,16 @@ class BucketedTable:
             return spark.createDataFrame([], schema) if schema is not None else None
         return spark.read.parquet(*sorted(m.values()))
 
+    def touched_buckets(self, batch: DataFrame) -> list[int]:
+        """Buckets holding the batch's keys (at most ``buckets`` rows reach
+        the driver)."""
+        return sorted(r["_b"] for r in batch.select(self.bucket().alias("_b")).distinct().collect())
+
+    def read_buckets(self, spark: SparkSession, buckets: Sequence[int]) -> DataFrame | None:
+        m = self.manifest(spark)
+        paths = [m[b] for b in buckets if b in m]
+        return spark.read.parquet(*paths) if paths else None
+
     def upsert(self, batch: DataFrame, merge, version: int) -> bool:
         """Apply ``merge(stored_rows_of_touched_buckets | None, batch)``
         and commit it as ``version``; returns False when already applied."""
@@ -142,12 +152,10 @@ class BucketedTable:
             return False
         m = self.manifest(spark)
         b = self.bucket()
-        tagged = batch.withColumn("_b", b)
-        touched = sorted(r["_b"] for r in tagged.select("_b").distinct().collect())  # at most `buckets` rows
+        touched = self.touched_buckets(batch)
         if not touched:
             return False
-        old_paths = [m[t] for t in touched if t in m]
-        old = spark.read.parquet(*old_paths) if old_paths else None
+        old = self.read_buckets(spark, touched)
         merged = merge(old, batch)
         out = f"{self.root}/data/v={version}"
         merged.withColumn("_b", b).repartition("_b").write.mode("overwrite").partitionBy("_b").parquet(out)
