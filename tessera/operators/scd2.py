@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.sequence import neighbors
@@ -210,3 +210,43 @@ def effective_defects(
     joined = facts.join(eff, cond, "left").join(cur, F.col(fact_key) == F.col("_ck"), "left")
     differs = ~_same([F.col("eff_" + c) for c in tracked], [F.col("cur_" + c) for c in tracked])
     return joined.where(differs).drop("_ek", "_es", "_ee", "_ck")
+
+
+def history_archive(history: DataFrame, keys: Sequence[str], tracked: Sequence[str]) -> DataFrame:
+    """Append-only audit projection of the versions (CDC-2): business
+    columns with valid_from / valid_to and the operation that opened them."""
+    return history.select(
+        *keys, *tracked, F.col(START).alias("valid_from"), F.col(END).alias("valid_to"), "cdc_operation"
+    )
+
+
+def changes_from_snapshots(snapshots: DataFrame, keys: Sequence[str], tracked: Sequence[str],
+                           snapshot_ts: str = "snapshot_ts") -> DataFrame:
+    """Change rows from a series of full snapshots (CDC-8): each key present
+    in a snapshot is an upsert at the snapshot time (unchanged values merge
+    as no-ops); a key missing from the snapshot after one that had it is a
+    delete at that time. The snapshot times form a small table (one row per
+    snapshot), numbered and broadcast; the per-key window runs over that
+    key's presence rows only."""
+    times = snapshots.select(snapshot_ts).distinct()
+    idx = times.select(snapshot_ts, F.row_number().over(Window.orderBy(snapshot_ts)).alias("_i"))
+    last_i = idx.agg(F.max("_i").alias("_last"))
+    present = snapshots.join(F.broadcast(idx), snapshot_ts)
+    ups = present.select(*keys, F.col(snapshot_ts).alias("ts"), F.col("_i").cast("long").alias("lsn"),
+                         F.lit(UPSERT).alias("op"), *tracked)
+    w = Window.partitionBy(*keys).orderBy("_i")
+    gaps = present.select(*keys, "_i", F.lead("_i").over(w).alias("_next")).crossJoin(F.broadcast(last_i))
+    gone = gaps.where(
+        (F.col("_next").isNull() & (F.col("_i") < F.col("_last"))) | (F.col("_next") > F.col("_i") + 1)
+    ).select(*keys, (F.col("_i") + 1).alias("_di"))
+    nulls = [F.lit(None).cast(snapshots.schema[c].dataType).alias(c) for c in tracked]
+    dels = gone.join(F.broadcast(idx.withColumnRenamed("_i", "_di")), "_di").select(
+        *keys, F.col(snapshot_ts).alias("ts"), F.col("_di").cast("long").alias("lsn"), F.lit(DELETE).alias("op"), *nulls
+    )
+    return ups.unionByName(dels)
+
+
+def scd2_from_snapshots(snapshots: DataFrame, keys: Sequence[str], tracked: Sequence[str],
+                        snapshot_ts: str = "snapshot_ts") -> DataFrame:
+    """History of an entity captured as periodic full snapshots (CDC-8)."""
+    return versions_from_changes(changes_from_snapshots(snapshots, keys, tracked, snapshot_ts), keys, tracked)

@@ -46,3 +46,9 @@ def fact_market_metrics(detail: DataFrame, as_of=None) -> DataFrame:
 def fact_market_metrics_rounded(detail: DataFrame) -> DataFrame:
     """Variant that drops NULL makes and rounds the average to 1 place."""
     return market_metrics(detail, round_avg=1, drop_null=["make"])
+
+
+def stg_registrations(clean: DataFrame) -> DataFrame:
+    """Staging passthrough (PRJ-7): the cleansed columns under their
+    consumer-facing names; the boundary where source renames are absorbed."""
+    return clean.select(*CLEAN_COLUMNS)

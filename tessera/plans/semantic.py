@@ -82,3 +82,27 @@ def with_context(answer: DataFrame, freshness_status: Column, quality_status: Co
         F.lit(assumptions).alias("assumptions"),
         F.lit(surface).alias("source_surface"),
     )
+
+
+def suggested_questions(model: SemanticModel, source: DataFrame) -> dict[str, DataFrame]:
+    """The starter analyses offered to users (SEM-3), as metric queries."""
+    return {
+        "avg_range_by_year": model.query(source, model.table, ["model_year"], ["avg_electric_range", "total_vehicles"],
+                                         order=[F.col("model_year").asc()]),
+        "top_districts": model.query(source, model.table, ["legislative_district"], ["total_vehicles"],
+                                     order=[F.col("total_vehicles").desc(), F.col("legislative_district").asc()], limit=10),
+        "counties_with_codes": model.query(source, model.table, ["county_name", "counties"], ["total_vehicles"],
+                                           order=[F.col("county_name").asc_nulls_last()]),
+    }
+
+
+def consumption_rows(facts: DataFrame, versions: DataFrame, fact_key: str, key: str, fact_ts: str,
+                     attrs: list[str], freshness_status: Column, quality_status: Column) -> DataFrame:
+    """Consumption rows carrying the catalog attributes effective at the
+    fact time plus freshness and quality markers (SEM-4)."""
+    from tessera.operators.joins import effective_join
+
+    eff = versions.select(F.col(key).alias("_k"), F.col("effective_start_at").alias("_s"),
+                          F.col("effective_end_at").alias("_e"), *attrs)
+    j = effective_join(facts, eff, fact_key, "_k", fact_ts, "_s", "_e")
+    return j.drop("_k", "_s", "_e").withColumn("freshness_status", freshness_status).withColumn("quality_status", quality_status)

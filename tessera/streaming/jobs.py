@@ -153,3 +153,38 @@ class IssueAlerts:
             F.concat(F.lit("New error rows detected: "), F.col("new_errors").cast("string")).alias("message"),
         )
         append(alert, self.alert_path)
+
+
+def dedup_cdc_stream(changes: DataFrame, keys: Sequence[str], ts: str, lsn: str, delay: str = "1 hour") -> DataFrame:
+    """Streaming CDC landing dedup on (key, ts, lsn) whose state is bounded
+    by a watermark on the change time (STR-7 / DED-3): a redelivery later
+    than ``delay`` behind the newest change is not remembered - the
+    change-log merge downstream drops it anyway."""
+    wm = _event_time(changes, ts)
+    return changes.withColumn("_event_time", wm).withWatermark("_event_time", delay).dropDuplicatesWithinWatermark(
+        [*keys, ts, lsn]
+    ).drop("_event_time")
+
+
+def trend_stream(df: DataFrame, ts: str, dims: Sequence[str], every: str = "1 hour", delay: str = "1 hour") -> DataFrame:
+    """Streaming form of the hourly count (AGG-9): tumbling event-time
+    windows with a watermark so finished hours are emitted and their state
+    dropped."""
+    return (
+        df.withColumn("_event_time", _event_time(df, ts))
+        .withWatermark("_event_time", delay)
+        .groupBy(F.window(F.col("_event_time"), every).alias("w"), *dims)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(F.col("w.start").cast("timestamp_ntz").alias("bucket"), *dims, "n")
+    )
+
+
+def _event_time(df: DataFrame, ts: str):
+    """Watermarks need a TIMESTAMP column; wall-clock TIMESTAMP_NTZ values
+    are read in the session zone (a fixed shift that keeps their order)."""
+    return F.col(ts).cast("timestamp")
+
+
+def quarantine_alert_stream(spark: SparkSession, quarantine_path: str, schema) -> DataFrame:
+    """New rows appended to the quarantine table, as a stream (STR-5)."""
+    return spark.readStream.schema(schema).parquet(quarantine_path)

@@ -1,0 +1,119 @@
+"""End-to-end batch run over landed files, snapshot refresh, open export,
+snapshot-based history and streaming watermark helpers."""
+
+import json
+from datetime import datetime as dt
+
+from pyspark.sql import functions as F
+
+from conftest import rows
+from tessera.operators import scd2 as S
+from tessera.plans.pipeline import run_batch
+from tessera.plans.semantic import consumption_rows, registration_model, suggested_questions
+from tessera.streaming.jobs import dedup_cdc_stream, trend_stream
+from tessera.tables import read_current, refresh
+
+SPEC = [(8, "vin", "string"), (9, "county_name", "string"), (13, "model_year", "int"), (14, "make", "string"),
+        (15, "model", "string"), (16, "ev_type", "string"), (17, "cafv_eligibility", "string"),
+        (18, "electric_range", "int"), (19, "base_msrp", "double"), (20, "legislative_district", "string"),
+        (21, "dol_vehicle_id", "string"), (22, "vehicle_location", "string"), (23, "electric_utility", "string"),
+        (24, "census_tract_2020", "string"), (25, "counties", "string")]
+
+
+def _row(vin, make, year, rng, county="King", code="53033"):
+    r = [None] * 26
+    r[8], r[9], r[13], r[14], r[15], r[16], r[18], r[19] = vin, county, year, make, "M", "BEV", rng, "100.0"
+    r[17], r[20], r[21], r[23], r[25] = "Eligible", "41", f"id-{vin}", "PSE", code
+    return r
+
+
+def test_run_batch_end_to_end(tmp_path, spark):
+    land = tmp_path / "landing"
+    land.mkdir()
+    (land / "f1.json").write_text(json.dumps({"data": [_row("V1", "TESLA", "2020", "200"), _row("V2", "KIA", "2021", "600")]}))
+    (land / "f2.json").write_text(json.dumps({"data": [_row("V1", "TESLA", "2021", "250"), _row(None, "X", "2020", "1")]}))
+    mfg = spark.createDataFrame([("TESLA",)], "manufacturer_name string")
+    res = run_batch(spark, str(land), str(tmp_path / "wh"), "2024-01-31 00:00:00", SPEC, mfg)
+    assert res.reconciliation["status"] == "PASS"
+    assert (res.reconciliation["bronze_flattened_rows"], res.reconciliation["silver_rows"]) == (3, 2)
+    clean = spark.read.parquet(res.tables["clean"])
+    assert rows(clean, "vin", "model_year", "electric_range") == [("V1", 2021, 250), ("V2", 2021, 600)]
+    errs = rows(spark.read.parquet(res.tables["error_rows"]), "error_type", "vin")
+    assert errs == [("INVALID_RANGE", "V2"), ("NULL_VIN", None), ("ORPHAN_MAKE", "V2")]
+    assert spark.read.parquet(str(tmp_path / "wh/open/fact_registrations")).schema["load_timestamp"].dataType.typeName() == "timestamp_ntz"
+    assert spark.read.parquet(res.tables["fact_normalized"]).count() == 3
+
+
+def test_snapshot_refresh_never_overwrites(tmp_path, spark):
+    root = str(tmp_path / "t")
+    p1 = refresh(spark.createDataFrame([(1,)], "x int"), root)
+    cur = read_current(spark, root)
+    p2 = refresh(cur.withColumn("x", F.col("x") + 1), root)  # reads the table it refreshes
+    assert p1 != p2 and rows(read_current(spark, root)) == [(2,)]
+
+
+def test_history_from_snapshots(spark):
+    snaps = spark.createDataFrame(
+        [
+            (dt(2024, 1, 1), 1, "a"), (dt(2024, 1, 1), 2, "x"),
+            (dt(2024, 1, 2), 1, "a"), (dt(2024, 1, 2), 2, "y"),
+            (dt(2024, 1, 3), 2, "y"),                          # key 1 disappears
+            (dt(2024, 1, 4), 1, "b"), (dt(2024, 1, 4), 2, "y"),  # and comes back changed
+        ],
+        "snapshot_ts timestamp_ntz, id long, v string",
+    )
+    h = S.scd2_from_snapshots(snaps, ["id"], ["v"])
+    got = rows(h, "id", "v", "effective_start_at", "effective_end_at", "closed_by")
+    assert got == [
+        (1, "a", dt(2024, 1, 1), dt(2024, 1, 3), "DELETE"),
+        (1, "b", dt(2024, 1, 4), None, None),
+        (2, "x", dt(2024, 1, 1), dt(2024, 1, 2), "UPSERT"),
+        (2, "y", dt(2024, 1, 2), None, None),
+    ]
+    arch = S.history_archive(h, ["id"], ["v"])
+    assert set(arch.columns) == {"id", "v", "valid_from", "valid_to", "cdc_operation"}
+
+
+def test_semantic_guardrails_and_suggestions(spark):
+    df = spark.createDataFrame(
+        [("V1", "A", "m1", "BEV", 2020, 100, 1.0, "K", "41", "53033", "Eligible"),
+         ("V2", "A", "m2", "PHEV", 2021, 20, 2.0, "K", "41", "53033", "Not eligible")],
+        "vin string, make string, model string, ev_type string, model_year int, electric_range int, base_msrp double, "
+        "county_name string, legislative_district string, counties string, cafv_eligibility string",
+    )
+    m = registration_model(cafv_label="Eligible")
+    got = m.query(df, "fact_registrations", ["make"], ["total_vehicles", "bev_share_pct", "cafv_eligible_pct", "model_diversity"]).collect()
+    assert [(r["total_vehicles"], r["bev_share_pct"], r["cafv_eligible_pct"], r["model_diversity"]) for r in got] == [(2, 50.0, 50.0, 2)]
+    for bad in [("other_table", ["make"], ["total_vehicles"]), ("fact_registrations", ["secret"], ["total_vehicles"]),
+                ("fact_registrations", ["make"], ["drop_table"])]:
+        try:
+            m.query(df, *bad)
+            raise AssertionError("accepted an undeclared name")
+        except ValueError:
+            pass
+    qs = suggested_questions(m, df)
+    assert rows(qs["top_districts"], "legislative_district", "total_vehicles") == [("41", 2)]
+    versions = spark.createDataFrame([("A", "SUV", dt(2020, 1, 1), None)],
+                                     "make string, cls string, effective_start_at timestamp_ntz, effective_end_at timestamp_ntz")
+    facts = df.withColumn("ts", F.lit(dt(2021, 1, 1)).cast("timestamp_ntz"))
+    out = consumption_rows(facts, versions, "make", "make", "ts", ["cls"], F.lit("FRESH"), F.lit("PASS"))
+    assert rows(out, "vin", "cls", "quality_status") == [("V1", "SUV", "PASS"), ("V2", "SUV", "PASS")]
+
+
+def test_watermarked_stream_helpers(tmp_path, spark):
+    schema = "id long, ts timestamp_ntz, lsn long, kind string"
+    data = [(1, dt(2024, 1, 1, 0, 10), 1, "a"), (1, dt(2024, 1, 1, 0, 10), 1, "a"), (2, dt(2024, 1, 1, 1, 5), 2, "b")]
+    src_dir = tmp_path / "src"
+    spark.createDataFrame(data, schema).coalesce(1).write.parquet(str(src_dir))
+    stream = spark.readStream.schema(schema).parquet(str(src_dir))
+    out = []
+    q = (dedup_cdc_stream(stream, ["id"], "ts", "lsn").writeStream.foreachBatch(lambda b, i: out.extend(b.collect()))
+         .option("checkpointLocation", str(tmp_path / "c1")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert len(out) == 2
+    agg = []
+    q2 = (trend_stream(stream, "ts", ["kind"]).writeStream.outputMode("update")
+          .foreachBatch(lambda b, i: agg.extend(b.collect()))
+          .option("checkpointLocation", str(tmp_path / "c2")).trigger(availableNow=True).start())
+    q2.awaitTermination()
+    assert sorted((r["kind"], r["n"]) for r in agg) == [("a", 2), ("b", 1)]
