@@ -41,6 +41,14 @@ def bounded_broadcast(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -
     return F.broadcast(df) if size <= limit_bytes else df
 
 
+def broadcast_if_small(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
+    """Broadcast hint after *measuring* the side: one count job (cheap on
+    a materialized table) proves the bound; past it the join stays a
+    shuffle join. Use for sides that are small by nature but not by
+    construction (dimensions)."""
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
 @dataclass(frozen=True)
 class Lookup:
     """How one fact column resolves to a dimension id (JN-2).

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.joins import Lookup, denormalize, resolve_keys
+from tessera.operators.joins import Lookup, broadcast_if_small, denormalize, resolve_keys
 from tessera.operators.keys import build_child_dim, build_name_dims, build_numeric_dim, dense_ids
 from tessera.tables import materialize
 
@@ -33,6 +33,8 @@ class Star:
 class Dims(dict):
     """Dimensions built on first use (each build numbers its rows)."""
 
+    broadcast_rows = 2_000_000
+
     def __init__(self, flat: DataFrame, materialize_dims: bool = False):
         super().__init__()
         self._flat = flat
@@ -46,16 +48,21 @@ class Dims(dict):
             dim = build_numeric_dim(self._flat, "model_year", "model_year")
         else:
             # all name dimensions come from one pass over the records
-            together = build_name_dims(self._flat, NAME_DIMS, materialize if self._materialize else None)
+            together = build_name_dims(self._flat, NAME_DIMS, self._store)
             self.update(together)
             return together[prefix]
-        if self._materialize:
-            # a dimension is a table: written once, then joined by the fact
-            # and again by the denormalized base without being recomputed
-            dim = materialize(dim)
+        dim = self._store(dim)
         self[prefix] = dim
         return dim
 
+    def _store(self, dim: DataFrame) -> DataFrame:
+        """A dimension is a table: written once, then joined by the fact and
+        again by the denormalized base without being recomputed; after the
+        write its row count is known, which bounds its broadcast."""
+        if not self._materialize:
+            return dim
+        return broadcast_if_small(materialize(dim), self.broadcast_rows)
+
 
 def build_dims(flat: DataFrame, materialize_dims: bool = False) -> Dims:
     return Dims(flat, materialize_dims)
