@@ -103,23 +103,26 @@ def source_file_of(orderkey: Column) -> Column:
     return F.concat(F.lit("landing/order_"), F.lpad(orderkey.cast("string"), 12, "0"), F.lit(".json"))
 
 
+def _row_array(dol: Column) -> Column:
+    """One source row: the registration fields as strings at their
+    positions, NULL elsewhere (the source's wire format)."""
+    f = _fields(F.col)
+    f["dol_vehicle_id"] = dol
+    by_pos = {pos: name for pos, name, _ in REGISTRATION_POSITIONS}
+    return F.array(*[
+        f[by_pos[p]].cast("string") if p in by_pos else F.lit(None).cast("string") for p in range(ROW_WIDTH)
+    ])
+
+
 def landing_documents(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame:
-    """Raw layer: one VARIANT document per order with file lineage."""
-    lines = _joined_lines(spark, sf_dir)
-    payload_cols = sorted({c for c in lines.columns})
-    line = F.struct(*[F.col(c) for c in _LINE_ORDER], F.struct(*payload_cols).alias("p"))
-    docs = lines.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(line)).alias("lines"))
-
-    def to_row(x: Column, i: Column) -> Column:
-        f = _fields(lambda c: x["p"][c])
-        f["dol_vehicle_id"] = F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), i.cast("string"))
-        by_pos = {pos: name for pos, name, _ in REGISTRATION_POSITIONS}
-        return F.array(*[
-            f[by_pos[p]].cast("string") if p in by_pos else F.lit(None).cast("string")
-            for p in range(ROW_WIDTH)
-        ])
-
-    body = F.to_json(F.struct(F.transform("lines", to_row).alias("data")))
+    """Raw layer: one VARIANT document per order with file lineage. The
+    per-order position comes from a window on the order key and the
+    grouping reuses that partitioning (one shuffle)."""
+    lines = typed_lines(spark, sf_dir)
+    dol = F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("pos").cast("string"))
+    keyed = lines.select("l_orderkey", F.struct("pos", _row_array(dol).alias("row")).alias("s"))
+    docs = keyed.groupBy("l_orderkey").agg(F.sort_array(F.collect_list("s")).alias("rows"))
+    body = F.to_json(F.struct(F.transform("rows", lambda x: x["row"]).alias("data")))
     return docs.select(
         F.parse_json(body).alias("json_data"),
         source_file_of(F.col("l_orderkey")).alias("source_file"),
@@ -143,9 +146,7 @@ def flat_registrations(spark: SparkSession, sf_dir: str, via_json: bool = True,
             REGISTRATION_POSITIONS,
             keep=["source_file", "load_timestamp", "pos"],
         )
-    lines = _joined_lines(spark, sf_dir)
-    order = Window.partitionBy("l_orderkey").orderBy(*[F.col(c).asc() for c in _LINE_ORDER])
-    lines = lines.withColumn("pos", (F.row_number().over(order) - 1).cast("int"))
+    lines = typed_lines(spark, sf_dir)
     f = _fields(F.col)
     f["dol_vehicle_id"] = F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("pos").cast("string"))
     cols = [f[name].cast(_spark_type(kind)).alias(name) for _, name, kind in REGISTRATION_POSITIONS]
@@ -177,15 +178,10 @@ def write_landing_files(spark: SparkSession, sf_dir: str, path: str, orders_per_
     holding the lines of ``orders_per_file`` consecutive orders in
     (order, line) order - the input of the file-arrival stream."""
     lines = typed_lines(spark, sf_dir)
-    f = _fields(F.col)
-    f["dol_vehicle_id"] = F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("pos").cast("string"))
-    by_pos = {pos: name for pos, name, _ in REGISTRATION_POSITIONS}
-    row = F.array(*[
-        f[by_pos[p]].cast("string") if p in by_pos else F.lit(None).cast("string") for p in range(ROW_WIDTH)
-    ])
+    dol = F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("pos").cast("string"))
     keyed = lines.select(
         (F.col("l_orderkey") / F.lit(orders_per_file)).cast("long").alias("file_no"),
-        F.struct(F.col("l_orderkey"), *[F.col(c) for c in _LINE_ORDER], row.alias("row")).alias("s"),
+        F.struct(F.col("l_orderkey"), F.col("pos"), _row_array(dol).alias("row")).alias("s"),
     )
     docs = keyed.groupBy("file_no").agg(F.sort_array(F.collect_list("s")).alias("rows"))
     body = F.to_json(F.struct(F.transform("rows", lambda x: x["row"]).alias("data")))

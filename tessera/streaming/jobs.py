@@ -121,14 +121,16 @@ class CdcStream:
         spark = changes.sparkSession
         changes = changes.persist()
         try:
-            self.log.upsert(changes, lambda old, b: scd2.change_log_merge(old, b, self.keys, self.ts, self.lsn), batch_id)
-            touched = self.log.touched_buckets(changes)
+            touched = self.log.touched_buckets(changes)  # same bucketing for both tables
+            self.log.upsert(
+                changes, lambda old, b: scd2.change_log_merge(old, b, self.keys, self.ts, self.lsn), batch_id, touched
+            )
             log_now = self.log.read_buckets(spark, touched)
 
             def merge(old_history, batch):
                 return scd2.scd2_apply(old_history, batch, self.keys, self.tracked, self.ts, self.lsn, self.op, log=log_now)
 
-            self.history.upsert(changes, merge, batch_id)
+            self.history.upsert(changes, merge, batch_id, touched)
         finally:
             changes.unpersist()
 

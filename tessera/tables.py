@@ -144,15 +144,16 @@ class BucketedTable:
         paths = [m[b] for b in buckets if b in m]
         return spark.read.parquet(*paths) if paths else None
 
-    def upsert(self, batch: DataFrame, merge, version: int) -> bool:
+    def upsert(self, batch: DataFrame, merge, version: int, touched: Sequence[int] | None = None) -> bool:
         """Apply ``merge(stored_rows_of_touched_buckets | None, batch)``
-        and commit it as ``version``; returns False when already applied."""
+        and commit it as ``version``; returns False when already applied.
+        ``touched`` may pass the batch's buckets when already known."""
         spark = batch.sparkSession
         if version in self.versions(spark):
             return False
         m = self.manifest(spark)
         b = self.bucket()
-        touched = self.touched_buckets(batch)
+        touched = list(touched) if touched is not None else self.touched_buckets(batch)
         if not touched:
             return False
         old = self.read_buckets(spark, touched)
