@@ -9,6 +9,7 @@ the previous snapshot in force; old snapshots can be expired separately.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Sequence
 
@@ -122,11 +123,13 @@ class BucketedTable:
         return committed_snapshots_named(spark, self._manifest_root(), "v")
 
     def manifest(self, spark: SparkSession) -> dict[int, str]:
+        """Bucket -> data folder of the newest committed version (a small
+        file read on the driver; one line per bucket)."""
         vs = self.versions(spark)
         if not vs:
             return {}
-        rows = spark.read.json(f"{self._manifest_root()}/v={vs[-1]}").collect()  # one row per bucket
-        return {int(r["bucket"]): r["path"] for r in rows}
+        text = _read_text(spark, f"{self._manifest_root()}/v={vs[-1]}/manifest.json")
+        return {int(k): v for k, v in json.loads(text).items()}
 
     def read(self, spark: SparkSession, schema=None) -> DataFrame | None:
         m = self.manifest(spark)
@@ -165,10 +168,9 @@ class BucketedTable:
         # buckets that end up empty after the merge have no folder
         fs, _ = _fs(spark, out)
         m = {k: v for k, v in m.items() if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(v))}
-        rows = [(k, v) for k, v in sorted(m.items())]
-        spark.createDataFrame(rows, "bucket int, path string").coalesce(1).write.mode("overwrite").json(
-            f"{self._manifest_root()}/v={version}"
-        )
+        folder = f"{self._manifest_root()}/v={version}"
+        _write_text(spark, f"{folder}/manifest.json", json.dumps({str(k): v for k, v in sorted(m.items())}))
+        _write_text(spark, f"{folder}/_SUCCESS", "")  # the commit point
         return True
 
 
@@ -196,3 +198,21 @@ def count_files(spark: SparkSession, root: str, suffixes: Sequence[str] = (".txt
         if not name.startswith(("_", ".")) and name.endswith(tuple(suffixes)):
             n += 1
     return n
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def _read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
