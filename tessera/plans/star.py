@@ -43,15 +43,23 @@ class Dims(dict):
 
     def __missing__(self, prefix: str) -> DataFrame:
         if prefix == "model":
-            dim = build_child_dim(self._flat, "model", "make", self["make"], "make", "model")
+            dim = self._store(build_child_dim(self._flat, "model", "make", self["make"], "make", "model"))
         elif prefix == "model_year":
-            dim = build_numeric_dim(self._flat, "model_year", "model_year")
+            dim = self._store(build_numeric_dim(self._flat, "model_year", "model_year"))
         else:
             # all name dimensions come from one pass over the records
-            together = build_name_dims(self._flat, NAME_DIMS, self._store)
+            measured = {}
+
+            def store(df: DataFrame) -> DataFrame:
+                m = materialize(df)
+                measured["rows"] = m.count()
+                return m
+
+            together = build_name_dims(self._flat, NAME_DIMS, store if self._materialize else None)
+            if self._materialize and measured["rows"] <= self.broadcast_rows:
+                together = {k: F.broadcast(v) for k, v in together.items()}
             self.update(together)
             return together[prefix]
-        dim = self._store(dim)
         self[prefix] = dim
         return dim
 
