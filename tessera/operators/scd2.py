@@ -54,9 +54,12 @@ def classify_changes(
     version). Columns: keys, _ts, _lsn, _op, tracked, effect,
     cdc_operation."""
     ch = changes.select(*keys, F.col(ts).alias("_ts"), F.col(lsn).alias("_lsn"), F.col(op).alias("_op"), *tracked)
-    ch = ch.dropDuplicates([*keys, "_ts", "_lsn"])
-    bucket = F.date_trunc(bucket_unit, F.col("_ts"))
-    seq = neighbors(ch, keys, ["_ts", "_lsn"], ["_op", *tracked], bucket, "prev", prefix="_p")
+    # one shuffle by (key, time bucket) serves the dedup and both neighbour
+    # windows; a hot key is spread over its buckets
+    ch = ch.withColumn("_bk", F.date_trunc(bucket_unit, F.col("_ts")))
+    n = int(changes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ch = ch.repartition(n, *keys, "_bk").dropDuplicates([*keys, "_bk", "_ts", "_lsn"])
+    seq = neighbors(ch, keys, ["_ts", "_lsn"], ["_op", *tracked], "_bk", "prev", prefix="_p")
     is_up = F.col("_op") == F.lit(UPSERT)
     prev_op = F.col("_p_op")
     after_gap = prev_op.isNull() | (prev_op == F.lit(DELETE))
@@ -68,7 +71,7 @@ def classify_changes(
         .otherwise(F.lit("CLOSE"))
     )
     return seq.select(
-        *keys, "_ts", "_lsn", "_op", *tracked,
+        *keys, "_ts", "_lsn", "_op", *tracked, "_bk",
         effect.alias("effect"),
         F.when(after_gap, F.lit("INSERT")).otherwise(F.lit("UPDATE")).alias("cdc_operation"),
     )
@@ -85,7 +88,7 @@ def versions_from_changes(
 ) -> DataFrame:
     """Full SCD2 history of the keys present in ``changes``."""
     kept = classify_changes(changes, keys, tracked, ts, lsn, op, bucket_unit).where(F.col("effect").isin("OPEN", "CLOSE"))
-    nxt = neighbors(kept, keys, ["_ts", "_lsn"], ["_ts", "_lsn", "_op"], F.date_trunc(bucket_unit, F.col("_ts")), "next", prefix="_n")
+    nxt = neighbors(kept, keys, ["_ts", "_lsn"], ["_ts", "_lsn", "_op"], "_bk", "next", prefix="_n")
     return nxt.where(F.col("_op") == F.lit(UPSERT)).select(
         *keys,
         *tracked,

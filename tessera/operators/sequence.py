@@ -23,18 +23,24 @@ def neighbors(
     keys: Sequence[str],
     order: Sequence[str],
     cols: Sequence[str],
-    bucket: Column,
+    bucket: Column | str,
     direction: str = "prev",
     prefix: str | None = None,
 ) -> DataFrame:
     """Add ``<prefix><col>`` holding ``col`` of the previous (``prev``) or
     next (``next``) row of the same key under the ascending total order
-    ``order``. ``bucket`` must be monotone in ``order`` (e.g. the hour of
-    the leading timestamp)."""
+    ``order``. ``bucket`` (an expression, or the name of a column already
+    present) must be monotone in ``order`` (e.g. the day of the leading
+    timestamp)."""
     prev = direction == "prev"
     prefix = prefix or ("prev_" if prev else "next_")
-    b = "_nb_bucket"
-    data = df.withColumn(b, bucket)
+    if isinstance(bucket, str):
+        # an existing bucket column: keeps the (key, bucket) partitioning of
+        # an earlier step, so no new shuffle of the detail rows is needed
+        b, keep_bucket, data = bucket, True, df
+    else:
+        b, keep_bucket = "_nb_bucket", False
+        data = df.withColumn(b, bucket)
     w = Window.partitionBy(*keys, b).orderBy(*[F.col(c).asc() for c in order])
     shift = F.lag if prev else F.lead
     # first (prev) / last (next) row of its bucket: nothing before / after it
@@ -57,4 +63,5 @@ def neighbors(
             prefix + c,
             F.when(F.col("_nb_edge"), F.col("_nb_other")[c]).otherwise(F.col(f"_nb_in_{c}")),
         )
-    return joined.drop(b, "_nb_edge", "_nb_other", *[f"_nb_in_{c}" for c in cols])
+    drop = ["_nb_edge", "_nb_other", *[f"_nb_in_{c}" for c in cols]] + ([] if keep_bucket else [b])
+    return joined.drop(*drop)
