@@ -131,11 +131,15 @@ def new_only(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFra
 
 
 def attach_scalars(df: DataFrame, *one_row: DataFrame) -> DataFrame:
-    """Cross join single-row summaries onto ``df`` (JN-7). Each summary is a
-    global aggregate, so broadcasting it is bounded by construction."""
+    """Attach the columns of single-row summaries to every row of ``df``
+    (JN-7) as scalar subqueries - what the source's scalar subqueries
+    are - rather than a cross join: each summary is a global aggregate,
+    evaluated once and read as a constant (more than one row is an error,
+    as for any scalar subquery)."""
     out = df
     for s in one_row:
-        out = out.crossJoin(F.broadcast(s))
+        packed = s.select(F.struct(*[F.col(c) for c in s.columns]).alias("_s")).scalar()
+        out = out.select("*", *[packed[c].alias(c) for c in s.columns])
     return out
 
 

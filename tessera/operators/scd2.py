@@ -24,6 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.joins import attach_scalars
 from tessera.operators.sequence import neighbors
 
 UPSERT = "UPSERT"
@@ -238,7 +239,7 @@ def changes_from_snapshots(snapshots: DataFrame, keys: Sequence[str], tracked: S
     ups = present.select(*keys, F.col(snapshot_ts).alias("ts"), F.col("_i").cast("long").alias("lsn"),
                          F.lit(UPSERT).alias("op"), *tracked)
     w = Window.partitionBy(*keys).orderBy("_i")
-    gaps = present.select(*keys, "_i", F.lead("_i").over(w).alias("_next")).crossJoin(F.broadcast(last_i))
+    gaps = attach_scalars(present.select(*keys, "_i", F.lead("_i").over(w).alias("_next")), last_i)
     gone = gaps.where(
         (F.col("_next").isNull() & (F.col("_i") < F.col("_last"))) | (F.col("_next") > F.col("_i") + 1)
     ).select(*keys, (F.col("_i") + 1).alias("_di"))
