@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.scalar import normalize_name
@@ -151,21 +151,66 @@ def effective_join(
     event_ts: str,
     start: str = "effective_start_at",
     end: str = "effective_end_at",
-    how: str = "left",
+    attrs: Sequence[str] | None = None,
+    version_order: str | None = None,
+    bucket_unit: str = "day",
 ) -> DataFrame:
-    """Effective-date join (JN-9): key equal and
-    ``start <= ts AND (ts < end OR end IS NULL)``.
-
-    Plans as an equi join on the key with the interval as a residual
-    condition: at most one version matches a timestamp when the history is
-    well formed (see ``scd2.scd2_violations``).
+    """Effective-date (as-of) LEFT join (JN-9): each event gets the version
+    of its key with ``start <= ts AND (ts < end OR end IS NULL)``.
+
+    Written as an as-of merge rather than key equality plus a range
+    condition, which would pair every event of a key with every version of
+    it before filtering. Events and version starts are put in one
+    sequence per (key, time bucket); the latest version started at or
+    before each event is carried forward inside the bucket, and events
+    with no version start earlier in their bucket take the last version
+    of the key's previous buckets from a one-row-per-(key, bucket)
+    summary. A key with a third of all rows is spread over its buckets.
+
+    Returns the event columns plus ``attrs`` (default: every version column
+    except the key) of the matching version, NULL when none matches. A
+    well-formed history (``scd2.scd2_violations`` empty) has at most one
+    match per event; among versions starting at the same instant the
+    later one (``version_order`` ascending, default ``end``) wins.
     """
-    cond = (
-        (F.col(event_key) == F.col(version_key))
-        & (F.col(event_ts) >= F.col(start))
-        & (F.col(end).isNull() | (F.col(event_ts) < F.col(end)))
+    attrs = list(attrs) if attrs is not None else [c for c in versions.columns if c != version_key]
+    vcols = list(dict.fromkeys([*attrs, start, end]))
+    tie = version_order or end
+    e_struct = F.struct(*[F.col(c) for c in events.columns])
+    v_struct = F.struct(*[F.col(c) for c in vcols])
+    e_type = events.select(e_struct.alias("x")).schema["x"].dataType
+    v_type = versions.select(v_struct.alias("x")).schema["x"].dataType
+    tie_type = versions.schema[tie].dataType
+    ev = events.select(
+        F.col(event_key).alias("_k"), F.col(event_ts).alias("_t"), F.lit(1).alias("_kind"),
+        F.lit(None).cast(tie_type).alias("_tie"), e_struct.alias("_e"), F.lit(None).cast(v_type).alias("_v"),
+    )
+    vs = versions.select(
+        F.col(version_key).alias("_k"), F.col(start).alias("_t"), F.lit(0).alias("_kind"),
+        F.col(tie).alias("_tie"), F.lit(None).cast(e_type).alias("_e"), v_struct.alias("_v"),
+    )
+    n = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    u = ev.unionByName(vs).withColumn("_b", F.date_trunc(bucket_unit, F.col("_t"))).repartition(n, "_k", "_b")
+    # versions sort before events at the same instant (start is inclusive);
+    # among equal starts the open / later-ending version comes last
+    seq_order = [F.col("_t").asc(), F.col("_kind").asc(), F.col("_tie").asc_nulls_last()]
+    w = Window.partitionBy("_k", "_b").orderBy(*seq_order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cand = u.withColumn("_cand", F.last("_v", ignorenulls=True).over(w)).where(F.col("_kind") == 1)
+    order_key = F.struct(F.col("_t"), F.col("_tie").isNull(), F.col("_tie"))
+    per_bucket = u.groupBy("_k", "_b").agg(F.max_by(F.col("_v"), F.when(F.col("_kind") == 0, order_key)).alias("_lastv"))
+    carry = per_bucket.select(
+        "_k", "_b",
+        F.last("_lastv", ignorenulls=True).over(
+            Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+        ).alias("_carry"),
+    )
+    j = cand.join(carry, ["_k", "_b"], "left")
+    eff = F.coalesce(F.col("_cand"), F.col("_carry"))
+    live = eff.isNotNull() & (eff[end].isNull() | (F.col("_t") < eff[end]))
+    return j.select(
+        *[F.col("_e")[c].alias(c) for c in events.columns],
+        *[F.when(live, eff[c]).alias(c) for c in attrs],
     )
-    return events.join(versions, cond, how)
 
 
 def as_of(versions: DataFrame, instant, start: str = "effective_start_at", end: str = "effective_end_at") -> DataFrame:

@@ -200,20 +200,16 @@ def effective_defects(
 ) -> DataFrame:
     """Facts whose attributes differ between the version effective at the
     fact time and the current version (a latest-value overwrite would be
-    wrong for them, CDC-13)."""
-    eff = history.select(
-        F.col(key).alias("_ek"), F.col(START).alias("_es"), F.col(END).alias("_ee"),
-        *[F.col(c).alias("eff_" + c) for c in tracked],
-    )
+    wrong for them, CDC-13). The effective version comes from the as-of
+    join; the current version is unique per key, an equi join."""
+    from tessera.operators.joins import effective_join
+
+    eff_hist = history.select(key, START, END, *[F.col(c).alias("eff_" + c) for c in tracked])
+    eff = effective_join(facts, eff_hist, fact_key, key, fact_ts, attrs=["eff_" + c for c in tracked])
     cur = current(history).select(F.col(key).alias("_ck"), *[F.col(c).alias("cur_" + c) for c in tracked])
-    cond = (
-        (F.col(fact_key) == F.col("_ek"))
-        & (F.col(fact_ts) >= F.col("_es"))
-        & (F.col("_ee").isNull() | (F.col(fact_ts) < F.col("_ee")))
-    )
-    joined = facts.join(eff, cond, "left").join(cur, F.col(fact_key) == F.col("_ck"), "left")
+    joined = eff.join(cur, F.col(fact_key) == F.col("_ck"), "left")
     differs = ~_same([F.col("eff_" + c) for c in tracked], [F.col("cur_" + c) for c in tracked])
-    return joined.where(differs).drop("_ek", "_es", "_ee", "_ck")
+    return joined.where(differs).drop("_ck")
 
 
 def history_archive(history: DataFrame, keys: Sequence[str], tracked: Sequence[str]) -> DataFrame:

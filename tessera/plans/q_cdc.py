@@ -120,7 +120,10 @@ def q_scd2_violations(spark, sf_dir):
     ),
 )
 def q_effective_join(spark, sf_dir):
-    j = effective_join(feeds.purchases(spark, sf_dir), history(spark, sf_dir), "user_id", "catalog_id", "ts")
+    j = effective_join(
+        feeds.purchases(spark, sf_dir), history(spark, sf_dir), "user_id", "catalog_id", "ts",
+        attrs=["tracked_value", "k", "effective_start_at"], version_order="start_lsn",
+    )
     return j.select("event_id", "user_id", "ts", "value", "tracked_value", "k", "effective_start_at")
 
 

@@ -102,7 +102,5 @@ def consumption_rows(facts: DataFrame, versions: DataFrame, fact_key: str, key:
     fact time plus freshness and quality markers (SEM-4)."""
     from tessera.operators.joins import effective_join
 
-    eff = versions.select(F.col(key).alias("_k"), F.col("effective_start_at").alias("_s"),
-                          F.col("effective_end_at").alias("_e"), *attrs)
-    j = effective_join(facts, eff, fact_key, "_k", fact_ts, "_s", "_e")
-    return j.drop("_k", "_s", "_e").withColumn("freshness_status", freshness_status).withColumn("quality_status", quality_status)
+    j = effective_join(facts, versions, fact_key, key, fact_ts, attrs=attrs)
+    return j.withColumn("freshness_status", freshness_status).withColumn("quality_status", quality_status)

@@ -146,3 +146,30 @@ def test_late_changes_with_change_log(spark):
     h2 = S.scd2_apply(h, feed(spark, older), KEYS, TRACKED, log=log2)
     assert rows(h2, *COLS) == expected
     assert [r[1] for r in sorted(expected, key=lambda t: t[2])] == ["a", "c", "z", "c"]
+
+
+def test_asof_join_matches_range_join_across_buckets(spark):
+    """Random changes for a few keys over weeks (one hot key) and events
+    between them: the bucketed as-of join equals the plain range join."""
+    import random
+
+    rnd = random.Random(3)
+    changes = []
+    for i in range(400):
+        key = 1 if i % 3 else rnd.choice([2, 3, 4])  # key 1 holds two thirds
+        t = dt(2024, 1, 1) + __import__("datetime").timedelta(minutes=rnd.randint(0, 60 * 24 * 20))
+        op = "DELETE" if rnd.random() < 0.2 else "UPSERT"
+        changes.append((key, t, i, op, None if op == "DELETE" else rnd.choice("abcd")))
+    h = S.versions_from_changes(feed(spark, changes), KEYS, TRACKED).cache()
+    ev = []
+    for i in range(300):
+        t = dt(2023, 12, 31) + __import__("datetime").timedelta(minutes=rnd.randint(0, 60 * 24 * 23))
+        ev.append((1000 + i, rnd.choice([1, 1, 2, 3, 4, 5]), t))
+    events = spark.createDataFrame(ev, "eid long, key long, at timestamp_ntz")
+    got = effective_join(events, h, "key", "id", "at", attrs=["v", "effective_start_at"])
+    cond = (
+        (events.key == h.id) & (events.at >= h.effective_start_at)
+        & (h.effective_end_at.isNull() | (events.at < h.effective_end_at))
+    )
+    exp = events.join(h, cond, "left").select("eid", "key", "at", "v", "effective_start_at")
+    assert rows(got, "eid", "v", "effective_start_at") == rows(exp, "eid", "v", "effective_start_at")
