@@ -16,6 +16,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.scalar import business_code, non_blank, normalize_name
+from tessera.tables import materialize_counted
+
+#: a dimension's distinct values are numbered in one task only when a count
+#: taken while writing them proves there are at most this many
+DIM_SINGLE_TASK_ROWS = 1_000_000
 
 UNKNOWN_ID = 0
 UNKNOWN_CODE = "UNK"
@@ -54,6 +59,7 @@ def dense_ids(
     start: int = 1,
     num_buckets: int | None = None,
     sample_per_bucket: int = 20,
+    single_task_rows: int = 0,
 ) -> DataFrame:
     """Add ``id_col`` = start, start+1, ... following ``order`` (ascending,
     NULLS LAST) across the whole DataFrame: ``ROW_NUMBER() OVER (ORDER BY
@@ -74,6 +80,14 @@ def dense_ids(
     bucket that large.
     """
     spark = df.sparkSession
+    if single_task_rows > 0:
+        # dimensions: write the (distinct) input once and count it while
+        # writing; a set proven to be at most `single_task_rows` rows is
+        # numbered by one window task, a larger one takes the path below
+        df, rows = materialize_counted(df)
+        if rows <= single_task_rows:
+            w = Window.orderBy(*[F.col(c) if isinstance(c, str) else c for c in _nulls_last(order)])
+            return df.withColumn(id_col, (F.row_number().over(w) + F.lit(start - 1)).cast("long"))
     n = num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sk = _sort_struct(order)
     tagged = df.withColumn("_sk", sk)
@@ -97,7 +111,8 @@ def dense_ids(
             F.sum("_n").over(Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
         ).alias("_offset"),
     )
-    local = F.row_number().over(Window.partitionBy("_bk").orderBy("_sk"))
+    # sort on the plain columns (prefix-sortable), not on the struct key
+    local = F.row_number().over(Window.partitionBy("_bk").orderBy(*_nulls_last(order)))
     return (
         bucketed.withColumn("_local", local)
         .join(F.broadcast(offsets), "_bk")  # one row per bucket
@@ -106,6 +121,10 @@ def dense_ids(
     )
 
 
+def _nulls_last(order: Sequence[Column | str]) -> list[Column]:
+    return [(F.col(c) if isinstance(c, str) else c).asc_nulls_last() for c in order]
+
+
 def _py_key(t: tuple):
     """Python ordering equal to Spark's for the (is null, value) pairs."""
     return tuple((isnull, (0, 0) if v is None else (1, v)) for isnull, v in zip(t[0::2], t[1::2]))
@@ -122,7 +141,7 @@ def build_dim(
     ``<prefix>_name``; plus the unknown member (0, UNK, UNKNOWN) (KEY-3)."""
     id_c, code_c, name_c = f"{prefix}_id", f"{prefix}_code", f"{prefix}_name"
     names = df.where(non_blank(src_col)).select(normalize_name(src_col).alias(name_c)).distinct()
-    numbered = dense_ids(names, [F.col(name_c)], id_c)
+    numbered = dense_ids(names, [F.col(name_c)], id_c, single_task_rows=DIM_SINGLE_TASK_ROWS)
     dim = numbered.select(F.col(id_c), business_code(name_c).alias(code_c), F.col(name_c))
     if unknown:
         dim = _unknown_row(df, [(id_c, "long", UNKNOWN_ID), (code_c, "string", UNKNOWN_CODE), (name_c, "string", UNKNOWN_NAME)]).unionByName(dim)
@@ -150,7 +169,7 @@ def build_child_dim(
         .select(p_id, name_c)
         .distinct()
     )
-    numbered = dense_ids(pairs, [F.col(p_id), F.col(name_c)], id_c)
+    numbered = dense_ids(pairs, [F.col(p_id), F.col(name_c)], id_c, single_task_rows=DIM_SINGLE_TASK_ROWS)
     dim = numbered.select(F.col(id_c), F.col(p_id), business_code(name_c).alias(code_c), F.col(name_c))
     unk = _unknown_row(df, [(id_c, "long", UNKNOWN_ID), (p_id, "long", UNKNOWN_ID), (code_c, "string", UNKNOWN_CODE), (name_c, "string", UNKNOWN_NAME)])
     return unk.unionByName(dim)
@@ -161,7 +180,7 @@ def build_numeric_dim(df: DataFrame, src_col: str, prefix: str, value_type: str
     value, code = value as text, unknown member has a NULL value."""
     id_c, code_c = f"{prefix}_id", f"{prefix}_code"
     values = df.where(F.col(src_col).isNotNull()).select(F.col(src_col).cast(value_type).alias(src_col)).distinct()
-    numbered = dense_ids(values, [F.col(src_col)], id_c)
+    numbered = dense_ids(values, [F.col(src_col)], id_c, single_task_rows=DIM_SINGLE_TASK_ROWS)
     dim = numbered.select(F.col(id_c), F.col(src_col).cast("string").alias(code_c), F.col(src_col))
     unk = _unknown_row(df, [(id_c, "long", UNKNOWN_ID), (code_c, "string", UNKNOWN_CODE), (src_col, value_type, None)])
     return unk.unionByName(dim)
@@ -172,7 +191,7 @@ def build_pair_dim(df: DataFrame, code_src: str, name_src: str, prefix: str) ->
     (name, code) with NULLs last (county lookup of the gold layer, KEY-6)."""
     id_c, code_c, name_c = f"{prefix}_id", f"{prefix}_code", f"{prefix}_name"
     pairs = df.select(F.col(code_src).alias(code_c), F.col(name_src).alias(name_c)).distinct()
-    numbered = dense_ids(pairs, [F.col(name_c), F.col(code_c)], id_c)
+    numbered = dense_ids(pairs, [F.col(name_c), F.col(code_c)], id_c, single_task_rows=DIM_SINGLE_TASK_ROWS)
     return numbered.select(id_c, code_c, name_c)
 
 
@@ -206,7 +225,7 @@ def build_name_dims(df: DataFrame, specs: Sequence[tuple[str, str]], materialize
             ])
         ).alias("_p")
     ).select("_p.*").where(F.col("_ok")).drop("_ok").distinct()
-    numbered = dense_ids(pairs, ["_dim", "_name"], "_gid")
+    numbered = dense_ids(pairs, ["_dim", "_name"], "_gid", single_task_rows=DIM_SINGLE_TASK_ROWS)
     first = numbered.groupBy("_dim").agg(F.min("_gid").alias("_first"))
     local = numbered.join(F.broadcast(first), "_dim").select(
         "_dim", "_name", (F.col("_gid") - F.col("_first") + 1).alias("_id")

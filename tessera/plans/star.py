@@ -9,9 +9,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.joins import Lookup, broadcast_if_small, denormalize, resolve_keys
+from tessera.operators.joins import Lookup, denormalize, resolve_keys
 from tessera.operators.keys import build_child_dim, build_name_dims, build_numeric_dim, dense_ids
-from tessera.tables import materialize
+from tessera.tables import materialize, materialize_counted
 
 # (dimension prefix, source column) for the name dimensions
 NAME_DIMS = [
@@ -51,8 +51,7 @@ class Dims(dict):
             measured = {}
 
             def store(df: DataFrame) -> DataFrame:
-                m = materialize(df)
-                measured["rows"] = m.count()
+                m, measured["rows"] = materialize_counted(df)
                 return m
 
             together = build_name_dims(self._flat, NAME_DIMS, store if self._materialize else None)
@@ -69,7 +68,8 @@ class Dims(dict):
         write its row count is known, which bounds its broadcast."""
         if not self._materialize:
             return dim
-        return broadcast_if_small(materialize(dim), self.broadcast_rows)
+        stored, n = materialize_counted(dim)
+        return F.broadcast(stored) if n <= self.broadcast_rows else stored
 
 
 def build_dims(flat: DataFrame, materialize_dims: bool = False) -> Dims:

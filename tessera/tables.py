@@ -11,9 +11,10 @@ from __future__ import annotations
 
 import json
 import re
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.session import ensure_checkpoint_dir
@@ -29,6 +30,14 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialize_counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """``materialize`` that also returns the row count, observed while the
+    copy is written (no second job)."""
+    obs = Observation(f"rows_{uuid.uuid4().hex}")
+    out = materialize(df.observe(obs, F.count(F.lit(1)).alias("n")))
+    return out, int(obs.get["n"])
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
