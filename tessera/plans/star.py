@@ -76,9 +76,10 @@ def build_dims(flat: DataFrame, materialize_dims: bool = False) -> Dims:
     return Dims(flat, materialize_dims)
 
 
-def build_fact(flat: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+def build_fact(flat: DataFrame, dims: dict[str, DataFrame], with_ids: bool = True) -> DataFrame:
     """One row per flattened source record (duplicates included), with the
-    eight surrogate ids (0 = unknown) and a dense fact id."""
+    eight surrogate ids (0 = unknown) and a dense fact id (left out with
+    ``with_ids=False`` for consumers that never read it)."""
     lookups = [
         Lookup(dims["make"], "make", "make_name", "make_id"),
         Lookup(dims["model"], "model", "model_name", "model_id", parent_id="make_id"),
@@ -96,16 +97,16 @@ def build_fact(flat: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     ]
     # the id order uses source columns only, so rows are numbered before
     # the lookups and the numbering does not re-run the dimension joins
-    numbered = resolve_keys(dense_ids(flat, order, "registration_fact_id"), lookups)
+    numbered = resolve_keys(dense_ids(flat, order, "registration_fact_id") if with_ids else flat, lookups)
     return numbered.select(
-        "registration_fact_id", "vin", "dol_vehicle_id", "make_id", "model_id", "ev_type_id",
+        *(["registration_fact_id"] if with_ids else []), "vin", "dol_vehicle_id", "make_id", "model_id", "ev_type_id",
         "cafv_id", "model_year_id", "utility_id", "legislative_district_id", "county_id",
         F.col("electric_range").cast("long").alias("electric_range"), "base_msrp", "source_file",
         "load_timestamp",
     )
 
 
-def build_star(flat: DataFrame, materialize_flat: bool = True) -> Star:
+def build_star(flat: DataFrame, materialize_flat: bool = True, fact_ids: bool = True) -> Star:
     """Dimensions and fact from the flattened records with a VIN. The
     flatten feeds nine consumers, so it is written once to the checkpoint
     folder (the temp table of the source design) instead of being
@@ -114,7 +115,7 @@ def build_star(flat: DataFrame, materialize_flat: bool = True) -> Star:
     if materialize_flat:
         base = materialize(base)
     dims = build_dims(base, materialize_dims=True)
-    return Star(dims, build_fact(base, dims))
+    return Star(dims, build_fact(base, dims, with_ids=fact_ids))
 
 
 def denorm_base(star: Star) -> DataFrame:
@@ -131,7 +132,7 @@ def denorm_base(star: Star) -> DataFrame:
     ]
     wide = denormalize(star.fact, spec)
     return wide.select(
-        "registration_fact_id", "vin", "dol_vehicle_id", "make_code", "make_name", "model_code",
+        *(["registration_fact_id"] if "registration_fact_id" in star.fact.columns else []), "vin", "dol_vehicle_id", "make_code", "make_name", "model_code",
         "model_name", "ev_type_code", "ev_type_name", "cafv_code", "cafv_name", "model_year",
         "utility_code", "utility_name", "legislative_district_code", "legislative_district_name",
         "county_code", "county_name", "electric_range", "base_msrp", "source_file", "load_timestamp",
