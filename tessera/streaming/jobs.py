@@ -21,6 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tessera.operators import scd2
 from tessera.operators.dedup import latest_per_key
 from tessera.operators.flatten import PositionSpec, extract_positions, flatten
+from tessera.operators.joins import attach_scalars
 from tessera.operators.filters import reject_null_keys
 from tessera.tables import BucketedTable, append
 
@@ -190,3 +191,43 @@ def _event_time(df: DataFrame, ts: str):
 def quarantine_alert_stream(spark: SparkSession, quarantine_path: str, schema) -> DataFrame:
     """New rows appended to the quarantine table, as a stream (STR-5)."""
     return spark.readStream.schema(schema).parquet(quarantine_path)
+
+
+def gold_refresh(root: str, as_of=None, key_cols: Sequence[str] = ("pos",)) -> Callable[[BucketedTable, int], None]:
+    """``after_commit`` callback (STR-3): after the cleansed layer of a
+    micro-batch is committed, rebuild the gold tables from it as new
+    snapshots - detail fact, county lookup, market metrics. Runs only for
+    batches that changed the cleansed layer."""
+    from tessera.plans import medallion as M
+    from tessera.tables import refresh
+
+    def cb(silver: BucketedTable, batch_id: int) -> None:
+        spark = SparkSession.getActiveSession()
+        clean = silver.read(spark).drop(*[c for c in key_cols])
+        ts = as_of if as_of is not None else F.current_timestamp()
+        refresh(M.fact_registrations(clean, ts), f"{root}/gold/fact_registrations")
+        refresh(M.dim_county_gold(clean), f"{root}/gold/dim_county_gold")
+        refresh(M.fact_market_metrics(clean, ts), f"{root}/gold/fact_market_metrics")
+
+    return cb
+
+
+def dq_after_gold(root: str, as_of) -> Callable[[BucketedTable, int], None]:
+    """``after_commit`` callback (STR-4, run after ``gold_refresh`` so the
+    checks see the refreshed gold, D22): reconciliation of cleansed vs gold
+    and the row-level checks of the batch's cleansed rows, appended to the
+    quarantine table with the batch id."""
+    from tessera.operators import quality as Q
+    from tessera.tables import append, read_current
+
+    def cb(silver: BucketedTable, batch_id: int) -> None:
+        spark = SparkSession.getActiveSession()
+        clean = silver.read(spark)
+        gold = read_current(spark, f"{root}/gold/fact_market_metrics")
+        errors = Q.quarantine([Q.dq_out_of_range(clean), Q.dq_null_any(clean)], run_id=str(batch_id), detected_at=as_of)
+        append(errors, f"{root}/dq/error_rows")
+        g = gold.agg(F.sum("total_vehicles").cast("long").alias("gold_total_vehicles"))
+        s = clean.agg(F.count(F.lit(1)).alias("silver_rows"))
+        append(attach_scalars(s, g).withColumn("batch_id", F.lit(batch_id)), f"{root}/dq/reconciliation")
+
+    return cb

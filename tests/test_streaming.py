@@ -10,7 +10,16 @@ from tessera.operators import scd2 as S
 from tessera.operators.dedup import latest_per_key
 from tessera.operators.flatten import extract_positions, flatten
 from tessera.sources.json_docs import ingest_json
-from tessera.streaming.jobs import CdcStream, IssueAlerts, RegistrationStream, json_document_stream, run
+from tessera.streaming.jobs import (
+    CdcStream,
+    IssueAlerts,
+    RegistrationStream,
+    dq_after_gold,
+    gold_refresh,
+    json_document_stream,
+    run,
+)
+from tessera.tables import read_current
 
 SPEC = [(0, "vin", "string"), (1, "make", "string"), (2, "model_year", "int")]
 def order():
@@ -77,3 +86,22 @@ def test_issue_alerts(tmp_path, spark):
     alerts.handle(errors.limit(0), 1)
     got = spark.read.parquet(str(tmp_path / "alerts")).collect()
     assert [(r["batch_id"], r["new_errors"]) for r in got] == [(0, 2)]
+
+
+def test_gold_and_dq_follow_each_committed_batch(tmp_path, spark):
+    land = tmp_path / "landing"
+    land.mkdir()
+    _land(land, "f1.json", [["V1", "A", "2021"], ["V2", "B", "2020"]])
+    _land(land, "f2.json", [["V1", "C", "2022"]])
+    spec = SPEC + [(3, "model", "string"), (4, "ev_type", "string"), (5, "electric_range", "int"), (6, "base_msrp", "double"),
+                   (7, "county_name", "string"), (9, "legislative_district", "string"), (10, "dol_vehicle_id", "string"),
+                   (11, "vehicle_location", "string"), (12, "electric_utility", "string"), (13, "census_tract_2020", "string"),
+                   (14, "counties", "string")]
+    root = str(tmp_path / "t")
+    job = RegistrationStream(root, spec, buckets=2,
+                             after_commit=[gold_refresh(root, "2024-01-31 00:00:00"), dq_after_gold(root, "2024-01-31 00:00:00")])
+    run(json_document_stream(spark, str(land), max_files_per_trigger=1), job.handle, str(tmp_path / "ck")).awaitTermination()
+    gold = read_current(spark, f"{root}/gold/fact_market_metrics")
+    assert rows(gold, "make", "total_vehicles") == [("B", 1), ("C", 1)]
+    recon = rows(spark.read.parquet(f"{root}/dq/reconciliation"), "batch_id", "silver_rows", "gold_total_vehicles")
+    assert recon == [(0, 2, 2), (1, 2, 2)]
