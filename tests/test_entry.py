@@ -22,7 +22,7 @@ def test_entry_runs(spark):
 def test_every_query_has_oracle_or_is_documented():
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs)
-    assert len(qs) >= 70
+    assert len(qs) >= 75
     assert set(qs) - set(sql) == set()
 
 
