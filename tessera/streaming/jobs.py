@@ -150,7 +150,7 @@ class IssueAlerts:
             F.count(F.lit(1)).alias("new_errors"),
             F.sum(F.when(F.col("error_type") == "DUPLICATE", 1).otherwise(0)).cast("long").alias("new_duplicates"),
         )
-        ts = F.current_timestamp() if self.as_of is None else F.lit(self.as_of).cast("timestamp")
+        ts = (F.current_timestamp() if self.as_of is None else F.lit(self.as_of)).cast("timestamp_ntz")
         alert = counts.where(F.col("new_errors") > 0).select(
             F.lit(batch_id).cast("long").alias("batch_id"), ts.alias("alerted_at"), "new_errors", "new_duplicates",
             F.concat(F.lit("New error rows detected: "), F.col("new_errors").cast("string")).alias("message"),
@@ -188,9 +188,13 @@ def _event_time(df: DataFrame, ts: str):
     return F.col(ts).cast("timestamp")
 
 
-def quarantine_alert_stream(spark: SparkSession, quarantine_path: str, schema) -> DataFrame:
+def quarantine_alert_stream(spark: SparkSession, quarantine_path: str, schema,
+                            max_files_per_trigger: int | None = None) -> DataFrame:
     """New rows appended to the quarantine table, as a stream (STR-5)."""
-    return spark.readStream.schema(schema).parquet(quarantine_path)
+    r = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.parquet(quarantine_path)
 
 
 def gold_refresh(root: str, as_of=None, key_cols: Sequence[str] = ("pos",)) -> Callable[[BucketedTable, int], None]:
