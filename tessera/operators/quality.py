@@ -119,7 +119,13 @@ def new_errors_only(errors: DataFrame, stored: DataFrame, cols: Sequence[str] |
     stored yet (compares on ``cols``, all error columns by default)."""
     cols = list(cols or [n for n, _ in ERROR_SCHEMA])
     h = F.xxhash64(*[F.col(c) for c in cols])
-    return errors.withColumn("_h", h).join(stored.select(h.alias("_h")).distinct(), "_h", "left_anti").drop("_h")
+    # the hash is the equi-join key (partitioning); the null-safe equality
+    # of every column makes the comparison exact despite hash collisions
+    seen = stored.select(h.alias("_h2"), *[F.col(c).alias("_s_" + c) for c in cols]).distinct()
+    cond = F.col("_h") == F.col("_h2")
+    for c in cols:
+        cond = cond & F.col(c).eqNullSafe(F.col("_s_" + c))
+    return errors.withColumn("_h", h).join(seen, cond, "left_anti").drop("_h")
 
 
 def error_summary(errors: DataFrame) -> DataFrame:
