@@ -83,10 +83,10 @@ class RegistrationStream:
         self.after_commit = list(after_commit)
 
     def handle(self, raw: DataFrame, batch_id: int) -> None:
-        if raw.isEmpty():
-            return  # no file landed: no work (the has-data guard)
-        raw = raw.persist()  # read once, used by the raw append and the upsert
+        raw = raw.persist()  # read once: emptiness test, raw append and upsert
         try:
+            if raw.isEmpty():
+                return  # no file landed: no work (the has-data guard)
             if self.raw_path:
                 append(raw.withColumn("batch_id", F.lit(batch_id)), self.raw_path)
             flat = extract_positions(flatten(raw, "json_data", "$.data"), self.spec, keep=["source_file", "pos"])
@@ -117,11 +117,11 @@ class CdcStream:
         self.ts, self.lsn, self.op = ts, lsn, op
 
     def handle(self, changes: DataFrame, batch_id: int) -> None:
-        if changes.isEmpty():
-            return  # nothing landed since the last run: skip (CDC-3)
         spark = changes.sparkSession
         changes = changes.persist()
         try:
+            if changes.isEmpty():
+                return  # nothing landed since the last run: skip (CDC-3)
             touched = self.log.touched_buckets(changes)  # same bucketing for both tables
             self.log.upsert(
                 changes, lambda old, b: scd2.change_log_merge(old, b, self.keys, self.ts, self.lsn), batch_id, touched
