@@ -2,11 +2,12 @@
 scalar attachment and effective-date (SCD2) joins.
 
 Broadcast policy: a side is broadcast only when its size is bounded -
-either by construction (one-row summaries, per-partition offsets) or by a
-checked estimate (``bounded_broadcast``). Everything else is left to the
-planner, where AQE turns a shuffle join into a broadcast join at run time
-if the shuffled side turns out small; beyond the threshold the sort-merge
-join stays, so nothing grows into an unbounded broadcast.
+by construction (fixed code tables, per-bucket offsets) or by a measured
+row count (``broadcast_if_small``, or the count observed while a
+dimension is written). Everything else is left to the planner, where AQE
+turns a shuffle join into a broadcast join at run time if the shuffled
+side turns out small; beyond the threshold the sort-merge join stays, so
+nothing grows into an unbounded broadcast.
 """
 
 from __future__ import annotations
@@ -20,27 +21,6 @@ from pyspark.sql import functions as F
 from tessera.functions.scalar import normalize_name
 from tessera.operators.keys import UNKNOWN_ID
 
-#: default upper bound for an explicit broadcast (bytes, optimizer estimate)
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of ``df`` (an upper bound for scans)."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(stats.sizeInBytes()))
-
-
-def bounded_broadcast(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Broadcast hint only when the estimate is under ``limit_bytes``;
-    otherwise return ``df`` unchanged (shuffle join, AQE may still
-    broadcast it after measuring)."""
-    try:
-        size = estimated_bytes(df)
-    except Exception:  # pragma: no cover - estimate unavailable (e.g. Connect)
-        return df
-    return F.broadcast(df) if size <= limit_bytes else df
-
-
 def broadcast_if_small(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
     """Broadcast hint after *measuring* the side: one count job (cheap on
     a materialized table) proves the bound; past it the join stays a
@@ -118,6 +98,18 @@ def enrich_current(
     return fact.join(side, F.col(fact_key) == F.col("_cur_key"), "left").drop("_cur_key")
 
 
+def fanout_keys(dim: DataFrame, key: str, current_col: str = "is_current") -> DataFrame:
+    """Join values that match more than one current dimension row - each
+    would multiply the facts joined on it (D4: enrichment on a name that
+    is not the dimension's key)."""
+    return (
+        dim.where(F.col(current_col))
+        .groupBy(key)
+        .agg(F.count(F.lit(1)).alias("current_rows"))
+        .where(F.col("current_rows") > 1)
+    )
+
+
 def orphans(df: DataFrame, ref: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """Rows whose key is missing from ``ref`` (LEFT ANTI, JN-5). A NULL key
     never matches and is therefore reported as an orphan."""

@@ -135,12 +135,26 @@ def build_dim(
     src_col: str,
     prefix: str,
     unknown: bool = True,
+    existing: DataFrame | None = None,
 ) -> DataFrame:
     """Dimension from the distinct normalized names of ``src_col``:
     ``<prefix>_id`` ordered by name, ``<prefix>_code`` = business code,
-    ``<prefix>_name``; plus the unknown member (0, UNK, UNKNOWN) (KEY-3)."""
+    ``<prefix>_name``; plus the unknown member (0, UNK, UNKNOWN) (KEY-3).
+
+    By default ids are renumbered on every build, as the source does
+    (D11); with ``existing`` (the previous dimension) stored names keep
+    their ids and only new names are numbered, after the highest id."""
     id_c, code_c, name_c = f"{prefix}_id", f"{prefix}_code", f"{prefix}_name"
     names = df.where(non_blank(src_col)).select(normalize_name(src_col).alias(name_c)).distinct()
+    if existing is not None:
+        kept = existing.where(F.col(id_c) != UNKNOWN_ID).select(id_c, code_c, name_c)
+        new = names.join(kept.select(name_c), name_c, "left_anti")
+        top = kept.agg(F.coalesce(F.max(id_c), F.lit(0)).alias("_top")).first()["_top"]  # one row
+        added = dense_ids(new, [F.col(name_c)], id_c, start=int(top) + 1, single_task_rows=DIM_SINGLE_TASK_ROWS)
+        dim = kept.unionByName(added.select(F.col(id_c), business_code(name_c).alias(code_c), F.col(name_c)))
+        if unknown:
+            dim = _unknown_row(df, [(id_c, "long", UNKNOWN_ID), (code_c, "string", UNKNOWN_CODE), (name_c, "string", UNKNOWN_NAME)]).unionByName(dim)
+        return dim
     numbered = dense_ids(names, [F.col(name_c)], id_c, single_task_rows=DIM_SINGLE_TASK_ROWS)
     dim = numbered.select(F.col(id_c), business_code(name_c).alias(code_c), F.col(name_c))
     if unknown:

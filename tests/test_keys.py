@@ -93,3 +93,19 @@ def test_dense_ids_match_global_row_number(spark):
     assert dense_ids(df.limit(0), ["x"], "rid").count() == 0
     one = dense_ids(df.limit(1), ["x"], "rid", start=10).collect()
     assert one[0]["rid"] == 10
+
+
+def test_dim_keeps_existing_ids(spark):
+    first = build_dim(spark.createDataFrame([("b",), ("d",)], "make string"), "make", "make")
+    later = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "make string")
+    kept = build_dim(later, "make", "make", existing=first)
+    assert rows(kept, "make_id", "make_name") == [(0, "UNKNOWN"), (1, "B"), (2, "D"), (3, "A"), (4, "C")]
+    fresh = build_dim(later, "make", "make")
+    assert rows(fresh, "make_id", "make_name") == [(0, "UNKNOWN"), (1, "A"), (2, "B"), (3, "C"), (4, "D")]
+
+
+def test_fanout_keys(spark):
+    from tessera.operators.joins import fanout_keys
+
+    dim = spark.createDataFrame([("TESLA", True), ("TESLA", True), ("KIA", True), ("KIA", False)], "name string, is_current boolean")
+    assert rows(fanout_keys(dim, "name")) == [("TESLA", 2)]
