@@ -225,24 +225,48 @@ def _unknown_row(df: DataFrame, fields: Sequence[tuple[str, str, object]]) -> Da
     return spark.range(1).select(*[F.lit(v).cast(t).alias(n) for n, t, v in fields])
 
 
-def build_name_dims(df: DataFrame, specs: Sequence[tuple[str, str]], materialize_fn=None) -> dict[str, DataFrame]:
-    """Several name dimensions (``(prefix, source column)`` each) in one
-    pass: one scan emits (dimension, normalized name) pairs, one distinct,
-    one numbering over (dimension, name); each dimension's ids then start
-    at 1 by subtracting its first id (one row per dimension, a bounded
-    broadcast). Same result as ``build_dim`` per column."""
-    pairs = df.select(
-        F.explode(
-            F.array(*[
-                F.struct(F.lit(prefix).alias("_dim"), normalize_name(src).alias("_name"), non_blank(src).alias("_ok"))
-                for prefix, src in specs
-            ])
-        ).alias("_p")
-    ).select("_p.*").where(F.col("_ok")).drop("_ok").distinct()
-    numbered = dense_ids(pairs, ["_dim", "_name"], "_gid", single_task_rows=DIM_SINGLE_TASK_ROWS)
+def build_name_dims(
+    df: DataFrame,
+    specs: Sequence[tuple[str, str]],
+    materialize_fn=None,
+    child: tuple[str, str, str] | None = None,
+    numeric: tuple[str, str] | None = None,
+) -> dict[str, DataFrame]:
+    """Several dimensions in one pass: one scan emits (dimension, key,
+    sub-key) triples, one distinct, one numbering over the triples; each
+    dimension's ids then start at 1 by subtracting its first id (one row
+    per dimension, a bounded broadcast). Same result as ``build_dim`` per
+    ``(prefix, source column)`` in ``specs``, and optionally
+
+    * ``child = (prefix, source column, parent prefix)``: ``build_child_dim``
+      - ids ordered by (parent name, name), which is the order of (parent
+      id, name) because parent ids follow parent names;
+    * ``numeric = (prefix, source column)``: ``build_numeric_dim`` for an
+      integer column, carried as an order-preserving fixed-width text.
+    """
+    parts = [
+        F.struct(F.lit(prefix).alias("_dim"), normalize_name(src).alias("_k1"), F.lit("").alias("_k2"), non_blank(src).alias("_ok"))
+        for prefix, src in specs
+    ]
+    if child is not None:
+        c_prefix, c_src, p_prefix = child
+        p_src = dict(specs)[p_prefix]
+        parts.append(F.struct(
+            F.lit(c_prefix).alias("_dim"), normalize_name(p_src).alias("_k1"), normalize_name(c_src).alias("_k2"),
+            (non_blank(p_src) & non_blank(c_src)).alias("_ok"),
+        ))
+    if numeric is not None:
+        n_prefix, n_src = numeric
+        shifted = F.col(n_src).cast("long") + F.lit(_INT_SHIFT)
+        parts.append(F.struct(
+            F.lit(n_prefix).alias("_dim"), F.lpad(shifted.cast("string"), 10, "0").alias("_k1"), F.lit("").alias("_k2"),
+            F.col(n_src).isNotNull().alias("_ok"),
+        ))
+    triples = df.select(F.explode(F.array(*parts)).alias("_p")).select("_p.*").where(F.col("_ok")).drop("_ok").distinct()
+    numbered = dense_ids(triples, ["_dim", "_k1", "_k2"], "_gid", single_task_rows=DIM_SINGLE_TASK_ROWS)
     first = numbered.groupBy("_dim").agg(F.min("_gid").alias("_first"))
     local = numbered.join(F.broadcast(first), "_dim").select(
-        "_dim", "_name", (F.col("_gid") - F.col("_first") + 1).alias("_id")
+        "_dim", "_k1", "_k2", (F.col("_gid") - F.col("_first") + 1).alias("_id")
     )
     if materialize_fn is not None:
         local = materialize_fn(local)
@@ -250,8 +274,33 @@ def build_name_dims(df: DataFrame, specs: Sequence[tuple[str, str]], materialize
     for prefix, _ in specs:
         id_c, code_c, name_c = f"{prefix}_id", f"{prefix}_code", f"{prefix}_name"
         dim = local.where(F.col("_dim") == prefix).select(
-            F.col("_id").cast("long").alias(id_c), business_code("_name").alias(code_c), F.col("_name").alias(name_c)
+            F.col("_id").cast("long").alias(id_c), business_code("_k1").alias(code_c), F.col("_k1").alias(name_c)
         )
         unk = _unknown_row(df, [(id_c, "long", UNKNOWN_ID), (code_c, "string", UNKNOWN_CODE), (name_c, "string", UNKNOWN_NAME)])
         out[prefix] = unk.unionByName(dim)
+    if child is not None:
+        c_prefix, _, p_prefix = child
+        id_c, code_c, name_c, pid_c = f"{c_prefix}_id", f"{c_prefix}_code", f"{c_prefix}_name", f"{p_prefix}_id"
+        parents = local.where(F.col("_dim") == p_prefix).select(F.col("_k1").alias("_pk"), F.col("_id").alias("_pid"))
+        rows_ = local.where(F.col("_dim") == c_prefix).join(F.broadcast(parents), F.col("_k1") == F.col("_pk"))
+        dim = rows_.select(
+            F.col("_id").cast("long").alias(id_c), F.col("_pid").cast("long").alias(pid_c),
+            business_code("_k2").alias(code_c), F.col("_k2").alias(name_c),
+        )
+        unk = _unknown_row(df, [(id_c, "long", UNKNOWN_ID), (pid_c, "long", UNKNOWN_ID), (code_c, "string", UNKNOWN_CODE), (name_c, "string", UNKNOWN_NAME)])
+        out[c_prefix] = unk.unionByName(dim)
+    if numeric is not None:
+        n_prefix, n_src = numeric
+        id_c, code_c = f"{n_prefix}_id", f"{n_prefix}_code"
+        value = (F.col("_k1").cast("long") - F.lit(_INT_SHIFT)).cast(df.schema[n_src].dataType)
+        dim = local.where(F.col("_dim") == n_prefix).select(
+            F.col("_id").cast("long").alias(id_c), value.cast("string").alias(code_c), value.alias(n_src)
+        )
+        unk = _unknown_row(df, [(id_c, "long", UNKNOWN_ID), (code_c, "string", UNKNOWN_CODE), (n_src, df.schema[n_src].dataType.simpleString(), None)])
+        out[n_prefix] = unk.unionByName(dim)
     return out
+
+
+#: shift that maps any 32-bit integer to a non-negative value whose
+#: zero-padded 10-digit text sorts in numeric order
+_INT_SHIFT = 2**31

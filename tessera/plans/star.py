@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.joins import Lookup, denormalize, resolve_keys
-from tessera.operators.keys import build_child_dim, build_name_dims, build_numeric_dim, dense_ids
+from tessera.operators.keys import build_name_dims, dense_ids
 from tessera.tables import materialize, materialize_counted
 
 # (dimension prefix, source column) for the name dimensions
@@ -31,7 +31,10 @@ class Star:
 
 
 class Dims(dict):
-    """Dimensions built on first use (each build numbers its rows)."""
+    """Dimensions built on first use, all eight in one pass. With
+    ``materialize_dims`` they are written once (a dimension is a table,
+    joined by the fact and again by the denormalized base) and counted
+    while written; the count bounds their broadcast."""
 
     broadcast_rows = 2_000_000
 
@@ -42,34 +45,21 @@ class Dims(dict):
         self._src = dict(NAME_DIMS)
 
     def __missing__(self, prefix: str) -> DataFrame:
-        if prefix == "model":
-            dim = self._store(build_child_dim(self._flat, "model", "make", self["make"], "make", "model"))
-        elif prefix == "model_year":
-            dim = self._store(build_numeric_dim(self._flat, "model_year", "model_year"))
-        else:
-            # all name dimensions come from one pass over the records
-            measured = {}
-
-            def store(df: DataFrame) -> DataFrame:
-                m, measured["rows"] = materialize_counted(df)
-                return m
-
-            together = build_name_dims(self._flat, NAME_DIMS, store if self._materialize else None)
-            if self._materialize and measured["rows"] <= self.broadcast_rows:
-                together = {k: F.broadcast(v) for k, v in together.items()}
-            self.update(together)
-            return together[prefix]
-        self[prefix] = dim
-        return dim
-
-    def _store(self, dim: DataFrame) -> DataFrame:
-        """A dimension is a table: written once, then joined by the fact and
-        again by the denormalized base without being recomputed; after the
-        write its row count is known, which bounds its broadcast."""
-        if not self._materialize:
-            return dim
-        stored, n = materialize_counted(dim)
-        return F.broadcast(stored) if n <= self.broadcast_rows else stored
+        # all eight dimensions come from one pass over the records
+        measured = {}
+
+        def store(df: DataFrame) -> DataFrame:
+            m, measured["rows"] = materialize_counted(df)
+            return m
+
+        together = build_name_dims(
+            self._flat, NAME_DIMS, store if self._materialize else None,
+            child=("model", "model", "make"), numeric=("model_year", "model_year"),
+        )
+        if self._materialize and measured["rows"] <= self.broadcast_rows:
+            together = {k: F.broadcast(v) for k, v in together.items()}
+        self.update(together)
+        return together[prefix]
 
 
 def build_dims(flat: DataFrame, materialize_dims: bool = False) -> Dims:

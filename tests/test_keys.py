@@ -42,10 +42,15 @@ def test_dim_with_unknown_member(spark):
 
 
 def test_name_dims_in_one_pass_equal_single_builds(spark):
-    df = names_messy(spark)
+    df = names_messy(spark).union(spark.createDataFrame([("ZED", "m9", -3)], "make string, model string, model_year int"))
     together = build_name_dims(df, [("make", "make"), ("model", "model")])
     for prefix in ["make", "model"]:
         assert rows(together[prefix]) == rows(build_dim(df, prefix, prefix))
+    full = build_name_dims(df, [("make", "make")], child=("model", "model", "make"), numeric=("model_year", "model_year"))
+    make = build_dim(df, "make", "make")
+    assert rows(full["model"]) == rows(build_child_dim(df, "model", "make", make, "make", "model"))
+    assert rows(full["model_year"]) == rows(build_numeric_dim(df, "model_year", "model_year"))
+    assert (0, "UNK", None) in rows(full["model_year"], "model_year_id", "model_year_code", "model_year")
 
 
 def test_child_and_numeric_dims(spark):
