@@ -108,7 +108,7 @@ def q_scd2_as_of(spark, sf_dir):
     ),
 )
 def q_scd2_violations(spark, sf_dir):
-    return S.scd2_violations(history(spark, sf_dir), KEYS)
+    return S.scd2_violations(materialize(history(spark, sf_dir)), KEYS)  # checked twice over
 
 
 @query(
@@ -155,7 +155,8 @@ def q_enrich_current(spark, sf_dir):
     ),
 )
 def q_effective_defects(spark, sf_dir):
-    return S.effective_defects(feeds.purchases(spark, sf_dir), history(spark, sf_dir), "user_id", "catalog_id", "ts", TRACKED)
+    hist = materialize(history(spark, sf_dir))  # the stored history, read twice (effective and current)
+    return S.effective_defects(feeds.purchases(spark, sf_dir), hist, "user_id", "catalog_id", "ts", TRACKED)
 
 
 @query(
