@@ -48,6 +48,41 @@ class SemanticModel:
         return out
 
 
+_AGGREGATIONS = {
+    "count": F.count,
+    "count_distinct": F.count_distinct,
+    "sum": F.sum,
+    "avg": F.avg,
+    "min": F.min,
+    "max": F.max,
+}
+
+
+def model_from_spec(table: dict) -> SemanticModel:
+    """A metric registry from a declarative table spec - ``name``,
+    ``dimensions`` / ``time_dimensions`` (``name``, ``expr``) and
+    ``measures`` (``name``, ``expr``, ``default_aggregation``), the layout
+    of a semantic-model file. Expressions are Spark SQL text."""
+    dims = {d["name"]: F.expr(d["expr"]) for d in table.get("dimensions", [])}
+    times = {d["name"]: F.expr(d["expr"]) for d in table.get("time_dimensions", [])}
+    measures = {}
+    for m in table.get("measures", []):
+        agg = _AGGREGATIONS[m.get("default_aggregation", "sum").lower()]
+        measures[m["name"]] = (lambda a, e: (lambda: a(F.expr(e))))(agg, m["expr"])
+    return SemanticModel(table["name"], dims, measures, times)
+
+
+def load_models(path: str) -> dict[str, SemanticModel]:
+    """All tables of a semantic-model YAML file (needs PyYAML)."""
+    try:
+        import yaml
+    except ImportError as e:  # pragma: no cover - optional dependency
+        raise RuntimeError("reading a semantic-model file needs PyYAML") from e
+    with open(path) as fh:
+        doc = yaml.safe_load(fh)
+    return {t["name"]: model_from_spec(t) for t in doc.get("tables", [])}
+
+
 def registration_model(bev_label: str = "BEV", phev_label: str = "PHEV", cafv_label: str = "ELIGIBLE") -> SemanticModel:
     """Model over the gold registration detail: the declared dimensions,
     the three measures of the source model plus the documented market

@@ -117,3 +117,24 @@ def test_watermarked_stream_helpers(tmp_path, spark):
           .option("checkpointLocation", str(tmp_path / "c2")).trigger(availableNow=True).start())
     q2.awaitTermination()
     assert sorted((r["kind"], r["n"]) for r in agg) == [("a", 2), ("b", 1)]
+
+
+def test_model_from_spec(spark):
+    from tessera.plans.semantic import model_from_spec
+
+    spec = {
+        "name": "fact_ev_registrations",
+        "dimensions": [{"name": "make", "expr": "MAKE"}, {"name": "county_code", "expr": "COUNTIES"}],
+        "time_dimensions": [{"name": "model_year", "expr": "MODEL_YEAR"}],
+        "measures": [
+            {"name": "total_registrations", "expr": "VIN", "default_aggregation": "count"},
+            {"name": "max_base_msrp", "expr": "BASE_MSRP", "default_aggregation": "max"},
+        ],
+    }
+    df = spark.createDataFrame([("V1", "A", "C1", 2020, 1.0), ("V2", "A", "C2", 2021, 3.0), (None, "B", "C1", 2020, 2.0)],
+                               "vin string, make string, counties string, model_year int, base_msrp double")
+    m = model_from_spec(spec)
+    got = m.query(df, "fact_ev_registrations", ["make"], ["total_registrations", "max_base_msrp"])
+    assert rows(got) == [("A", 2, 3.0), ("B", 0, 2.0)]
+    by_code = m.query(df, "fact_ev_registrations", ["county_code", "model_year"], ["total_registrations"])
+    assert rows(by_code) == [("C1", 2020, 1), ("C2", 2021, 1)]
