@@ -62,3 +62,19 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
     base = base[len("file:"):] if base.startswith("file:") else base
     return os.path.join(base, "tessera", *parts)
+
+
+def sizing_conf(input_bytes: int, partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Settings for a run over ``input_bytes`` of compressed input: shuffle
+    partitions so that one partition is about ``partition_bytes`` (AQE
+    coalesces small ones and splits skewed ones at run time), scan splits
+    of the same size, and the skew-join thresholds tied to it."""
+    partitions = max(200, -(-input_bytes * 3 // partition_bytes))  # ~3x expansion once decoded
+    size = str(partition_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    }
