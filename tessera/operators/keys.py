@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.scalar import business_code, non_blank, normalize_name
-from tessera.tables import materialize_counted
+from tessera.tables import materialize, materialize_counted
 
 #: a dimension's distinct values are numbered in one task only when a count
 #: taken while writing them proves there are at most this many
@@ -89,6 +89,8 @@ def dense_ids(
             w = Window.orderBy(*[F.col(c) if isinstance(c, str) else c for c in _nulls_last(order)])
             return df.withColumn(id_col, (F.row_number().over(w) + F.lit(start - 1)).cast("long"))
     n = num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if n > TREE_MAX_BUCKETS:
+        return _dense_ids_ranged(df, order, id_col, start, n)
     sk = _sort_struct(order)
     tagged = df.withColumn("_sk", sk)
     sample = (
@@ -121,6 +123,39 @@ def dense_ids(
     )
 
 
+#: above this many buckets the bound lookup would be a very large
+#: expression; the range-partitioned path below is used instead
+TREE_MAX_BUCKETS = 1024
+
+
+def _dense_ids_ranged(df: DataFrame, order: Sequence[Column | str], id_col: str, start: int, n: int) -> DataFrame:
+    """Dense ids for inputs numbered over many partitions: the input is
+    written once (reliable checkpoint), so its partitions and their order
+    are fixed; Spark's range partitioner (binary search over its sampled
+    bounds) then assigns the same partition to every row in every
+    evaluation - the per-partition counts and the numbering agree, also
+    when a task is re-run."""
+    keys = _nulls_last(order)
+    fixed = materialize(df)
+    ranged = (
+        fixed.repartitionByRange(n, *keys)
+        .sortWithinPartitions(*keys)
+        .withColumn("_mid", F.monotonically_increasing_id())
+        .withColumn("_part", F.shiftright(F.col("_mid"), 33))
+    )
+    counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select(
+        "_part",
+        F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"),
+    )
+    local = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
+    return (
+        ranged.join(F.broadcast(offsets), "_part")  # one row per partition
+        .withColumn(id_col, (F.col("_offset") + local + F.lit(start)).cast("long"))
+        .drop("_mid", "_part", "_offset")
+    )
+
+
 def _nulls_last(order: Sequence[Column | str]) -> list[Column]:
     return [(F.col(c) if isinstance(c, str) else c).asc_nulls_last() for c in order]
 

@@ -114,3 +114,19 @@ def test_fanout_keys(spark):
 
     dim = spark.createDataFrame([("TESLA", True), ("TESLA", True), ("KIA", True), ("KIA", False)], "name string, is_current boolean")
     assert rows(fanout_keys(dim, "name")) == [("TESLA", 2)]
+
+
+def test_dense_ids_many_buckets_path(spark):
+    import tessera.operators.keys as K
+
+    rnd = random.Random(11)
+    df = spark.createDataFrame([(rnd.choice([None, "x", "y"]), rnd.randint(0, 50), i) for i in range(2000)], "g string, x long, i long")
+    old = K.TREE_MAX_BUCKETS
+    K.TREE_MAX_BUCKETS = 4  # force the range-partitioned path
+    try:
+        got = dense_ids(df, ["g", "x", "i"], "rid", num_buckets=9)
+    finally:
+        K.TREE_MAX_BUCKETS = old
+    exp = df.withColumn("rid", F.row_number().over(Window.orderBy(
+        F.col("g").asc_nulls_last(), F.col("x").asc_nulls_last(), F.col("i").asc_nulls_last())).cast("long"))
+    assert rows(got) == rows(exp)
