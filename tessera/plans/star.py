@@ -92,7 +92,7 @@ def build_fact(flat: DataFrame, dims: dict[str, DataFrame], with_ids: bool = Tru
         *(["registration_fact_id"] if with_ids else []), "vin", "dol_vehicle_id", "make_id", "model_id", "ev_type_id",
         "cafv_id", "model_year_id", "utility_id", "legislative_district_id", "county_id",
         F.col("electric_range").cast("long").alias("electric_range"), "base_msrp", "source_file",
-        "load_timestamp",
+        *(["load_timestamp"] if "load_timestamp" in flat.columns else []),
     )
 
 
@@ -125,7 +125,8 @@ def denorm_base(star: Star) -> DataFrame:
         *(["registration_fact_id"] if "registration_fact_id" in star.fact.columns else []), "vin", "dol_vehicle_id", "make_code", "make_name", "model_code",
         "model_name", "ev_type_code", "ev_type_name", "cafv_code", "cafv_name", "model_year",
         "utility_code", "utility_name", "legislative_district_code", "legislative_district_name",
-        "county_code", "county_name", "electric_range", "base_msrp", "source_file", "load_timestamp",
+        "county_code", "county_name", "electric_range", "base_msrp", "source_file",
+        *(["load_timestamp"] if "load_timestamp" in star.fact.columns else []),
     )
 
 
