@@ -138,3 +138,28 @@ def test_model_from_spec(spark):
     assert rows(got) == [("A", 2, 3.0), ("B", 0, 2.0)]
     by_code = m.query(df, "fact_ev_registrations", ["county_code", "model_year"], ["total_registrations"])
     assert rows(by_code) == [("C1", 2020, 1), ("C2", 2021, 1)]
+
+
+def test_catalog_sync_and_enrichment(tmp_path, spark):
+    from tessera.plans.catalog import enriched_metrics, sync_catalog
+    from tessera.sources.cdc import CATALOG_CHANGE_SCHEMA
+
+    def land(name, data):
+        spark.createDataFrame(data, CATALOG_CHANGE_SCHEMA).write.parquet(str(tmp_path / "landing" / name))
+
+    row = lambda cid, name, cls, ts, op, lsn: (cid, 1, name, "US", cls, "car", "ev", "auto", 5, ts, ts, op, lsn)
+    root = str(tmp_path / "catalog")
+    land("b1", [row(1, "TESLA", "SUV", dt(2024, 1, 1), "INSERT", 1), row(2, "KIA", "CAR", dt(2024, 1, 1), "INSERT", 2)])
+    first = sync_catalog(spark, str(tmp_path / "landing" / "b1"), root)
+    land("b2", [row(1, "TESLA", "SEDAN", dt(2024, 1, 5), "UPDATE", 3), row(2, "KIA", "CAR", dt(2024, 1, 3), "DELETE", 4),
+                row(1, "TESLA", "SUV", dt(2024, 1, 1), "INSERT", 1)])  # redelivered
+    second = sync_catalog(spark, str(tmp_path / "landing" / "b2"), root)
+    assert first.applied and second.applied
+    hist = spark.read.parquet(second.history_path)
+    assert rows(hist, "catalog_id", "vehicle_class", "is_current") == [(1, "SEDAN", True), (1, "SUV", False), (2, "CAR", False)]
+    metrics = spark.createDataFrame([("TESLA", "BEV", 3), ("KIA", "BEV", 2)], "make string, ev_type string, total_vehicles long")
+    got = rows(enriched_metrics(metrics, hist), "make", "vehicle_class")
+    assert got == [("KIA", None), ("TESLA", "SEDAN")]
+    empty = tmp_path / "landing" / "b3"
+    spark.createDataFrame([], CATALOG_CHANGE_SCHEMA).write.parquet(str(empty))
+    assert sync_catalog(spark, str(empty), root).applied is False
