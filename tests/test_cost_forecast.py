@@ -116,3 +116,19 @@ def test_cadence_and_lag(spark):
     lag = spark.createDataFrame([(dt(2024, 1, 1), dt(2024, 1, 1, 0, 20)), (dt(2024, 1, 1), dt(2024, 1, 1, 0, 31))],
                                 "src timestamp_ntz, landed timestamp_ntz")
     assert rows(MON.lag_report(lag, "src", "landed"), "lag_min", "lag_status") == [(20.0, "OK"), (31.0, "BREACH")]
+
+
+def test_refresh_cost_runs_twice(tmp_path, spark):
+    from tessera.plans.cost_refresh import refresh_cost
+
+    monitors = spark.createDataFrame(
+        [("EV_PIPELINE_MONITOR", 20.0, 5.0, 15.0, 75.0, 95.0, 100.0, "o", "WH_A")],
+        "monitor_name string, credit_quota double, used_credits double, remaining_credits double, notify_percent double, "
+        "suspend_percent double, suspend_immediate_percent double, owner string, warehouses string")
+    root = str(tmp_path / "cost")
+    refresh_cost(spark, monitors, metering(spark), root, "2024-01-20 00:00:00", "WH_A")
+    out = refresh_cost(spark, monitors, metering(spark), root, "2024-01-31 00:00:00", "WH_A")
+    brief = out["brief"].collect()
+    assert len(brief) == 1 and brief[0]["snapshot_ts"] == dt(2024, 1, 31)
+    assert spark.read.parquet(root + "/cost_situation").count() == 2
+    assert out["daily"].select("usage_date").distinct().count() == out["daily"].count() / 2
