@@ -120,3 +120,20 @@ def test_lineage_edges_and_metric_results(spark):
     )
     got = Q.metric_results(m, "DB").collect()
     assert [(r["full_table_name"], r["dmf_name"]) for r in got] == [("DB.S.T", "DB.M.NULL_COUNT")]
+
+
+def test_detection_run_appends_only_new(tmp_path, spark):
+    from tessera.plans.dq_run import detect_errors
+
+    df = registrations_dq(spark).withColumn("pos", F.lit(0))
+    flat = df.unionByName(df.where("vin = 'V1'"))  # V1 twice: a duplicate
+    gold = df.groupBy("make", "ev_type").agg(F.count("vin").alias("total_vehicles"))
+    raw = spark.createDataFrame([("d",)], "doc string")
+    root = str(tmp_path / "dq")
+    first = detect_errors(spark, raw, flat, df, gold, root, "2024-01-31 00:00:00", "r1")
+    again = detect_errors(spark, raw, flat, df, gold, root, "2024-01-31 01:00:00", "r2")
+    everything = detect_errors(spark, raw, flat, df, gold, root, "2024-01-31 02:00:00", "r3", mode="append_all")
+    assert (first.new_duplicates, first.new_errors) == (1, 4)
+    assert (again.new_duplicates, again.new_errors) == (0, 0)
+    assert everything.new_errors == 4
+    assert first.reconciliation["bronze_unique_vins"] == 7
