@@ -123,14 +123,14 @@ def q_model_diversity(spark, sf_dir):
 
 
 @query(
-    "pipeline_snapshot",
+    "layer_snapshot",
     with_flat(
         """SELECT (SELECT CAST(count(DISTINCT source_file) AS BIGINT) FROM flat) AS bronze_documents,
                   (SELECT CAST(count(*) AS BIGINT) FROM clean) AS silver_rows,
                   (SELECT CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT make, ev_type FROM clean)) AS gold_groups"""
     ),
 )
-def q_pipeline_snapshot(spark, sf_dir):
+def q_layer_snapshot(spark, sf_dir):
     raw = landing_documents(spark, sf_dir)
     c = clean(spark, sf_dir)
     gold = M.fact_market_metrics(c)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tessera.operators import scd2 as S
-from tessera.plans.pipeline import run_batch
+from tessera.plans.batch_run import run_batch
 from tessera.plans.semantic import consumption_rows, registration_model, suggested_questions
 from tessera.streaming.jobs import dedup_cdc_stream, trend_stream
 from tessera.tables import read_current, refresh
