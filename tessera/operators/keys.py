@@ -317,7 +317,9 @@ def build_name_dims(
         c_prefix, _, p_prefix = child
         id_c, code_c, name_c, pid_c = f"{c_prefix}_id", f"{c_prefix}_code", f"{c_prefix}_name", f"{p_prefix}_id"
         parents = local.where(F.col("_dim") == p_prefix).select(F.col("_k1").alias("_pk"), F.col("_id").alias("_pid"))
-        rows_ = local.where(F.col("_dim") == c_prefix).join(F.broadcast(parents), F.col("_k1") == F.col("_pk"))
+        # parent names are a dimension of their own: no hint, the planner
+        # (with AQE's runtime size) chooses the join
+        rows_ = local.where(F.col("_dim") == c_prefix).join(parents, F.col("_k1") == F.col("_pk"))
         dim = rows_.select(
             F.col("_id").cast("long").alias(id_c), F.col("_pid").cast("long").alias(pid_c),
             business_code("_k2").alias(code_c), F.col("_k2").alias(name_c),

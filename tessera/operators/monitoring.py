@@ -128,7 +128,7 @@ def schema_drift(flat: DataFrame, expected: Mapping[int, str], value_col: str =
     exp = flat.sparkSession.createDataFrame(list(expected.items()), "position int, expected_type string")
     counts = exploded.groupBy("position", "observed_type").agg(F.count(F.lit(1)).alias("rows"))
     return (
-        counts.join(F.broadcast(exp), "position")
+        counts.join(F.broadcast(exp), "position")  # the contract: one row per position
         .where((F.col("observed_type") != F.col("expected_type")) & (F.col("observed_type") != F.lit("VOID")))
         .select("position", "expected_type", "observed_type", "rows")
     )

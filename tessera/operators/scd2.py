@@ -231,7 +231,7 @@ def changes_from_snapshots(snapshots: DataFrame, keys: Sequence[str], tracked: S
     times = snapshots.select(snapshot_ts).distinct()
     idx = times.select(snapshot_ts, F.row_number().over(Window.orderBy(snapshot_ts)).alias("_i"))
     last_i = idx.agg(F.max("_i").alias("_last"))
-    present = snapshots.join(F.broadcast(idx), snapshot_ts)
+    present = snapshots.join(F.broadcast(idx), snapshot_ts)  # one row per snapshot taken
     ups = present.select(*keys, F.col(snapshot_ts).alias("ts"), F.col("_i").cast("long").alias("lsn"),
                          F.lit(UPSERT).alias("op"), *tracked)
     w = Window.partitionBy(*keys).orderBy("_i")
