@@ -229,6 +229,7 @@ def changes_from_snapshots(snapshots: DataFrame, keys: Sequence[str], tracked: S
     snapshot), numbered and broadcast; the per-key window runs over that
     key's presence rows only."""
     times = snapshots.select(snapshot_ts).distinct()
+    # numbering the snapshot times: one row per snapshot, not per record
     idx = times.select(snapshot_ts, F.row_number().over(Window.orderBy(snapshot_ts)).alias("_i"))
     last_i = idx.agg(F.max("_i").alias("_last"))
     present = snapshots.join(F.broadcast(idx), snapshot_ts)  # one row per snapshot taken
