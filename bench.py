@@ -51,10 +51,15 @@ def main() -> None:
     )
     registry.load_all()
     timings = {}
+    failed = []
     for name in names:
         fn = registry.QUERIES[name]
-        run_once(spark, fn, sf_dir)
-        timings[name] = round(statistics.median(run_once(spark, fn, sf_dir) for _ in range(repeats)), 3)
+        try:
+            run_once(spark, fn, sf_dir)
+            timings[name] = round(statistics.median(run_once(spark, fn, sf_dir) for _ in range(repeats)), 3)
+        except Exception as e:  # noqa: BLE001 - report and keep measuring the others
+            print(f"bench: {name} failed: {str(e)[:300]}", file=sys.stderr)
+            failed.append(name)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({
         "metric": "headline_queries_total_median",
@@ -62,6 +67,7 @@ def main() -> None:
         "unit": "sec",
         "queries": timings,
         "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
+        **({"failed": failed} if failed else {}),
     }))
     spark.stop()
 
