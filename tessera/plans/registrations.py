@@ -173,17 +173,22 @@ def file_key_of(orderkey: Column, orders_per_file: int) -> Column:
     return F.concat(F.lit("file_key="), F.lpad((orderkey / F.lit(orders_per_file)).cast("long").cast("string"), 6, "0"))
 
 
-def write_landing_files(spark: SparkSession, sf_dir: str, path: str, orders_per_file: int = 1000) -> None:
+def write_landing_files(spark: SparkSession, sf_dir: str, path: str, orders_per_file: int = 1000,
+                        file_filter: Column | None = None) -> None:
     """Land the registrations as JSON files, one document per file, each
     holding the lines of ``orders_per_file`` consecutive orders in
-    (order, line) order - the input of the file-arrival stream."""
+    (order, line) order - the input of the file-arrival stream.
+    ``file_filter`` (over ``file_no``) lands a subset of the files, so
+    files can be landed in several rounds."""
     lines = typed_lines(spark, sf_dir)
     dol = F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("pos").cast("string"))
     keyed = lines.select(
         (F.col("l_orderkey") / F.lit(orders_per_file)).cast("long").alias("file_no"),
         F.struct(F.col("l_orderkey"), F.col("pos"), _row_array(dol).alias("row")).alias("s"),
     )
+    if file_filter is not None:
+        keyed = keyed.where(file_filter)
     docs = keyed.groupBy("file_no").agg(F.sort_array(F.collect_list("s")).alias("rows"))
     body = F.to_json(F.struct(F.transform("rows", lambda x: x["row"]).alias("data")))
     out = docs.select(F.lpad(F.col("file_no").cast("string"), 6, "0").alias("file_key"), body.alias("value"))
-    out.repartition("file_key").write.mode("errorifexists").partitionBy("file_key").text(path)
+    out.repartition("file_key").write.mode("append").partitionBy("file_key").text(path)
