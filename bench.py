@@ -7,6 +7,7 @@ reported. Prints one JSON line.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import statistics
@@ -18,6 +19,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from tessera.plans import registry  # noqa: E402
 from tessera.session import build_session  # noqa: E402
 
+CLEAN_BETWEEN = os.environ.get("BENCH_CLEAN", "1") == "1"
+
 HEADLINE = [
     "clean_registrations",
     "fact_market_metrics",
@@ -40,6 +43,14 @@ def run_once(spark, fn, sf_dir) -> float:
     return time.perf_counter() - t0
 
 
+def release(spark) -> None:
+    """Between queries (the next query's untimed warm-up overlaps the
+    deletions): let Spark's cleaner drop the checkpointed copies that no
+    DataFrame references any more (cleanCheckpoints is on)."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -57,6 +68,8 @@ def main() -> None:
         try:
             run_once(spark, fn, sf_dir)
             timings[name] = round(statistics.median(run_once(spark, fn, sf_dir) for _ in range(repeats)), 3)
+            if CLEAN_BETWEEN:
+                release(spark)
         except Exception as e:  # noqa: BLE001 - report and keep measuring the others
             print(f"bench: {name} failed: {str(e)[:300]}", file=sys.stderr)
             failed.append(name)

@@ -20,6 +20,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpointed copies are deleted once nothing references them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    "spark.cleaner.periodicGC.interval": "5min",
 }
 
 

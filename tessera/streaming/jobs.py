@@ -27,9 +27,12 @@ from tessera.tables import BucketedTable, append
 
 
 def json_document_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
-                         as_of=None) -> DataFrame:
+                         as_of=None, purge: bool = False) -> DataFrame:
     """New landed JSON documents (one per file) as a raw-layer stream with
-    file lineage (SRC-2)."""
+    file lineage (SRC-2). ``purge`` makes the file source delete landed
+    files after their batch is committed (the load-and-purge of the
+    source's ingestion; Spark does it in the background of later
+    batches)."""
     r = (
         spark.readStream.format("json")
         .option("singleVariantColumn", "json_data")
@@ -37,6 +40,8 @@ def json_document_stream(spark: SparkSession, path: str, max_files_per_trigger:
         .option("mode", "FAILFAST")
         .option("recursiveFileLookup", "true")
     )
+    if purge:
+        r = r.option("cleanSource", "delete")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     src = r.load(path)

@@ -146,6 +146,36 @@ class BucketedTable:
             return spark.createDataFrame([], schema) if schema is not None else None
         return spark.read.parquet(*sorted(m.values()))
 
+    def expire(self, spark: SparkSession, keep: int = 2) -> int:
+        """Delete bucket folders and manifests that none of the newest
+        ``keep`` committed versions references (readers of those versions
+        are unaffected). Returns the number of folders removed."""
+        vs = self.versions(spark)
+        if len(vs) <= keep:
+            return 0
+        kept = vs[-keep:]
+        live = set()
+        for v in kept:
+            text = _read_text(spark, f"{self._manifest_root()}/v={v}/manifest.json")
+            live.update(json.loads(text).values())
+        fs, data = _fs(spark, f"{self.root}/data")
+        removed = 0
+        if fs.exists(data):
+            for vdir in fs.listStatus(data):
+                bucket_dirs = [st.getPath() for st in fs.listStatus(vdir.getPath()) if st.getPath().getName().startswith("_b=")]
+                dead = [b for b in bucket_dirs if f"{self.root}/data/{vdir.getPath().getName()}/{b.getName()}" not in live]
+                if len(dead) == len(bucket_dirs):
+                    fs.delete(vdir.getPath(), True)
+                    removed += 1
+                else:
+                    for b in dead:
+                        fs.delete(b, True)
+                        removed += 1
+        for v in vs[:-keep]:
+            _delete(spark, f"{self._manifest_root()}/v={v}")
+            removed += 1
+        return removed
+
     def touched_buckets(self, batch: DataFrame) -> list[int]:
         """Buckets holding the batch's keys (at most ``buckets`` rows reach
         the driver)."""
@@ -183,6 +213,17 @@ class BucketedTable:
         return True
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder a job created and has finished with (landed input
+    after its load, superseded versions)."""
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
+_delete = delete_path
+
+
 def committed_snapshots_named(spark: SparkSession, root: str, prefix: str) -> list[int]:
     pat = re.compile(rf"{prefix}=(\d+)$")
     fs, p = _fs(spark, root)
