@@ -303,6 +303,14 @@ def build_name_dims(
     local = numbered.join(F.broadcast(first), "_dim").select(
         "_dim", "_k1", "_k2", (F.col("_gid") - F.col("_first") + 1).alias("_id")
     )
+    if child is not None:
+        # resolve each child row's parent id before the table is written,
+        # so reading a dimension later is a filter, never a join
+        c_prefix, _, p_prefix = child
+        parents = local.where(F.col("_dim") == p_prefix).select(F.col("_k1").alias("_pk"), F.col("_id").alias("_pid"))
+        local = local.join(parents, (F.col("_dim") == c_prefix) & (F.col("_k1") == F.col("_pk")), "left").drop("_pk")
+    else:
+        local = local.withColumn("_pid", F.lit(None).cast("long"))
     if materialize_fn is not None:
         local = materialize_fn(local)
     out = {}
@@ -316,10 +324,7 @@ def build_name_dims(
     if child is not None:
         c_prefix, _, p_prefix = child
         id_c, code_c, name_c, pid_c = f"{c_prefix}_id", f"{c_prefix}_code", f"{c_prefix}_name", f"{p_prefix}_id"
-        parents = local.where(F.col("_dim") == p_prefix).select(F.col("_k1").alias("_pk"), F.col("_id").alias("_pid"))
-        # parent names are a dimension of their own: no hint, the planner
-        # (with AQE's runtime size) chooses the join
-        rows_ = local.where(F.col("_dim") == c_prefix).join(parents, F.col("_k1") == F.col("_pk"))
+        rows_ = local.where(F.col("_dim") == c_prefix)
         dim = rows_.select(
             F.col("_id").cast("long").alias(id_c), F.col("_pid").cast("long").alias(pid_c),
             business_code("_k2").alias(code_c), F.col("_k2").alias(name_c),
