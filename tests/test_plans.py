@@ -51,3 +51,29 @@ def test_star_joins_broadcast_measured_dimensions(spark):
     assert "SortMergeJoin" not in planned  # broadcast chosen up front, not after a shuffle
     plan = final_plan(base)
     assert plan.count("BroadcastHashJoin") >= 16
+
+
+def test_single_row_summaries_are_scalar_subqueries(spark):
+    from tessera.operators.joins import attach_scalars
+
+    li = read_table(spark, SF, "lineitem")
+    q = attach_scalars(li.select("l_orderkey"), li.agg(F.count(F.lit(1)).alias("n")), li.agg(F.max("l_quantity").alias("m")))
+    plan = final_plan(q)
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+    assert "Subquery" in plan
+
+
+def test_asof_join_has_no_range_join(spark):
+    from datetime import datetime as dt
+
+    from tessera.operators.joins import effective_join
+
+    events = spark.createDataFrame([(1, dt(2024, 1, 2))], "k long, ts timestamp_ntz")
+    versions = spark.createDataFrame([(1, "a", dt(2024, 1, 1), None)],
+                                     "k long, v string, effective_start_at timestamp_ntz, effective_end_at timestamp_ntz")
+    j = effective_join(events, versions, "k", "k", "ts", attrs=["v"])
+    plan = final_plan(j)
+    joins = [line for line in plan.split("\n") if "Join" in line]
+    assert joins and not any(">=" in line or "<" in line for line in joins)  # equi joins only, no range condition
+    assert "NestedLoopJoin" not in plan
+    assert [r["v"] for r in j.collect()] == ["a"]
