@@ -15,7 +15,7 @@ from tessera.operators.joins import attach_scalars
 
 
 def cdc_monitor(dim: DataFrame, as_of, synced_col: str = "cdc_synced_at", current_col: str = "is_current",
-                source: str = "PostgreSQL Catalog", stale_hours: int = 13) -> DataFrame:
+                source: str = "catalog", stale_hours: int = 13) -> DataFrame:
     """Totals, last sync, hours since (boundaries crossed), current rows
     and the two alert rules (stale sync, no current rows) (CDC-7)."""
     now = F.lit(as_of).cast("timestamp_ntz")

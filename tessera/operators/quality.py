@@ -36,6 +36,18 @@ ERROR_SCHEMA = [
 ]
 
 
+# The layer / table tags and error descriptions written into
+# quarantine rows, as the source's checks write them.
+RAW_TAG = ("BRONZE", "RAW_EV_DATA")
+CLEAN_TAG = ("SILVER", "CLEAN_EV_DATA_DT")
+ERROR_TEXT = {
+    "NULL_VIN": "VIN is null",
+    "INVALID_RANGE": "Electric range out of valid bounds (0-500)",
+    "ORPHAN_MAKE": "Make not in DIM_MANUFACTURERS_GOLD",
+    "NULL_CRITICAL_FIELD": "Critical field is null",
+}
+
+
 def error_rows(
     df: DataFrame,
     layer: str,
@@ -59,18 +71,19 @@ def dq_null_key(flat: DataFrame, key: str = "vin", raw_col: str | None = "value"
     """Raw rows without a key; the raw element is kept (DQ-1)."""
     bad = flat.where(F.col(key).isNull())
     raw = F.to_json(F.col(raw_col)) if raw_col and raw_col in flat.columns else None
-    return error_rows(bad, "BRONZE", "RAW_EV_DATA", "NULL_VIN", "VIN is null", {"vin": F.lit(None)}, raw)
+    return error_rows(bad, *RAW_TAG, "NULL_VIN", ERROR_TEXT["NULL_VIN"], {"vin": F.lit(None)}, raw)
 
 
 def dq_out_of_range(df: DataFrame, col: str = "electric_range", lo: float = 0, hi: float = 500) -> DataFrame:
     """Values outside [lo, hi]; NULL is not out of range (DQ-2)."""
     bad = df.where((F.col(col) < lo) | (F.col(col) > hi))
-    return error_rows(bad, "SILVER", "CLEAN_EV_DATA_DT", "INVALID_RANGE", f"Electric range out of valid bounds ({lo:g}-{hi:g})")
+    text = ERROR_TEXT["INVALID_RANGE"] if (lo, hi) == (0, 500) else f"Electric range out of valid bounds ({lo:g}-{hi:g})"
+    return error_rows(bad, *CLEAN_TAG, "INVALID_RANGE", text)
 
 
 def dq_orphan(df: DataFrame, ref: DataFrame, col: str = "make", ref_col: str = "manufacturer_name") -> DataFrame:
     """Values missing from the reference set; NULL counts as orphan (DQ-3)."""
-    return error_rows(orphans(df, ref, col, ref_col), "SILVER", "CLEAN_EV_DATA_DT", "ORPHAN_MAKE", "Make not in DIM_MANUFACTURERS_GOLD")
+    return error_rows(orphans(df, ref, col, ref_col), *CLEAN_TAG, "ORPHAN_MAKE", ERROR_TEXT["ORPHAN_MAKE"])
 
 
 def dq_null_any(df: DataFrame, cols: Sequence[str] = ("make", "model", "model_year")) -> DataFrame:
@@ -78,7 +91,7 @@ def dq_null_any(df: DataFrame, cols: Sequence[str] = ("make", "model", "model_ye
     cond = F.lit(False)
     for c in cols:
         cond = cond | F.col(c).isNull()
-    return error_rows(df.where(cond), "SILVER", "CLEAN_EV_DATA_DT", "NULL_CRITICAL_FIELD", "Critical field is null")
+    return error_rows(df.where(cond), *CLEAN_TAG, "NULL_CRITICAL_FIELD", ERROR_TEXT["NULL_CRITICAL_FIELD"])
 
 
 def dq_duplicates(flat: DataFrame, key: str = "vin", existing: DataFrame | None = None) -> DataFrame:

@@ -162,7 +162,7 @@ def q_effective_defects(spark, sf_dir):
 @query(
     "cdc_monitor",
     with_hist(
-        f"""SELECT 'PostgreSQL Catalog' AS source, CAST(count(*) AS BIGINT) AS total_records,
+        f"""SELECT 'catalog' AS source, CAST(count(*) AS BIGINT) AS total_records,
                    max(effective_start_at) AS last_sync_time,
                    date_diff('hour', max(effective_start_at), {AS_OF_SQL}) AS hours_since_sync,
                    CAST(sum(CASE WHEN is_current THEN 1 ELSE 0 END) AS BIGINT) AS current_records,
