@@ -63,10 +63,16 @@ clean AS (
 
 FLAT_CTE = flat_cte("'landing/order_' || lpad(CAST(l_orderkey AS VARCHAR), 12, '0') || '.json'", "pos")
 
-FILE_FLAT_CTE = flat_cte(
-    "'file_key=' || lpad(CAST(l_orderkey // 1000 AS VARCHAR), 6, '0')",
-    f"CAST(row_number() OVER (PARTITION BY l_orderkey // 1000 ORDER BY l_orderkey, {LINE_ORDER_SQL}) - 1 AS INTEGER)",
-)
+def file_flat_cte(orders_per_file: int) -> str:
+    """``flat`` / ``clean`` for documents of ``orders_per_file`` orders each."""
+    n = int(orders_per_file)
+    return flat_cte(
+        f"'file_key=' || lpad(CAST(l_orderkey // {n} AS VARCHAR), 6, '0')",
+        f"CAST(row_number() OVER (PARTITION BY l_orderkey // {n} ORDER BY l_orderkey, {LINE_ORDER_SQL}) - 1 AS INTEGER)",
+    )
+
+
+FILE_FLAT_CTE = file_flat_cte(1000)
 
 
 def with_flat(body: str) -> str:
