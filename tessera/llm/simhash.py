@@ -177,6 +177,7 @@ def links(distinct: DataFrame, n: int, max_bits: int, chunk: int = 2048) -> Data
             if held is not None:
                 cols = [np.concatenate([h, c]) for h, c in zip(held, cols)]
             j, key, pair, fp = cols
+            fp = fp.view(np.uint64)  # bit counts of signed values are those of their magnitude
             if not len(fp):
                 continue
             new = np.flatnonzero((j[1:] != j[:-1]) | (key[1:] != key[:-1]) | (pair[1:] != pair[:-1])) + 1
@@ -184,12 +185,12 @@ def links(distinct: DataFrame, n: int, max_bits: int, chunk: int = 2048) -> Data
             held = [c[bounds[-2] :] for c in cols]
             yield edges(bounds[:-2], bounds[1:-1], fp)
         if held is not None:
-            yield edges(np.array([0]), np.array([len(held[3])]), held[3])
+            yield edges(np.array([0]), np.array([len(held[3])]), held[3].view(np.uint64))
 
     def edges(starts: np.ndarray, ends: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
         several = ends - starts > 1
         a, b = _links_of_runs(starts[several], ends[several], fp, max_bits)
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
 
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
