@@ -40,3 +40,15 @@ def require(df: DataFrame, columns: Iterable[str]) -> None:
 
 def joined_by_comma(items: Column) -> Column:
     return F.array_join(items, ",")
+
+
+def fresh_names(columns: Iterable[str], names: Iterable[str]) -> list[str]:
+    """``names`` with underscores in front until none is a column already."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n = f"_{n}"
+        out.append(n)
+        taken.add(n.lower())
+    return out

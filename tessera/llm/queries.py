@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm.common import table
+from tessera.llm.decontam import contamination_report
 from tessera.llm.simhash import near_duplicates
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -17,8 +18,35 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_benchmark_decontamination": op2_benchmark_decontamination,
 }
 
-ORACLE: dict[str, str] = {}
+#: Words as DuckDB lists; A-Z are lower-cased by translate.
+_SQL_WORDS = (
+    "list_filter(regexp_split_to_array(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
+)
+
+ORACLE: dict[str, str] = {
+    "op2_benchmark_decontamination": f"""
+WITH d AS (SELECT doc_id, {_SQL_WORDS.format(text="coalesce(text, '')")} AS w FROM documents),
+b AS (SELECT item_id, {_SQL_WORDS.format(text="coalesce(text, '')")} AS w FROM benchmark),
+bw AS (SELECT item_id, least(len(w), 10) AS n, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i, w FROM b WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS s FROM bw),
+sizes AS (SELECT DISTINCT n FROM windows),
+dw AS (SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n),
+hits AS (SELECT doc_id, i, dw.n, item_id FROM dw JOIN windows
+         ON windows.n = dw.n AND windows.s = array_to_string(dw.w[i:i + dw.n - 1], ' ')),
+places AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM hits) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS s
+          FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)""",
+}
