@@ -5,11 +5,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm.common import table
 from tessera.llm.decontam import contamination_report
 from tessera.llm.simhash import near_duplicates
+from tessera.llm.token_counts import token_counts
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -22,9 +24,14 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
+    "op3_token_counts": op3_token_counts,
 }
 
 #: Words as DuckDB lists; A-Z are lower-cased by translate.
