@@ -8,6 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.llm.bpe import encoding_digests
 from tessera.llm.common import table
 from tessera.llm.decontam import contamination_report
 from tessera.llm.simhash import near_duplicates
@@ -28,10 +29,16 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
 
 
+def op7_byte_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return encoding_digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_token_counts": op3_token_counts,
+    "op7_byte_bpe_roundtrip": op7_byte_bpe_roundtrip,
 }
 
 #: Words as DuckDB lists; A-Z are lower-cased by translate.
