@@ -13,6 +13,7 @@ from tessera.llm.common import table
 from tessera.llm.decontam import contamination_report
 from tessera.llm.simhash import near_duplicates
 from tessera.llm.token_counts import token_counts
+from tessera.llm.token_store import token_file_report
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +30,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
 
 
+def op5_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_file_report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+
+
 def op7_byte_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return encoding_digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -38,6 +43,7 @@ QUERIES: dict[str, QueryFn] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_token_counts": op3_token_counts,
+    "op5_token_id_output": op5_token_id_output,
     "op7_byte_bpe_roundtrip": op7_byte_bpe_roundtrip,
 }
 
