@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tessera.llm.bpe import encoding_digests
 from tessera.llm.common import table
 from tessera.llm.decontam import contamination_report
+from tessera.llm.quality import quality_report
 from tessera.llm.simhash import near_duplicates
 from tessera.llm.token_counts import token_counts
 from tessera.llm.token_store import token_file_report
@@ -34,6 +35,10 @@ def op5_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(table(spark, sf_dir, "documents"))
+
+
 def op7_byte_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return encoding_digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -44,6 +49,7 @@ QUERIES: dict[str, QueryFn] = {
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_token_counts": op3_token_counts,
     "op5_token_id_output": op5_token_id_output,
+    "op6_quality_rules": op6_quality_rules,
     "op7_byte_bpe_roundtrip": op7_byte_bpe_roundtrip,
 }
 
