@@ -11,10 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from tessera.llm.bpe import encoding_digests
 from tessera.llm.common import table
 from tessera.llm.decontam import contamination_report
+from tessera.llm.pii import pii_report
 from tessera.llm.quality import quality_report
 from tessera.llm.simhash import near_duplicates
 from tessera.llm.token_counts import token_counts
 from tessera.llm.token_store import token_file_report
+from tessera.llm.warc import archive_report
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +33,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_report(table(spark, sf_dir, "documents"))
+
+
 def op5_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
 
@@ -44,13 +50,19 @@ def op7_byte_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding_digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op8_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_report(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_token_counts": op3_token_counts,
+    "op4_pii": op4_pii,
     "op5_token_id_output": op5_token_id_output,
     "op6_quality_rules": op6_quality_rules,
     "op7_byte_bpe_roundtrip": op7_byte_bpe_roundtrip,
+    "op8_warc_captures": op8_warc_captures,
 }
 
 #: Words as DuckDB lists; A-Z are lower-cased by translate.
@@ -75,4 +87,13 @@ items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
        sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op8_warc_captures": """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+h AS (SELECT page_id, octet_length(b)::BIGINT AS n, sha1(b) AS x FROM p),
+d AS (SELECT page_id, n, array_to_string(list_transform(range(0, 32), lambda i:
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(x, 1 + 5 * (i // 4), 5))::INTEGER >> (15 - 5 * (i % 4))) & 31)::INTEGER, 1)), '') AS s
+      FROM h),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY s, n) AS first_id FROM d)
+SELECT page_id, n AS payload_bytes, s AS payload_digest, CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to FROM f""",
 }

@@ -191,7 +191,7 @@ def write_tokens(docs: DataFrame, tokenizer_file: str, path: str, end_id: int =
 
         def flush() -> pa.RecordBatch:
             name = f"{folder}/tokens-{part:06d}-{k:04d}-{attempt}.bin"
-            with files.open_output_stream(name) as out:
+            with files.open_output_stream(name, compression=None) as out:
                 for x in file_bytes(ids, numbers, encoder.vocabulary_size):
                     out.write(x)
             row = {"part": part, "k": k, "file": name, "n_docs": len(ids), "n_ids": size}
