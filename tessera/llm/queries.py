@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,6 +64,7 @@ QUERIES: dict[str, QueryFn] = {
     "op6_quality_rules": op6_quality_rules,
     "op7_byte_bpe_roundtrip": op7_byte_bpe_roundtrip,
     "op8_warc_captures": op8_warc_captures,
+    "pipeline": corpus_pipeline.run,
 }
 
 #: Words as DuckDB lists; A-Z are lower-cased by translate.
