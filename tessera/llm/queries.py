@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tessera.llm.bpe import encoding_digests
 from tessera.llm.common import table
 from tessera.llm.decontam import contamination_report
+from tessera.llm.lm_score import pseudo_likelihood
 from tessera.llm.pii import pii_report
 from tessera.llm.quality import quality_report
 from tessera.llm.simhash import near_duplicates
@@ -55,6 +56,10 @@ def op8_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_report(table(spark, sf_dir, "pages"))
 
 
+def op9_masked_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudo_likelihood(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -64,6 +69,7 @@ QUERIES: dict[str, QueryFn] = {
     "op6_quality_rules": op6_quality_rules,
     "op7_byte_bpe_roundtrip": op7_byte_bpe_roundtrip,
     "op8_warc_captures": op8_warc_captures,
+    "op9_masked_lm_scores": op9_masked_lm_scores,
     "pipeline": corpus_pipeline.run,
 }
 
