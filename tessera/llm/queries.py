@@ -8,10 +8,12 @@ from collections.abc import Callable
 import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.llm.bpe import encoding_digests
 from tessera.llm.common import table
 from tessera.llm.decontam import contamination_report
+from tessera.llm.licences import licence_scan
 from tessera.llm.lm_score import pseudo_likelihood
 from tessera.llm.pii import pii_report
 from tessera.llm.quality import quality_report
@@ -60,6 +62,13 @@ def op9_masked_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudo_likelihood(table(spark, sf_dir, "documents"))
 
 
+def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as files ``<source>/<lang>/<doc_id>.txt``."""
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", "source", "lang", F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    return licence_scan(docs.select("doc_id", path.alias("path"), "text"), "doc_id")
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -70,6 +79,7 @@ QUERIES: dict[str, QueryFn] = {
     "op7_byte_bpe_roundtrip": op7_byte_bpe_roundtrip,
     "op8_warc_captures": op8_warc_captures,
     "op9_masked_lm_scores": op9_masked_lm_scores,
+    "op10_licence_scan": op10_licence_scan,
     "pipeline": corpus_pipeline.run,
 }
 
