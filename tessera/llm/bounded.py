@@ -19,6 +19,27 @@ class BoundedCache:
             self.put(key, value)
         return value
 
+    def get_many(self, keys) -> tuple[dict, list]:
+        """The entries that are there, and the keys of the others."""
+        young, old, found, moved, missing = self.young, self.old, {}, {}, []
+        for k in keys:
+            value = young.get(k)
+            if value is None:
+                value = old.get(k)
+                if value is None:
+                    missing.append(k)
+                    continue
+                moved[k] = value
+            found[k] = value
+        self.put_many(moved)
+        return found, missing
+
+    def put_many(self, entries: dict) -> None:
+        """Adds entries that are few beside ``size``."""
+        if len(self.young) + len(entries) > self.size:
+            self.old, self.young = self.young, {}
+        self.young.update(entries)
+
     def put(self, key, value) -> None:
         if len(self.young) >= self.size:
             self.old, self.young = self.young, {}

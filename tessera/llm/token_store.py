@@ -42,18 +42,21 @@ from tessera.llm.elias_fano import EliasFano
 MAGIC = b"TOKSEF01"
 HEAD = struct.Struct("<8sBQQq")
 MAX_IDS = 1 << 25  # of one file
-CACHED = 150_000  # encoded words kept per generation in a worker
-BLOCK_CHARS = 1 << 20  # of texts encoded together
+CACHED = 250_000  # encoded words kept per generation in a worker
+BLOCK_CHARS = 1 << 21  # of texts encoded together
+JOINED = 64  # words given to the library as one text
 
 
 class LibraryEncoder:
-    """The tokenizers library, asked once for each distinct word.
+    """The tokenizers library, asked once for each distinct word; texts
+    become the bytes of their numbers.
 
     Where all white space is single spaces and line feeds between words, the
     byte-level pattern never crosses from a word to the space after it, and
     neither does a special string without white space: a word with the space
-    or line feed before it can be encoded alone. Other texts go to the
-    library whole, in parts cut before such a space.
+    or line feed before it can be encoded alone, or joined to others like it
+    and cut apart where its bytes end. Other texts go to the library whole,
+    long ones in parts cut before such a space.
     """
 
     def __init__(self, tokenizer_file: str):
@@ -61,53 +64,68 @@ class LibraryEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.pieces = BoundedCache(CACHED)
-        self.vocabulary_size = self.library.get_vocab_size(with_added_tokens=True)
-        self.line_feed = self._library(["\n"])[0]
-        if any(s.content.split() != [s.content] or s.lstrip or s.rstrip for s in self.library.get_added_tokens_decoder().values()):
+        size = self.library.get_vocab_size(with_added_tokens=True)
+        self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        special = self.library.get_added_tokens_decoder()
+        if any(s.content.split() != [s.content] or s.lstrip or s.rstrip for s in special.values()):
             raise ValueError("a special string takes in white space")
-
-    def _library(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.library.encode_batch(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Numbers of the texts, which are few and short enough to be held
-        several times."""
-        split = [f"\n{t}".replace("\n", " \n").split(" ")[1:] for t in texts]
-        known, new, apart = {}, [], set()
-        for p in set(chain.from_iterable(split)):
-            if (found := self.pieces.get(p)) is not None:
-                known[p] = found
-                continue
-            rest = p[1:] if p.startswith("\n") else p
-            if rest.split() == [rest]:
-                new.append(p)
-            else:
-                apart.add(p)
-        for p, ids in zip(new, self._library([p if p.startswith("\n") else f" {p}" for p in new])):
-            known[p] = ids
-            if len(p) < 64:
-                self.pieces.put(p, ids)
-        out = []
-        skip = len(self.line_feed)
-        for text, pieces in zip(texts, split):
-            if apart and not apart.isdisjoint(pieces):
-                ids = self._library([text])[0]
-            else:
-                ids = list(chain.from_iterable(map(known.__getitem__, pieces)))[skip:]
-            out.append(np.array(ids, dtype=np.uint32))
-        return out
-
-    def encode_long(self, text: str) -> np.ndarray:
+        # a byte is one character of a byte-level vocabulary's strings
+        self.n_bytes = np.array([len(self.library.id_to_token(i) or "") for i in range(size)])
+        for i, s in special.items():
+            self.n_bytes[i] = len(s.content.encode())
+        self.line_feed = self.whole("\n")
+
+    def _numbers(self, texts: list[str]) -> np.ndarray:
+        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
+        return np.fromiter(chain.from_iterable(e.ids for e in found), dtype=self.kind)
+
+    def whole(self, text: str) -> bytes:
+        """A text that is not looked up by words."""
         parts, at = [], 0
         while at < len(text):
             end = at + BLOCK_CHARS
             while end < len(text) and not (text[end] == " " and not text[end - 1].isspace() and not text[end + 1 : end + 2].isspace()):
                 end += 1
-            parts += self._library([text[at:end]])
+            parts.append(self._numbers([text[at:end]]).tobytes())
             at = end
-        return np.array(list(chain.from_iterable(parts)), dtype=np.uint32)
+        return b"".join(parts)
+
+    def _words(self, pieces: list[str]) -> dict[str, bytes]:
+        """Numbers of words, joined ``JOINED`` at a time for the library."""
+        texts = [p if p.startswith("\n") else f" {p}" for p in pieces]
+        numbers = self._numbers(["".join(texts[i : i + JOINED]) for i in range(0, len(texts), JOINED)])
+        ends = np.cumsum(self.n_bytes[numbers])
+        word_ends = np.cumsum([len(t.encode("utf-8", "surrogatepass")) for t in texts])
+        last = np.searchsorted(ends, word_ends)
+        if not (ends[np.minimum(last, len(ends) - 1)] == word_ends).all():
+            raise ValueError("the vocabulary is not byte-level")
+        data, width = numbers.tobytes(), self.kind.itemsize
+        cuts = [0, *((last + 1) * width).tolist()]
+        return {p: data[s:e] for p, s, e in zip(pieces, cuts, cuts[1:])}
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Numbers of texts that are few and short enough to be held several
+        times."""
+        split = [f"\n{t}".replace("\n", " \n").split(" ")[1:] for t in texts]
+        known, missing = self.pieces.get_many(set().union(*split))
+        new, apart = [], set()
+        for p in missing:
+            word = p[1:] if p.startswith("\n") else p
+            if word.split() == [word]:
+                new.append(p)
+            else:
+                apart.add(p)
+        if new:
+            found = self._words(new)
+            known |= found
+            self.pieces.put_many({p: v for p, v in found.items() if len(p) < 64})
+        skip = len(self.line_feed)
+        return [
+            self.whole(t) if apart and not apart.isdisjoint(s) else b"".join(map(known.__getitem__, s))[skip:]
+            for t, s in zip(texts, split)
+        ]
 
-    def encode_all(self, texts: list[str]) -> Iterator[np.ndarray]:
+    def encode_all(self, texts: list[str]) -> Iterator[bytes]:
         """Numbers of each text in turn; texts are encoded together up to
         ``BLOCK_CHARS``."""
         held, size = [], 0
@@ -115,7 +133,7 @@ class LibraryEncoder:
             if len(t) > BLOCK_CHARS:
                 yield from self.encode(held)
                 held, size = [], 0
-                yield self.encode_long(t)
+                yield self.whole(t)
                 continue
             held.append(t)
             size += len(t)
@@ -130,16 +148,14 @@ def library_encoder(tokenizer_file: str) -> LibraryEncoder:
     return LibraryEncoder(tokenizer_file)
 
 
-def file_bytes(doc_ids: list[int | None], numbers: list[np.ndarray], vocabulary_size: int) -> list[bytes]:
+def file_bytes(doc_ids: list[int | None], numbers: list[bytes], kind: np.dtype) -> list[bytes]:
     """A file's parts. ``doc_ids`` ascend, those without an id first."""
-    width = 2 if vocabulary_size <= 1 << 16 else 4
     given = np.array([d for d in doc_ids if d is not None], dtype=np.int64)
     smallest = int(given[0]) if len(given) else 0
-    bounds = np.concatenate([[0], np.cumsum([len(n) for n in numbers], dtype=np.int64)])
+    bounds = np.concatenate([[0], np.cumsum([len(n) // kind.itemsize for n in numbers], dtype=np.int64)])
     above = given.astype(np.uint64) - np.uint64(smallest % (1 << 64))
-    head = HEAD.pack(MAGIC, width, len(doc_ids), len(doc_ids) - len(given), smallest)
-    kind = "<u2" if width == 2 else "<u4"
-    return [head, EliasFano.of(bounds).to_bytes(), EliasFano.of(above).to_bytes(), *(n.astype(kind).tobytes() for n in numbers)]
+    head = HEAD.pack(MAGIC, kind.itemsize, len(doc_ids), len(doc_ids) - len(given), smallest)
+    return [head, EliasFano.of(bounds).to_bytes(), EliasFano.of(above).to_bytes(), *numbers]
 
 
 class TokenFile:
@@ -184,15 +200,15 @@ def write_tokens(docs: DataFrame, tokenizer_file: str, path: str, end_id: int =
         files, folder = fs.FileSystem.from_uri(path)
         files.create_dir(folder, recursive=True)
         part, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex
-        end = np.array([end_id], dtype=np.uint32)
+        end = np.array([end_id], dtype=encoder.kind).tobytes()
         ids: list = []
-        numbers: list[np.ndarray] = []
+        numbers: list[bytes] = []
         size, k = 0, 0
 
         def flush() -> pa.RecordBatch:
             name = f"{folder}/tokens-{part:06d}-{k:04d}-{attempt}.bin"
             with files.open_output_stream(name, compression=None) as out:
-                for x in file_bytes(ids, numbers, encoder.vocabulary_size):
+                for x in file_bytes(ids, numbers, encoder.kind):
                     out.write(x)
             row = {"part": part, "k": k, "file": name, "n_docs": len(ids), "n_ids": size}
             return pa.RecordBatch.from_pylist([row], schema=pa.schema(
@@ -202,8 +218,8 @@ def write_tokens(docs: DataFrame, tokenizer_file: str, path: str, end_id: int =
         for b in batches:
             for d, found in zip(b.column(0).to_pylist(), encoder.encode_all(b.column(1).to_pylist())):
                 ids.append(d)
-                numbers.append(np.concatenate([found, end]).astype(np.uint16 if encoder.vocabulary_size <= 1 << 16 else np.uint32))
-                size += len(found) + 1
+                numbers.append(found + end)
+                size += len(numbers[-1]) // encoder.kind.itemsize
                 if size >= MAX_IDS:
                     yield flush()
                     ids, numbers, size, k = [], [], 0, k + 1
