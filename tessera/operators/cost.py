@@ -122,13 +122,19 @@ def cost_brief(latest: DataFrame) -> DataFrame:
         F.round("credit_quota", 4).alias("credit_quota"),
         F.round("avg_daily_credits_7d", 4).alias("avg_daily_credits_7d"),
         "days_left_in_cycle", "narrative_hint",
-        F.when(
-            F.col("projected_status").isin("HIGH", "CRITICAL"),
-            F.lit("Recommended action: reduce warehouse runtime or scale down compute usage."),
-        ).otherwise(F.lit("Recommended action: current spend trajectory is within configured thresholds.")).alias("recommended_action"),
+        F.when(F.col("projected_status").isin("HIGH", "CRITICAL"), F.lit(ACTION_TEXT["act"]))
+        .otherwise(F.lit(ACTION_TEXT["none"])).alias("recommended_action"),
     )
 
 
+# The recommended actions of the brief, as the source writes
+# them.
+ACTION_TEXT = {
+    "act": "Recommended action: reduce warehouse runtime or scale down compute usage.",
+    "none": "Recommended action: current spend trajectory is within configured thresholds.",
+}
+
+
 # Monitor thresholds in percent (notify, suspend, suspend
 # immediately) and monthly credit quotas, as the source's budget setup
 # defines them.

@@ -3,8 +3,7 @@ scalar attachment and effective-date (SCD2) joins.
 
 Broadcast policy: a side is broadcast only when its size is bounded -
 by construction (fixed code tables, per-bucket offsets) or by a measured
-row count (``broadcast_if_small``, or the count observed while a
-dimension is written). Everything else is left to the planner, where AQE
+row count (that of a written dimension). Everything else is left to the planner, where AQE
 turns a shuffle join into a broadcast join at run time if the shuffled
 side turns out small; beyond the threshold the sort-merge join stays, so
 nothing grows into an unbounded broadcast.
@@ -21,13 +20,6 @@ from pyspark.sql import functions as F
 from tessera.functions.scalar import normalize_name
 from tessera.operators.keys import UNKNOWN_ID
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
-    """Broadcast hint after *measuring* the side: one count job (cheap on
-    a materialized table) proves the bound; past it the join stays a
-    shuffle join. Use for sides that are small by nature but not by
-    construction (dimensions)."""
-    return F.broadcast(df) if df.count() <= max_rows else df
-
 
 @dataclass(frozen=True)
 class Lookup:

@@ -1,11 +1,8 @@
 """Surrogate keys, business codes and dimension builders (KEY-1..6).
 
 ``dense_ids`` numbers rows 1..N by a global order without moving all rows
-into one task: rows are split into key ranges, numbered inside their
-range, and the running offsets of the range counts (one row per range, a
-bounded broadcast) are added.
-Buckets are a pure function of the key (see ``dense_ids``), so counts and
-ids agree on every evaluation without materializing anything.
+into one task: rows are split into key ranges and written once with their
+place, and the running offsets of the range counts are added.
 """
 
 from __future__ import annotations
@@ -16,155 +13,53 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.scalar import business_code, non_blank, normalize_name
-from tessera.tables import materialize, materialize_counted
-
-#: a dimension's distinct values are numbered in one task only when a count
-#: taken while writing them proves there are at most this many
-DIM_SINGLE_TASK_ROWS = 1_000_000
+from tessera.tables import materialize
 
 UNKNOWN_ID = 0
 UNKNOWN_CODE = "UNK"
 UNKNOWN_NAME = "UNKNOWN"
 
 
-
-def _sort_struct(order: Sequence[Column | str]) -> Column:
-    """One comparable key for ascending, NULLS LAST order: (is null, value)
-    per column, compared field by field."""
-    fields = []
-    for i, c in enumerate(order):
-        col = F.col(c) if isinstance(c, str) else c
-        fields += [col.isNull().alias(f"n{i}"), col.alias(f"v{i}")]
-    return F.struct(*fields)
-
-
-def _bucket_of(key: Column, bounds: list[Column]) -> Column:
-    """Index of the range ``key`` falls in among sorted ``bounds`` (number
-    of bounds <= key), as a balanced CASE tree: log2(#bounds) comparisons
-    per row, all inside generated code."""
-
-    def tree(lo: int, hi: int) -> Column:  # bucket index is in [lo, hi]
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2  # key >= bounds[mid - 1] -> bucket >= mid
-        return F.when(key < bounds[mid - 1], tree(lo, mid - 1)).otherwise(tree(mid, hi))
-
-    return tree(0, len(bounds))
-
-
 def dense_ids(
-    df: DataFrame,
-    order: Sequence[Column | str],
-    id_col: str,
-    start: int = 1,
-    num_buckets: int | None = None,
-    sample_per_bucket: int = 20,
-    single_task_rows: int = 0,
+    df: DataFrame, order: Sequence[Column | str], id_col: str, start: int = 1, num_partitions: int | None = None
 ) -> DataFrame:
     """Add ``id_col`` = start, start+1, ... following ``order`` (ascending,
     NULLS LAST) across the whole DataFrame: ``ROW_NUMBER() OVER (ORDER BY
     ...)`` without the single-task window (KEY-1).
 
-    1. Range bounds come from a content-determined sample: the keys with
-       the smallest hashes (a bounded top-k; the driver receives
-       ``num_buckets * sample_per_bucket`` keys at most).
-    2. Each row's bucket is a pure function of its key and the bounds, so
-       every evaluation - the per-bucket counts, the numbering, a task
-       re-run after an executor loss - puts a row in the same bucket.
-    3. Rows are numbered inside their bucket by a window partitioned by
-       bucket; bucket counts (partial aggregate) give running offsets, one
-       row per bucket, joined back as a bounded broadcast.
+    Rows are range-partitioned and sorted once, and written with their
+    partition and their position in it. The counts of the partitions and the
+    ids are both taken from that copy, so they belong together whatever
+    bounds the range partitioner drew, and a re-run task reads the same
+    rows. Offsets are running sums of one row per partition, joined back as
+    a broadcast of that size. ``num_partitions`` fixes their number; without
+    it adaptive execution sizes them.
 
     ``order`` should be a total order (unique keys): equal keys share a
-    bucket, so one key repeated across a third of the rows would make its
-    bucket that large.
+    partition, so one key repeated across a third of the rows would make its
+    partition that large.
     """
-    spark = df.sparkSession
-    if single_task_rows > 0:
-        # dimensions: write the (distinct) input once and count it while
-        # writing; a set proven to be at most `single_task_rows` rows is
-        # numbered by one window task, a larger one takes the path below
-        df, rows = materialize_counted(df)
-        if rows <= single_task_rows:
-            w = Window.orderBy(*[F.col(c) if isinstance(c, str) else c for c in _nulls_last(order)])
-            return df.withColumn(id_col, (F.row_number().over(w) + F.lit(start - 1)).cast("long"))
-    n = num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if n > TREE_MAX_BUCKETS:
-        return _dense_ids_ranged(df, order, id_col, start, n)
-    sk = _sort_struct(order)
-    tagged = df.withColumn("_sk", sk)
-    sample = (
-        tagged.select("_sk").orderBy(F.xxhash64("_sk"), F.col("_sk")).limit(n * sample_per_bucket).collect()
-    )
-    keys = sorted({tuple(r["_sk"]) for r in sample}, key=_py_key)
-    step = len(keys) / n if keys else 0
-    picked = sorted({keys[int(step * i)] for i in range(1, n)}, key=_py_key) if len(keys) >= n else keys[1:]
-    key_type = tagged.schema["_sk"].dataType
-    bounds = [
-        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(b, key_type.fields)]) for b in picked
-    ]
-    # one shuffle by bucket feeds both the counts and the numbering: the
-    # two branches share the same exchange, so the input is read once here
-    bucketed = tagged.withColumn("_bk", _bucket_of(F.col("_sk"), bounds) if bounds else F.lit(0)).repartition(n, "_bk")
-    counts = bucketed.groupBy("_bk").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        "_bk",
-        F.coalesce(
-            F.sum("_n").over(Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("_offset"),
-    )
-    # sort on the plain columns (prefix-sortable), not on the struct key
-    local = F.row_number().over(Window.partitionBy("_bk").orderBy(*_nulls_last(order)))
-    return (
-        bucketed.withColumn("_local", local)
-        .join(F.broadcast(offsets), "_bk")  # one row per bucket
-        .withColumn(id_col, (F.col("_offset") + F.col("_local") + F.lit(start - 1)).cast("long"))
-        .drop("_sk", "_bk", "_local", "_offset")
-    )
-
-
-#: above this many buckets the bound lookup would be a very large
-#: expression; the range-partitioned path below is used instead
-TREE_MAX_BUCKETS = 1024
-
-
-def _dense_ids_ranged(df: DataFrame, order: Sequence[Column | str], id_col: str, start: int, n: int) -> DataFrame:
-    """Dense ids for inputs numbered over many partitions: the input is
-    written once (reliable checkpoint), so its partitions and their order
-    are fixed; Spark's range partitioner (binary search over its sampled
-    bounds) then assigns the same partition to every row in every
-    evaluation - the per-partition counts and the numbering agree, also
-    when a task is re-run."""
-    keys = _nulls_last(order)
-    fixed = materialize(df)
-    ranged = (
-        fixed.repartitionByRange(n, *keys)
-        .sortWithinPartitions(*keys)
+    keys = [(F.col(c) if isinstance(c, str) else c).asc_nulls_last() for c in order]
+    ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+    # the id of a row is its partition, shifted by 33 bits, and its position
+    placed = (
+        ranged.sortWithinPartitions(*keys)
         .withColumn("_mid", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright(F.col("_mid"), 33))
+        .withColumn("_local", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
+        .drop("_mid")
     )
-    counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        "_part",
-        F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"),
-    )
-    local = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
+    fixed = materialize(placed)
+    counts = fixed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     return (
-        ranged.join(F.broadcast(offsets), "_part")  # one row per partition
-        .withColumn(id_col, (F.col("_offset") + local + F.lit(start)).cast("long"))
-        .drop("_mid", "_part", "_offset")
+        fixed.join(F.broadcast(offsets), "_part")  # one row per partition
+        .withColumn(id_col, (F.col("_offset") + F.col("_local") + F.lit(start)).cast("long"))
+        .drop("_part", "_local", "_offset")
     )
 
 
-def _nulls_last(order: Sequence[Column | str]) -> list[Column]:
-    return [(F.col(c) if isinstance(c, str) else c).asc_nulls_last() for c in order]
-
-
-def _py_key(t: tuple):
-    """Python ordering equal to Spark's for the (is null, value) pairs."""
-    return tuple((isnull, (0, 0) if v is None else (1, v)) for isnull, v in zip(t[0::2], t[1::2]))
-
-
 def build_dim(
     df: DataFrame,
     src_col: str,
@@ -185,12 +80,12 @@ def build_dim(
         kept = existing.where(F.col(id_c) != UNKNOWN_ID).select(id_c, code_c, name_c)
         new = names.join(kept.select(name_c), name_c, "left_anti")
         top = kept.agg(F.coalesce(F.max(id_c), F.lit(0)).alias("_top")).first()["_top"]  # one row
-        added = dense_ids(new, [F.col(name_c)], id_c, start=int(top) + 1, single_task_rows=DIM_SINGLE_TASK_ROWS)
+        added = dense_ids(new, [F.col(name_c)], id_c, start=int(top) + 1)
         dim = kept.unionByName(added.select(F.col(id_c), business_code(name_c).alias(code_c), F.col(name_c)))
         if unknown:
             dim = _unknown_row(df, [(id_c, "long", UNKNOWN_ID), (code_c, "string", UNKNOWN_CODE), (name_c, "string", UNKNOWN_NAME)]).unionByName(dim)
         return dim
-    numbered = dense_ids(names, [F.col(name_c)], id_c, single_task_rows=DIM_SINGLE_TASK_ROWS)
+    numbered = dense_ids(names, [F.col(name_c)], id_c)
     dim = numbered.select(F.col(id_c), business_code(name_c).alias(code_c), F.col(name_c))
     if unknown:
         dim = _unknown_row(df, [(id_c, "long", UNKNOWN_ID), (code_c, "string", UNKNOWN_CODE), (name_c, "string", UNKNOWN_NAME)]).unionByName(dim)
@@ -218,7 +113,7 @@ def build_child_dim(
         .select(p_id, name_c)
         .distinct()
     )
-    numbered = dense_ids(pairs, [F.col(p_id), F.col(name_c)], id_c, single_task_rows=DIM_SINGLE_TASK_ROWS)
+    numbered = dense_ids(pairs, [F.col(p_id), F.col(name_c)], id_c)
     dim = numbered.select(F.col(id_c), F.col(p_id), business_code(name_c).alias(code_c), F.col(name_c))
     unk = _unknown_row(df, [(id_c, "long", UNKNOWN_ID), (p_id, "long", UNKNOWN_ID), (code_c, "string", UNKNOWN_CODE), (name_c, "string", UNKNOWN_NAME)])
     return unk.unionByName(dim)
@@ -229,7 +124,7 @@ def build_numeric_dim(df: DataFrame, src_col: str, prefix: str, value_type: str
     value, code = value as text, unknown member has a NULL value."""
     id_c, code_c = f"{prefix}_id", f"{prefix}_code"
     values = df.where(F.col(src_col).isNotNull()).select(F.col(src_col).cast(value_type).alias(src_col)).distinct()
-    numbered = dense_ids(values, [F.col(src_col)], id_c, single_task_rows=DIM_SINGLE_TASK_ROWS)
+    numbered = dense_ids(values, [F.col(src_col)], id_c)
     dim = numbered.select(F.col(id_c), F.col(src_col).cast("string").alias(code_c), F.col(src_col))
     unk = _unknown_row(df, [(id_c, "long", UNKNOWN_ID), (code_c, "string", UNKNOWN_CODE), (src_col, value_type, None)])
     return unk.unionByName(dim)
@@ -240,7 +135,7 @@ def build_pair_dim(df: DataFrame, code_src: str, name_src: str, prefix: str) ->
     (name, code) with NULLs last (county lookup of the gold layer, KEY-6)."""
     id_c, code_c, name_c = f"{prefix}_id", f"{prefix}_code", f"{prefix}_name"
     pairs = df.select(F.col(code_src).alias(code_c), F.col(name_src).alias(name_c)).distinct()
-    numbered = dense_ids(pairs, [F.col(name_c), F.col(code_c)], id_c, single_task_rows=DIM_SINGLE_TASK_ROWS)
+    numbered = dense_ids(pairs, [F.col(name_c), F.col(code_c)], id_c)
     return numbered.select(id_c, code_c, name_c)
 
 
@@ -298,7 +193,7 @@ def build_name_dims(
             F.col(n_src).isNotNull().alias("_ok"),
         ))
     triples = df.select(F.explode(F.array(*parts)).alias("_p")).select("_p.*").where(F.col("_ok")).drop("_ok").distinct()
-    numbered = dense_ids(triples, ["_dim", "_k1", "_k2"], "_gid", single_task_rows=DIM_SINGLE_TASK_ROWS)
+    numbered = dense_ids(triples, ["_dim", "_k1", "_k2"], "_gid")
     first = numbered.groupBy("_dim").agg(F.min("_gid").alias("_first"))
     local = numbered.join(F.broadcast(first), "_dim").select(
         "_dim", "_k1", "_k2", (F.col("_gid") - F.col("_first") + 1).alias("_id")

@@ -61,16 +61,19 @@ def error_rows(
     tags = {"source_layer": layer, "source_table": table, "error_type": etype, "error_description": description}
     m = {"dol_vehicle_id": None}
     m.update(mapping or {})
-    out = tagged_rows(df, tags, m, ERROR_SCHEMA)
-    if raw_record is not None:
-        out = out.withColumn("raw_record", raw_record)
-    return out
+    if raw_record is None:
+        return tagged_rows(df, tags, m, ERROR_SCHEMA)
+    return tagged_rows(df, tags, m | {"raw_record": raw_record}, [*ERROR_SCHEMA, ("raw_record", "string")])
 
 
-def dq_null_key(flat: DataFrame, key: str = "vin", raw_col: str | None = "value") -> DataFrame:
-    """Raw rows without a key; the raw element is kept (DQ-1)."""
+def dq_null_key(flat: DataFrame, key: str = "vin", raw_col: str = "value") -> DataFrame:
+    """Raw rows without a key; the raw element, as a variant or its JSON
+    text, is kept if the input has it (DQ-1)."""
     bad = flat.where(F.col(key).isNull())
-    raw = F.to_json(F.col(raw_col)) if raw_col and raw_col in flat.columns else None
+    raw = None
+    if raw_col in flat.columns:
+        text = flat.schema[raw_col].dataType.typeName() == "string"
+        raw = F.col(raw_col) if text else F.to_json(F.col(raw_col))
     return error_rows(bad, *RAW_TAG, "NULL_VIN", ERROR_TEXT["NULL_VIN"], {"vin": F.lit(None)}, raw)
 
 
@@ -274,13 +277,16 @@ def dq_timeliness(df: DataFrame, ts: str, as_of, max_hours: int = 24) -> DataFra
 
 
 def share_rule_violations(shares: DataFrame, group: Sequence[str], pct_col: str, count_col: str,
-                          tolerance: float = 0.05) -> DataFrame:
-    """Consumption rules (DQ-8): shares of a group must sum to 100 within a
-    rounding tolerance and counts must not be negative."""
+                          decimals: int = 2) -> DataFrame:
+    """Consumption rules (DQ-8): shares of a group must sum to 100 and counts
+    must not be negative. Each share may be off by half of its last decimal,
+    so a sum of ``n`` shares may be off by ``n`` times that."""
+    off = F.abs(F.col("pct_sum") - 100.0)
     return (
         shares.groupBy(*group)
-        .agg(F.sum(pct_col).alias("pct_sum"), F.min(count_col).alias("min_count"))
-        .where((F.abs(F.col("pct_sum") - 100.0) > tolerance * 100) | (F.col("min_count") < 0))
+        .agg(F.sum(pct_col).alias("pct_sum"), F.min(count_col).alias("min_count"), F.count(F.lit(1)).alias("parts"))
+        .where((off > F.col("parts") * (0.5 * 10.0**-decimals) + 1e-9) | (F.col("min_count") < 0))
+        .drop("parts")
     )
 
 

@@ -1,13 +1,10 @@
 """Catalog change feed -> SCD2 catalog dimension -> enriched metrics
 (the catalog-sync flow): landed CDC files are normalized, deduplicated on
-(key, change time, log position), merged into the stored change log and
-applied to the history, each written as a new snapshot; the enriched
-metrics view joins the market metrics to the current catalog rows."""
+(key, change time, log position), added to the stored change log and
+applied to the history of their keys; the enriched metrics view joins the market metrics to the current catalog rows."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +12,8 @@ from tessera.operators import scd2
 from tessera.operators.dedup import dedup_cdc
 from tessera.operators.joins import enrich_current
 from tessera.sources.cdc import normalize_ops, read_cdc
-from tessera.tables import read_current, refresh
+from tessera.streaming.jobs import CdcStream
+from tessera.tables import delete_path
 
 CATALOG_KEY = ["catalog_id"]
 CATALOG_TRACKED = [
@@ -24,21 +22,24 @@ CATALOG_TRACKED = [
 ]
 
 
-@dataclass
-class SyncResult:
-    applied: bool
-    log_path: str | None
-    history_path: str | None
+class CatalogTables(CdcStream):
+    """Change log and history of the catalog, one batch per sync run."""
+
+    def __init__(self, root: str):
+        super().__init__(root, CATALOG_KEY, CATALOG_TRACKED)
 
 
-def sync_catalog(spark: SparkSession, landing: str, root: str, fmt: str = "parquet") -> SyncResult:
+def sync_catalog(spark: SparkSession, landing: str, root: str, fmt: str = "parquet", consume: bool = True) -> bool:
     """One sync run: skip when nothing landed (CDC-3); otherwise dedup
-    (DED-3), merge into the change log and rebuild the touched keys'
-    history (CDC-1/4/5). Change time = ``source_timestamp`` (falling back
-    to ``last_updated_at``), log position = ``lsn``."""
+    (DED-3), add to the change log and rebuild the touched keys' history
+    (CDC-1/4/5). The landed files are removed once both are written
+    (``consume``); a run repeated before that replaces its first attempt.
+    Change time = ``source_timestamp`` (falling back to
+    ``last_updated_at``), log position = ``lsn``. Returns whether there was
+    anything to apply."""
     landed = read_cdc(spark, landing, fmt)
     if landed.isEmpty():
-        return SyncResult(False, None, None)
+        return False
     changes = normalize_ops(landed).select(
         *CATALOG_KEY,
         F.coalesce("source_timestamp", "last_updated_at").alias("ts"),
@@ -46,14 +47,13 @@ def sync_catalog(spark: SparkSession, landing: str, root: str, fmt: str = "parqu
         "op",
         *CATALOG_TRACKED,
     )
-    changes = dedup_cdc(changes, CATALOG_KEY, "ts", "lsn")
-    log_old = read_current(spark, f"{root}/change_log")
-    hist_old = read_current(spark, f"{root}/history")
-    log_new_path = refresh(scd2.change_log_merge(log_old, changes, CATALOG_KEY), f"{root}/change_log")
-    log_new = spark.read.parquet(log_new_path)
-    hist = scd2.scd2_apply(hist_old, changes, CATALOG_KEY, CATALOG_TRACKED, log=log_new)
-    hist_path = refresh(hist, f"{root}/history")
-    return SyncResult(True, log_new_path, hist_path)
+    tables = CatalogTables(root)
+    log, done = tables.log.batches(spark), tables.versions.batches(spark)
+    unfinished = bool(log) and log[-1] not in done
+    tables.handle(dedup_cdc(changes, CATALOG_KEY, "ts", "lsn"), log[-1] if unfinished else len(log))
+    if consume:
+        delete_path(spark, landing)
+    return True
 
 
 def current_catalog(history: DataFrame) -> DataFrame:

@@ -79,88 +79,76 @@ def with_flat(body: str) -> str:
     return f"WITH {FLAT_CTE}\n{body}"
 
 
-def _name_dim(prefix: str, src: str) -> str:
-    name = f"{prefix}_name"
-    return f"""dim_{prefix} AS (
-  SELECT CAST(0 AS BIGINT) AS {prefix}_id, 'UNK' AS {prefix}_code, 'UNKNOWN' AS {name}
-  UNION ALL
-  SELECT CAST(row_number() OVER (ORDER BY {name}) AS BIGINT) AS {prefix}_id,
-         regexp_replace(upper(trim({name})), '[^A-Z0-9]+', '_', 'g') AS {prefix}_code,
-         {name}
-  FROM (SELECT DISTINCT upper(trim({src})) AS {name} FROM tflat WHERE {src} IS NOT NULL AND trim({src}) <> '')
-)"""
-
-
-STAR_CTE = ",\n".join(
-    [
-        "tflat AS (SELECT * FROM flat WHERE vin IS NOT NULL)",
-        _name_dim("make", "make"),
-        _name_dim("ev_type", "ev_type"),
-        _name_dim("cafv", "cafv_eligibility"),
-        _name_dim("utility", "electric_utility"),
-        _name_dim("legislative_district", "legislative_district"),
-        _name_dim("county", "counties"),
-        """dim_model AS (
-  SELECT CAST(0 AS BIGINT) AS model_id, CAST(0 AS BIGINT) AS make_id, 'UNK' AS model_code, 'UNKNOWN' AS model_name
-  UNION ALL
-  SELECT CAST(row_number() OVER (ORDER BY make_id, model_name) AS BIGINT), make_id,
-         regexp_replace(upper(trim(model_name)), '[^A-Z0-9]+', '_', 'g'), model_name
-  FROM (SELECT DISTINCT m.make_id, upper(trim(t.model)) AS model_name
-        FROM tflat t JOIN dim_make m ON upper(trim(t.make)) = m.make_name
-        WHERE t.model IS NOT NULL AND trim(t.model) <> '')
-)""",
-        """dim_model_year AS (
-  SELECT CAST(0 AS BIGINT) AS model_year_id, 'UNK' AS model_year_code, CAST(NULL AS INTEGER) AS model_year
-  UNION ALL
-  SELECT CAST(row_number() OVER (ORDER BY model_year) AS BIGINT), CAST(model_year AS VARCHAR), model_year
-  FROM (SELECT DISTINCT model_year FROM tflat WHERE model_year IS NOT NULL)
-)""",
-        """fact AS (
-  SELECT CAST(row_number() OVER (ORDER BY coalesce(t.vin, ''), coalesce(t.dol_vehicle_id, ''), coalesce(t.source_file, '')) AS BIGINT) AS registration_fact_id,
-         t.vin, t.dol_vehicle_id,
-         CAST(coalesce(mk.make_id, 0) AS BIGINT) AS make_id,
-         CAST(coalesce(md.model_id, 0) AS BIGINT) AS model_id,
-         CAST(coalesce(et.ev_type_id, 0) AS BIGINT) AS ev_type_id,
-         CAST(coalesce(cf.cafv_id, 0) AS BIGINT) AS cafv_id,
-         CAST(coalesce(my.model_year_id, 0) AS BIGINT) AS model_year_id,
-         CAST(coalesce(ut.utility_id, 0) AS BIGINT) AS utility_id,
-         CAST(coalesce(ld.legislative_district_id, 0) AS BIGINT) AS legislative_district_id,
-         CAST(coalesce(ct.county_id, 0) AS BIGINT) AS county_id,
-         CAST(t.electric_range AS BIGINT) AS electric_range, t.base_msrp, t.source_file
-  FROM tflat t
-  LEFT JOIN dim_make mk ON upper(trim(t.make)) = mk.make_name
-  LEFT JOIN dim_model md ON upper(trim(t.model)) = md.model_name AND coalesce(mk.make_id, 0) = md.make_id
-  LEFT JOIN dim_ev_type et ON upper(trim(t.ev_type)) = et.ev_type_name
-  LEFT JOIN dim_cafv cf ON upper(trim(t.cafv_eligibility)) = cf.cafv_name
-  LEFT JOIN dim_model_year my ON t.model_year = my.model_year
-  LEFT JOIN dim_utility ut ON upper(trim(t.electric_utility)) = ut.utility_name
-  LEFT JOIN dim_legislative_district ld ON upper(trim(t.legislative_district)) = ld.legislative_district_name
-  LEFT JOIN dim_county ct ON upper(trim(t.counties)) = ct.county_name
-)""",
-        """base AS (
-  SELECT f.registration_fact_id, f.vin, f.dol_vehicle_id, mk.make_code, mk.make_name, md.model_code, md.model_name,
-         et.ev_type_code, et.ev_type_name, cf.cafv_code, cf.cafv_name, my.model_year,
-         ut.utility_code, ut.utility_name, ld.legislative_district_code, ld.legislative_district_name,
-         ct.county_code, ct.county_name, f.electric_range, f.base_msrp, f.source_file
-  FROM fact f
-  LEFT JOIN dim_make mk ON f.make_id = mk.make_id
-  LEFT JOIN dim_model md ON f.model_id = md.model_id
-  LEFT JOIN dim_ev_type et ON f.ev_type_id = et.ev_type_id
-  LEFT JOIN dim_cafv cf ON f.cafv_id = cf.cafv_id
-  LEFT JOIN dim_model_year my ON f.model_year_id = my.model_year_id
-  LEFT JOIN dim_utility ut ON f.utility_id = ut.utility_id
-  LEFT JOIN dim_legislative_district ld ON f.legislative_district_id = ld.legislative_district_id
-  LEFT JOIN dim_county ct ON f.county_id = ct.county_id
-)""",
-        """mv_metrics AS (
+# The star's oracle numbers all members in one table of (dimension, parent,
+# label) and gives every record its ids by one join over its labels in long
+# form; names and codes of the wide rows come from the records themselves.
+
+#: dimension -> (label of a record, label of its parent) in SQL
+_LABELS = {
+    "make": ("upper(trim(make))", "''"),
+    "model": ("upper(trim(model))", "upper(trim(make))"),
+    "ev_type": ("upper(trim(ev_type))", "''"),
+    "cafv": ("upper(trim(cafv_eligibility))", "''"),
+    "model_year": ("lpad(CAST(model_year AS VARCHAR), 6, '0')", "''"),
+    "utility": ("upper(trim(electric_utility))", "''"),
+    "legislative_district": ("upper(trim(legislative_district))", "''"),
+    "county": ("upper(trim(counties))", "''"),
+}
+
+
+def _code(label: str) -> str:
+    return f"regexp_replace({label}, '[^A-Z0-9]+', '_', 'g')"
+
+
+def _members_of(dim: str) -> str:
+    """A dimension with its unknown member, from the member table."""
+    if dim == "model_year":
+        rows = "SELECT id, ltrim(label, '0'), CAST(label AS INTEGER) FROM members WHERE dim = 'model_year'"
+        return f"dim_model_year(model_year_id, model_year_code, model_year) AS (VALUES (CAST(0 AS BIGINT), 'UNK', CAST(NULL AS INTEGER)) UNION ALL {rows})"
+    if dim == "model":
+        rows = (
+            f"SELECT c.id, p.id, {_code('c.label')}, c.label FROM members c, members p "
+            "WHERE c.dim = 'model' AND p.dim = 'make' AND p.label = c.parent"
+        )
+        return f"dim_model(model_id, make_id, model_code, model_name) AS (VALUES (CAST(0 AS BIGINT), CAST(0 AS BIGINT), 'UNK', 'UNKNOWN') UNION ALL {rows})"
+    rows = f"SELECT id, {_code('label')}, label FROM members WHERE dim = '{dim}'"
+    return f"dim_{dim}({dim}_id, {dim}_code, {dim}_name) AS (VALUES (CAST(0 AS BIGINT), 'UNK', 'UNKNOWN') UNION ALL {rows})"
+
+
+def _wide(dim: str) -> str:
+    """Code and name of a record's member, by the record's own label."""
+    label, parent = _LABELS[dim]
+    known = f"coalesce({label}, '') <> ''" + (f" AND coalesce({parent}, '') <> ''" if parent != "''" else "")
+    return f"if({known}, {_code(label)}, 'UNK') AS {dim}_code, if({known}, {label}, 'UNKNOWN') AS {dim}_name"
+
+
+STAR_CTE = f"""
+records AS (
+  SELECT rank() OVER (ORDER BY vin, coalesce(dol_vehicle_id, ''), coalesce(source_file, '')) AS record_no, *
+  FROM flat WHERE vin IS NOT NULL),
+labelled AS (
+  {" UNION ALL ".join(
+      f"SELECT record_no, '{dim}' AS dim, {parent} AS parent, {label} AS label FROM records" for dim, (label, parent) in _LABELS.items())}),
+members AS (
+  SELECT dim, parent, label, CAST(rank() OVER (PARTITION BY dim ORDER BY parent, label) AS BIGINT) AS id
+  FROM (SELECT DISTINCT dim, parent, label FROM labelled WHERE label <> '' AND (dim <> 'model' OR parent <> ''))),
+{", ".join(map(_members_of, _LABELS))},
+record_ids AS (
+  SELECT record_no, {", ".join(f"coalesce(max(id) FILTER (dim = '{dim}'), 0) AS {dim}_id" for dim in _LABELS)}
+  FROM labelled LEFT JOIN members USING (dim, parent, label) GROUP BY record_no),
+fact AS (
+  SELECT CAST(record_no AS BIGINT) AS registration_fact_id, vin, dol_vehicle_id, record_ids.* EXCLUDE (record_no),
+         CAST(electric_range AS BIGINT) AS electric_range, base_msrp, source_file
+  FROM records JOIN record_ids USING (record_no)),
+base AS (
+  SELECT CAST(record_no AS BIGINT) AS registration_fact_id, vin, dol_vehicle_id, model_year,
+         {", ".join(_wide(dim) for dim in _LABELS if dim != "model_year")},
+         CAST(electric_range AS BIGINT) AS electric_range, base_msrp, source_file
+  FROM records),
+mv_metrics AS (
   SELECT make_code, make_name, ev_type_code, ev_type_name, model_year, county_code, county_name,
-         CAST(count(*) AS BIGINT) AS total_vehicles, avg(electric_range) AS avg_electric_range,
-         max(base_msrp) AS max_base_msrp
-  FROM base
-  GROUP BY make_code, make_name, ev_type_code, ev_type_name, model_year, county_code, county_name
-)""",
-    ]
-)
+         count(*) AS total_vehicles, avg(electric_range) AS avg_electric_range, max(base_msrp) AS max_base_msrp
+  FROM base GROUP BY ALL)"""
 
 
 def with_star(body: str) -> str:

@@ -99,14 +99,26 @@ def _fields(src) -> dict[str, Column]:
     }
 
 
+def _faulty(fields: dict[str, Column]) -> dict[str, Column]:
+    """Fixed test parameters: records of every 17th electric range come
+    without a VIN, of every 13th without a make, and of model year 1995
+    without a model, so that the checks have something to find."""
+    rng = fields["electric_range"]
+    out = dict(fields)
+    out["vin"] = F.when(F.pmod(rng, F.lit(17)) != 0, fields["vin"])
+    out["make"] = F.when(F.pmod(rng, F.lit(13)) != 0, fields["make"])
+    out["model"] = F.when(fields["model_year"] != 1995, fields["model"])
+    return out
+
+
 def source_file_of(orderkey: Column) -> Column:
     return F.concat(F.lit("landing/order_"), F.lpad(orderkey.cast("string"), 12, "0"), F.lit(".json"))
 
 
-def _row_array(dol: Column) -> Column:
+def _row_array(dol: Column, faulty: bool = False) -> Column:
     """One source row: the registration fields as strings at their
     positions, NULL elsewhere (the source's wire format)."""
-    f = _fields(F.col)
+    f = _faulty(_fields(F.col)) if faulty else _fields(F.col)
     f["dol_vehicle_id"] = dol
     by_pos = {pos: name for pos, name, _ in REGISTRATION_POSITIONS}
     return F.array(*[
@@ -114,13 +126,13 @@ def _row_array(dol: Column) -> Column:
     ])
 
 
-def landing_documents(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame:
+def landing_documents(spark: SparkSession, sf_dir: str, as_of: str = AS_OF, faulty: bool = False) -> DataFrame:
     """Raw layer: one VARIANT document per order with file lineage. The
     per-order position comes from a window on the order key and the
     grouping reuses that partitioning (one shuffle)."""
     lines = typed_lines(spark, sf_dir)
     dol = F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("pos").cast("string"))
-    keyed = lines.select("l_orderkey", F.struct("pos", _row_array(dol).alias("row")).alias("s"))
+    keyed = lines.select("l_orderkey", F.struct("pos", _row_array(dol, faulty).alias("row")).alias("s"))
     docs = keyed.groupBy("l_orderkey").agg(F.sort_array(F.collect_list("s")).alias("rows"))
     body = F.to_json(F.struct(F.transform("rows", lambda x: x["row"]).alias("data")))
     return docs.select(
@@ -158,6 +170,12 @@ def flat_registrations(spark: SparkSession, sf_dir: str, via_json: bool = True,
     )
 
 
+def faulty_registrations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flatten of documents with faults, with the raw element."""
+    raw = landing_documents(spark, sf_dir, faulty=True)
+    return extract_positions(flatten(raw, "json_data", "$.data"), REGISTRATION_POSITIONS, keep=["source_file", "load_timestamp", "pos", "value"])
+
+
 def _spark_type(kind: str) -> str:
     return {"int": "int", "double": "double", "string": "string"}[kind]
 

@@ -4,6 +4,7 @@ consumption aggregates built on it (KEY-1..5, JN-2, JN-3, AGG-3)."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators.joins import Lookup, denormalize, resolve_keys
 from tessera.operators.keys import build_name_dims, dense_ids
-from tessera.tables import materialize, materialize_counted
+from tessera.tables import materialize
 
 # (dimension prefix, source column) for the name dimensions
 NAME_DIMS = [
@@ -30,103 +31,129 @@ class Star:
     fact: DataFrame
 
 
+#: a dimension with at most this many rows, by a count of the written
+#: table, is broadcast
+BROADCAST_ROWS = 2_000_000
+
+
 class Dims(dict):
-    """Dimensions built on first use, all eight in one pass. With
+    """Dimensions built on first use, all in one pass. With
     ``materialize_dims`` they are written once (a dimension is a table,
-    joined by the fact and again by the denormalized base) and counted
-    while written; the count bounds their broadcast."""
+    joined by the fact and again by the denormalized base) and counted, one
+    row per dimension; each one's count decides on its own broadcast."""
 
-    broadcast_rows = 2_000_000
-
-    def __init__(self, flat: DataFrame, materialize_dims: bool = False):
+    def __init__(self, flat: DataFrame, materialize_dims: bool = False, names: Sequence[str] | None = None):
         super().__init__()
         self._flat = flat
         self._materialize = materialize_dims
-        self._src = dict(NAME_DIMS)
+        self._names = ALL_DIMS if names is None else list(names)
 
     def __missing__(self, prefix: str) -> DataFrame:
-        # all eight dimensions come from one pass over the records
-        measured = {}
+        if prefix not in self._names:
+            raise KeyError(prefix)
+        sizes: dict[str, int] = {}
 
         def store(df: DataFrame) -> DataFrame:
-            m, measured["rows"] = materialize_counted(df)
-            return m
+            written = materialize(df)
+            sizes.update({r["_dim"]: r["count"] for r in written.groupBy("_dim").count().collect()})
+            return written
 
         together = build_name_dims(
-            self._flat, NAME_DIMS, store if self._materialize else None,
-            child=("model", "model", "make"), numeric=("model_year", "model_year"),
+            self._flat, [(p, c) for p, c in NAME_DIMS if p in self._names or p == "make" and "model" in self._names],
+            store if self._materialize else None,
+            child=("model", "model", "make") if "model" in self._names else None,
+            numeric=("model_year", "model_year") if "model_year" in self._names else None,
         )
-        if self._materialize and measured["rows"] <= self.broadcast_rows:
-            together = {k: F.broadcast(v) for k, v in together.items()}
+        if self._materialize:
+            together = {k: F.broadcast(v) if sizes.get(k, 0) <= BROADCAST_ROWS else v for k, v in together.items()}
         self.update(together)
         return together[prefix]
 
 
-def build_dims(flat: DataFrame, materialize_dims: bool = False) -> Dims:
-    return Dims(flat, materialize_dims)
+ALL_DIMS = [*(p for p, _ in NAME_DIMS), "model", "model_year"]
+
+
+def build_dims(flat: DataFrame, materialize_dims: bool = False, names: Sequence[str] | None = None) -> Dims:
+    """The dimensions ``names`` (all by default)."""
+    return Dims(flat, materialize_dims, names)
+
+
+@dataclass(frozen=True)
+class DimUse:
+    """How a dimension is looked up by the records and what it adds to the
+    denormalized base."""
 
+    source: str
+    key: str
+    attributes: tuple[str, ...]
 
-def build_fact(flat: DataFrame, dims: dict[str, DataFrame], with_ids: bool = True) -> DataFrame:
+
+def _named(prefix: str, source: str) -> DimUse:
+    return DimUse(source, f"{prefix}_name", (f"{prefix}_code", f"{prefix}_name"))
+
+
+#: in the order of the fact's ids
+DIM_USES = {
+    "make": _named("make", "make"),
+    "model": _named("model", "model"),
+    "ev_type": _named("ev_type", "ev_type"),
+    "cafv": _named("cafv", "cafv_eligibility"),
+    "model_year": DimUse("model_year", "model_year", ("model_year",)),
+    "utility": _named("utility", "electric_utility"),
+    "legislative_district": _named("legislative_district", "legislative_district"),
+    "county": _named("county", "counties"),
+}
+RECORD_COLUMNS = ["vin", "dol_vehicle_id", "electric_range", "base_msrp", "source_file", "load_timestamp"]
+
+
+def build_fact(flat: DataFrame, dims: dict[str, DataFrame], with_ids: bool = True, names: Sequence[str] | None = None) -> DataFrame:
     """One row per flattened source record (duplicates included), with the
-    eight surrogate ids (0 = unknown) and a dense fact id (left out with
-    ``with_ids=False`` for consumers that never read it)."""
+    surrogate ids of the dimensions ``names`` (all by default; 0 = unknown)
+    and a dense fact id (left out with ``with_ids=False`` for consumers that
+    never read it)."""
+    names = [n for n in DIM_USES if names is None or n in names]
+    # a model is looked up within its make
+    looked_up = [n for n in DIM_USES if n in names or (n == "make" and "model" in names)]
     lookups = [
-        Lookup(dims["make"], "make", "make_name", "make_id"),
-        Lookup(dims["model"], "model", "model_name", "model_id", parent_id="make_id"),
-        Lookup(dims["ev_type"], "ev_type", "ev_type_name", "ev_type_id"),
-        Lookup(dims["cafv"], "cafv_eligibility", "cafv_name", "cafv_id"),
-        Lookup(dims["model_year"], "model_year", "model_year", "model_year_id", numeric=True),
-        Lookup(dims["utility"], "electric_utility", "utility_name", "utility_id"),
-        Lookup(dims["legislative_district"], "legislative_district", "legislative_district_name", "legislative_district_id"),
-        Lookup(dims["county"], "counties", "county_name", "county_id"),
-    ]
-    order = [
-        F.coalesce(F.col("vin"), F.lit("")),
-        F.coalesce(F.col("dol_vehicle_id"), F.lit("")),
-        F.coalesce(F.col("source_file"), F.lit("")),
+        Lookup(dims[n], DIM_USES[n].source, DIM_USES[n].key, f"{n}_id", numeric=n == "model_year",
+               parent_id="make_id" if n == "model" else None)
+        for n in looked_up
     ]
+    order = [F.coalesce(F.col(c), F.lit("")) for c in ("vin", "dol_vehicle_id", "source_file")]
     # the id order uses source columns only, so rows are numbered before
     # the lookups and the numbering does not re-run the dimension joins
     numbered = resolve_keys(dense_ids(flat, order, "registration_fact_id") if with_ids else flat, lookups)
     return numbered.select(
-        *(["registration_fact_id"] if with_ids else []), "vin", "dol_vehicle_id", "make_id", "model_id", "ev_type_id",
-        "cafv_id", "model_year_id", "utility_id", "legislative_district_id", "county_id",
+        *(["registration_fact_id"] if with_ids else []), "vin", "dol_vehicle_id", *[f"{n}_id" for n in names],
         F.col("electric_range").cast("long").alias("electric_range"), "base_msrp", "source_file",
         *(["load_timestamp"] if "load_timestamp" in flat.columns else []),
     )
 
 
-def build_star(flat: DataFrame, materialize_flat: bool = True, fact_ids: bool = True) -> Star:
-    """Dimensions and fact from the flattened records with a VIN. The
-    flatten feeds nine consumers, so it is written once to the checkpoint
-    folder (the temp table of the source design) instead of being
-    recomputed from the raw documents by each of them."""
+def build_star(flat: DataFrame, materialize_flat: bool = True, fact_ids: bool = True, names: Sequence[str] | None = None) -> Star:
+    """Dimensions ``names`` (all by default) and fact from the flattened
+    records with a VIN. The records feed the dimensions and the fact, so the
+    columns that these read are written once, unless the input is a stored
+    table already."""
     base = flat.where(F.col("vin").isNotNull())
+    if names is not None:
+        used = [DIM_USES[n].source for n in DIM_USES if n in names or (n == "make" and "model" in names)]
+        base = base.select(*[c for c in flat.columns if c in used or c in RECORD_COLUMNS])
     if materialize_flat:
         base = materialize(base)
-    dims = build_dims(base, materialize_dims=True)
-    return Star(dims, build_fact(base, dims, with_ids=fact_ids))
+    dims = build_dims(base, materialize_dims=True, names=names)
+    return Star(dims, build_fact(base, dims, with_ids=fact_ids, names=names))
 
 
 def denorm_base(star: Star) -> DataFrame:
-    d = star.dims
-    spec = [
-        (d["make"], "make_id", ["make_code", "make_name"]),
-        (d["model"].drop("make_id"), "model_id", ["model_code", "model_name"]),
-        (d["ev_type"], "ev_type_id", ["ev_type_code", "ev_type_name"]),
-        (d["cafv"], "cafv_id", ["cafv_code", "cafv_name"]),
-        (d["model_year"], "model_year_id", ["model_year"]),
-        (d["utility"], "utility_id", ["utility_code", "utility_name"]),
-        (d["legislative_district"], "legislative_district_id", ["legislative_district_code", "legislative_district_name"]),
-        (d["county"], "county_id", ["county_code", "county_name"]),
-    ]
-    wide = denormalize(star.fact, spec)
+    """The fact with codes and names in place of ids, for the dimensions
+    that it has."""
+    names = [n for n in DIM_USES if f"{n}_id" in star.fact.columns]
+    wide = denormalize(star.fact, [(star.dims[n].select(f"{n}_id", *DIM_USES[n].attributes), f"{n}_id", DIM_USES[n].attributes) for n in names])
+    optional = lambda c: [c] if c in star.fact.columns else []
     return wide.select(
-        *(["registration_fact_id"] if "registration_fact_id" in star.fact.columns else []), "vin", "dol_vehicle_id", "make_code", "make_name", "model_code",
-        "model_name", "ev_type_code", "ev_type_name", "cafv_code", "cafv_name", "model_year",
-        "utility_code", "utility_name", "legislative_district_code", "legislative_district_name",
-        "county_code", "county_name", "electric_range", "base_msrp", "source_file",
-        *(["load_timestamp"] if "load_timestamp" in star.fact.columns else []),
+        *optional("registration_fact_id"), "vin", "dol_vehicle_id", *[a for n in names for a in DIM_USES[n].attributes],
+        "electric_range", "base_msrp", "source_file", *optional("load_timestamp"),
     )
 
 

@@ -7,7 +7,7 @@ own value when it is unset (tests, local runs).
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -45,14 +45,17 @@ def build_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint folder, creating a private one only
-    when the session names none (never overrides a cluster setting)."""
+    """Return the shared folder named in ``spark.checkpoint.dir``. Only a
+    local session, whose executors share the driver's disk, gets a folder of
+    its own when the setting is missing; on a cluster that is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
@@ -61,10 +64,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder for job-owned tables
-    (stream checkpoints, snapshot tables written to cut lineage)."""
+    (stream checkpoints, copies written to cut lineage)."""
     base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
-    base = base[len("file:"):] if base.startswith("file:") else base
-    return os.path.join(base, "tessera", *parts)
+    return "/".join([base.rstrip("/"), "tessera", *parts])
 
 
 def sizing_conf(input_bytes: int, partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:

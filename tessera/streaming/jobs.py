@@ -2,9 +2,9 @@
 incremental latest-wins cleansed layer, gold refresh and DQ in the same
 micro-batch, CDC micro-batches into SCD2 history, and new-issue alerts.
 
-Every job is a ``foreachBatch`` sink keyed by the micro-batch id: tables
-are committed through versioned manifests/snapshots, so a batch replayed
-after a failure is recognised and skipped, and the checkpoint of the
+Every job is a ``foreachBatch`` sink whose outputs are all written under the
+micro-batch number, so a batch that is repeated after a failure replaces
+what its first attempt left and runs all of its steps; the checkpoint of the
 streaming query records which files were consumed (no staging table to
 truncate). ``trigger(availableNow=True)`` runs everything that has landed
 and stops; a ``processingTime`` trigger gives the scheduled cadence.
@@ -21,9 +21,8 @@ from pyspark.sql.streaming import StreamingQuery
 from tessera.operators import scd2
 from tessera.operators.dedup import latest_per_key
 from tessera.operators.flatten import PositionSpec, extract_positions, flatten
-from tessera.operators.joins import attach_scalars
 from tessera.operators.filters import reject_null_keys
-from tessera.tables import BucketedTable, append
+from tessera.tables import BatchTable, newest_generation
 
 
 def json_document_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
@@ -61,106 +60,104 @@ def run(stream: DataFrame, handler: Callable[[DataFrame, int], None], checkpoint
     return w.start()
 
 
-def latest_merge(keys: Sequence[str], order) -> Callable[[DataFrame | None, DataFrame], DataFrame]:
-    """Merge for a latest-wins keyed table: the batch is deduplicated first
-    (partial window limit before its shuffle), then combined with the
-    stored rows of the touched buckets and deduplicated again."""
-
-    def merge(stored: DataFrame | None, batch: DataFrame) -> DataFrame:
-        b = latest_per_key(batch, keys, order)
-        both = b if stored is None else stored.unionByName(b)
-        return latest_per_key(both, keys, order)
-
-    return merge
-
-
 class RegistrationStream:
-    """File arrival -> raw append -> cleansed upsert (DED-2) -> optional
-    gold refresh and DQ callbacks, all inside one micro-batch (STR-1..4)."""
+    """File arrival -> raw -> flatten -> cleansed (DED-2) -> gold refresh and
+    DQ callbacks, all inside one micro-batch (STR-1..4).
 
-    def __init__(self, root: str, spec: PositionSpec, key: str = "vin", order=None, buckets: int = 16,
-                 raw_path: str | None = None, after_commit: Sequence[Callable[[BucketedTable, int], None]] = ()):
-        self.silver = BucketedTable(f"{root}/silver", [key], buckets)
+    A batch adds its documents, their flattened rows and the latest row of
+    each of its keys; the cleansed layer is the latest row per key over the
+    batches, resolved when it is read, and ``compact`` keeps that short.
+    """
+
+    def __init__(self, root: str, spec: PositionSpec, key: str = "vin", order=None,
+                 after_commit: Sequence[Callable[[RegistrationStream, int], None]] = ()):
+        self.raw = BatchTable(f"{root}/raw")
+        self.flat = BatchTable(f"{root}/flat")
+        self.latest = BatchTable(f"{root}/silver")
         self.spec = spec
         self.key = key
         self.order = order or [F.col("source_file").desc_nulls_last(), F.col("pos").desc_nulls_last()]
-        self.raw_path = raw_path
         self.after_commit = list(after_commit)
 
+    def clean(self, spark: SparkSession, upto: int | None = None) -> DataFrame | None:
+        """The cleansed layer after batch ``upto``."""
+        rows = self.latest.read(spark, upto)
+        return None if rows is None else latest_per_key(rows, [self.key], self.order)
+
+    def compact(self, spark: SparkSession) -> None:
+        self.latest.compact(spark, lambda rows: latest_per_key(rows, [self.key], self.order))
+
     def handle(self, raw: DataFrame, batch_id: int) -> None:
-        raw = raw.persist()  # read once: emptiness test, raw append and upsert
-        try:
-            if raw.isEmpty():
-                return  # no file landed: no work (the has-data guard)
-            if self.raw_path:
-                append(raw.withColumn("batch_id", F.lit(batch_id)), self.raw_path)
-            flat = extract_positions(flatten(raw, "json_data", "$.data"), self.spec, keep=["source_file", "pos"])
-            keyed = reject_null_keys(flat, [self.key])
-            changed = self.silver.upsert(keyed, latest_merge([self.key], self.order), batch_id)
-        finally:
-            raw.unpersist()
-        if changed:
-            for cb in self.after_commit:
-                cb(self.silver, batch_id)
+        spark = raw.sparkSession
+        if raw.isEmpty():
+            return  # no file landed: no work (the has-data guard)
+        self.raw.write(raw, batch_id)
+        landed = spark.read.parquet(self.raw.path(batch_id))
+        flat = extract_positions(flatten(landed, "json_data", "$.data"), self.spec, keep=["source_file", "load_timestamp", "pos"])
+        self.flat.write(flat, batch_id)  # parsed once: the cleansed layer and the checks read this
+        rows = spark.read.parquet(self.flat.path(batch_id))
+        self.latest.write(latest_per_key(reject_null_keys(rows, [self.key]), [self.key], self.order), batch_id)
+        for cb in self.after_commit:
+            cb(self, batch_id)
 
 
 class CdcStream:
     """CDC micro-batches applied to an SCD2 history (STR-6, CDC-1/4/5).
 
-    Two tables bucketed the same way by business key: the change log
-    (every distinct change received) and the history derived from it. A
-    batch is appended to the log of its buckets, then the touched keys'
-    versions are rebuilt from their full log, so files arriving late or
-    out of order give the in-order history.
+    A batch is added to the change log; then the versions of its keys are
+    rebuilt from their full log and added to the history as the keys' newest
+    generation. Files arriving late or out of order give the in-order
+    history, and only the touched keys are written.
     """
 
-    def __init__(self, root: str, keys: Sequence[str], tracked: Sequence[str], buckets: int = 16,
+    def __init__(self, root: str, keys: Sequence[str], tracked: Sequence[str],
                  ts: str = "ts", lsn: str = "lsn", op: str = "op"):
-        self.log = BucketedTable(f"{root}/change_log", keys, buckets)
-        self.history = BucketedTable(f"{root}/history", keys, buckets)
+        self.log = BatchTable(f"{root}/change_log")
+        self.versions = BatchTable(f"{root}/history")
         self.keys, self.tracked = list(keys), list(tracked)
         self.ts, self.lsn, self.op = ts, lsn, op
 
-    def handle(self, changes: DataFrame, batch_id: int) -> None:
-        spark = changes.sparkSession
-        changes = changes.persist()
-        try:
-            if changes.isEmpty():
-                return  # nothing landed since the last run: skip (CDC-3)
-            touched = self.log.touched_buckets(changes)  # same bucketing for both tables
-            self.log.upsert(
-                changes, lambda old, b: scd2.change_log_merge(old, b, self.keys, self.ts, self.lsn), batch_id, touched
-            )
-            log_now = self.log.read_buckets(spark, touched)
+    def history(self, spark: SparkSession, upto: int | None = None) -> DataFrame | None:
+        rows = self.versions.read(spark, upto, with_batch=True)
+        return None if rows is None else newest_generation(rows, self.keys)
 
-            def merge(old_history, batch):
-                return scd2.scd2_apply(old_history, batch, self.keys, self.tracked, self.ts, self.lsn, self.op, log=log_now)
+    def compact(self, spark: SparkSession) -> None:
+        self.versions.compact(spark, lambda rows: newest_generation(rows, self.keys))
+        self.log.compact(spark, lambda rows: scd2.change_log_merge(None, rows, self.keys, self.ts, self.lsn))
 
-            self.history.upsert(changes, merge, batch_id, touched)
-        finally:
-            changes.unpersist()
+    def handle(self, changes: DataFrame, batch_id: int) -> None:
+        spark = changes.sparkSession
+        if changes.isEmpty():
+            return  # nothing landed since the last run: skip (CDC-3)
+        self.log.write(scd2.change_log_merge(None, changes, self.keys, self.ts, self.lsn), batch_id)
+        touched = spark.read.parquet(self.log.path(batch_id)).select(*self.keys).distinct()
+        log = self.log.read(spark, batch_id).join(touched, self.keys, "left_semi")
+        self.versions.write(
+            scd2.versions_from_changes(log, self.keys, self.tracked, self.ts, self.lsn, self.op), batch_id
+        )
 
 
 class IssueAlerts:
-    """New-issue counts per micro-batch of the quarantine stream and an
-    alert row when there are any (DQ-16); sending is left to the reader
-    of the alert table."""
+    """Counts of new error rows and new duplicate keys per micro-batch of
+    their feeds (``issue_stream``), and an alert row when there are any
+    (DQ-16); sending is left to the reader of the alert table."""
 
     def __init__(self, alert_path: str, as_of=None):
-        self.alert_path = alert_path
+        self.alerts = BatchTable(alert_path)
         self.as_of = as_of
 
-    def handle(self, errors: DataFrame, batch_id: int) -> None:
-        counts = errors.agg(
-            F.count(F.lit(1)).alias("new_errors"),
-            F.sum(F.when(F.col("error_type") == "DUPLICATE", 1).otherwise(0)).cast("long").alias("new_duplicates"),
-        )
+    def handle(self, issues: DataFrame, batch_id: int) -> None:
+        count = lambda feed: F.coalesce(F.sum((F.col("feed") == feed).cast("long")), F.lit(0))
+        counts = issues.agg(count("error").alias("new_errors"), count("duplicate").alias("new_duplicates"))
         ts = (F.current_timestamp() if self.as_of is None else F.lit(self.as_of)).cast("timestamp_ntz")
-        alert = counts.where(F.col("new_errors") > 0).select(
-            F.lit(batch_id).cast("long").alias("batch_id"), ts.alias("alerted_at"), "new_errors", "new_duplicates",
-            F.concat(F.lit("New error rows detected: "), F.col("new_errors").cast("string")).alias("message"),
+        alert = counts.where("new_errors + new_duplicates > 0").select(
+            ts.alias("alerted_at"), "new_errors", "new_duplicates",
+            F.concat(
+                F.lit("New error rows detected: "), F.col("new_errors").cast("string"),
+                F.lit(", new duplicate keys: "), F.col("new_duplicates").cast("string"),
+            ).alias("message"),
         )
-        append(alert, self.alert_path)
+        self.alerts.write(alert, batch_id)
 
 
 def dedup_cdc_stream(changes: DataFrame, keys: Sequence[str], ts: str, lsn: str, delay: str = "1 hour") -> DataFrame:
@@ -193,50 +190,50 @@ def _event_time(df: DataFrame, ts: str):
     return F.col(ts).cast("timestamp")
 
 
-def quarantine_alert_stream(spark: SparkSession, quarantine_path: str, schema,
-                            max_files_per_trigger: int | None = None) -> DataFrame:
-    """New rows appended to the quarantine table, as a stream (STR-5)."""
-    r = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(quarantine_path)
+def issue_stream(spark: SparkSession, error_path: str, error_schema, duplicate_path: str, duplicate_schema,
+                 max_files_per_trigger: int | None = None) -> DataFrame:
+    """New rows of the quarantine and the duplicate tables as one stream of
+    their feed names (STR-5)."""
+    def rows(path: str, schema, feed: str) -> DataFrame:
+        r = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
+        if max_files_per_trigger:
+            r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+        return r.parquet(path).select(F.lit(feed).alias("feed"))
 
+    return rows(error_path, error_schema, "error").unionByName(rows(duplicate_path, duplicate_schema, "duplicate"))
 
-def gold_refresh(root: str, as_of=None, key_cols: Sequence[str] = ("pos",)) -> Callable[[BucketedTable, int], None]:
+
+def gold_refresh(root: str, as_of=None) -> Callable[[RegistrationStream, int], None]:
     """``after_commit`` callback (STR-3): after the cleansed layer of a
-    micro-batch is committed, rebuild the gold tables from it as new
-    snapshots - detail fact, county lookup, market metrics. Runs only for
-    batches that changed the cleansed layer."""
+    micro-batch is written, refresh the gold tables from it as the batch's
+    snapshots - detail fact, county lookup, market metrics. The cleansed
+    rows are resolved once; the lookup and the metrics read the detail."""
     from tessera.plans import medallion as M
     from tessera.tables import refresh
 
-    def cb(silver: BucketedTable, batch_id: int) -> None:
+    def cb(job: RegistrationStream, batch_id: int) -> None:
         spark = SparkSession.getActiveSession()
-        clean = silver.read(spark).drop(*[c for c in key_cols])
         ts = as_of if as_of is not None else F.current_timestamp()
-        refresh(M.fact_registrations(clean, ts), f"{root}/gold/fact_registrations")
-        refresh(M.dim_county_gold(clean), f"{root}/gold/dim_county_gold")
-        refresh(M.fact_market_metrics(clean, ts), f"{root}/gold/fact_market_metrics")
+        path = refresh(M.fact_registrations(job.clean(spark, batch_id), ts), f"{root}/gold/fact_registrations", version=batch_id)
+        detail = spark.read.parquet(path)
+        refresh(M.dim_county_gold(detail), f"{root}/gold/dim_county_gold", version=batch_id)
+        refresh(M.fact_market_metrics(detail, ts), f"{root}/gold/fact_market_metrics", version=batch_id)
 
     return cb
 
 
-def dq_after_gold(root: str, as_of) -> Callable[[BucketedTable, int], None]:
+def dq_after_gold(root: str, as_of, manufacturers: DataFrame | None = None) -> Callable[[RegistrationStream, int], None]:
     """``after_commit`` callback (STR-4, run after ``gold_refresh`` so the
-    checks see the refreshed gold, D22): reconciliation of cleansed vs gold
-    and the row-level checks of the batch's cleansed rows, appended to the
-    quarantine table with the batch id."""
-    from tessera.operators import quality as Q
-    from tessera.tables import append, read_current
+    checks see the refreshed gold, D22): the full detection run over the
+    layers as they stand after the batch; only new content is added."""
+    from tessera.plans.dq_run import detect_errors
 
-    def cb(silver: BucketedTable, batch_id: int) -> None:
+    def cb(job: RegistrationStream, batch_id: int) -> None:
         spark = SparkSession.getActiveSession()
-        clean = silver.read(spark)
-        gold = read_current(spark, f"{root}/gold/fact_market_metrics")
-        errors = Q.quarantine([Q.dq_out_of_range(clean), Q.dq_null_any(clean)], run_id=str(batch_id), detected_at=as_of)
-        append(errors, f"{root}/dq/error_rows")
-        g = gold.agg(F.sum("total_vehicles").cast("long").alias("gold_total_vehicles"))
-        s = clean.agg(F.count(F.lit(1)).alias("silver_rows"))
-        append(attach_scalars(s, g).withColumn("batch_id", F.lit(batch_id)), f"{root}/dq/reconciliation")
+        clean = spark.read.parquet(f"{root}/gold/fact_registrations/snap={batch_id}")
+        gold = spark.read.parquet(f"{root}/gold/fact_market_metrics/snap={batch_id}")
+        detect_errors(
+            spark, job.raw.read(spark, batch_id), job.flat.read(spark, batch_id), clean, gold, f"{root}/dq", as_of, batch_id, manufacturers
+        )
 
     return cb

@@ -9,33 +9,33 @@ the previous snapshot in force; old snapshots can be expired separately.
 
 from __future__ import annotations
 
-import json
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.session import ensure_checkpoint_dir
+from tessera.session import scratch_path
 
 _SNAP = re.compile(r"snap=(\d+)$")
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and continue from the
-    written copy (cuts lineage; survives executor loss, unlike a local
-    checkpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as Parquet to the shared folder and continue from the
+    written copy: lineage is cut, later readers prune columns and push
+    filters down, and a lost executor costs only a reread. The copies of a
+    session can be removed by ``release_materialized``."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "copies", spark.sparkContext.applicationId, uuid.uuid4().hex)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def materialize_counted(df: DataFrame) -> tuple[DataFrame, int]:
-    """``materialize`` that also returns the row count, observed while the
-    copy is written (no second job)."""
-    obs = Observation(f"rows_{uuid.uuid4().hex}")
-    out = materialize(df.observe(obs, F.count(F.lit(1)).alias("n")))
-    return out, int(obs.get["n"])
+def release_materialized(spark: SparkSession) -> None:
+    """Remove the copies that this session has written; no DataFrame built
+    on them may be evaluated afterwards."""
+    delete_path(spark, scratch_path(spark, "copies", spark.sparkContext.applicationId))
 
 
 def _fs(spark: SparkSession, path: str):
@@ -63,10 +63,17 @@ def read_current(spark: SparkSession, root: str, schema=None) -> DataFrame | Non
     return spark.read.parquet(path)
 
 
-def refresh(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> str:
+def refresh(df: DataFrame, root: str, partition_by: Sequence[str] = (), version: int | None = None) -> str:
     """Full refresh as a new snapshot (TRUNCATE + INSERT semantics without
-    ever overwriting data being read). Returns the snapshot path."""
+    ever overwriting data being read). Returns the snapshot path. With
+    ``version`` (a run or micro-batch number) the snapshot has that number,
+    and a repeated run writes the same one again."""
     spark = df.sparkSession
+    if version is not None:
+        path = f"{root.rstrip('/')}/snap={version}"
+        w = df.write.mode("overwrite")
+        (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
+        return path
     snaps = committed_snapshots(spark, root)
     fs, p = _fs(spark, root)
     # also skip past uncommitted leftovers of a failed attempt
@@ -105,112 +112,66 @@ def export_open(df: DataFrame, path: str, ntz_cols: Sequence[str] = (), fmt: str
         out.write.mode("overwrite").parquet(path)
 
 
-class BucketedTable:
-    """Keyed table stored as hash buckets with a versioned manifest, so an
-    upsert rewrites only the buckets its keys fall into (DED-2, CDC-1 on
-    streams).
+class BatchTable:
+    """Append-only table written by numbered runs or micro-batches.
 
-    Layout: ``<root>/data/v=<version>/_b=<bucket>/`` parquet files and
-    ``<root>/_manifest/v=<version>/`` (bucket, path) rows. A version is
-    committed when its manifest has a ``_SUCCESS`` marker; readers use the
-    highest committed manifest. Versions are micro-batch ids, so a batch
-    that is replayed after a failure finds its manifest and is skipped.
+    A batch is the folder ``<root>/batch_id=<number>``, overwritten as a
+    whole: a batch that is repeated after a failure replaces what its first
+    attempt left, and nothing is ever written twice. A batch is written by
+    as many tasks as its rows have partitions, and no older row is moved.
+    ``compact`` writes the resolved rows of all batches so far as
+    ``<root>/base=<number>``, from where readers go on.
     """
 
-    def __init__(self, root: str, keys: Sequence[str], buckets: int = 16):
+    def __init__(self, root: str):
         self.root = root.rstrip("/")
-        self.keys = list(keys)
-        self.buckets = buckets
-
-    def bucket(self):
-        return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
-
-    def _manifest_root(self) -> str:
-        return f"{self.root}/_manifest"
-
-    def versions(self, spark: SparkSession) -> list[int]:
-        return committed_snapshots_named(spark, self._manifest_root(), "v")
-
-    def manifest(self, spark: SparkSession) -> dict[int, str]:
-        """Bucket -> data folder of the newest committed version (a small
-        file read on the driver; one line per bucket)."""
-        vs = self.versions(spark)
-        if not vs:
-            return {}
-        text = _read_text(spark, f"{self._manifest_root()}/v={vs[-1]}/manifest.json")
-        return {int(k): v for k, v in json.loads(text).items()}
-
-    def read(self, spark: SparkSession, schema=None) -> DataFrame | None:
-        m = self.manifest(spark)
-        if not m:
-            return spark.createDataFrame([], schema) if schema is not None else None
-        return spark.read.parquet(*sorted(m.values()))
-
-    def expire(self, spark: SparkSession, keep: int = 2) -> int:
-        """Delete bucket folders and manifests that none of the newest
-        ``keep`` committed versions references (readers of those versions
-        are unaffected). Returns the number of folders removed."""
-        vs = self.versions(spark)
-        if len(vs) <= keep:
-            return 0
-        kept = vs[-keep:]
-        live = set()
-        for v in kept:
-            text = _read_text(spark, f"{self._manifest_root()}/v={v}/manifest.json")
-            live.update(json.loads(text).values())
-        fs, data = _fs(spark, f"{self.root}/data")
-        removed = 0
-        if fs.exists(data):
-            for vdir in fs.listStatus(data):
-                bucket_dirs = [st.getPath() for st in fs.listStatus(vdir.getPath()) if st.getPath().getName().startswith("_b=")]
-                dead = [b for b in bucket_dirs if f"{self.root}/data/{vdir.getPath().getName()}/{b.getName()}" not in live]
-                if len(dead) == len(bucket_dirs):
-                    fs.delete(vdir.getPath(), True)
-                    removed += 1
-                else:
-                    for b in dead:
-                        fs.delete(b, True)
-                        removed += 1
-        for v in vs[:-keep]:
-            _delete(spark, f"{self._manifest_root()}/v={v}")
-            removed += 1
-        return removed
-
-    def touched_buckets(self, batch: DataFrame) -> list[int]:
-        """Buckets holding the batch's keys (at most ``buckets`` rows reach
-        the driver)."""
-        return sorted(r["_b"] for r in batch.select(self.bucket().alias("_b")).distinct().collect())
-
-    def read_buckets(self, spark: SparkSession, buckets: Sequence[int]) -> DataFrame | None:
-        m = self.manifest(spark)
-        paths = [m[b] for b in buckets if b in m]
-        return spark.read.parquet(*paths) if paths else None
-
-    def upsert(self, batch: DataFrame, merge, version: int, touched: Sequence[int] | None = None) -> bool:
-        """Apply ``merge(stored_rows_of_touched_buckets | None, batch)``
-        and commit it as ``version``; returns False when already applied.
-        ``touched`` may pass the batch's buckets when already known."""
-        spark = batch.sparkSession
-        if version in self.versions(spark):
-            return False
-        m = self.manifest(spark)
-        b = self.bucket()
-        touched = list(touched) if touched is not None else self.touched_buckets(batch)
-        if not touched:
-            return False
-        old = self.read_buckets(spark, touched)
-        merged = merge(old, batch)
-        out = f"{self.root}/data/v={version}"
-        merged.withColumn("_b", b).repartition("_b").write.mode("overwrite").partitionBy("_b").parquet(out)
-        for t in touched:
-            m[t] = f"{out}/_b={t}"
-        # buckets that end up empty after the merge have no folder
-        fs, _ = _fs(spark, out)
-        m = {k: v for k, v in m.items() if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(v))}
-        folder = f"{self._manifest_root()}/v={version}"
-        _write_text(spark, f"{folder}/manifest.json", json.dumps({str(k): v for k, v in sorted(m.items())}))
-        _write_text(spark, f"{folder}/_SUCCESS", "")  # the commit point
-        return True
+
+    def path(self, batch_id: int) -> str:
+        return f"{self.root}/batch_id={batch_id}"
+
+    def write(self, df: DataFrame, batch_id: int) -> None:
+        df.drop("batch_id").write.mode("overwrite").parquet(self.path(batch_id))
+
+    def batches(self, spark: SparkSession) -> list[int]:
+        """Numbers of the committed batches."""
+        return committed_snapshots_named(spark, self.root, "batch_id")
+
+    def read(self, spark: SparkSession, upto: int | None = None, with_batch: bool = False) -> DataFrame | None:
+        """Rows of the committed batches with numbers up to ``upto`` (None:
+        all); None if there is none."""
+        inside = lambda n: upto is None or n <= upto
+        base = max(filter(inside, committed_snapshots_named(spark, self.root, "base")), default=None)
+        later = [n for n in self.batches(spark) if inside(n) and (base is None or n > base)]
+        parts = []
+        if base is not None:
+            parts.append(spark.read.parquet(f"{self.root}/base={base}").withColumn("batch_id", F.lit(base)))
+        if later:
+            found = spark.read.option("basePath", self.root).parquet(*map(self.path, later))
+            parts.append(found.withColumn("batch_id", F.col("batch_id").cast("int")))
+        if not parts:
+            return None
+        out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        return out if with_batch else out.drop("batch_id")
+
+    def compact(self, spark: SparkSession, resolve: Callable[[DataFrame], DataFrame]) -> None:
+        """Write ``resolve`` of all rows as the base of later reads, and
+        remove the batches in it."""
+        done = self.batches(spark)
+        rows = self.read(spark, with_batch=True)
+        if rows is None or not done:
+            return
+        resolve(rows).drop("batch_id").write.mode("overwrite").parquet(f"{self.root}/base={done[-1]}")
+        for n in done:
+            delete_path(spark, self.path(n))
+        for n in committed_snapshots_named(spark, self.root, "base")[:-1]:
+            delete_path(spark, f"{self.root}/base={n}")
+
+
+def newest_generation(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Of each key the rows of the last batch that wrote it: the state of a
+    table whose batches hold all rows of the keys that they touch."""
+    last = rows.groupBy(*keys).agg(F.max("batch_id").alias("batch_id"))
+    return rows.join(last, [*keys, "batch_id"], "left_semi").drop("batch_id")
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
@@ -221,9 +182,6 @@ def delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
-_delete = delete_path
-
-
 def committed_snapshots_named(spark: SparkSession, root: str, prefix: str) -> list[int]:
     pat = re.compile(rf"{prefix}=(\d+)$")
     fs, p = _fs(spark, root)
@@ -248,21 +206,3 @@ def count_files(spark: SparkSession, root: str, suffixes: Sequence[str] = (".txt
         if not name.startswith(("_", ".")) and name.endswith(tuple(suffixes)):
             n += 1
     return n
-
-
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    fs, p = _fs(spark, path)
-    out = fs.create(p, True)
-    try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
-
-
-def _read_text(spark: SparkSession, path: str) -> str:
-    fs, p = _fs(spark, path)
-    stream = fs.open(p)
-    try:
-        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()

@@ -4,6 +4,7 @@ snapshot-based history and streaming watermark helpers."""
 import json
 from datetime import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -44,6 +45,59 @@ def test_run_batch_end_to_end(tmp_path, spark):
     assert spark.read.parquet(res.tables["fact_normalized"]).count() == 3
 
 
+def test_a_second_run_loads_only_new_files(tmp_path, spark):
+    as_of = "2024-01-31 00:00:00"
+    land = tmp_path / "landing"
+    land.mkdir()
+    (land / "f1.json").write_text(json.dumps({"data": [_row("V1", "TESLA", "2020", "200"), _row("V2", "KIA", "2021", "600"), _row(None, "X", "2020", "1")]}))
+    wh = str(tmp_path / "wh")
+    first = run_batch(spark, str(land), wh, as_of, SPEC)
+    again = run_batch(spark, str(land), wh, as_of, SPEC)
+    assert again.run_no == first.run_no == 0 and again.reconciliation == first.reconciliation
+    (land / "f2.json").write_text(json.dumps({"data": [_row("V1", "TESLA", "2021", "250"), _row("V3", "KIA", "2020", "-5")]}))
+    second = run_batch(spark, str(land), wh, as_of, SPEC, purge=True)
+    assert second.run_no == 1 and not land.exists()
+    once = tmp_path / "once"
+    once.mkdir()
+    for n in (0, 1):
+        (once / f"f{n + 1}.json").write_text(json.dumps({"data": [
+            [_row("V1", "TESLA", "2020", "200"), _row("V2", "KIA", "2021", "600"), _row(None, "X", "2020", "1")],
+            [_row("V1", "TESLA", "2021", "250"), _row("V3", "KIA", "2020", "-5")]][n]}))
+    whole = run_batch(spark, str(once), str(tmp_path / "wh2"), as_of, SPEC)
+    assert second.reconciliation == whole.reconciliation
+    for name in ("clean", "fact_registrations", "fact_market_metrics", "dim_county_gold", "fact_normalized", "denorm_base", "mv_market_metrics"):
+        a, b = (spark.read.parquet(r.tables[name]).drop("source_file") for r in (second, whole))
+        assert rows(a) == rows(b), name
+    errors = [rows(spark.read.parquet(r.tables["error_rows"]), "error_type", "vin") for r in (second, whole)]
+    assert errors[0] == errors[1] == [("INVALID_RANGE", "V2"), ("INVALID_RANGE", "V3"), ("NULL_VIN", None)]
+    raw = spark.read.parquet(second.tables["error_rows"]).where("vin IS NULL").first()["raw_record"]
+    assert json.loads(raw)[14] == "X"
+
+
+@pytest.mark.parametrize("table", ["clean", "fact_market_metrics", "denorm_base"])
+def test_an_unfinished_run_is_taken_up_again(tmp_path, spark, monkeypatch, table):
+    import tessera.plans.batch_run as B
+
+    land = tmp_path / "landing"
+    land.mkdir()
+    (land / "f1.json").write_text(json.dumps({"data": [_row("V1", "TESLA", "2020", "200"), _row("V1", "KIA", "2021", "600")]}))
+    real = B.refresh
+
+    def fails(df, root, **kw):
+        if root.endswith(f"/{table}"):
+            raise RuntimeError(table)
+        return real(df, root, **kw)
+
+    monkeypatch.setattr(B, "refresh", fails)
+    with pytest.raises(RuntimeError):
+        run_batch(spark, str(land), str(tmp_path / "wh"), "2024-01-31 00:00:00", SPEC)
+    monkeypatch.setattr(B, "refresh", real)
+    res = run_batch(spark, str(land), str(tmp_path / "wh"), "2024-01-31 00:00:00", SPEC)
+    assert res.run_no == 0 and res.reconciliation["status"] == "PASS"
+    assert spark.read.parquet(res.tables["error_rows"]).count() == 1
+    assert spark.read.parquet(str(tmp_path / "wh/raw")).count() == 1
+
+
 def test_snapshot_refresh_never_overwrites(tmp_path, spark):
     root = str(tmp_path / "t")
     p1 = refresh(spark.createDataFrame([(1,)], "x int"), root)
@@ -141,7 +195,7 @@ def test_model_from_spec(spark):
 
 
 def test_catalog_sync_and_enrichment(tmp_path, spark):
-    from tessera.plans.catalog import enriched_metrics, sync_catalog
+    from tessera.plans.catalog import CatalogTables, enriched_metrics, sync_catalog
     from tessera.sources.cdc import CATALOG_CHANGE_SCHEMA
 
     def land(name, data):
@@ -150,16 +204,16 @@ def test_catalog_sync_and_enrichment(tmp_path, spark):
     row = lambda cid, name, cls, ts, op, lsn: (cid, 1, name, "US", cls, "car", "ev", "auto", 5, ts, ts, op, lsn)
     root = str(tmp_path / "catalog")
     land("b1", [row(1, "TESLA", "SUV", dt(2024, 1, 1), "INSERT", 1), row(2, "KIA", "CAR", dt(2024, 1, 1), "INSERT", 2)])
-    first = sync_catalog(spark, str(tmp_path / "landing" / "b1"), root)
+    assert sync_catalog(spark, str(tmp_path / "landing" / "b1"), root)
+    assert not (tmp_path / "landing" / "b1").exists()  # consumed
     land("b2", [row(1, "TESLA", "SEDAN", dt(2024, 1, 5), "UPDATE", 3), row(2, "KIA", "CAR", dt(2024, 1, 3), "DELETE", 4),
                 row(1, "TESLA", "SUV", dt(2024, 1, 1), "INSERT", 1)])  # redelivered
-    second = sync_catalog(spark, str(tmp_path / "landing" / "b2"), root)
-    assert first.applied and second.applied
-    hist = spark.read.parquet(second.history_path)
+    assert sync_catalog(spark, str(tmp_path / "landing" / "b2"), root)
+    hist = CatalogTables(root).history(spark)
     assert rows(hist, "catalog_id", "vehicle_class", "is_current") == [(1, "SEDAN", True), (1, "SUV", False), (2, "CAR", False)]
     metrics = spark.createDataFrame([("TESLA", "BEV", 3), ("KIA", "BEV", 2)], "make string, ev_type string, total_vehicles long")
     got = rows(enriched_metrics(metrics, hist), "make", "vehicle_class")
     assert got == [("KIA", None), ("TESLA", "SEDAN")]
     empty = tmp_path / "landing" / "b3"
     spark.createDataFrame([], CATALOG_CHANGE_SCHEMA).write.parquet(str(empty))
-    assert sync_catalog(spark, str(empty), root).applied is False
+    assert sync_catalog(spark, str(empty), root) is False

@@ -3,6 +3,7 @@ distributed dense ids."""
 
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -91,7 +92,7 @@ def test_dense_ids_match_global_row_number(spark):
     rnd = random.Random(7)
     data = [(rnd.choice([None, "a", "b", "c", "d"]), rnd.randint(0, 10**6), i) for i in range(3000)]
     df = spark.createDataFrame(data, "g string, x long, i long")
-    got = dense_ids(df, ["g", "x", "i"], "rid", num_buckets=7)
+    got = dense_ids(df, ["g", "x", "i"], "rid", num_partitions=7)
     exp = df.withColumn("rid", F.row_number().over(Window.orderBy(
         F.col("g").asc_nulls_last(), F.col("x").asc_nulls_last(), F.col("i").asc_nulls_last())).cast("long"))
     assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
@@ -116,17 +117,12 @@ def test_fanout_keys(spark):
     assert rows(fanout_keys(dim, "name")) == [("TESLA", 2)]
 
 
-def test_dense_ids_many_buckets_path(spark):
-    import tessera.operators.keys as K
-
-    rnd = random.Random(11)
-    df = spark.createDataFrame([(rnd.choice([None, "x", "y"]), rnd.randint(0, 50), i) for i in range(2000)], "g string, x long, i long")
-    old = K.TREE_MAX_BUCKETS
-    K.TREE_MAX_BUCKETS = 4  # force the range-partitioned path
-    try:
-        got = dense_ids(df, ["g", "x", "i"], "rid", num_buckets=9)
-    finally:
-        K.TREE_MAX_BUCKETS = old
-    exp = df.withColumn("rid", F.row_number().over(Window.orderBy(
-        F.col("g").asc_nulls_last(), F.col("x").asc_nulls_last(), F.col("i").asc_nulls_last())).cast("long"))
-    assert rows(got) == rows(exp)
+@pytest.mark.parametrize("partitions", [8, 1100, 4000])
+def test_dense_ids_are_exactly_1_to_n(spark, partitions):
+    n = 1_500_000
+    df = spark.range(n).select(F.xxhash64("id").alias("k"))
+    got = dense_ids(df, ["k"], "rid", num_partitions=partitions)
+    stats = got.agg(F.min("rid"), F.max("rid"), F.countDistinct("rid"), F.count("rid")).first()
+    assert tuple(stats) == (1, n, n, n)
+    w = Window.partitionBy((F.col("rid") / 10_000).cast("int")).orderBy("rid")
+    assert got.withColumn("p", F.lag("k").over(w)).where("k <= p").count() == 0

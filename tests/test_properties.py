@@ -50,7 +50,7 @@ def test_scd2_any_split_any_order(spark, changes, rnd):
        st.integers(1, 9))
 def test_dense_ids_property(spark, data, buckets):
     df = spark.createDataFrame([(a, b, i) for i, (a, b) in enumerate(data)], "a string, b int, i int")
-    got = dense_ids(df, ["a", "b", "i"], "rid", num_buckets=buckets)
+    got = dense_ids(df, ["a", "b", "i"], "rid", num_partitions=buckets)
     exp = df.withColumn("rid", F.row_number().over(Window.orderBy(
         F.col("a").asc_nulls_last(), F.col("b").asc_nulls_last(), F.col("i").asc_nulls_last())).cast("long"))
     assert rows(got) == rows(exp)

@@ -130,10 +130,19 @@ def test_detection_run_appends_only_new(tmp_path, spark):
     gold = df.groupBy("make", "ev_type").agg(F.count("vin").alias("total_vehicles"))
     raw = spark.createDataFrame([("d",)], "doc string")
     root = str(tmp_path / "dq")
-    first = detect_errors(spark, raw, flat, df, gold, root, "2024-01-31 00:00:00", "r1")
-    again = detect_errors(spark, raw, flat, df, gold, root, "2024-01-31 01:00:00", "r2")
-    everything = detect_errors(spark, raw, flat, df, gold, root, "2024-01-31 02:00:00", "r3", mode="append_all")
+    first = detect_errors(spark, raw, flat, df, gold, root, "2024-01-31 00:00:00", 1)
+    again = detect_errors(spark, raw, flat, df, gold, root, "2024-01-31 01:00:00", 2)
+    everything = detect_errors(spark, raw, flat, df, gold, root, "2024-01-31 02:00:00", 3, mode="append_all")
     assert (first.new_duplicates, first.new_errors) == (1, 4)
     assert (again.new_duplicates, again.new_errors) == (0, 0)
     assert everything.new_errors == 4
     assert first.reconciliation["bronze_unique_vins"] == 7
+    repeated = detect_errors(spark, raw, flat, df, gold, root, "2024-01-31 00:00:00", 1)  # replaces its first attempt
+    assert (repeated.new_duplicates, repeated.new_errors) == (1, 4)
+    assert spark.read.parquet(f"{root}/error_rows").count() == 8
+
+
+def test_share_rule_allows_rounding_only(spark):
+    shares = [("thirds", 33.33, 1)] * 3 + [("missing", 48.0, 1), ("missing", 48.0, 1), ("negative", 100.0, -1)]
+    got = Q.share_rule_violations(spark.createDataFrame(shares, "g string, pct double, n long"), ["g"], "pct", "n")
+    assert rows(got, "g") == [("missing",), ("negative",)]
