@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.scalar import normalize_name
 from tessera.operators.keys import UNKNOWN_ID
+from tessera.operators.sequence import bucket_unit
 
 
 @dataclass(frozen=True)
@@ -137,7 +138,7 @@ def effective_join(
     end: str = "effective_end_at",
     attrs: Sequence[str] | None = None,
     version_order: str | None = None,
-    bucket_unit: str = "day",
+    unit: str | None = None,
 ) -> DataFrame:
     """Effective-date (as-of) LEFT join (JN-9): each event gets the version
     of its key with ``start <= ts AND (ts < end OR end IS NULL)``.
@@ -149,7 +150,8 @@ def effective_join(
     before each event is carried forward inside the bucket, and events
     with no version start earlier in their bucket take the last version
     of the key's previous buckets from a one-row-per-(key, bucket)
-    summary. A key with a third of all rows is spread over its buckets.
+    summary. The buckets' unit comes from counts (``sequence.bucket_unit``), so
+    a key with a third of all rows, on one day even, is spread over many.
 
     Returns the event columns plus ``attrs`` (default: every version column
     except the key) of the matching version, NULL when none matches. A
@@ -173,8 +175,8 @@ def effective_join(
         F.col(version_key).alias("_k"), F.col(start).alias("_t"), F.lit(0).alias("_kind"),
         F.col(tie).alias("_tie"), F.lit(None).cast(e_type).alias("_e"), v_struct.alias("_v"),
     )
-    n = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    u = ev.unionByName(vs).withColumn("_b", F.date_trunc(bucket_unit, F.col("_t"))).repartition(n, "_k", "_b")
+    unit = unit or bucket_unit(ev.select("_k", "_t").unionByName(vs.select("_k", "_t")), ["_k"], "_t")
+    u = ev.unionByName(vs).withColumn("_b", F.date_trunc(unit, F.col("_t")))
     # versions sort before events at the same instant (start is inclusive);
     # among equal starts the open / later-ending version comes last
     seq_order = [F.col("_t").asc(), F.col("_kind").asc(), F.col("_tie").asc_nulls_last()]

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.joins import attach_scalars
-from tessera.operators.sequence import neighbors
+from tessera.operators.sequence import bucket_unit, neighbors
 
 UPSERT = "UPSERT"
 DELETE = "DELETE"
@@ -47,7 +47,7 @@ def classify_changes(
     ts: str = "ts",
     lsn: str = "lsn",
     op: str = "op",
-    bucket_unit: str = "day",
+    unit: str | None = None,
 ) -> DataFrame:
     """Each distinct change with its effect on the history: ``OPEN`` (a new
     version), ``CLOSE`` (a delete ending the open version), ``NOOP`` (same
@@ -57,9 +57,8 @@ def classify_changes(
     ch = changes.select(*keys, F.col(ts).alias("_ts"), F.col(lsn).alias("_lsn"), F.col(op).alias("_op"), *tracked)
     # one shuffle by (key, time bucket) serves the dedup and both neighbour
     # windows; a hot key is spread over its buckets
-    ch = ch.withColumn("_bk", F.date_trunc(bucket_unit, F.col("_ts")))
-    n = int(changes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ch = ch.repartition(n, *keys, "_bk").dropDuplicates([*keys, "_bk", "_ts", "_lsn"])
+    ch = ch.withColumn("_bk", F.date_trunc(unit or bucket_unit(ch, keys, "_ts"), F.col("_ts")))
+    ch = ch.dropDuplicates([*keys, "_bk", "_ts", "_lsn"])
     seq = neighbors(ch, keys, ["_ts", "_lsn"], ["_op", *tracked], "_bk", "prev", prefix="_p")
     is_up = F.col("_op") == F.lit(UPSERT)
     prev_op = F.col("_p_op")
@@ -85,10 +84,10 @@ def versions_from_changes(
     ts: str = "ts",
     lsn: str = "lsn",
     op: str = "op",
-    bucket_unit: str = "day",
+    unit: str | None = None,
 ) -> DataFrame:
     """Full SCD2 history of the keys present in ``changes``."""
-    kept = classify_changes(changes, keys, tracked, ts, lsn, op, bucket_unit).where(F.col("effect").isin("OPEN", "CLOSE"))
+    kept = classify_changes(changes, keys, tracked, ts, lsn, op, unit).where(F.col("effect").isin("OPEN", "CLOSE"))
     nxt = neighbors(kept, keys, ["_ts", "_lsn"], ["_ts", "_lsn", "_op"], "_bk", "next", prefix="_n")
     return nxt.where(F.col("_op") == F.lit(UPSERT)).select(
         *keys,
@@ -165,7 +164,7 @@ def current(history: DataFrame) -> DataFrame:
     return history.where(F.col(CURRENT))
 
 
-def scd2_violations(history: DataFrame, keys: Sequence[str], bucket_unit: str = "day") -> DataFrame:
+def scd2_violations(history: DataFrame, keys: Sequence[str], unit: str | None = None) -> DataFrame:
     """Integrity problems of a history (CDC-9), one row per finding:
     ``MULTIPLE_CURRENT`` (more than one open version), ``OVERLAP`` (next
     version starts before this one ends, or this one is open), ``GAP``
@@ -178,7 +177,7 @@ def scd2_violations(history: DataFrame, keys: Sequence[str], bucket_unit: str =
         .select(*keys, F.lit("MULTIPLE_CURRENT").alias("violation"), F.col(START))
     )
     h = history.select(*keys, START, END, "closed_by", "start_lsn")
-    seq = neighbors(h, keys, [START, "start_lsn"], [START], F.date_trunc(bucket_unit, F.col(START)), "next", prefix="_n")
+    seq = neighbors(h, keys, [START, "start_lsn"], [START], F.date_trunc(unit or bucket_unit(h, keys, START), F.col(START)), "next", prefix="_n")
     nstart = F.col("_n" + START)
     overlap = nstart.isNotNull() & (F.col(END).isNull() | (nstart < F.col(END)))
     gap = nstart.isNotNull() & F.col(END).isNotNull() & (nstart > F.col(END)) & (F.coalesce(F.col("closed_by"), F.lit("")) != F.lit(DELETE))

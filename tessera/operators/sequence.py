@@ -18,6 +18,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: rows of one key that may meet in one task
+MOST_PER_BUCKET = 1 << 20
+UNITS = ("day", "hour", "minute", "second")
+
+
+def bucket_unit(df: DataFrame, keys: Sequence[str], ts: str) -> str:
+    """The coarsest time unit at which no key has more than
+    ``MOST_PER_BUCKET`` rows in one bucket, from counts over all rows (the
+    finest one if every unit has more). It sets how a key is spread; the
+    results are the same with any unit."""
+    for unit in UNITS:
+        counts = df.groupBy(*keys, F.date_trunc(unit, F.col(ts)).alias("_b")).count()
+        if (counts.agg(F.max("count")).first()[0] or 0) <= MOST_PER_BUCKET:
+            return unit
+    return UNITS[-1]
+
+
 def neighbors(
     df: DataFrame,
     keys: Sequence[str],

@@ -15,7 +15,7 @@ from tessera.plans import medallion as M
 from tessera.plans.oracle_sql import with_flat
 from tessera.plans.registrations import REGISTRATION_POSITIONS, flat_registrations, landing_documents
 from tessera.plans.registry import query
-from tessera.plans.semantic import registration_model, with_context
+from tessera.plans.semantic import registration_model
 
 
 def clean(spark, sf_dir):
@@ -102,15 +102,23 @@ def q_semantic_make_metrics(spark, sf_dir):
         """SELECT model_year, ev_type, CAST(count(vin) AS BIGINT) AS total_vehicles,
                   round(CAST(count(CASE WHEN ev_type = 'STANDARD' THEN 1 END) AS DOUBLE) * 100.0 / nullif(count(*), 0), 2) AS bev_share_pct,
                   round(CAST(count(CASE WHEN cafv_eligibility = 'N' THEN 1 END) AS DOUBLE) * 100.0 / nullif(count(*), 0), 2) AS cafv_eligible_pct
-           FROM flat WHERE vin IS NOT NULL AND model_year >= 1997 GROUP BY model_year, ev_type"""
+           FROM flat WHERE vin IS NOT NULL GROUP BY model_year, ev_type"""
     ),
 )
 def q_semantic_year_type_share(spark, sf_dir):
     model = registration_model(bev_label="STANDARD", cafv_label="N")
     flat = flat_registrations(spark, sf_dir).where(F.col("vin").isNotNull())
-    return model.query(
-        flat, "fact_registrations", ["model_year", "ev_type"], ["total_vehicles", "bev_share_pct", "cafv_eligible_pct"],
-        filters=[F.col("model_year") >= 1997],
+    return model.query(flat, "fact_registrations", ["model_year", "ev_type"], ["total_vehicles", "bev_share_pct", "cafv_eligible_pct"])
+
+
+@query(
+    "semantic_recent_years",
+    with_flat("SELECT model_year, count(vin) AS total_vehicles FROM clean WHERE model_year >= 1997 GROUP BY model_year"),
+)
+def q_semantic_recent_years(spark, sf_dir):
+    """A filter of the caller on an answer."""
+    return registration_model().query(
+        clean(spark, sf_dir), "fact_registrations", ["model_year"], ["total_vehicles"], filters=[F.col("model_year") >= 1997]
     )
 
 
@@ -185,29 +193,3 @@ def q_backfill_cafv(spark, sf_dir):
     return c.join(src, F.col("dol_vehicle_id") == F.col("_d"), "left").select(
         "vin", "dol_vehicle_id", F.coalesce(F.col("cafv_eligibility"), F.col("_c")).alias("cafv_eligibility")
     )
-
-
-@query(
-    "semantic_with_context",
-    with_flat(
-        """, g AS (SELECT make, ev_type, count(vin) AS n FROM clean GROUP BY make, ev_type),
-           st AS (SELECT CASE WHEN (SELECT count(*) FROM clean) = (SELECT count(DISTINCT vin) FROM flat WHERE vin IS NOT NULL)
-                               AND (SELECT sum(n) FROM g) = (SELECT count(*) FROM clean) THEN 'PASS' ELSE 'DRIFT_DETECTED' END AS quality_status)
-           SELECT c.ev_type, CAST(count(c.vin) AS BIGINT) AS total_vehicles, 'FRESH' AS freshness_status, st.quality_status,
-                  'rows without VIN' AS exclusions, 'latest record per VIN' AS assumptions, 'gold' AS source_surface
-           FROM clean c, st GROUP BY c.ev_type, st.quality_status"""
-    ),
-)
-def q_semantic_with_context(spark, sf_dir):
-    from tessera.operators.quality import reconcile
-
-    flat = flat_registrations(spark, sf_dir)
-    c = M.clean_registrations(flat)
-    recon = reconcile(landing_documents(spark, sf_dir), flat, c, M.fact_market_metrics(c)).select(
-        F.col("status").alias("_q")
-    )
-    ans = registration_model().query(c, "fact_registrations", ["ev_type"], ["total_vehicles"])
-    return with_context(
-        attach_scalars(ans, recon), F.lit("FRESH"), F.col("_q"),
-        exclusions="rows without VIN", assumptions="latest record per VIN",
-    ).drop("_q")

@@ -97,18 +97,26 @@ def q_scd2_as_of(spark, sf_dir):
 @query(
     "scd2_violations",
     with_hist(
-        """, nx AS (SELECT *, lead(effective_start_at) OVER (PARTITION BY catalog_id ORDER BY effective_start_at, start_lsn) AS n_start FROM hist)
+        """, bad AS (SELECT * REPLACE (is_current OR catalog_id % 5 = 0 AS is_current,
+                                       if(catalog_id % 7 = 0, effective_end_at + INTERVAL 1 DAY, if(catalog_id % 7 = 1 AND closed_by = 'UPSERT',
+                                          effective_end_at - INTERVAL 1 SECOND, effective_end_at)) AS effective_end_at) FROM hist),
+        following AS (SELECT *, lead(effective_start_at) OVER (PARTITION BY catalog_id ORDER BY effective_start_at, start_lsn) AS nxt FROM bad)
         SELECT catalog_id, 'MULTIPLE_CURRENT' AS violation, min(effective_start_at) AS effective_start_at
-        FROM hist WHERE is_current GROUP BY catalog_id HAVING count(*) > 1
-        UNION ALL
-        SELECT catalog_id, CASE WHEN n_start IS NOT NULL AND (effective_end_at IS NULL OR n_start < effective_end_at) THEN 'OVERLAP' ELSE 'GAP' END,
-               effective_start_at
-        FROM nx WHERE (n_start IS NOT NULL AND (effective_end_at IS NULL OR n_start < effective_end_at))
-                   OR (n_start IS NOT NULL AND effective_end_at IS NOT NULL AND n_start > effective_end_at AND coalesce(closed_by, '') <> 'DELETE')"""
+        FROM bad GROUP BY catalog_id HAVING count(*) FILTER (is_current) > 1
+        UNION ALL SELECT catalog_id, 'OVERLAP', effective_start_at FROM following WHERE nxt < coalesce(effective_end_at, TIMESTAMP '9999-01-01')
+        UNION ALL SELECT catalog_id, 'GAP', effective_start_at FROM following WHERE nxt > effective_end_at AND closed_by IS DISTINCT FROM 'DELETE'"""
     ),
 )
 def q_scd2_violations(spark, sf_dir):
-    return S.scd2_violations(materialize(history(spark, sf_dir)), KEYS)  # checked twice over
+    """A history damaged for some keys: versions that end a day late or a
+    second early, and closed versions marked current."""
+    key, end = F.col("catalog_id"), F.col(S.END)
+    damaged = history(spark, sf_dir).withColumns({
+        S.CURRENT: F.col(S.CURRENT) | (key % 5 == 0),
+        S.END: F.when(key % 7 == 0, end + F.expr("INTERVAL 1 DAY"))
+        .when((key % 7 == 1) & (F.col("closed_by") == S.UPSERT), end - F.expr("INTERVAL 1 SECOND")).otherwise(end),
+    })
+    return S.scd2_violations(materialize(damaged), KEYS)  # checked twice over
 
 
 @query(
@@ -218,10 +226,10 @@ def q_cdc_cadence(spark, sf_dir):
     "cdc_lag_report",
     """SELECT event_id, ts, round((epoch_us(ts + to_microseconds(CAST(round(value * 60 * 1000000) AS BIGINT))) - epoch_us(ts)) / 6e7, 4) AS lag_min,
               CASE WHEN round((epoch_us(ts + to_microseconds(CAST(round(value * 60 * 1000000) AS BIGINT))) - epoch_us(ts)) / 6e7, 4) <= 30 THEN 'OK' ELSE 'BREACH' END AS lag_status
-       FROM events WHERE event_type = 'signup'""",
+       FROM events""",
 )
 def q_cdc_lag(spark, sf_dir):
-    ev = feeds.events(spark, sf_dir).where(F.col("event_type") == "signup")
+    ev = feeds.events(spark, sf_dir)
     landed = ev.select(
         "event_id", "ts", (F.col("ts") + F.make_dt_interval(secs=(F.col("value") * 60).cast("decimal(18,6)"))).alias("landed_ts")
     )

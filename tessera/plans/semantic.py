@@ -11,6 +11,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.joins import attach_scalars
+
 from tessera.operators.aggregates import count_if
 
 
@@ -119,6 +121,14 @@ def with_context(answer: DataFrame, freshness_status: Column, quality_status: Co
     )
 
 
+def market_share(model: SemanticModel, source: DataFrame, dims: list[str]) -> DataFrame:
+    """Vehicles by ``dims`` and their share of all vehicles in percent."""
+    parts = model.query(source, model.table, dims, ["total_vehicles"])
+    whole = source.agg(F.count("vin").alias("_all"))
+    share = F.round(F.col("total_vehicles") * 100.0 / F.nullif(F.col("_all"), F.lit(0)), 2)
+    return attach_scalars(parts, whole).withColumn("market_share_pct", share).drop("_all")
+
+
 def suggested_questions(model: SemanticModel, source: DataFrame) -> dict[str, DataFrame]:
     """The starter analyses offered to users (SEM-3), as metric queries."""
     return {

@@ -173,3 +173,22 @@ def test_asof_join_matches_range_join_across_buckets(spark):
     )
     exp = events.join(h, cond, "left").select("eid", "key", "at", "v", "effective_start_at")
     assert rows(got, "eid", "v", "effective_start_at") == rows(exp, "eid", "v", "effective_start_at")
+
+
+def test_one_key_holds_a_third_of_the_rows_on_one_day(spark, monkeypatch):
+    """The hot key's day is cut finer, with the same results."""
+    import tessera.operators.sequence as SEQ
+    from tessera.operators.joins import effective_join
+
+    rows_ = [(1, 60 * i, i, "UPSERT", "abc"[i % 3]) for i in range(400)]
+    rows_ += [(k, 86_400 * (k % 9), 1000 + k, "UPSERT", "x") for k in range(2, 800)]
+    changes = spark.createDataFrame(rows_, "id long, s long, lsn long, op string, v string").select(
+        "id", F.timestamp_seconds("s").cast("timestamp_ntz").alias("ts"), "lsn", "op", "v")
+    facts = changes.select(F.col("lsn").alias("e"), F.col("id").alias("u"), (F.col("ts") + F.expr("INTERVAL 30 SECONDS")).alias("t"))
+    plain = rows(S.versions_from_changes(changes, ["id"], ["v"]))
+    joined = rows(effective_join(facts, S.versions_from_changes(changes, ["id"], ["v"]), "u", "id", "t", attrs=["v"]))
+    monkeypatch.setattr(SEQ, "MOST_PER_BUCKET", 70)
+    assert SEQ.bucket_unit(changes, ["id"], "ts") == "hour"
+    hist = S.versions_from_changes(changes, ["id"], ["v"])
+    assert rows(hist) == plain
+    assert rows(effective_join(facts, hist, "u", "id", "t", attrs=["v"])) == joined
