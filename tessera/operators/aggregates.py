@@ -47,10 +47,6 @@ def market_metrics(
     return out
 
 
-def grouped_counts(df: DataFrame, group: Sequence[str], name: str = "total_registrations") -> DataFrame:
-    return df.groupBy(*group).agg(F.count(F.lit(1)).alias(name))
-
-
 def share_within(
     df: DataFrame,
     group: Sequence[str],
@@ -120,7 +116,3 @@ def top_n(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
 def count_if(cond: Column) -> Column:
     """``COUNT(CASE WHEN cond THEN 1 END)``."""
     return F.count(F.when(cond, F.lit(1)))
-
-
-def sum_if(cond: Column, value: Column | None = None) -> Column:
-    return F.sum(F.when(cond, value if value is not None else F.lit(1)).otherwise(F.lit(0)))

@@ -14,6 +14,7 @@ from tessera.operators.aggregates import daily_rollup, running_sum
 from tessera.operators.dedup import latest_per_key
 from tessera.operators.joins import attach_scalars
 from tessera.operators.merge import merge_upsert
+from tessera.sources.tables import literal_rows
 
 DAILY_SUMS = [
     ("credits_used_compute", "credits_used_compute"),
@@ -148,6 +149,6 @@ def monitor_config(spark, names: Sequence[str] | None = None) -> DataFrame:
     """Thresholds as data (CST-8): monitor_name, notify_percent,
     suspend_percent, suspend_immediate_percent, credit_quota."""
     rows = [(k, *v) for k, v in MONITOR_THRESHOLDS.items() if names is None or k in names]
-    return spark.createDataFrame(
-        rows, "monitor_name string, notify_percent double, suspend_percent double, suspend_immediate_percent double, credit_quota double"
+    return literal_rows(
+        spark, rows, "monitor_name string, notify_percent double, suspend_percent double, suspend_immediate_percent double, credit_quota double"
     )

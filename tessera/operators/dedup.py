@@ -34,12 +34,6 @@ def latest_per_key(
     return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) == 1).drop(rank_col)
 
 
-def dedup_exact(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """DISTINCT over ``cols`` (all columns by default); partial aggregation
-    runs before the shuffle."""
-    return df.dropDuplicates(list(cols)) if cols else df.distinct()
-
-
 def dedup_cdc(df: DataFrame, keys: Sequence[str], ts: str, lsn: str) -> DataFrame:
     """CDC landing dedup on the technical key (business key, change time,
     log position): a redelivered change is kept once (DED-3)."""
