@@ -208,9 +208,12 @@ def licence_scan(files: DataFrame, id_col: str, path_col: str = "path", text_col
         F.transform(F.sequence(F.lit(0), F.size(parts)), lambda k: F.array_join(F.slice(parts, F.lit(1), k), "/"))
     )
     ancestors = own.filter("directory is not null").select("directory").distinct().select("directory", F.explode(above).alias("ancestor"))
-    nearest = (
+    # written, so that the join of the files is of two plain sides, of which
+    # the one with a hot directory can be split
+    nearest = stored(
         ancestors.join(of_directory.withColumnRenamed("directory", "ancestor"), "ancestor")
-        .groupBy("directory").agg(F.max_by("first", depth).alias("inherited"))
+        .groupBy("directory").agg(F.max_by("first", depth).alias("inherited")),
+        "licence-directories",
     )
     joined = own.join(nearest, "directory", "left")
     has = F.col("own_licence").isNotNull()
