@@ -32,9 +32,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm.bounded import BoundedCache
-from tessera.llm.common import require
+from tessera.llm.common import require, small_batches
 
-CACHED = 150_000  # encodings kept per generation in a worker
+CACHED = 100_000  # encodings kept per generation in a worker
 LONG_PRE_TOKEN = 256  # characters; longer ones are not kept
 BLOCK_CHARS = 1 << 20  # of a long text handled at a time
 
@@ -50,7 +50,7 @@ class Vocabulary:
             self.bytes[r] = b
         self.longest = max(map(len, ranks))
         self.splits: dict[int, tuple[int, int] | None] = {}
-        self.apart = BoundedCache(400_000)
+        self.apart = BoundedCache(CACHED)
         self.endings = ahocorasick.Automaton()
         for b, r in ranks.items():
             self.endings.add_word(b.decode("latin-1"), (r, len(b)))
@@ -181,7 +181,7 @@ class TextEncoder:
         self.line_feed = self._pre_token("\n")
 
     def _pre_token(self, text: str) -> tuple[int, ...]:
-        found = self.pre_tokens.get(text)
+        found = self.pre_tokens.young.get(text) or self.pre_tokens.get(text)
         if found is None:
             found = tuple(PrefixEncoding(self.vocabulary, text.encode("utf-8", "surrogatepass")).tokens())
             if len(text) <= LONG_PRE_TOKEN:
@@ -189,7 +189,8 @@ class TextEncoder:
         return found
 
     def _slow(self, text: str) -> list[int]:
-        return list(chain.from_iterable(map(self._pre_token, (m.group() for m in self.pattern.finditer(text)))))
+        found = (m.group() for m in self.pattern.finditer(text)) if self.pattern.groups else self.pattern.findall(text)
+        return list(chain.from_iterable(map(self._pre_token, found)))
 
     def _piece(self, piece: str) -> tuple[int, ...] | None:
         """A word with the space or line feed before it, or None if there is
@@ -209,12 +210,15 @@ class TextEncoder:
         words with what stands before them are looked up whole."""
         pieces = f"\n{text}".replace("\n", " \n").split(" ")
         del pieces[0]
-        get, new = self.pieces.get, self._piece
+        young = self.pieces.young
         out = []
         for p in pieces:
-            found = get(p)
-            if found is None and (found := new(p)) is None:
-                return self._slow(text)
+            found = young.get(p)
+            if found is None:
+                found = self.pieces.get(p) or self._piece(p)
+                if found is None:
+                    return self._slow(text)
+                young = self.pieces.young
             out.append(found)
         return list(chain.from_iterable(out))[len(self.line_feed) :]
 
@@ -251,6 +255,7 @@ def encoded(docs: DataFrame, ranks_file: str, pattern: str, text_col: str = "tex
     """``docs`` with the token numbers as an array column. ``ranks_file``
     must be readable where tasks run."""
     require(docs, [text_col])
+    small_batches(docs.sparkSession)
     if into in docs.columns:
         docs = docs.drop(into)
     schema = T.StructType([*docs.schema.fields, T.StructField(into, T.ArrayType(T.IntegerType()))])
@@ -268,6 +273,7 @@ def encoded(docs: DataFrame, ranks_file: str, pattern: str, text_col: str = "tex
 def decoded(rows: DataFrame, ranks_file: str, pattern: str, ids_col: str = "token_ids", into: str = "decoded") -> DataFrame:
     """``rows`` with the bytes of the token numbers as a binary column."""
     require(rows, [ids_col])
+    small_batches(rows.sparkSession)
     if into in rows.columns:
         rows = rows.drop(into)
     schema = T.StructType([*rows.schema.fields, T.StructField(into, T.BinaryType())])
@@ -286,6 +292,7 @@ def encoding_digests(docs: DataFrame, ranks_file: str, pattern: str) -> DataFram
     comma-joined) and of the bytes that they decode to. Long texts are
     encoded, decoded and hashed in blocks."""
     require(docs, ["doc_id", "text"])
+    small_batches(docs.sparkSession)
     slim = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     schema = T.StructType([
         slim.schema["doc_id"], T.StructField("n_tokens", T.LongType()),

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from tessera.session import ensure_checkpoint_dir
 
 
+BATCH_BYTES = 16 << 20
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under ``spark.checkpoint.dir``, the folder that driver
     and executors share."""
@@ -28,6 +31,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Batches of at most 16 MB between Spark and Python workers, which hold
+    several of them each, unless the session asks for less."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = str(spark.conf.get(key)).lower().rstrip("b")
+    if not now.isdigit() or not 0 < int(now) <= BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

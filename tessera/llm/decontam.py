@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import fresh_names, joined_by_comma, require
+from tessera.llm.common import fresh_names, joined_by_comma, require, small_batches
 from tessera.llm.fm_index import FMIndex
 
 #: A-Z lower-cased; bytes that are not digits, letters or non-ASCII become a space.
@@ -166,6 +166,7 @@ def contamination(
     returned: the word count, the merged hit spans (in words, end exclusive)
     and the items found. With ``cut`` the text stays, without the spans."""
     require(docs, ["text"])
+    small_batches(docs.sparkSession)
     added = fresh_names(docs.columns, ["n_words", "hit_spans", "hit_items"])
     types = ["long", SPANS, "array<string>"]
     found = docs.withColumn("text", F.col("text").cast("string"))
