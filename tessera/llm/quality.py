@@ -151,13 +151,15 @@ class VoteModel:
     says_good: tuple[tuple[float, ...], ...]
 
     def probability(self, votes: list[Column]) -> Column:
-        """Probability of the good kind after independent votes; an
-        abstention says nothing."""
+        """Probability of the good kind after independent votes (columns of
+        -1, 0, 1); an abstention says nothing."""
+        up = [F.when(v == 1, 1.0).otherwise(0.0) for v in votes]
+        down = [F.when(v == -1, 1.0).otherwise(0.0) for v in votes]
         against = F.lit(0.0)
         for share, says in zip(self.shares[1:], self.says_good[1:]):
             odds = F.lit(float(np.log(share / self.shares[0])))
-            for v, good, bad in zip(votes, self.says_good[0], says):
-                odds = odds + F.when(v == 1, float(np.log(bad / good))).when(v == -1, float(np.log((1 - bad) / (1 - good)))).otherwise(0.0)
+            for u, d, good, bad in zip(up, down, self.says_good[0], says):
+                odds = odds + u * float(np.log(bad / good)) + d * float(np.log((1 - bad) / (1 - good)))
             against = against + F.exp(odds)
         return F.lit(1.0) / (F.lit(1.0) + against)
 
@@ -193,29 +195,38 @@ def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = 500, false_alarm
     return VoteModel(tuple(shares.tolist()), tuple(map(tuple, says.tolist())))
 
 
-def fit_votes(rows: DataFrame, m: str, rules: tuple[Rule, ...] = RULES) -> VoteModel:
+def voted(rows: DataFrame, m: str, rules: tuple[Rule, ...] = RULES) -> tuple[DataFrame, list[str]]:
+    """``rows`` with a column per rule, whose names are returned. Later
+    expressions read the votes many times, so they are columns first."""
+    names = fresh_names(rows.columns, [f"vote_{j}" for j in range(len(rules))])
+    return rows.select("*", *[r.vote(m).alias(n) for r, n in zip(rules, names)]), names
+
+
+def fit_votes(rows: DataFrame, m: str) -> VoteModel:
     """The model of all rows; the driver gets one row per vote pattern."""
-    votes = [r.vote(m).alias(f"v{j}") for j, r in enumerate(rules)]
-    found = rows.select(votes).groupBy([f"v{j}" for j in range(len(rules))]).count().collect()
-    patterns = np.array([r[:-1] for r in found], dtype=np.int64).reshape(len(found), len(rules))
+    with_votes, names = voted(rows, m)
+    found = with_votes.groupBy(names).count().collect()
+    patterns = np.array([r[:-1] for r in found], dtype=np.int64).reshape(len(found), len(names))
     return fit(patterns, np.array([r[-1] for r in found], dtype=float))
 
 
-def verdict(m: str, model: VoteModel, rules: tuple[Rule, ...] = RULES, least: float = 0.5) -> tuple[Column, Column, Column]:
-    """``base_failed``, the probability of good, and ``kept``."""
+def judged(rows: DataFrame, m: str, model: VoteModel, least: float = 0.5) -> tuple[DataFrame, tuple[Column, Column, Column]]:
+    """``rows`` with votes, and what follows from them: ``base_failed``, the
+    probability of good, and ``kept``."""
+    with_votes, names = voted(rows, m)
     n, repeated = F.col(f"{m}.n_words"), F.col(f"{m}.n_repeat_words")
     failed = (n < 10) | (repeated * 100 > n * 20)
-    p = model.probability([r.vote(m) for r in rules])
-    return failed, p, ~failed & (p >= least)
+    p = model.probability([F.col(v) for v in names])
+    return with_votes, (failed, p, ~failed & (p >= least))
 
 
 def quality_report(docs: DataFrame) -> DataFrame:
     """Per document the measures, the verdict of the fixed rule and of the
     vote model."""
     rows = stored(measured(docs, ["doc_id"], "m"), "quality")
-    failed, p, kept = verdict("m", fit_votes(rows, "m"))
+    found, (failed, p, kept) = judged(rows, "m", fit_votes(rows, "m"))
     base = [F.col(f"m.{x}").alias(x) for x in MEASURES[:5]]
-    return rows.select("doc_id", *base, failed.alias("base_failed"), kept.alias("kept"), p.alias("quality"))
+    return found.select("doc_id", *base, failed.alias("base_failed"), kept.alias("kept"), p.alias("quality"))
 
 
 def accepted(docs: DataFrame) -> DataFrame:
@@ -223,5 +234,5 @@ def accepted(docs: DataFrame) -> DataFrame:
     fit the votes and to judge, and never shuffled."""
     (m,) = fresh_names(docs.columns, ["measures"])
     model = fit_votes(measured(docs, [], m), m)
-    _, _, kept = verdict(m, model)
-    return measured(docs, docs.columns, m).filter(kept).select(docs.columns)
+    found, (_, _, kept) = judged(measured(docs, docs.columns, m), m, model)
+    return found.filter(kept).select(docs.columns)
