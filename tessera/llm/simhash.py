@@ -22,7 +22,7 @@ gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import accumulate, combinations
+from itertools import accumulate, combinations, islice
 
 import numpy as np
 import pyarrow as pa
@@ -55,7 +55,7 @@ def simhash(text: str | None, shingle: int) -> int:
     ones = np.zeros(64, dtype=np.int64)
     total = 0
     while True:
-        hashes = [digest(joined[s : e - 1], SEED) for (s, e), _ in zip(spans, range(HASH_BLOCK))]
+        hashes = [digest(joined[s : e - 1], SEED) for s, e in islice(spans, HASH_BLOCK)]
         if not hashes:
             break
         total += len(hashes)

@@ -45,6 +45,19 @@ def test_fingerprint_matches_definition():
         assert S.simhash(text, 4) == brute_fp(text, 4)
 
 
+@pytest.mark.parametrize("shingles", [S.HASH_BLOCK, S.HASH_BLOCK + 1, 70_000])
+def test_every_shingle_counts(shingles, monkeypatch):
+    text = " ".join(f"w{i}" for i in range(shingles + 3))
+    seen = []
+    digest = xxhash.xxh64_intdigest
+    monkeypatch.setattr(S.xxhash, "xxh64_intdigest", lambda data, seed: seen.append(data) or digest(data, seed))
+    fp = S.simhash(text, 4)
+    monkeypatch.undo()
+    words = text.encode().split()
+    assert seen == [b" ".join(words[i : i + 4]) for i in range(shingles)]
+    assert fp == brute_fp(text, 4)
+
+
 def test_queries_match_brute_force(spark):
     rng = random.Random(3)
     vocab = [f"w{i}" for i in range(300)]
