@@ -9,10 +9,14 @@ the network, times its share of the class, from counts over all documents.
   have numbers of their own, the others share ``BUCKETS`` numbers by hash;
   the classes hold words of like frequency and about equal mass. Only these
   bounded tables reach the driver.
+* A word without a number of its own has its own share of its bucket: its
+  count over the bucket's mass, which is one more than the bucket's words; a
+  word that was never counted has that one. The counts of all words stay in
+  the shared folder and are joined to the words of the documents.
 * Training is data-parallel: in every round each task trains from the same
   weights on its part of the round's documents, and the results are averaged
   by words in a tree of tasks. Each document is trained on in one round.
-* Scoring is a pass without a shuffle.
+* Scoring is a pass without a shuffle, and that join.
 
 Words are runs of characters other than 0x20 and 0x09-0x0D. Defined results:
 a null or empty text has no words, score 0 and no mean; repeated rows have
@@ -49,11 +53,13 @@ FAN_IN = 16  # weights averaged by one task, and by the driver
 @dataclass(frozen=True)
 class Words:
     """Numbers of words (0 stands outside of a document), their classes and
-    log shares of them."""
+    log shares of them, and per number the log share of it that a word never
+    counted has; 0 where the number is one word's own."""
 
     numbers: dict[bytes, int]
     class_of: np.ndarray
     log_share: np.ndarray
+    log_unseen: np.ndarray
 
     @property
     def size(self) -> int:
@@ -77,11 +83,17 @@ def word_table(top: list[tuple[bytes, int]], bucket_counts: np.ndarray) -> Words
     class_mass = np.bincount(class_of[1:], weights=counts[1:], minlength=CLASSES)
     log_share = np.zeros(len(counts))
     log_share[1:] = np.log(counts[1:] / class_mass[class_of[1:]])
-    return Words({w: i + 1 for i, (w, _) in enumerate(top)}, class_of, log_share)
+    log_unseen = np.concatenate([np.zeros(len(top) + 1), -np.log(bucket_counts + 1.0)])
+    return Words({w: i + 1 for i, (w, _) in enumerate(top)}, class_of, log_share, log_unseen)
 
 
 def count_words(docs: DataFrame, text_col: str = "text") -> Words:
     """The word table of all documents."""
+    return counted_words(docs, text_col)[0]
+
+
+def counted_words(docs: DataFrame, text_col: str = "text") -> tuple[Words, DataFrame]:
+    """The word table of all documents, and ``word``, ``n`` of every word."""
     words = F.filter(F.split(F.coalesce(F.col(text_col).cast("string"), F.lit("")), r"[ \t\n\x0B\f\r]+"), lambda w: w != "")
     counts = stored(docs.select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")), "lm-words")
     top = [(r.word.encode("utf-8", "surrogatepass"), r.n) for r in counts.orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()]
@@ -91,7 +103,7 @@ def count_words(docs: DataFrame, text_col: str = "text") -> Words:
         buckets[r.b] = r.n
     for w, n in top:
         buckets[zlib.crc32(w) % BUCKETS] -= n
-    return word_table(top, buckets)
+    return word_table(top, buckets), counts
 
 
 class Network:
@@ -220,28 +232,56 @@ def log_probabilities(net: Network, words: Words, texts: list[np.ndarray]) -> np
     return out
 
 
-def scores(docs: DataFrame, net: Network, words: Words, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scores(
+    docs: DataFrame, net: Network, words: Words, id_col: str = "doc_id", text_col: str = "text", counts: DataFrame | None = None
+) -> DataFrame:
     """Per input row: ``doc_id``, ``n_words``, ``log_prob`` (the sum),
-    ``mean_log_prob``."""
+    ``mean_log_prob``. ``counts`` has ``word``, ``n`` of the words that
+    ``words`` was counted from; without it, words that have no number of
+    their own are all taken as never counted."""
     require(docs, [id_col, text_col])
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    schema = T.StructType([slim.schema["doc_id"], T.StructField("n_words", T.LongType()), T.StructField("log_prob", T.DoubleType())])
+    schema = T.StructType([
+        slim.schema["doc_id"], T.StructField("n_words", T.LongType()), T.StructField("log_prob", T.DoubleType()),
+        T.StructField("tail", T.ArrayType(T.BinaryType())),
+    ])
     table = docs.sparkSession.sparkContext.broadcast((words, net.weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words_, weights = table.value
-        model = Network(weights)
+        model, first = Network(weights), words_.size - BUCKETS
         for b, texts in _encoded_blocks(batches, 1, words_):
             sizes = np.array([len(t) for t in texts], dtype=np.int64)
             doc = np.repeat(np.arange(len(texts)), sizes)
-            sums = np.bincount(doc, weights=log_probabilities(model, words_, texts), minlength=len(texts))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes), pa.array(sums.astype(float))], names=schema.names)
+            each = log_probabilities(model, words_, texts)
+            if len(each):
+                each += words_.log_unseen[np.concatenate(texts)]
+            sums = np.bincount(doc, weights=each, minlength=len(texts))
+            tail = []
+            for t, numbers in zip(b.column(1), texts):
+                at = np.flatnonzero(numbers >= first)
+                split = (t.as_py() or "").encode("utf-8", "surrogatepass").split() if len(at) else []
+                tail.append([split[i] for i in at])
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array(sizes), pa.array(sums.astype(float)), pa.array(tail, pa.list_(pa.binary()))], names=schema.names
+            )
 
     found = slim.mapInArrow(run, schema)
-    return found.withColumn("mean_log_prob", F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words")))
+    if counts is not None:
+        # a counted word's share is n times that of one never counted
+        found = stored(found.withColumn("row", F.monotonically_increasing_id()), "lm-rows")
+        several = counts.filter("n > 1").select(F.col("word").cast("binary").alias("word"), F.log("n").alias("more"))
+        more = (
+            found.select("row", F.explode("tail").alias("word")).join(several, "word")
+            .groupBy("row").agg(F.sum("more").alias("more"))
+        )
+        found = found.drop("tail").join(more, "row", "left").withColumn("log_prob", F.col("log_prob") + F.coalesce("more", F.lit(0.0)))
+    return found.select(
+        "doc_id", "n_words", "log_prob", F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words")).alias("mean_log_prob")
+    )
 
 
 def pseudo_likelihood(docs: DataFrame) -> DataFrame:
     """Counts, trains and scores over the same documents."""
-    words = count_words(docs)
-    return scores(docs, train(docs, words), words)
+    words, counts = counted_words(docs)
+    return scores(docs, train(docs, words), words, counts=counts)

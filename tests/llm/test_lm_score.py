@@ -1,6 +1,7 @@
 """Pseudo-likelihood: exact sums against loops, gradients against
 differences, and held-out gain over word frequencies."""
 
+import math
 import random
 import zlib
 from collections import Counter
@@ -42,6 +43,23 @@ def test_probabilities_sum_to_one():
         assert np.exp(row[words.class_of[1:]] + words.log_share[1:]).sum() == pytest.approx(1, abs=1e-4)
 
 
+def test_words_beyond_the_vocabulary_have_their_own_share(spark, monkeypatch):
+    """All words of a bucket and the one never counted make up the bucket."""
+    monkeypatch.setattr(L, "VOCABULARY", 2)
+    bucket = lambda w: zlib.crc32(w.encode()) % L.BUCKETS
+    c, d, e, unseen = [w for w in (f"w{i}" for i in range(9000)) if bucket(w) == 5][:4]
+    other = next(w for w in (f"w{i}" for i in range(9000)) if bucket(w) != 5)
+    texts = [f"a a a a b b b b {c} {c} {c} {d} {d} {e} {other}", c, d, e, other, unseen, f"{d} a {e} {c}", None]
+    df = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+    words, counts = L.counted_words(df.filter("doc_id = 0"))
+    net = L.Network.fresh(words.size)
+    got = {r.doc_id: r.log_prob for r in L.scores(df, net, words, counts=counts).collect()}
+    own = {c: 3 / 7, d: 2 / 7, e: 1 / 7, unseen: 1 / 7, other: 1 / 2}
+    for i, t in enumerate(texts):
+        of_buckets = L.log_probabilities(net, words, [words.encode(t)]).sum()
+        assert got[i] == pytest.approx(of_buckets + sum(math.log(own.get(w, 1)) for w in (t or "").split()), abs=1e-5)
+
+
 def test_gradient_step_lowers_the_loss():
     rng = np.random.default_rng(1)
     net = L.Network.fresh(30)
