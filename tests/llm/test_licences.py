@@ -68,6 +68,30 @@ def test_own_licences_equal_plain_cosines(spark):
         "MIT", "MIT", "MIT", "BSD-3-Clause", "CC-BY-NC-4.0", "Apache-2.0", "GPL-2.0-or-later", "GPL-3.0-or-later"]
 
 
+def test_every_word_has_its_own_weight(spark):
+    """Words of no template weigh by their own document frequency."""
+    common = "yes we really like our weather"
+    line = "Yes, we really like: the code is released under the MIT License"
+    texts = [line, line.replace("Yes, we really like", "Xylophone quux zyzzy plugh"), MIT + "\nyes yes yes"] + [common] * 60
+    n = len(texts)
+    df = Counter(w for t in texts for w in set(words(t)))
+    idf = lambda w: math.log((n + 1) / (df[w] + 1)) + 1
+
+    def cosine(unit):
+        v = {w: c * idf(w) for w, c in Counter(words(unit)).items()}
+        size = math.sqrt(sum(x * x for x in v.values()))
+        out = []
+        for k, t in PAIRS:
+            y = {w: c * idf(w) for w, c in Counter(words(t)).items()}
+            out.append((sum(v.get(w, 0) * x for w, x in y.items()) / size / math.sqrt(sum(x * x for x in y.values())), k))
+        return max(out)
+
+    got = {r.doc_id: r for r in L.licence_scan(spark.createDataFrame([(i, None, t) for i, t in enumerate(texts)], SCHEMA), "doc_id").collect()}
+    assert cosine(texts[0])[0] >= L.LEAST > cosine(texts[1])[0]
+    assert (got[0].licence, got[0].cosine) == ("MIT", pytest.approx(cosine(texts[0])[0], abs=1e-8))
+    assert got[1].licence is None and got[5].licence is None and got[2].licence == "MIT"
+
+
 def test_inheritance(spark):
     rows = [
         (1, "LICENSE", MIT), (2, "a/COPYING.txt", f"{PROSE}\nReleased under the Apache License, Version 2.0."),
