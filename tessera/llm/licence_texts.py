@@ -1,5 +1,8 @@
-"""Notices and short licence texts by SPDX identifier. the
-wording of the public licences."""
+"""Notices, headers and licence texts by SPDX identifier. the
+wording of the public licences. ``licence_files`` has whole texts; a text that
+is the same for "only" and "or later" stands for the latter."""
+
+from pathlib import Path
 
 NOTICES: dict[str, list[str]] = {
     "MIT": [
@@ -69,7 +72,43 @@ NOTICES: dict[str, list[str]] = {
         Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any
         later version.""",
     ],
-    "AGPL-3.0-or-later": ["Licensed under the GNU Affero General Public License, version 3."],
+    "LGPL-3.0-or-later": [
+        "Licensed under the GNU Lesser General Public License, version 3.",
+        """This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General
+        Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any
+        later version.""",
+        """This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General
+        Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any
+        later version.""",
+    ],
+    "AGPL-3.0-or-later": [
+        "Licensed under the GNU Affero General Public License, version 3.",
+        """This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General
+        Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any
+        later version.""",
+    ],
+    "GPL-2.0-only": [
+        """This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public
+        License version 2 as published by the Free Software Foundation.""",
+        """This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public
+        License as published by the Free Software Foundation; version 2 of the License only.""",
+    ],
+    "GPL-3.0-only": [
+        """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public
+        License as published by the Free Software Foundation, version 3.""",
+    ],
+    "LGPL-2.1-only": [
+        """This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General
+        Public License as published by the Free Software Foundation; version 2.1.""",
+    ],
+    "LGPL-3.0-only": [
+        """This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General
+        Public License as published by the Free Software Foundation, version 3.""",
+    ],
+    "AGPL-3.0-only": [
+        """This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General
+        Public License as published by the Free Software Foundation, version 3.""",
+    ],
     "MPL-2.0": [
         "Released under the Mozilla Public License, version 2.0.",
         """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
@@ -86,3 +125,5 @@ NOTICES: dict[str, list[str]] = {
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
     "CC-BY-ND-4.0": ["Licensed under CC BY-ND 4.0.", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."],
 }
+for _file in sorted(Path(__file__).with_name("licence_files").glob("*.txt")):
+    NOTICES[_file.name.removesuffix(".txt")].insert(0, _file.read_text("utf-8"))

@@ -181,7 +181,8 @@ class Scanner:
 def own_licences(files: DataFrame) -> DataFrame:
     """Every column of ``files`` but the text, and what a file's own text
     says: ``own_licence``, ``cosine``, ``basis`` (whether a line, a paragraph
-    or the whole text has it), ``licences``."""
+    or the whole text has it), ``licences``, and ``whole``: whether the whole
+    text has a licence, also where a part of it is closer to a template."""
     known = templates()
     rest = [c for c in files.columns if c != "text"]
     n_files, df = document_frequencies(files, known)
@@ -211,13 +212,13 @@ def own_licences(files: DataFrame) -> DataFrame:
         units.drop("others").join(squares, ["row", "place"], "left").withColumn("cosine", cosine).filter(F.col("cosine") >= LEAST)
         .groupBy("row").agg(
             F.min(F.struct((-F.col("cosine")).alias("less"), "licence", "rank")).alias("first"),
-            F.array_sort(F.collect_set("licence")).alias("licences"),
+            F.array_sort(F.collect_set("licence")).alias("licences"), F.max(F.col("rank") == 0).alias("whole"),
         )
     )
     return rows.drop("units").join(of_row, "row", "left").select(
         *rest, F.col("first.licence").alias("own_licence"), (-F.col("first.less")).alias("cosine"),
         F.element_at(F.array(*map(F.lit, BASES)), F.col("first.rank") + 1).alias("basis"),
-        F.coalesce("licences", F.array().cast("array<string>")).alias("licences"),
+        F.coalesce("licences", F.array().cast("array<string>")).alias("licences"), F.coalesce("whole", F.lit(False)).alias("whole"),
     )
 
 
@@ -231,7 +232,7 @@ def licence_scan(files: DataFrame, id_col: str, path_col: str = "path", text_col
         F.col("path").isNotNull(), F.when(F.col("path").contains("/"), F.regexp_replace("path", "/[^/]*$", "")).otherwise("")))
     own = stored(own, "licences")
     named = F.regexp_extract("path", "[^/]*$", 0).rlike(LICENCE_NAME)
-    licence_files = own.filter(F.col("own_licence").isNotNull() & F.col("path").isNotNull() & ((F.col("basis") == "file") | named))
+    licence_files = own.filter(F.col("own_licence").isNotNull() & F.col("path").isNotNull() & (F.col("whole") | named))
     first = F.min(F.struct((-F.col("cosine")).alias("less"), "own_licence", "path")).alias("first")
     of_directory = licence_files.groupBy("directory").agg(first)
     depth = F.when(F.col("ancestor") == "", 0).otherwise(F.size(F.split("ancestor", "/")))

@@ -92,6 +92,27 @@ def test_every_word_has_its_own_weight(spark):
     assert got[1].licence is None and got[5].licence is None and got[2].licence == "MIT"
 
 
+def test_headers_and_whole_texts(spark):
+    """Headers that differ in a word or a version, and whole licence files
+    with a line of their own."""
+    program = "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU"
+    library = program.replace("program", "library")
+    later = "as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version."
+    only = "as published by\nthe Free Software Foundation, version 3."
+    headers = {
+        f"{program} General Public License {later}": "GPL-3.0-or-later", f"{program} Affero General Public License {later}": "AGPL-3.0-or-later",
+        f"{library} Lesser General Public License {later}": "LGPL-3.0-or-later", f"{program} General Public License {only}": "GPL-3.0-only",
+        f"{program} Affero General Public License {only}": "AGPL-3.0-only", f"{library} Lesser General Public License {only}": "LGPL-3.0-only",
+    }
+    whole = ["Apache-2.0", "GPL-2.0-or-later", "GPL-3.0-or-later", "LGPL-2.1-or-later", "LGPL-3.0-or-later", "MPL-2.0", "CC0-1.0"]
+    texts = [*headers, *(f"Copyright 2020 A. Person\n\n{NOTICES[k][0]}" for k in whole)]
+    wanted = [*headers.values(), *whole]
+    rows = [(i, f"d{i}/one.txt", t) for i, t in enumerate(texts)] + [(100 + i, f"d{i}/two.txt", PROSE) for i in range(len(texts))]
+    got = {r.doc_id: r for r in L.licence_scan(spark.createDataFrame(rows, SCHEMA), "doc_id").collect()}
+    assert [got[i].licence for i in range(len(texts))] == wanted
+    assert [got[100 + i].licence for i in range(len(headers), len(texts))] == whole
+
+
 def test_inheritance(spark):
     rows = [
         (1, "LICENSE", MIT), (2, "a/COPYING.txt", f"{PROSE}\nReleased under the Apache License, Version 2.0."),
