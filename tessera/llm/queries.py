@@ -15,6 +15,7 @@ from tessera.llm.common import table
 from tessera.llm.decontam import contamination_report
 from tessera.llm.licences import licence_scan
 from tessera.llm.lm_score import pseudo_likelihood
+from tessera.llm.merkle import manifest_report
 from tessera.llm.pii import pii_report
 from tessera.llm.quality import quality_report
 from tessera.llm.simhash import near_duplicates
@@ -69,6 +70,10 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licence_scan(docs.select("doc_id", path.alias("path"), "text"), "doc_id")
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -80,6 +85,7 @@ QUERIES: dict[str, QueryFn] = {
     "op8_warc_captures": op8_warc_captures,
     "op9_masked_lm_scores": op9_masked_lm_scores,
     "op10_licence_scan": op10_licence_scan,
+    "op13_merkle_manifest": op13_merkle_manifest,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -89,6 +95,22 @@ _SQL_WORDS = (
     "'[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
 )
 
+def _sql_field(value: str) -> str:
+    text = f"CAST({value} AS VARCHAR)"
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE octet_length(encode({text})) || ':' || {text} END"
+
+
+def _sql_leaf(text: str) -> str:
+    return f"sha256({' || '.join(map(_sql_field, ('doc_id', 'source', 'lang', 'n_chars', text)))})"
+
+
+#: CRC-32 of a decimal number, eight shifts a byte.
+_SQL_CRC32 = (
+    "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)), "
+    "lambda a, c: list_reduce([xor(a, c), 0, 0, 0, 0, 0, 0, 0, 0], "
+    "lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"
+)
+
 ORACLE: dict[str, str] = {
     "op2_benchmark_decontamination": f"""
 WITH d AS (SELECT doc_id, {_SQL_WORDS.format(text="coalesce(text, '')")} AS w FROM documents),
@@ -114,4 +136,39 @@ d AS (SELECT page_id, n, array_to_string(list_transform(range(0, 32), lambda i:
 f AS (SELECT *, min(page_id) OVER (PARTITION BY s, n) AS first_id FROM d)
 SELECT page_id, n AS payload_bytes, s AS payload_digest, CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to FROM f""",
+    "op13_merkle_manifest": f"""
+WITH RECURSIVE d AS (SELECT *, coalesce('=' || source, '') AS tree, {_SQL_CRC32} % 2 = 0 AS damaged FROM documents),
+l AS (SELECT doc_id, tree, {_sql_leaf("text")} AS leaf,
+             CASE WHEN damaged THEN {_sql_leaf("replace(text, chr(10), '')")} ELSE {_sql_leaf("text")} END AS copy FROM d),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+                  count(*) OVER (PARTITION BY tree) AS n FROM l),
+up AS (SELECT tree, 0 AS level, pos, n, leaf AS h FROM leaves
+       UNION ALL
+       SELECT tree, level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY pos))
+       FROM up WHERE n > 1 GROUP BY tree, level, pos // 3, n),
+subroots AS (SELECT tree, level, h, row_number() OVER (ORDER BY encode(tree)) - 1 AS pos, count(*) OVER () AS n FROM up WHERE n = 1),
+top AS (SELECT 0 AS level, pos, n, h FROM subroots
+        UNION ALL
+        SELECT level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY pos)) FROM top WHERE n > 1 GROUP BY level, pos // 3, n),
+root AS (SELECT h FROM top WHERE n = 1),
+steps AS (SELECT v.tree, v.pos, u.level, u.pos < v.pos // (3::BIGINT ** u.level)::BIGINT AS before, u.pos AS place, u.h
+          FROM leaves v JOIN up u ON u.tree = v.tree AND u.n > 1
+           AND u.pos // 3 = v.pos // (3::BIGINT ** (u.level + 1))::BIGINT AND u.pos <> v.pos // (3::BIGINT ** u.level)::BIGINT
+          UNION ALL
+          SELECT v.tree, v.pos, s.level + t.level, t.pos < s.pos // (3::BIGINT ** t.level)::BIGINT, t.pos, t.h
+          FROM leaves v JOIN subroots s ON s.tree = v.tree JOIN top t ON t.n > 1
+           AND t.pos // 3 = s.pos // (3::BIGINT ** (t.level + 1))::BIGINT AND t.pos <> s.pos // (3::BIGINT ** t.level)::BIGINT),
+proofs AS (SELECT tree, pos, sha256(string_agg(h, '' ORDER BY level, place)) AS p FROM steps GROUP BY tree, pos),
+sides AS (SELECT tree, pos, level, coalesce(string_agg(h, '' ORDER BY place) FILTER (before), '') AS b,
+                 coalesce(string_agg(h, '' ORDER BY place) FILTER (NOT before), '') AS a FROM steps GROUP BY tree, pos, level),
+heights AS (SELECT s.tree, s.level + (SELECT max(level) FROM top) AS height FROM subroots s),
+fold AS (SELECT tree, pos, 0 AS level, copy AS h FROM leaves
+         UNION ALL
+         SELECT f.tree, f.pos, f.level + 1, sha256(coalesce(s.b, '') || f.h || coalesce(s.a, ''))
+         FROM fold f JOIN heights USING (tree) LEFT JOIN sides s ON s.tree = f.tree AND s.pos = f.pos AND s.level = f.level
+         WHERE f.level < height),
+ends AS (SELECT f.tree, f.pos, f.h FROM fold f JOIN heights USING (tree) WHERE f.level = height)
+SELECT v.doc_id, v.leaf, s.h AS subroot, r.h AS root, coalesce(p.p, sha256('')) AS proof_sha256, e.h AS folded_root, e.h = r.h AS verified
+FROM leaves v JOIN subroots s USING (tree) JOIN ends e ON e.tree = v.tree AND e.pos = v.pos
+LEFT JOIN proofs p ON p.tree = v.tree AND p.pos = v.pos, root r""",
 }
