@@ -11,12 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.bpe import encoding_digests
+from tessera.llm.collocations import collocations
 from tessera.llm.common import table
 from tessera.llm.decontam import contamination_report
 from tessera.llm.licences import licence_scan
 from tessera.llm.lm_score import pseudo_likelihood
 from tessera.llm.merkle import manifest_report
 from tessera.llm.pii import pii_report
+from tessera.llm.pu_quality import quality_scores
 from tessera.llm.quality import quality_report
 from tessera.llm.simhash import near_duplicates
 from tessera.llm.token_counts import token_counts
@@ -70,6 +72,14 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licence_scan(docs.select("doc_id", path.alias("path"), "text"), "doc_id")
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.7)
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"), least=30, inside=80, top=2000)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest_report(table(spark, sf_dir, "documents"))
 
@@ -85,6 +95,8 @@ QUERIES: dict[str, QueryFn] = {
     "op8_warc_captures": op8_warc_captures,
     "op9_masked_lm_scores": op9_masked_lm_scores,
     "op10_licence_scan": op10_licence_scan,
+    "op11_quality_classifier": op11_quality_classifier,
+    "op12_phrase_collocations": op12_phrase_collocations,
     "op13_merkle_manifest": op13_merkle_manifest,
     "pipeline": corpus_pipeline.run,
 }
@@ -136,6 +148,27 @@ d AS (SELECT page_id, n, array_to_string(list_transform(range(0, 32), lambda i:
 f AS (SELECT *, min(page_id) OVER (PARTITION BY s, n) AS first_id FROM d)
 SELECT page_id, n AS payload_bytes, s AS payload_digest, CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to FROM f""",
+    "op12_phrase_collocations": r"""
+WITH p AS (SELECT doc_id, lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') AS w
+           FROM (SELECT doc_id, coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+                 FROM documents)),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM p GROUP BY lang),
+g AS (SELECT doc_id, lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+      FROM p, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k),
+f AS (SELECT lang, k, phrase, count(*) AS f, min(doc_id) AS first_doc FROM g GROUP BY lang, k, phrase HAVING count(*) >= 30),
+c AS (SELECT lang, k, phrase, f AS a, first_doc, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+cuts AS (SELECT *, array_to_string(w[:x], ' ') AS head, array_to_string(w[x + 1:], ' ') AS rest
+         FROM (SELECT *, unnest(range(1, k)) AS x FROM c)),
+scored AS (SELECT cuts.*, h.f AS l, t.f AS r, ((2000000::HUGEINT * a) // (h.f + t.f))::BIGINT AS score
+           FROM cuts JOIN f h ON h.lang = cuts.lang AND h.phrase = head JOIN f t ON t.lang = cuts.lang AND t.phrase = rest),
+worst AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, x) = 1),
+kept AS (SELECT * FROM worst s WHERE NOT EXISTS (
+           SELECT 1 FROM (SELECT lang, a, array_to_string(w[i:i + m - 1], ' ') AS part
+                          FROM (SELECT lang, a, w, k, m, unnest(range(1, k - m + 2)) AS i FROM c, (SELECT unnest([2, 3]) AS m) WHERE m < k)) b
+           WHERE b.lang = s.lang AND b.part = s.phrase AND 100::HUGEINT * b.a >= 80::HUGEINT * s.a)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score, first_doc FROM ranked JOIN totals USING (lang) WHERE rank <= 2000""",
     "op13_merkle_manifest": f"""
 WITH RECURSIVE d AS (SELECT *, coalesce('=' || source, '') AS tree, {_SQL_CRC32} % 2 = 0 AS damaged FROM documents),
 l AS (SELECT doc_id, tree, {_sql_leaf("text")} AS leaf,
