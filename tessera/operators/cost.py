@@ -41,16 +41,20 @@ def budget_snapshot(monitors: DataFrame, snapshot_ts) -> DataFrame:
 def metering_daily(history: DataFrame, target: DataFrame | None, lookback_days: int, as_of) -> DataFrame:
     """Daily rollup of the last ``lookback_days`` upserted into the daily
     table on (usage_date, warehouse_name) (CST-2)."""
+    src = recent_daily(history, lookback_days, as_of)
+    return src if target is None else merge_upsert(target, src, DAILY_KEY)
+
+
+DAILY_KEY = ["usage_date", "warehouse_name"]
+
+
+def recent_daily(history: DataFrame, lookback_days: int, as_of) -> DataFrame:
+    """Daily rollup of the last ``lookback_days``."""
     now = F.lit(as_of).cast("timestamp_ntz")
     recent = history.where(
         (F.col("start_time") >= now - F.expr(f"INTERVAL {int(lookback_days)} DAYS")) & F.col("warehouse_name").isNotNull()
     )
-    src = daily_rollup(recent, "start_time", ["warehouse_name"], DAILY_SUMS).withColumn(
-        "last_updated_ts", now
-    )
-    if target is None:
-        return src
-    return merge_upsert(target, src, ["usage_date", "warehouse_name"])
+    return daily_rollup(recent, "start_time", ["warehouse_name"], DAILY_SUMS).withColumn("last_updated_ts", now)
 
 
 def burn_rate(daily: DataFrame, as_of, warehouse: str, days: int = 7) -> DataFrame:

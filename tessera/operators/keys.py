@@ -155,25 +155,14 @@ def _unknown_row(df: DataFrame, fields: Sequence[tuple[str, str, object]]) -> Da
     return spark.range(1).select(*[F.lit(v).cast(t).alias(n) for n, t, v in fields])
 
 
-def build_name_dims(
+def dimension_members(
     df: DataFrame,
     specs: Sequence[tuple[str, str]],
-    materialize_fn=None,
     child: tuple[str, str, str] | None = None,
     numeric: tuple[str, str] | None = None,
-) -> dict[str, DataFrame]:
-    """Several dimensions in one pass: one scan emits (dimension, key,
-    sub-key) triples, one distinct, one numbering over the triples; each
-    dimension's ids then start at 1 by subtracting its first id (one row
-    per dimension, a bounded broadcast). Same result as ``build_dim`` per
-    ``(prefix, source column)`` in ``specs``, and optionally
-
-    * ``child = (prefix, source column, parent prefix)``: ``build_child_dim``
-      - ids ordered by (parent name, name), which is the order of (parent
-      id, name) because parent ids follow parent names;
-    * ``numeric = (prefix, source column)``: ``build_numeric_dim`` for an
-      integer column, carried as an order-preserving fixed-width text.
-    """
+) -> DataFrame:
+    """Distinct (``_dim``, ``_k1``, ``_k2``) of several dimensions in one scan;
+    see ``build_name_dims``."""
     parts = [
         F.struct(F.lit(prefix).alias("_dim"), normalize_name(src).alias("_k1"), F.lit("").alias("_k2"), non_blank(src).alias("_ok"))
         for prefix, src in specs
@@ -192,22 +181,29 @@ def build_name_dims(
             F.lit(n_prefix).alias("_dim"), F.lpad(shifted.cast("string"), 10, "0").alias("_k1"), F.lit("").alias("_k2"),
             F.col(n_src).isNotNull().alias("_ok"),
         ))
-    triples = df.select(F.explode(F.array(*parts)).alias("_p")).select("_p.*").where(F.col("_ok")).drop("_ok").distinct()
-    numbered = dense_ids(triples, ["_dim", "_k1", "_k2"], "_gid")
-    first = numbered.groupBy("_dim").agg(F.min("_gid").alias("_first"))
-    local = numbered.join(F.broadcast(first), "_dim").select(
-        "_dim", "_k1", "_k2", (F.col("_gid") - F.col("_first") + 1).alias("_id")
-    )
-    if child is not None:
-        # resolve each child row's parent id before the table is written,
-        # so reading a dimension later is a filter, never a join
-        c_prefix, _, p_prefix = child
-        parents = local.where(F.col("_dim") == p_prefix).select(F.col("_k1").alias("_pk"), F.col("_id").alias("_pid"))
-        local = local.join(parents, (F.col("_dim") == c_prefix) & (F.col("_k1") == F.col("_pk")), "left").drop("_pk")
-    else:
-        local = local.withColumn("_pid", F.lit(None).cast("long"))
-    if materialize_fn is not None:
-        local = materialize_fn(local)
+    return df.select(F.explode(F.array(*parts)).alias("_p")).select("_p.*").where(F.col("_ok")).drop("_ok").distinct()
+
+
+def with_parent_ids(local: DataFrame, child: tuple[str, str, str] | None) -> DataFrame:
+    """``_pid``, the id of a child member's parent; resolved before the
+    members are written, so reading a dimension later is a filter, never a
+    join."""
+    if child is None:
+        return local.withColumn("_pid", F.lit(None).cast("long"))
+    c_prefix, _, p_prefix = child
+    parents = local.where(F.col("_dim") == p_prefix).select(F.col("_k1").alias("_pk"), F.col("_id").alias("_pid"))
+    return local.join(parents, (F.col("_dim") == c_prefix) & (F.col("_k1") == F.col("_pk")), "left").drop("_pk")
+
+
+def dimensions_of(
+    local: DataFrame,
+    df: DataFrame,
+    specs: Sequence[tuple[str, str]],
+    child: tuple[str, str, str] | None = None,
+    numeric: tuple[str, str] | None = None,
+) -> dict[str, DataFrame]:
+    """The dimensions, unknown members included, from numbered members
+    (``_dim``, ``_k1``, ``_k2``, ``_id``, ``_pid``)."""
     out = {}
     for prefix, _ in specs:
         id_c, code_c, name_c = f"{prefix}_id", f"{prefix}_code", f"{prefix}_name"
@@ -238,6 +234,37 @@ def build_name_dims(
     return out
 
 
+def build_name_dims(
+    df: DataFrame,
+    specs: Sequence[tuple[str, str]],
+    materialize_fn=None,
+    child: tuple[str, str, str] | None = None,
+    numeric: tuple[str, str] | None = None,
+) -> dict[str, DataFrame]:
+    """Several dimensions in one pass: one scan emits (dimension, key,
+    sub-key) triples, one distinct, one numbering over the triples; each
+    dimension's ids then start at 1 by subtracting its first id (one row
+    per dimension, a bounded broadcast). Same result as ``build_dim`` per
+    ``(prefix, source column)`` in ``specs``, and optionally
+
+    * ``child = (prefix, source column, parent prefix)``: ``build_child_dim``
+      - ids ordered by (parent name, name), which is the order of (parent
+      id, name) because parent ids follow parent names;
+    * ``numeric = (prefix, source column)``: ``build_numeric_dim`` for an
+      integer column, carried as an order-preserving fixed-width text.
+    """
+    triples = dimension_members(df, specs, child, numeric)
+    numbered = dense_ids(triples, ["_dim", "_k1", "_k2"], "_gid")
+    first = numbered.groupBy("_dim").agg(F.min("_gid").alias("_first"))
+    local = numbered.join(F.broadcast(first), "_dim").select(
+        "_dim", "_k1", "_k2", (F.col("_gid") - F.col("_first") + 1).alias("_id")
+    )
+    local = with_parent_ids(local, child)
+    if materialize_fn is not None:
+        local = materialize_fn(local)
+    return dimensions_of(local, df, specs, child, numeric)
+
+
 #: shift that maps any 32-bit integer to a non-negative value whose
 #: zero-padded 10-digit text sorts in numeric order
 _INT_SHIFT = 2**31

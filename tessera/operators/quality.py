@@ -9,8 +9,9 @@ rules take an explicit ``as_of``.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tessera.functions.scalar import boundaries_between
@@ -97,6 +98,54 @@ def dq_null_any(df: DataFrame, cols: Sequence[str] = ("make", "model", "model_ye
     return error_rows(df.where(cond), *CLEAN_TAG, "NULL_CRITICAL_FIELD", ERROR_TEXT["NULL_CRITICAL_FIELD"])
 
 
+@dataclass(frozen=True)
+class RowRule:
+    """A check of single rows: those where ``broken`` is true are errors."""
+
+    error_type: str
+    broken: Column
+    layer: tuple[str, str] = CLEAN_TAG
+    text: str | None = None
+
+
+def with_known(df: DataFrame, ref: DataFrame, col: str = "make", ref_col: str = "manufacturer_name", flag: str = "_known") -> DataFrame:
+    """``df`` with a flag: whether the reference has the row's value."""
+    names = ref.select(F.col(ref_col).alias("_ref")).where("_ref IS NOT NULL").distinct()
+    return df.join(names, F.col(col) == F.col("_ref"), "left").withColumn(flag, F.col("_ref").isNotNull()).drop("_ref")
+
+
+def clean_rules(known: str | None = None, lo: float = 0, hi: float = 500,
+                critical: Sequence[str] = ("make", "model", "model_year")) -> list[RowRule]:
+    """The checks of the cleansed layer (DQ-2..4) as row rules; the orphan
+    check needs the flag of ``with_known``."""
+    rng = F.col("electric_range")
+    missing = F.lit(False)
+    for c in critical:
+        missing = missing | F.col(c).isNull()
+    rules = [RowRule("INVALID_RANGE", (rng < lo) | (rng > hi)), RowRule("NULL_CRITICAL_FIELD", missing)]
+    return rules + ([RowRule("ORPHAN_MAKE", ~F.col(known))] if known else [])
+
+
+def broken_rules(df: DataFrame, rules: Sequence[RowRule], observed: Observation | None = None) -> DataFrame:
+    """The rows that break rules in the quarantine layout, one row per rule
+    that a row breaks, from one scan of ``df`` (DQ-6): the violations of a row
+    are an array that is exploded once. ``observed`` gets the number of rows
+    (``rows``) and of broken rules by error type, once the result is used."""
+    if observed is not None:
+        counts = [F.count_if(F.coalesce(r.broken, F.lit(False))).alias(r.error_type) for r in rules]
+        df = df.observe(observed, F.count(F.lit(1)).alias("rows"), *counts)
+    found = [
+        F.when(r.broken, F.struct(*[F.lit(v).alias(n) for n, v in zip(
+            ("source_layer", "source_table", "error_type", "error_description"), (*r.layer, r.error_type, r.text or ERROR_TEXT[r.error_type]))]))
+        for r in rules
+    ]
+    values = [
+        (F.lit(None) if n == "dol_vehicle_id" or n not in df.columns else F.col(n)).cast(t).alias(n)
+        for n, t in ERROR_SCHEMA[4:]
+    ]
+    return df.select(F.explode(F.array_compact(F.array(*found))).alias("_v"), *values).select("_v.*", *[n for n, _ in ERROR_SCHEMA[4:]])
+
+
 def dq_duplicates(flat: DataFrame, key: str = "vin", existing: DataFrame | None = None) -> DataFrame:
     """Keys seen more than once: occurrence count, a sample make/model
     (MAX) and the sorted set of files; keys already stored are skipped

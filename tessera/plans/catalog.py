@@ -13,7 +13,7 @@ from tessera.operators.dedup import dedup_cdc
 from tessera.operators.joins import enrich_current
 from tessera.sources.cdc import normalize_ops, read_cdc
 from tessera.streaming.jobs import CdcStream
-from tessera.tables import delete_path
+from tessera.tables import delete_files
 
 CATALOG_KEY = ["catalog_id"]
 CATALOG_TRACKED = [
@@ -32,12 +32,14 @@ class CatalogTables(CdcStream):
 def sync_catalog(spark: SparkSession, landing: str, root: str, fmt: str = "parquet", consume: bool = True) -> bool:
     """One sync run: skip when nothing landed (CDC-3); otherwise dedup
     (DED-3), add to the change log and rebuild the touched keys' history
-    (CDC-1/4/5). The landed files are removed once both are written
-    (``consume``); a run repeated before that replaces its first attempt.
+    (CDC-1/4/5). The files that the run has read are removed once both are
+    written (``consume``), and no others: what lands meanwhile is the next
+    run's. A run repeated before that replaces its first attempt.
     Change time = ``source_timestamp`` (falling back to
     ``last_updated_at``), log position = ``lsn``. Returns whether there was
     anything to apply."""
     landed = read_cdc(spark, landing, fmt)
+    files = landed.inputFiles()  # listed once, when the reader was made
     if landed.isEmpty():
         return False
     changes = normalize_ops(landed).select(
@@ -48,11 +50,10 @@ def sync_catalog(spark: SparkSession, landing: str, root: str, fmt: str = "parqu
         *CATALOG_TRACKED,
     )
     tables = CatalogTables(root)
-    log, done = tables.log.batches(spark), tables.versions.batches(spark)
-    unfinished = bool(log) and log[-1] not in done
-    tables.handle(dedup_cdc(changes, CATALOG_KEY, "ts", "lsn"), log[-1] if unfinished else len(log))
+    log, done = tables.log.last(spark), tables.versions.last(spark)
+    tables.handle(dedup_cdc(changes, CATALOG_KEY, "ts", "lsn"), log if log > done else done + 1)
     if consume:
-        delete_path(spark, landing)
+        delete_files(spark, files, landing)
     return True
 
 

@@ -12,9 +12,10 @@ from tessera.operators import quality as Q
 from tessera.operators import scd2 as S
 from tessera.operators.flatten import flatten_nested
 from tessera.operators.joins import attach_scalars
+from tessera.operators.keys import dense_ids
 from tessera.plans import feeds
 from tessera.plans import medallion as M
-from tessera.plans.catalog import CatalogTables, sync_catalog
+from tessera.plans.catalog import CatalogTables, enriched_metrics, sync_catalog
 from tessera.plans.oracle_sql import with_flat
 from tessera.plans.q_cdc import AS_OF_SQL, HIST_CTE, KEYS, TRACKED, history, with_hist
 from tessera.plans.registrations import AS_OF, flat_registrations, landing_documents
@@ -22,6 +23,7 @@ from tessera.plans.registry import query
 from tessera.plans.semantic import consumption_rows, market_share, registration_model, suggested_questions, with_context
 from tessera.session import scratch_path
 from tessera.sources.cdc import CATALOG_CHANGE_SCHEMA
+from tessera.tables import materialize
 
 
 def catalog_landing(spark, sf_dir):
@@ -44,14 +46,18 @@ _WHOLE_HIST = HIST_CTE.replace("THEN value END", "THEN CAST(floor(value) AS BIGI
     "effective_end_at, is_current, closed_by FROM hist",
 )
 def q_catalog_sync(spark, sf_dir):
-    """Two syncs, the later half of the feed first, a redelivery of it, and
-    a sync with nothing landed (SRC-3, CDC-3)."""
+    """Two syncs, the later half of the feed first, both tables compacted, a
+    redelivery, the rest of the feed after it, and a sync with nothing landed
+    (SRC-3, CDC-3)."""
     root = scratch_path(spark, "catalog", uuid.uuid4().hex)
     landed = catalog_landing(spark, sf_dir)
-    late = F.dayofmonth("source_timestamp") > 15
-    for part in (late, ~late, late):
+    day = F.dayofmonth("source_timestamp")
+    for part in (day > 15, day <= 10, None, day > 15, day.between(11, 15)):
+        if part is None:
+            CatalogTables(root).compact(spark)
+            continue
         landed.where(part).write.parquet(f"{root}/landing")
-        sync_catalog(spark, f"{root}/landing", root)
+        assert sync_catalog(spark, f"{root}/landing", root)
     landed.limit(0).write.parquet(f"{root}/landing")
     assert not sync_catalog(spark, f"{root}/landing", root)
     return CatalogTables(root).history(spark).select(
@@ -223,6 +229,42 @@ def q_starter_top_districts(spark, sf_dir):
     return suggested_questions(registration_model(), clean)["top_districts"]
 
 
+@query(
+    "starter_counties_with_codes",
+    with_flat("SELECT county_name, counties, count(vin) AS total_vehicles FROM clean GROUP BY ALL"),
+)
+def q_starter_counties_with_codes(spark, sf_dir):
+    clean = M.clean_registrations(flat_registrations(spark, sf_dir))
+    return suggested_questions(registration_model(), clean)["counties_with_codes"]
+
+
+@query(
+    "enriched_metrics",
+    with_flat(f""", {_WHOLE_HIST.strip()},
+      names AS (SELECT make, row_number() OVER (ORDER BY make) AS i FROM (SELECT DISTINCT make FROM clean)),
+      metrics AS (SELECT make, ev_type, count(vin) AS total_vehicles, avg(electric_range) AS avg_range, max(base_msrp) AS max_msrp
+                  FROM clean GROUP BY ALL),
+      catalog AS (SELECT n.make, 'M' || h.k AS vehicle_class, h.tracked_value AS seating_capacity, h.effective_start_at AS cdc_synced_at
+                  FROM hist h JOIN names n ON n.i = h.catalog_id WHERE h.is_current)
+      SELECT m.make, ev_type, total_vehicles, round(avg_range, 6) AS avg_range, max_msrp, vehicle_class, seating_capacity, cdc_synced_at
+      FROM metrics m LEFT JOIN catalog c ON c.make = m.make"""),
+)
+def q_enriched_metrics(spark, sf_dir):
+    """Market metrics with the current catalog values of their make, after a
+    sync of the feed (JN-1). The first keys of the feed stand for the makes
+    in the order of their names."""
+    root = scratch_path(spark, "catalog", uuid.uuid4().hex)
+    metrics = materialize(M.fact_market_metrics(M.clean_registrations(flat_registrations(spark, sf_dir))))
+    names = dense_ids(metrics.select("make").distinct(), ["make"], "i")
+    landed = catalog_landing(spark, sf_dir)
+    named = landed.join(names, F.col("catalog_id") == F.col("i")).withColumns({"vehicle_class": F.col("manufacturer_name"), "manufacturer_name": F.col("make")})
+    named.select(landed.columns).write.parquet(f"{root}/landing")
+    sync_catalog(spark, f"{root}/landing", root)
+    found = enriched_metrics(metrics, CatalogTables(root).history(spark))
+    return found.withColumn("avg_range", F.round("avg_range", 6)).select(
+        "make", "ev_type", "total_vehicles", "avg_range", "max_msrp", "vehicle_class", "seating_capacity", "cdc_synced_at")
+
+
 @query(
     "starter_range_by_year",
     with_flat("SELECT model_year, round(avg(electric_range), 6) AS avg_electric_range, count(vin) AS total_vehicles FROM clean GROUP BY 1"),

@@ -210,3 +210,24 @@ def write_landing_files(spark: SparkSession, sf_dir: str, path: str, orders_per_
     body = F.to_json(F.struct(F.transform("rows", lambda x: x["row"]).alias("data")))
     out = docs.select(F.lpad(F.col("file_no").cast("string"), 6, "0").alias("file_key"), body.alias("value"))
     out.repartition("file_key").write.mode("append").partitionBy("file_key").text(path)
+
+
+def write_large_documents(spark: SparkSession, sf_dir: str, path: str, orders_per_file: int) -> None:
+    """Land the registrations as few large JSON documents, a record a line
+    between the first and the last: the records are sorted into their place,
+    and no document is held as one value. The fields before the records have
+    brackets of their own."""
+    lines = typed_lines(spark, sf_dir)
+    dol = F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("pos").cast("string"))
+    file_no = (F.col("l_orderkey") / F.lit(orders_per_file)).cast("long").alias("file_no")
+    records = lines.select(file_no, F.col("l_orderkey").alias("a"), F.col("pos").alias("b"), F.to_json(_row_array(dol)).alias("value"))
+    first = records.groupBy("file_no").agg(F.min(F.struct("a", "b")).alias("f"))
+    ends = records.select("file_no").distinct()
+    head = '{"meta": {"columns": [["id", "a]b"], ["\\\\"data\\\\": ["]], "data": [1, [2]]}, "data": ['
+    edge = lambda a, text: ends.select("file_no", F.lit(a).cast("long").alias("a"), F.lit(0).alias("b"), F.lit(text).alias("value"))
+    joined = records.join(first, "file_no").select(
+        "file_no", "a", "b", F.concat(F.when(F.struct("a", "b") == F.col("f"), F.lit("")).otherwise(F.lit(",")), "value").alias("value"))
+    every = joined.unionByName(edge(-1, head)).unionByName(edge(2**62, '], "count": [0]}'))
+    out = every.withColumn("file_key", F.lpad(F.col("file_no").cast("string"), 6, "0"))
+    placed = out.repartition("file_key").sortWithinPartitions("file_key", "a", "b")
+    placed.select("file_key", "value").write.mode("append").partitionBy("file_key").text(path)

@@ -32,4 +32,6 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from tessera.plans import q_analytics, q_cdc, q_cost, q_layers, q_operations, q_quality, q_star, q_streaming  # noqa: F401
+    from tessera.plans import (  # noqa: F401
+        q_analytics, q_cdc, q_cost, q_incremental, q_layers, q_operations, q_quality, q_star, q_streaming,
+    )

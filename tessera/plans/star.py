@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.joins import Lookup, denormalize, resolve_keys
+from tessera.operators.key_registry import KeyRegistry
 from tessera.operators.keys import build_name_dims, dense_ids
 from tessera.tables import materialize
 
@@ -31,16 +32,12 @@ class Star:
     fact: DataFrame
 
 
-#: a dimension with at most this many rows, by a count of the written
-#: table, is broadcast
-BROADCAST_ROWS = 2_000_000
-
-
 class Dims(dict):
     """Dimensions built on first use, all in one pass. With
-    ``materialize_dims`` they are written once (a dimension is a table,
-    joined by the fact and again by the denormalized base) and counted, one
-    row per dimension; each one's count decides on its own broadcast."""
+    ``materialize_dims`` they are written once: a dimension is a table,
+    joined by the fact and again by the denormalized base. Whether one is
+    broadcast is left to the planner, which knows the size of the written
+    table in bytes."""
 
     def __init__(self, flat: DataFrame, materialize_dims: bool = False, names: Sequence[str] | None = None):
         super().__init__()
@@ -51,21 +48,12 @@ class Dims(dict):
     def __missing__(self, prefix: str) -> DataFrame:
         if prefix not in self._names:
             raise KeyError(prefix)
-        sizes: dict[str, int] = {}
-
-        def store(df: DataFrame) -> DataFrame:
-            written = materialize(df)
-            sizes.update({r["_dim"]: r["count"] for r in written.groupBy("_dim").count().collect()})
-            return written
-
         together = build_name_dims(
             self._flat, [(p, c) for p, c in NAME_DIMS if p in self._names or p == "make" and "model" in self._names],
-            store if self._materialize else None,
+            materialize if self._materialize else None,
             child=("model", "model", "make") if "model" in self._names else None,
             numeric=("model_year", "model_year") if "model_year" in self._names else None,
         )
-        if self._materialize:
-            together = {k: F.broadcast(v) if sizes.get(k, 0) <= BROADCAST_ROWS else v for k, v in together.items()}
         self.update(together)
         return together[prefix]
 
@@ -130,9 +118,16 @@ def build_fact(flat: DataFrame, dims: dict[str, DataFrame], with_ids: bool = Tru
     )
 
 
-def build_star(flat: DataFrame, materialize_flat: bool = True, fact_ids: bool = True, names: Sequence[str] | None = None) -> Star:
+def key_registry(root: str) -> KeyRegistry:
+    """The registry of all eight dimensions."""
+    return KeyRegistry(root, NAME_DIMS, child=("model", "model", "make"), numeric=("model_year", "model_year"))
+
+
+def build_star(flat: DataFrame, materialize_flat: bool = True, fact_ids: bool = True, names: Sequence[str] | None = None,
+               dims: dict[str, DataFrame] | None = None) -> Star:
     """Dimensions ``names`` (all by default) and fact from the flattened
-    records with a VIN. The records feed the dimensions and the fact, so the
+    records with a VIN. ``dims`` are dimensions that exist already (of a
+    ``key_registry``); otherwise they are numbered from the records. The records feed the dimensions and the fact, so the
     columns that these read are written once, unless the input is a stored
     table already."""
     base = flat.where(F.col("vin").isNotNull())
@@ -141,7 +136,8 @@ def build_star(flat: DataFrame, materialize_flat: bool = True, fact_ids: bool =
         base = base.select(*[c for c in flat.columns if c in used or c in RECORD_COLUMNS])
     if materialize_flat:
         base = materialize(base)
-    dims = build_dims(base, materialize_dims=True, names=names)
+    if dims is None:
+        dims = build_dims(base, materialize_dims=True, names=names)
     return Star(dims, build_fact(base, dims, with_ids=fact_ids, names=names))
 
 

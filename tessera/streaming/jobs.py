@@ -14,15 +14,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tessera.operators import scd2
 from tessera.operators.dedup import latest_per_key
 from tessera.operators.flatten import PositionSpec, extract_positions, flatten
 from tessera.operators.filters import reject_null_keys
-from tessera.tables import BatchTable, newest_generation
+from tessera.streaming.history import CdcStream  # noqa: F401 - part of the jobs' interface
+from tessera.tables import BatchTable
 
 
 def json_document_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
@@ -84,6 +84,28 @@ class RegistrationStream:
         rows = self.latest.read(spark, upto)
         return None if rows is None else latest_per_key(rows, [self.key], self.order)
 
+    def schema(self, spark: SparkSession, batch_id: int):
+        return spark.read.parquet(self.latest.path(batch_id)).schema
+
+    def changes(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """What batch ``batch_id`` changed in the cleansed layer: the new
+        latest row of a key with ``sign`` 1 and the one that it replaces with
+        -1. Keys whose latest row stays are left out; of the older batches
+        only the rows of the batch's keys meet in the one shuffle."""
+        new = spark.read.parquet(self.latest.path(batch_id))
+        before = self.latest.read(spark, batch_id - 1)
+        if before is None:
+            return new.withColumn("sign", F.lit(1))
+        old = before.join(new.select(self.key), self.key, "left_semi").withColumn("_new", F.lit(0))
+        both = old.unionByName(new.withColumn("_new", F.lit(1)))
+        by_key = Window.partitionBy(self.key)
+        rank = F.row_number().over(by_key.orderBy(*self.order, F.col("_new").asc()))
+        # the second row of a key matters only as the best of the older ones
+        older = F.row_number().over(by_key.orderBy(F.col("_new").asc(), *self.order))
+        ranked = both.select("*", rank.alias("_rank"), older.alias("_older")).withColumn("_won", F.max(F.when(F.col("_rank") == 1, F.col("_new"))).over(by_key))
+        kept = ranked.where("_won = 1 AND (_rank = 1 OR (_new = 0 AND _older = 1))")
+        return kept.withColumn("sign", F.when(F.col("_new") == 1, 1).otherwise(-1)).drop("_new", "_rank", "_older", "_won")
+
     def compact(self, spark: SparkSession) -> None:
         self.latest.compact(spark, lambda rows: latest_per_key(rows, [self.key], self.order))
 
@@ -101,42 +123,6 @@ class RegistrationStream:
             cb(self, batch_id)
 
 
-class CdcStream:
-    """CDC micro-batches applied to an SCD2 history (STR-6, CDC-1/4/5).
-
-    A batch is added to the change log; then the versions of its keys are
-    rebuilt from their full log and added to the history as the keys' newest
-    generation. Files arriving late or out of order give the in-order
-    history, and only the touched keys are written.
-    """
-
-    def __init__(self, root: str, keys: Sequence[str], tracked: Sequence[str],
-                 ts: str = "ts", lsn: str = "lsn", op: str = "op"):
-        self.log = BatchTable(f"{root}/change_log")
-        self.versions = BatchTable(f"{root}/history")
-        self.keys, self.tracked = list(keys), list(tracked)
-        self.ts, self.lsn, self.op = ts, lsn, op
-
-    def history(self, spark: SparkSession, upto: int | None = None) -> DataFrame | None:
-        rows = self.versions.read(spark, upto, with_batch=True)
-        return None if rows is None else newest_generation(rows, self.keys)
-
-    def compact(self, spark: SparkSession) -> None:
-        self.versions.compact(spark, lambda rows: newest_generation(rows, self.keys))
-        self.log.compact(spark, lambda rows: scd2.change_log_merge(None, rows, self.keys, self.ts, self.lsn))
-
-    def handle(self, changes: DataFrame, batch_id: int) -> None:
-        spark = changes.sparkSession
-        if changes.isEmpty():
-            return  # nothing landed since the last run: skip (CDC-3)
-        self.log.write(scd2.change_log_merge(None, changes, self.keys, self.ts, self.lsn), batch_id)
-        touched = spark.read.parquet(self.log.path(batch_id)).select(*self.keys).distinct()
-        log = self.log.read(spark, batch_id).join(touched, self.keys, "left_semi")
-        self.versions.write(
-            scd2.versions_from_changes(log, self.keys, self.tracked, self.ts, self.lsn, self.op), batch_id
-        )
-
-
 class IssueAlerts:
     """Counts of new error rows and new duplicate keys per micro-batch of
     their feeds (``issue_stream``), and an alert row when there are any
@@ -222,18 +208,26 @@ def gold_refresh(root: str, as_of=None) -> Callable[[RegistrationStream, int], N
     return cb
 
 
-def dq_after_gold(root: str, as_of, manufacturers: DataFrame | None = None) -> Callable[[RegistrationStream, int], None]:
+def dq_after_gold(root: str, as_of, manufacturers: DataFrame | None = None, gold_tables=None) -> Callable[[RegistrationStream, int], None]:
     """``after_commit`` callback (STR-4, run after ``gold_refresh`` so the
     checks see the refreshed gold, D22): the full detection run over the
-    layers as they stand after the batch; only new content is added."""
+    layers as they stand after the batch; only new content is added. With
+    ``gold_tables`` (``streaming.gold.IncrementalGold``) gold is theirs, and
+    of the cleansed rows only those that the batch has replaced are checked."""
     from tessera.plans.dq_run import detect_errors
 
     def cb(job: RegistrationStream, batch_id: int) -> None:
         spark = SparkSession.getActiveSession()
-        clean = spark.read.parquet(f"{root}/gold/fact_registrations/snap={batch_id}")
-        gold = spark.read.parquet(f"{root}/gold/fact_market_metrics/snap={batch_id}")
+        changed = None
+        if gold_tables is not None:
+            clean, gold = gold_tables.detail(job, spark, batch_id), gold_tables.metrics(spark, batch_id)
+            changed = spark.read.parquet(gold_tables.changes.path(batch_id)).where("sign > 0")
+        else:
+            clean = spark.read.parquet(f"{root}/gold/fact_registrations/snap={batch_id}")
+            gold = spark.read.parquet(f"{root}/gold/fact_market_metrics/snap={batch_id}")
         detect_errors(
-            spark, job.raw.read(spark, batch_id), job.flat.read(spark, batch_id), clean, gold, f"{root}/dq", as_of, batch_id, manufacturers
+            job.raw.read(spark, batch_id), job.flat.read(spark, batch_id), spark.read.parquet(job.flat.path(batch_id)), clean, gold,
+            f"{root}/dq", as_of, batch_id, manufacturers, changed=changed,
         )
 
     return cb

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -123,19 +123,33 @@ class BatchTable:
     ``<root>/base=<number>``, from where readers go on.
     """
 
-    def __init__(self, root: str):
+    def __init__(self, root: str, partition_by: Sequence[str] = ()):
         self.root = root.rstrip("/")
+        self.partition_by = list(partition_by)
 
     def path(self, batch_id: int) -> str:
         return f"{self.root}/batch_id={batch_id}"
 
     def write(self, df: DataFrame, batch_id: int) -> None:
-        df.drop("batch_id").write.mode("overwrite").parquet(self.path(batch_id))
+        self._write(df, self.path(batch_id))
+
+    def _write(self, df: DataFrame, path: str) -> None:
+        rows = df.drop("batch_id")
+        if self.partition_by:
+            # a file per partition, more where one is large
+            rows.hint("rebalance", *self.partition_by).write.mode("overwrite").partitionBy(*self.partition_by).parquet(path)
+        else:
+            rows.write.mode("overwrite").parquet(path)
 
     def batches(self, spark: SparkSession) -> list[int]:
         """Numbers of the committed batches."""
         return committed_snapshots_named(spark, self.root, "batch_id")
 
+    def last(self, spark: SparkSession) -> int:
+        """The highest number written so far, compacted batches included; -1
+        before the first. New batches are numbered after it."""
+        return max([*self.batches(spark), *committed_snapshots_named(spark, self.root, "base")], default=-1)
+
     def read(self, spark: SparkSession, upto: int | None = None, with_batch: bool = False) -> DataFrame | None:
         """Rows of the committed batches with numbers up to ``upto`` (None:
         all); None if there is none."""
@@ -144,10 +158,10 @@ class BatchTable:
         later = [n for n in self.batches(spark) if inside(n) and (base is None or n > base)]
         parts = []
         if base is not None:
-            parts.append(spark.read.parquet(f"{self.root}/base={base}").withColumn("batch_id", F.lit(base)))
+            parts.append(spark.read.parquet(f"{self.root}/base={base}").withColumn("batch_id", F.lit(base).cast("long")))
         if later:
             found = spark.read.option("basePath", self.root).parquet(*map(self.path, later))
-            parts.append(found.withColumn("batch_id", F.col("batch_id").cast("int")))
+            parts.append(found.withColumn("batch_id", F.col("batch_id").cast("long")))
         if not parts:
             return None
         out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
@@ -160,7 +174,7 @@ class BatchTable:
         rows = self.read(spark, with_batch=True)
         if rows is None or not done:
             return
-        resolve(rows).drop("batch_id").write.mode("overwrite").parquet(f"{self.root}/base={done[-1]}")
+        self._write(resolve(rows), f"{self.root}/base={done[-1]}")
         for n in done:
             delete_path(spark, self.path(n))
         for n in committed_snapshots_named(spark, self.root, "base")[:-1]:
@@ -182,6 +196,41 @@ def delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def delete_files(spark: SparkSession, files: Iterable[str], root: str) -> None:
+    """Remove exactly ``files`` (names as Spark gives them, URIs), then the
+    folders up to ``root`` that they leave without any other file. What has
+    landed beside them since they were listed stays."""
+    jvm = spark._jvm
+    markers = re.compile(r"_SUCCESS|\..*\.crc")
+    fs, top = _fs(spark, root)
+    top = fs.makeQualified(top).toUri().getPath()
+    folders = set()
+    for name in files:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, False)
+        folders.add(path.getParent().toString())
+    while folders:
+        emptied = set()
+        for name in sorted(folders):
+            fs, path = _fs(spark, name)
+            if not fs.exists(path):
+                continue
+            left = list(fs.listStatus(path))
+            if any(x.isDirectory() or not markers.fullmatch(x.getPath().getName()) for x in left):
+                continue
+            for x in left:
+                fs.delete(x.getPath(), False)
+            fs.delete(path, False)
+            if path.toUri().getPath() != top:
+                emptied.add(path.getParent().toString())
+        folders = emptied
+
+
 def committed_snapshots_named(spark: SparkSession, root: str, prefix: str) -> list[int]:
     pat = re.compile(rf"{prefix}=(\d+)$")
     fs, p = _fs(spark, root)

@@ -217,3 +217,81 @@ def test_catalog_sync_and_enrichment(tmp_path, spark):
     empty = tmp_path / "landing" / "b3"
     spark.createDataFrame([], CATALOG_CHANGE_SCHEMA).write.parquet(str(empty))
     assert sync_catalog(spark, str(empty), root) is False
+
+
+def test_purge_keeps_files_that_no_run_has_loaded(tmp_path, spark, monkeypatch):
+    """The run fails after the raw table, another file lands, the next call
+    finishes the run; the file that landed between is the next run's."""
+    import tessera.plans.batch_run as B
+
+    as_of = "2024-01-31 00:00:00"
+    land = tmp_path / "landing" / "a b"
+    land.mkdir(parents=True)
+    (land / "f[1].json").write_text(json.dumps({"data": [_row("V1", "TESLA", "2020", "200")]}))
+    real = B.refresh
+    monkeypatch.setattr(B, "refresh", lambda *a, **k: 1 / 0)
+    go = lambda: run_batch(spark, str(tmp_path / "landing"), str(tmp_path / "wh"), as_of, SPEC, purge=True)
+    with pytest.raises(ZeroDivisionError):
+        go()
+    monkeypatch.setattr(B, "refresh", real)
+    (land / "f%202.json").write_text(json.dumps({"data": [_row("V2", "KIA", "2021", "20")]}))
+    assert go().run_no == 0
+    assert [p.name for p in land.iterdir() if p.suffix == ".json"] == ["f%202.json"]
+    res = go()
+    assert res.run_no == 1 and not (tmp_path / "landing").exists()
+    assert rows(spark.read.parquet(res.tables["clean"]), "vin") == [("V1",), ("V2",)]
+    assert go().run_no == 1  # nothing has landed
+
+
+def test_loaded_files_are_not_opened_again(tmp_path, spark):
+    as_of = "2024-01-31 00:00:00"
+    land = tmp_path / "landing"
+    land.mkdir()
+    (land / "f1.json").write_text(json.dumps({"data": [_row("V1", "TESLA", "2020", "200")]}))
+    run_batch(spark, str(land), str(tmp_path / "wh"), as_of, SPEC)
+    (land / "f1.json").write_text("{ no document")
+    (land / "f2.json").write_text(json.dumps({"data": [_row("V2", "KIA", "2021", "20")]}))
+    res = run_batch(spark, str(land), str(tmp_path / "wh"), as_of, SPEC)
+    assert rows(spark.read.parquet(res.tables["clean"]), "vin") == [("V1",), ("V2",)]
+
+
+def test_sync_after_compaction_and_files_that_land_during_a_sync(tmp_path, spark, monkeypatch):
+    import tessera.plans.catalog as C
+    from tessera.sources.cdc import CATALOG_CHANGE_SCHEMA
+
+    landing, root = str(tmp_path / "landing"), str(tmp_path / "catalog")
+
+    def land(*data):
+        full = [(cid, 1, "T", "US", cls, "car", "ev", "auto", 5, ts, ts, "UPDATE", lsn) for cid, cls, ts, lsn in data]
+        spark.createDataFrame(full, CATALOG_CHANGE_SCHEMA).write.mode("append").parquet(landing)
+
+    land((1, "SUV", dt(2024, 1, 1), 1), (2, "CAR", dt(2024, 1, 1), 2))
+    assert C.sync_catalog(spark, landing, root)
+    land((1, "VAN", dt(2024, 1, 2), 3))
+    assert C.sync_catalog(spark, landing, root)
+    C.CatalogTables(root).compact(spark)
+    land((1, "BUS", dt(2024, 1, 3), 4))
+    assert C.sync_catalog(spark, landing, root)
+    want = [(1, "BUS", True), (1, "SUV", False), (1, "VAN", False), (2, "CAR", True)]
+    got = lambda: rows(C.CatalogTables(root).history(spark), "catalog_id", "vehicle_class", "is_current")
+    assert got() == want
+    land((2, "COUPE", dt(2024, 1, 4), 5))
+    real = C.CatalogTables.handle
+
+    def handle(self, changes, batch_id):
+        real(self, changes, batch_id)
+        land((2, "WAGON", dt(2024, 1, 5), 6))  # lands while the sync runs
+
+    monkeypatch.setattr(C.CatalogTables, "handle", handle)
+    assert C.sync_catalog(spark, landing, root)
+    monkeypatch.setattr(C.CatalogTables, "handle", real)
+    assert C.sync_catalog(spark, landing, root)
+    assert got() == [(1, "BUS", True), (1, "SUV", False), (1, "VAN", False), (2, "CAR", False), (2, "COUPE", False), (2, "WAGON", True)]
+    # a sync that fails between the log and the history is finished by the next
+    land((3, "SUV", dt(2024, 1, 6), 7))
+    write = C.CatalogTables(root).versions.write.__func__
+    monkeypatch.setattr("tessera.tables.BatchTable.write", lambda self, df, n: 1 / 0 if self.root.endswith("history") else write(self, df, n))
+    with pytest.raises(ZeroDivisionError):
+        C.sync_catalog(spark, landing, root)
+    monkeypatch.setattr("tessera.tables.BatchTable.write", write)
+    assert C.sync_catalog(spark, landing, root) and (3, "SUV", True) in got()

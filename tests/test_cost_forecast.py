@@ -127,8 +127,30 @@ def test_refresh_cost_runs_twice(tmp_path, spark):
         "suspend_percent double, suspend_immediate_percent double, owner string, warehouses string")
     root = str(tmp_path / "cost")
     refresh_cost(spark, monitors, metering(spark), root, "2024-01-20 00:00:00", "WH_A")
-    out = refresh_cost(spark, monitors, metering(spark), root, "2024-01-31 00:00:00", "WH_A")
+    for _ in range(2):  # a repeated run adds nothing
+        out = refresh_cost(spark, monitors, metering(spark), root, "2024-01-31 00:00:00", "WH_A")
     brief = out["brief"].collect()
     assert len(brief) == 1 and brief[0]["snapshot_ts"] == dt(2024, 1, 31)
     assert spark.read.parquet(root + "/cost_situation").count() == 2
     assert out["daily"].select("usage_date").distinct().count() == out["daily"].count() / 2
+
+
+def test_merge_replaces_touched_partitions_only(tmp_path, spark):
+    """Older days' files stay; rows of touched days that the source lacks
+    stay; a run that fails while it puts partitions in place is finished."""
+    from tessera.operators import merge as M
+
+    root, schema = str(tmp_path / "t"), "day int, k string, v int"
+    first = [(d, k, d * 10) for d in (1, 2, 3) for k in "ab"]
+    M.merge_partitions(spark.createDataFrame(first, schema), root, ["day", "k"], "day", 1)
+    files = lambda day: sorted((f.name, f.stat().st_mtime_ns) for f in (tmp_path / "t/table" / f"day={day}").glob("*.parquet"))
+    before = {d: files(d) for d in (1, 2, 3)}
+    source = spark.createDataFrame([(3, "a", 99), (4, "c", 1)], schema)
+    want = [(1, "a", 10), (1, "b", 10), (2, "a", 20), (2, "b", 20), (3, "a", 99), (3, "b", 30), (4, "c", 1)]
+    for _ in range(2):
+        assert rows(M.merge_partitions(source, root, ["day", "k"], "day", 2), "day", "k", "v") == want
+    assert files(1) == before[1] and files(2) == before[2] and files(3) != before[3]
+    # the partitions are lost half way: the staged rows of the run bring them back
+    import shutil
+    shutil.rmtree(tmp_path / "t/table/day=3")
+    assert rows(M.merge_partitions(source, root, ["day", "k"], "day", 2), "day", "k", "v") == want

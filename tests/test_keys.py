@@ -126,3 +126,41 @@ def test_dense_ids_are_exactly_1_to_n(spark, partitions):
     assert tuple(stats) == (1, n, n, n)
     w = Window.partitionBy((F.col("rid") / 10_000).cast("int")).orderBy("rid")
     assert got.withColumn("p", F.lag("k").over(w)).where("k <= p").count() == 0
+
+
+def test_registered_ids_stay(tmp_path, spark):
+    """Names in three runs, one of them repeated: ids never change, new ones
+    follow the highest, children and numbers included."""
+    from tessera.operators.key_registry import KeyRegistry
+
+    schema = "make string, model string, model_year int"
+    runs = [[("B", "m2", 2021), ("D", "m1", 2019), (None, "m9", 2019)], [("A", "m1", 2020), ("b ", "m1", 2021), ("D", "m1", -5), ("", "x", None)],
+            [("C", None, 2018), ("A", "m0", 2020)]]
+    reg = KeyRegistry(str(tmp_path), [("make", "make")], child=("model", "model", "make"), numeric=("model_year", "model_year"))
+    given = {}
+    for n, data in enumerate(runs):
+        df = spark.createDataFrame(data, schema)
+        reg.register(df, n)
+        if n == 1:
+            reg.register(df, n)
+        dims = reg.dimensions(spark, df)
+        now = {p: {r[2:] if p != "model" else (r[1], r[3]): r[0] for r in map(tuple, d.collect())} for p, d in dims.items()}
+        for p, ids in now.items():
+            assert given.get(p, {}).items() <= ids.items() and sorted(ids.values()) == list(range(len(ids)))
+        given = now
+    assert given["make"] == {("UNKNOWN",): 0, ("B",): 1, ("D",): 2, ("A",): 3, ("C",): 4}
+    assert given["model_year"] == {(None,): 0, (2019,): 1, (2021,): 2, (-5,): 3, (2020,): 4, (2018,): 5}
+    # (make id, model): the first run's in the order of their makes' names, then A's and B's of the second
+    assert given["model"] == {(0, "UNKNOWN"): 0, (1, "M2"): 1, (2, "M1"): 2, (3, "M1"): 3, (1, "M1"): 4, (3, "M0"): 5}
+
+
+def test_one_run_of_the_registry_equals_a_plain_build(tmp_path, spark):
+    from tessera.operators.key_registry import KeyRegistry
+
+    df = names_messy(spark)
+    kw = dict(child=("model", "model", "make"), numeric=("model_year", "model_year"))
+    reg = KeyRegistry(str(tmp_path), [("make", "make")], **kw)
+    reg.register(df, 0)
+    built = build_name_dims(df, [("make", "make")], **kw)
+    for prefix, dim in reg.dimensions(spark, df).items():
+        assert rows(dim) == rows(built[prefix])

@@ -44,13 +44,19 @@ def test_top_n_does_not_sort_everything(spark):
     assert "TakeOrderedAndProject" in plan
 
 
-def test_star_joins_broadcast_measured_dimensions(spark):
+def test_star_joins_broadcast_dimensions_of_known_size(spark):
     star = S.build_star(flat_registrations(spark, SF, via_json=False))
     base = S.denorm_base(star)
     planned = base._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in planned  # broadcast chosen up front, not after a shuffle
     plan = final_plan(base)
     assert plan.count("BroadcastHashJoin") >= 16
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:  # no hint: dimensions above the threshold are shuffled
+        assert "BroadcastHashJoin" not in S.denorm_base(star)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_single_row_summaries_are_scalar_subqueries(spark):

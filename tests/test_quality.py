@@ -130,14 +130,16 @@ def test_detection_run_appends_only_new(tmp_path, spark):
     gold = df.groupBy("make", "ev_type").agg(F.count("vin").alias("total_vehicles"))
     raw = spark.createDataFrame([("d",)], "doc string")
     root = str(tmp_path / "dq")
-    first = detect_errors(spark, raw, flat, df, gold, root, "2024-01-31 00:00:00", 1)
-    again = detect_errors(spark, raw, flat, df, gold, root, "2024-01-31 01:00:00", 2)
-    everything = detect_errors(spark, raw, flat, df, gold, root, "2024-01-31 02:00:00", 3, mode="append_all")
+    go = lambda new, hour, n, **kw: detect_errors(raw, flat, new, df, gold, root, f"2024-01-31 0{hour}:00:00", n, **kw)
+    first = go(flat, 0, 1)
+    again = go(flat.limit(0), 1, 2)
+    everything = go(flat.limit(0), 2, 3, mode="append_all")
+    assert first.checked == {"rows": 7, "INVALID_RANGE": 2, "NULL_CRITICAL_FIELD": 2}
     assert (first.new_duplicates, first.new_errors) == (1, 4)
     assert (again.new_duplicates, again.new_errors) == (0, 0)
     assert everything.new_errors == 4
     assert first.reconciliation["bronze_unique_vins"] == 7
-    repeated = detect_errors(spark, raw, flat, df, gold, root, "2024-01-31 00:00:00", 1)  # replaces its first attempt
+    repeated = go(flat, 0, 1)  # replaces its first attempt
     assert (repeated.new_duplicates, repeated.new_errors) == (1, 4)
     assert spark.read.parquet(f"{root}/error_rows").count() == 8
 
@@ -146,3 +148,61 @@ def test_share_rule_allows_rounding_only(spark):
     shares = [("thirds", 33.33, 1)] * 3 + [("missing", 48.0, 1), ("missing", 48.0, 1), ("negative", 100.0, -1)]
     got = Q.share_rule_violations(spark.createDataFrame(shares, "g string, pct double, n long"), ["g"], "pct", "n")
     assert rows(got, "g") == [("missing",), ("negative",)]
+
+
+def test_broken_rules_equal_single_checks(spark):
+    """One scan gives what one scan per check gives; observed counts are
+    those of the rows."""
+    from pyspark.sql import Observation
+
+    df = registrations_dq(spark)
+    mfg = spark.createDataFrame([("TESLA",), ("KIA",), (None,)], "manufacturer_name string")
+    seen = Observation()
+    found = Q.broken_rules(Q.with_known(df, mfg), Q.clean_rules("_known"), seen)
+    single = Q.dq_out_of_range(df).unionByName(Q.dq_orphan(df, mfg)).unionByName(Q.dq_null_any(df))
+    assert rows(found.select(single.columns)) == rows(single)
+    assert seen.get == {"rows": 7, "INVALID_RANGE": 2, "NULL_CRITICAL_FIELD": 2, "ORPHAN_MAKE": 2}
+    empty = Observation()
+    assert Q.broken_rules(df.limit(0), Q.clean_rules(), empty).collect() == [] and empty.get["rows"] == 0
+
+
+def test_running_duplicates(tmp_path, spark):
+    """Three runs, the second repeated: each duplicate is found once, by the
+    run that makes it one; counts and files are those of all rows."""
+    import random
+
+    from tessera.operators.duplicates import RunningDuplicates
+
+    rng = random.Random(3)
+    schema = "vin string, make string, model string, source_file string"
+    runs = [[(rng.choice([None, *"ABCDEFGHIJ"]), rng.choice("xy"), rng.choice([None, "m", "n"]), f"f{n}{rng.randrange(2)}") for _ in range(6)] for n in range(3)]
+    state = RunningDuplicates(str(tmp_path))
+    known, seen = set(), []
+    for n, data in enumerate(runs):
+        df = spark.createDataFrame(data, schema)
+        seen += data
+        whole = {r.vin: r for r in Q.dq_duplicates(spark.createDataFrame(seen, schema)).collect()}
+        for _ in range(2 if n == 1 else 1):
+            got = state.detect(df, n).collect()
+        assert {r.vin for r in got} == set(whole) - known
+        for r in got:
+            w = whole[r.vin]
+            assert (r.occurrence_count, r.make, r.model, r.source_file_count) == (w.occurrence_count, w.make, w.model, len(w.source_files))
+        known |= set(whole)
+        assert rows(state.duplicates(spark), "vin", "occurrence_count") == sorted((k, w.occurrence_count) for k, w in whole.items())
+        assert rows(state.duplicate_files(spark), "vin", "source_file") == sorted((k, f) for k, w in whole.items() for f in w.source_files)
+        if n == 1:
+            state.compact(spark)
+    assert len(known) > 3
+
+
+def test_run_rules(spark):
+    from tessera.operators.run_rules import run_metrics, run_violations
+
+    docs = {1: ['{"a": 1, "b": "x"}'] * 10, 2: ['{"a": 1}'] * 7, 3: ['{"a": "1", "b": 2}'] * 6 + ['{"b": null}'], 4: ['{"a": "2", "b": 2}'] * 30}
+    df = spark.createDataFrame([(n, t) for n, ts in docs.items() for t in ts], "run int, t string").withColumn("value", F.parse_json("t"))
+    m = run_metrics(df, F.lit("T"), F.col("run"), {"a": "$.a", "b": "$.b"})
+    assert rows(m.where("run_no = 3"), "field", "n_rows", "n_missing", "types") == [(None, 7, 0, []), ("a", 7, 1, ["STRING"]), ("b", 7, 1, ["BIGINT"])]
+    got = rows(run_violations(m), "run_no", "field", "rule", "previous", "current")
+    assert got == [(2, None, "ROW_COUNT_DROP", "10", "7"), (2, "b", "FIELD_LOST", "STRING", ""), (3, "a", "MISSING_RISE", "0", "1"),
+                   (3, "a", "TYPE_CHANGED", "BIGINT", "STRING"), (3, "b", "FIELD_ADDED", "", "BIGINT")]
