@@ -20,11 +20,12 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -34,7 +35,7 @@ from pyspark.sql import types as T
 from tessera.llm.bounded import BoundedCache
 from tessera.llm.common import require, small_batches
 
-CACHED = 100_000  # encodings kept per generation in a worker
+CACHED = 100_000  # encodings kept per generation in a worker, unless asked otherwise
 LONG_PRE_TOKEN = 256  # characters; longer ones are not kept
 BLOCK_CHARS = 1 << 20  # of a long text handled at a time
 
@@ -43,19 +44,21 @@ class Vocabulary:
     """Byte strings by rank (the token number), their splits and the test
     whether two tokens may stand side by side."""
 
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, ranks: dict[bytes, int], cached: int | None = None):
         self.ranks = ranks
         self.bytes = [b""] * (max(ranks.values()) + 1)
         for b, r in ranks.items():
             self.bytes[r] = b
         self.longest = max(map(len, ranks))
         self.splits: dict[int, tuple[int, int] | None] = {}
-        self.apart = BoundedCache(CACHED)
+        self.apart = BoundedCache(CACHED if cached is None else cached)
+        # tokens that merges never give end no prefix's encoding
+        unreachable = {b for b, r in ranks.items() if len(b) > 1 and self._parts_before(b, r) is None}
+        self.reachable = {b: r for b, r in ranks.items() if b not in unreachable}
         self.endings = ahocorasick.Automaton()
-        for b, r in ranks.items():
+        for b, r in self.reachable.items():
             self.endings.add_word(b.decode("latin-1"), (r, len(b)))
         self.endings.make_automaton()
-        self.unreachable = {r for b, r in ranks.items() if len(b) > 1 and self._parts_before(b, r) is None}
 
     def _parts_before(self, b: bytes, rank: int) -> tuple[int, int] | None:
         """The two tokens whose merge gives the token, or None if merges
@@ -111,6 +114,34 @@ class Vocabulary:
                 return True
 
 
+    def encode(self, data: bytes) -> tuple[int, ...]:
+        """The encoding of ``data`` by a table of last tokens that is filled
+        once; ``PrefixEncoding`` keeps such a table for appends and edits."""
+        whole = self.reachable.get(data)
+        if whole is not None:
+            return (whole,)
+        last, at, apart = [-1] * (len(data) + 1), 0, self.apart
+        for end, (token, size) in self.endings.iter(data.decode("latin-1")):
+            end += 1
+            if end == at:
+                continue  # a longer match was the one
+            if end > size:
+                key = (last[end - size], token)
+                fits = apart.young.get(key)
+                if not (self.stay_apart(*key) if fits is None else fits):
+                    continue
+            last[end] = token
+            at = end
+        if at != len(data):
+            raise ValueError("the vocabulary lacks a byte")
+        out, strings = [], self.bytes
+        while at:
+            token = last[at]
+            out.append(token)
+            at -= len(strings[token])
+        return tuple(out[::-1])
+
+
 class PrefixEncoding:
     """The table of last tokens of one byte string. ``last[i]`` belongs to
     the prefix of ``i`` bytes."""
@@ -128,7 +159,7 @@ class PrefixEncoding:
         at = start
         for end, (token, size) in v.endings.iter(window):
             end += base + 1
-            if end <= at or token in v.unreachable:
+            if end <= at:
                 continue  # before the start, or a longer match was the one
             before = last[end - size]
             if end == size or v.stay_apart(before, token):
@@ -173,56 +204,64 @@ class PrefixEncoding:
 
 
 class TextEncoder:
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.vocabulary = Vocabulary(ranks)
+    """Encodings of texts; those of up to ``cached`` words and pre-tokens are
+    kept per generation, packed as four bytes a number."""
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str, cached: int | None = None):
+        self.vocabulary = Vocabulary(ranks, cached)
         self.pattern = regex.compile(pattern)
-        self.pre_tokens = BoundedCache(CACHED)
-        self.pieces = BoundedCache(CACHED)
+        self.pre_tokens = BoundedCache(CACHED if cached is None else cached)
+        self.pieces = BoundedCache(CACHED if cached is None else cached)
         self.line_feed = self._pre_token("\n")
 
-    def _pre_token(self, text: str) -> tuple[int, ...]:
+    def _pre_token(self, text: str, keep: bool = True) -> bytes:
         found = self.pre_tokens.young.get(text) or self.pre_tokens.get(text)
         if found is None:
-            found = tuple(PrefixEncoding(self.vocabulary, text.encode("utf-8", "surrogatepass")).tokens())
-            if len(text) <= LONG_PRE_TOKEN:
+            numbers = self.vocabulary.encode(text.encode("utf-8", "surrogatepass"))
+            found = struct.pack(f"<{len(numbers)}i", *numbers)
+            if keep and len(text) <= LONG_PRE_TOKEN:
                 self.pre_tokens.put(text, found)
         return found
 
-    def _slow(self, text: str) -> list[int]:
-        found = (m.group() for m in self.pattern.finditer(text)) if self.pattern.groups else self.pattern.findall(text)
-        return list(chain.from_iterable(map(self._pre_token, found)))
+    def _cut(self, text: str) -> list[str]:
+        return [m.group() for m in self.pattern.finditer(text)] if self.pattern.groups else self.pattern.findall(text)
+
+    def _slow(self, text: str) -> bytes:
+        return b"".join(map(self._pre_token, self._cut(text)))
 
-    def _piece(self, piece: str) -> tuple[int, ...] | None:
+    def _piece(self, piece: str) -> bytes | None:
         """A word with the space or line feed before it, or None if there is
         other white space in it."""
         text = piece if piece.startswith("\n") else f" {piece}"
         rest = text[1:]
         if not rest or rest.split() != [rest]:
             return None
-        found = tuple(self._slow(text))
+        cut = self._cut(text)
+        # a word that is one pre-token is kept once, as a word
+        found = b"".join([self._pre_token(t, len(cut) > 1) for t in cut])
         if len(text) <= LONG_PRE_TOKEN:
             self.pieces.put(piece, found)
         return found
 
-    def encode_block(self, text: str) -> list[int]:
+    def encode_block(self, text: str) -> bytes:
         """Where all white space is single spaces and line feeds between
         words, the pattern never crosses from a word to the space after it:
         words with what stands before them are looked up whole."""
         pieces = f"\n{text}".replace("\n", " \n").split(" ")
         del pieces[0]
-        young = self.pieces.young
-        out = []
-        for p in pieces:
-            found = young.get(p)
-            if found is None:
-                found = self.pieces.get(p) or self._piece(p)
+        out = list(map(self.pieces.young.get, pieces))
+        if None in out:
+            pieces_ = self.pieces
+            for i, found in enumerate(out):
                 if found is None:
-                    return self._slow(text)
-                young = self.pieces.young
-            out.append(found)
-        return list(chain.from_iterable(out))[len(self.line_feed) :]
-
-    def encode_blocks(self, text: str) -> Iterator[list[int]]:
+                    p = pieces[i]
+                    found = pieces_.get(p) or self._piece(p)
+                    if found is None:
+                        return self._slow(text)
+                    out[i] = found
+        return b"".join(out)[len(self.line_feed) :]
+
+    def encode_blocks(self, text: str) -> Iterator[np.ndarray]:
         """Encodings of the parts of a text, cut before single spaces
         between other characters."""
         at = 0
@@ -231,11 +270,14 @@ class TextEncoder:
             while end < len(text) and not (text[end] == " " and not text[end - 1].isspace() and not text[end + 1 : end + 2].isspace()):
                 end += 1
             part = text[at:end]
-            yield self._slow(part) if at else self.encode_block(part)
+            yield np.frombuffer(self._slow(part) if at else self.encode_block(part), dtype="<i4")
             at = end
 
     def encode(self, text: str | None) -> list[int]:
-        return list(chain.from_iterable(self.encode_blocks(text or "")))
+        return self.encode_array(text).tolist()
+
+    def encode_array(self, text: str | None) -> np.ndarray:
+        return np.concatenate([np.zeros(0, "<i4"), *self.encode_blocks(text or "")])
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.vocabulary.bytes.__getitem__, ids))
@@ -247,13 +289,14 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 @lru_cache(maxsize=2)
-def text_encoder(path: str, pattern: str) -> TextEncoder:
-    return TextEncoder(read_ranks(path), pattern)
+def text_encoder(path: str, pattern: str, cached: int | None = None) -> TextEncoder:
+    return TextEncoder(read_ranks(path), pattern, cached)
 
 
 def encoded(docs: DataFrame, ranks_file: str, pattern: str, text_col: str = "text", into: str = "token_ids") -> DataFrame:
     """``docs`` with the token numbers as an array column. ``ranks_file``
-    must be readable where tasks run."""
+    must be readable where tasks run; a worker keeps at most ``3 * CACHED``
+    encodings and as many older ones."""
     require(docs, [text_col])
     small_batches(docs.sparkSession)
     if into in docs.columns:
@@ -264,7 +307,9 @@ def encoded(docs: DataFrame, ranks_file: str, pattern: str, text_col: str = "tex
         encoder = text_encoder(ranks_file, pattern)
         for b in batches:
             for part in (b.slice(i, 256) for i in range(0, b.num_rows, 256)):
-                ids = pa.array([encoder.encode(t.as_py()) for t in part.column(text_col)], pa.list_(pa.int32()))
+                each = [encoder.encode_array(t.as_py()) for t in part.column(text_col)]
+                ends = np.cumsum([0, *map(len, each)], dtype=np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, "<i4"), *each]), pa.int32()))
                 yield pa.RecordBatch.from_arrays([*part.columns, ids], names=schema.names)
 
     return docs.mapInArrow(run, schema)
@@ -287,10 +332,11 @@ def decoded(rows: DataFrame, ranks_file: str, pattern: str, ids_col: str = "toke
     return rows.mapInArrow(run, schema)
 
 
-def encoding_digests(docs: DataFrame, ranks_file: str, pattern: str) -> DataFrame:
+def encoding_digests(docs: DataFrame, ranks_file: str, pattern: str, cached: int = 250_000) -> DataFrame:
     """Per document the number of tokens and digests of the ids (decimal,
     comma-joined) and of the bytes that they decode to. Long texts are
-    encoded, decoded and hashed in blocks."""
+    encoded, decoded and hashed in blocks; ``cached`` sets how many encodings
+    a worker keeps."""
     require(docs, ["doc_id", "text"])
     small_batches(docs.sparkSession)
     slim = docs.select("doc_id", F.col("text").cast("string").alias("text"))
@@ -300,13 +346,14 @@ def encoding_digests(docs: DataFrame, ranks_file: str, pattern: str) -> DataFram
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = text_encoder(ranks_file, pattern)
+        encoder = text_encoder(ranks_file, pattern, cached)
         decimal = [str(i) for i in range(len(encoder.vocabulary.bytes))]
         for b in batches:
             rows = []
             for t in b.column(1):
                 n, ids_hash, bytes_hash = 0, hashlib.sha256(), hashlib.sha256()
-                for ids in encoder.encode_blocks(t.as_py() or ""):
+                for found in encoder.encode_blocks(t.as_py() or ""):
+                    ids = found.tolist()
                     joined = ",".join(map(decimal.__getitem__, ids))
                     ids_hash.update(f"{',' if n else ''}{joined}".encode())
                     bytes_hash.update(encoder.decode(ids))
