@@ -5,28 +5,35 @@ it; a document's score is the sum of the log-probabilities of all its words,
 each given its neighbours. A word's probability is that of its class, from
 the network, times its share of the class, from counts over all documents.
 
-* Words are counted over the whole corpus. The ``VOCABULARY`` most frequent
-  have numbers of their own, the others share ``BUCKETS`` numbers by hash;
-  the classes hold words of like frequency and about equal mass. Only these
+* Words are counted over the whole corpus. The most frequent ones have numbers
+  of their own, ``vocabulary_size`` of them, which grows with the corpus up
+  to what two bytes hold; the others share ``BUCKETS`` numbers by hash. The
+  classes hold words of like frequency and about equal mass. Only these
   bounded tables reach the driver.
 * A word without a number of its own has its own share of its bucket: its
   count over the bucket's mass, which is one more than the bucket's words; a
   word that was never counted has that one. The counts of all words stay in
   the shared folder and are joined to the words of the documents.
-* Training is data-parallel: in every round each task trains from the same
-  weights on its part of the round's documents, and the results are averaged
-  by words in a tree of tasks. Each document is trained on in one round.
-* Scoring is a pass without a shuffle, and that join.
+* Texts become numbers once; training and scoring read these. Training does
+  not depend on how rows are dealt to tasks: equal texts are one with a
+  weight, and a text's hash gives its shard and its round. In a round every
+  shard trains from the same weights on its texts of the round in a fixed
+  order, about ``LOCAL`` words, and the results are averaged by words in the
+  order of the shards. More words make more shards, not longer ones.
+* Scoring is a pass without a shuffle, and that join, of the distinct words
+  of each text.
 
 Words are runs of characters other than 0x20 and 0x09-0x0D. Defined results:
 a null or empty text has no words, score 0 and no mean; repeated rows have
-equal scores; a null id is kept; an empty table gives an empty result; other
-columns are ignored.
+equal scores; words of equal count are numbered by their bytes; a null id is
+kept; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,12 +46,13 @@ from pyspark.sql import types as T
 from tessera.llm.common import require, stored
 
 SIDE = 2
-VOCABULARY = 8191
+VOCABULARY = 8191  # words with numbers of their own, at least
 BUCKETS = 1024
 CLASSES = 64
 WIDTH = 12  # of a word's embedding
 HIDDEN = 32
-ROUNDS = 2
+ROUNDS = 8
+LOCAL = 1 << 19  # words of a shard in a round
 BATCH = 8192  # words a step is computed on
 RATE = 0.1
 FAN_IN = 16  # weights averaged by one task, and by the driver
@@ -71,6 +79,13 @@ class Words:
         return np.fromiter((known(w) or first + zlib.crc32(w) % BUCKETS for w in words), dtype=np.int32, count=len(words))
 
 
+def vocabulary_size(n_words: int) -> int:
+    """Words with numbers of their own for a corpus of ``n_words``: twice its
+    root, as vocabularies grow, between ``VOCABULARY`` and what two bytes
+    hold beside the shared numbers."""
+    return min(max(VOCABULARY, 2 * math.isqrt(n_words)), (1 << 16) - 1 - BUCKETS)
+
+
 def word_table(top: list[tuple[bytes, int]], bucket_counts: np.ndarray) -> Words:
     """``top``: the most frequent words with their counts; ``bucket_counts``:
     of the others by hash. Every number counts once more than it occurs."""
@@ -96,7 +111,8 @@ def counted_words(docs: DataFrame, text_col: str = "text") -> tuple[Words, DataF
     """The word table of all documents, and ``word``, ``n`` of every word."""
     words = F.filter(F.split(F.coalesce(F.col(text_col).cast("string"), F.lit("")), r"[ \t\n\x0B\f\r]+"), lambda w: w != "")
     counts = stored(docs.select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")), "lm-words")
-    top = [(r.word.encode("utf-8", "surrogatepass"), r.n) for r in counts.orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()]
+    size = vocabulary_size(counts.agg(F.sum("n")).first()[0] or 0)
+    top = [(r.word.encode("utf-8", "surrogatepass"), r.n) for r in counts.orderBy(F.desc("n"), "word").limit(size).collect()]
     buckets = np.zeros(BUCKETS, dtype=np.int64)
     per_bucket = counts.groupBy(F.pmod(F.crc32(F.col("word").cast("binary")), F.lit(BUCKETS)).alias("b")).agg(F.sum("n").alias("n"))
     for r in per_bucket.collect():
@@ -109,9 +125,9 @@ def counted_words(docs: DataFrame, text_col: str = "text") -> tuple[Words, DataF
 class Network:
     """Embeddings of the neighbours, a hidden layer, a softmax over classes."""
 
-    def __init__(self, weights: list[np.ndarray]):
+    def __init__(self, weights: list[np.ndarray], seen: list[np.ndarray] | None = None):
         self.weights = weights
-        self.seen = [np.full_like(w, 1e-3) for w in weights]  # sums of squared gradients
+        self.seen = seen or [np.full_like(w, 1e-3) for w in weights]  # sums of squared gradients
 
     @classmethod
     def fresh(cls, n_words: int, seed: int = 7) -> Network:
@@ -129,14 +145,15 @@ class Network:
         z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
         return x, h, z
 
-    def step(self, around: np.ndarray, classes: np.ndarray) -> None:
+    def step(self, around: np.ndarray, classes: np.ndarray, copies: np.ndarray | None = None) -> None:
         """One step of descent on the mean negative log-probability, each
-        weight at a rate that falls with its past gradients."""
+        weight at a rate that falls with its past gradients; ``copies``
+        counts each word as often."""
         x, h, z = self.forward(around)
         n = len(around)
         d = np.exp(z)
         d[np.arange(n), classes] -= 1
-        d /= n
+        d *= np.float32(1 / n) if copies is None else (copies / copies.sum()).astype(np.float32)[:, None]
         dh = (d @ self.weights[3].T) * (1 - h * h)
         dx = (dh @ self.weights[1].T).reshape(-1, WIDTH)
         flat = around.ravel()
@@ -145,15 +162,18 @@ class Network:
             s += g * g
             w -= RATE * g / np.sqrt(s)
 
+    def copy(self) -> Network:
+        return Network([w.copy() for w in self.weights], [w.copy() for w in self.seen])
+
     def to_bytes(self) -> bytes:
-        return b"".join(w.astype("<f4").tobytes() for w in self.weights)
+        return b"".join(w.astype("<f4").tobytes() for w in self.weights + self.seen)
 
     def from_flat(self, flat: np.ndarray) -> Network:
         out, at = [], 0
-        for w in self.weights:
+        for w in self.weights + self.seen:
             out.append(flat[at : at + w.size].reshape(w.shape).astype(np.float32))
             at += w.size
-        return Network(out)
+        return Network(out[: len(self.weights)], out[len(self.weights) :])
 
 
 def neighbours(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -166,59 +186,110 @@ def neighbours(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return around, row[at]
 
 
-def _encoded_blocks(batches: Iterator[pa.RecordBatch], column: int, words: Words) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
-    for b in batches:
-        for i in range(0, b.num_rows, 1000):
-            part = b.slice(i, 1000)
-            yield part, [words.encode(t.as_py()) for t in part.column(column)]
+NUMBERS = np.dtype("<u2")
 
 
-def _mean_of(rows: DataFrame, net: Network) -> Network:
-    """Weighted mean of weights, ``FAN_IN`` at a time."""
+def encoded_rows(docs: DataFrame, words: Words, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The texts as numbers, written once: ``row``, ``doc_id``, ``n_words``,
+    ``numbers`` and ``tail``, the distinct words that have no number of their
+    own, with how often they occur."""
+    require(docs, [id_col, text_col])
+    slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    schema = T.StructType([
+        slim.schema["doc_id"], T.StructField("n_words", T.LongType()), T.StructField("numbers", T.BinaryType()),
+        T.StructField("tail", T.ArrayType(T.StructType([T.StructField("word", T.BinaryType()), T.StructField("n", T.IntegerType())]))),
+    ])
+    kind = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())]))
+    table = docs.sparkSession.sparkContext.broadcast(words)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, n = None, 0
+        known, first = table.value.numbers.get, table.value.size - BUCKETS
         for b in batches:
-            for data, k in zip(b.column(0), b.column(1).to_pylist()):
-                w = np.frombuffer(data.as_py(), "<f4").astype(np.float64) * k
-                total, n = (w if total is None else total + w), n + k
-        if n:
-            yield pa.RecordBatch.from_arrays([pa.array([(total / n).astype("<f4").tobytes()], pa.binary()), pa.array([n], pa.int64())], names=["weights", "n"])
+            for part in (b.slice(i, 1000) for i in range(0, b.num_rows, 1000)):
+                sizes, numbers, tails = [], [], []
+                for t in part.column(1):
+                    split = (t.as_py() or "").encode("utf-8", "surrogatepass").split()
+                    found = list(map(known, split))
+                    tail: Counter[bytes] = Counter()
+                    if None in found:
+                        for i, x in enumerate(found):
+                            if x is None:
+                                w = split[i]
+                                tail[w] += 1
+                                found[i] = first + zlib.crc32(w) % BUCKETS
+                    sizes.append(len(split))
+                    numbers.append(np.array(found, dtype=NUMBERS).tobytes())
+                    tails.append([{"word": w, "n": n} for w, n in tail.items()])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(sizes, pa.int64()), pa.array(numbers, pa.binary()), pa.array(tails, kind)], names=schema.names
+                )
+
+    return stored(slim.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "lm-rows")
+
+
+def _texts(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(x.as_buffer(), NUMBERS).astype(np.int32) if x.is_valid else np.zeros(0, np.int32) for x in column]
+
+
+def _mean_of(rows: DataFrame, net: Network) -> Network:
+    """Weighted mean of the shards' weights, ``FAN_IN`` neighbouring shards at
+    a time; sums are in the order of the shards."""
+    def mean(table: pa.Table) -> pa.Table:
+        total, n = None, 0
+        for row in sorted(table.to_pylist(), key=lambda r: r["shard"]):
+            w = np.frombuffer(row["weights"], "<f4").astype(np.float64) * row["n"]
+            total, n = (w if total is None else total + w), n + row["n"]
+        return pa.table({"shard": [table.column("shard")[0].as_py() // FAN_IN], "weights": [(total / n).astype("<f4").tobytes()], "n": [n]})
 
     rows = stored(rows, "lm-weights")
     while (n := rows.count()) > FAN_IN:
-        rows = stored(rows.repartition(-(-n // FAN_IN)).mapInArrow(run, "weights binary, n long"), "lm-weights")
-    found = rows.collect()
+        grouped = rows.groupBy(F.expr(f"shard div {FAN_IN}").alias("g"))
+        rows = stored(grouped.applyInArrow(mean, "shard long, weights binary, n long"), "lm-weights")
+    found = sorted(rows.collect(), key=lambda r: r.shard)
     if not found:
         return net
-    weights = np.array([r.n for r in found], dtype=float)
-    flats = np.stack([np.frombuffer(r.weights, "<f4") for r in found]).astype(np.float64)
-    return net.from_flat(weights @ flats / weights.sum())
+    total = sum(np.frombuffer(r.weights, "<f4").astype(np.float64) * r.n for r in found)
+    return net.from_flat(total / sum(r.n for r in found))
 
 
 def train(docs: DataFrame, words: Words, text_col: str = "text") -> Network:
     """Weights trained on all documents."""
-    texts = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    slim = docs.select(F.lit(0).alias("doc_id"), F.col(text_col).alias("text"))
+    return trained(encoded_rows(slim, words), words)
+
+
+def trained(rows: DataFrame, words: Words) -> Network:
+    """Weights trained on all ``encoded_rows``, the same for any partitioning."""
     net = Network.fresh(words.size)
-    table = docs.sparkSession.sparkContext.broadcast(words)
+    # equal texts by 128 bits of hash: their numbers are not shuffled for that
+    h1, h2 = F.xxhash64("numbers"), F.xxhash64("numbers", F.lit(1))
+    some_words = rows.filter("n_words > 0")
+    one = some_words.groupBy(h1.alias("h1"), h2.alias("h2")).agg(
+        F.count(F.lit(1)).alias("copies"), F.min("row").alias("row"), F.first("n_words").alias("n_words"))
+    one = stored(one, "lm-texts")
+    total = one.agg(F.sum("n_words")).first()[0] or 0
+    shards = max(1, -(-total // (ROUNDS * LOCAL)))
+    part = lambda h: F.pmod(h, F.lit(ROUNDS))
+    classes_of = rows.sparkSession.sparkContext.broadcast(words.class_of)
     for r in range(ROUNDS):
-        start = [w.copy() for w in net.weights]
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            own, n = Network([w.copy() for w in start]), 0
-            rng = np.random.default_rng(3)
-            for _, texts_ in _encoded_blocks(batches, 0, table.value):
-                around, targets = neighbours(texts_)
-                classes = table.value.class_of[targets]
-                mixed = rng.permutation(len(targets))
-                for i in range(0, len(mixed), BATCH):
-                    at = mixed[i : i + BATCH]
-                    own.step(around[at], classes[at])
-                n += len(targets)
-            if n:
-                yield pa.RecordBatch.from_arrays([pa.array([own.to_bytes()], pa.binary()), pa.array([n], pa.int64())], names=["weights", "n"])
-
-        part = texts.filter(F.pmod(F.xxhash64("text"), F.lit(ROUNDS)) == r)
-        net = _mean_of(part.mapInArrow(run, "weights binary, n long"), net)
+        start = rows.sparkSession.sparkContext.broadcast(net)
+
+        def run(table: pa.Table) -> pa.Table:
+            own, rng = start.value.copy(), np.random.default_rng(3)
+            table = table.sort_by("numbers")  # distinct
+            copies, encoded = table.column("copies").to_numpy(), _texts(table.column("numbers").combine_chunks())
+            around, targets = neighbours(encoded)
+            each = np.repeat(copies, [len(t) for t in encoded]).astype(np.float64)
+            classes = classes_of.value[targets]
+            mixed = rng.permutation(len(targets))
+            for i in range(0, len(mixed), BATCH):
+                at = mixed[i : i + BATCH]
+                own.step(around[at], classes[at], each[at])
+            return pa.table({"shard": [table.column("shard")[0].as_py()], "weights": [own.to_bytes()], "n": [int(each.sum())]})
+
+        dealt = one.filter(part(F.col("h2")) == r).select("row", "copies", F.pmod("h1", F.lit(shards)).alias("shard"))
+        some = some_words.filter(part(h2) == r).select("row", "numbers").join(dealt, "row").drop("row")
+        net = _mean_of(some.groupBy("shard").applyInArrow(run, "shard long, weights binary, n long"), net)
     return net
 
 
@@ -239,43 +310,33 @@ def scores(
     ``mean_log_prob``. ``counts`` has ``word``, ``n`` of the words that
     ``words`` was counted from; without it, words that have no number of
     their own are all taken as never counted."""
-    require(docs, [id_col, text_col])
-    slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    schema = T.StructType([
-        slim.schema["doc_id"], T.StructField("n_words", T.LongType()), T.StructField("log_prob", T.DoubleType()),
-        T.StructField("tail", T.ArrayType(T.BinaryType())),
-    ])
-    table = docs.sparkSession.sparkContext.broadcast((words, net.weights))
+    return scored(encoded_rows(docs, words, id_col, text_col), net, words, counts)
+
+
+def scored(rows: DataFrame, net: Network, words: Words, counts: DataFrame | None = None) -> DataFrame:
+    """The scores of ``encoded_rows``."""
+    table = rows.sparkSession.sparkContext.broadcast((words.class_of, words.log_share, words.log_unseen, net.weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words_, weights = table.value
-        model, first = Network(weights), words_.size - BUCKETS
-        for b, texts in _encoded_blocks(batches, 1, words_):
-            sizes = np.array([len(t) for t in texts], dtype=np.int64)
-            doc = np.repeat(np.arange(len(texts)), sizes)
-            each = log_probabilities(model, words_, texts)
-            if len(each):
-                each += words_.log_unseen[np.concatenate(texts)]
-            sums = np.bincount(doc, weights=each, minlength=len(texts))
-            tail = []
-            for t, numbers in zip(b.column(1), texts):
-                at = np.flatnonzero(numbers >= first)
-                split = (t.as_py() or "").encode("utf-8", "surrogatepass").split() if len(at) else []
-                tail.append([split[i] for i in at])
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(sizes), pa.array(sums.astype(float)), pa.array(tail, pa.list_(pa.binary()))], names=schema.names
-            )
-
-    found = slim.mapInArrow(run, schema)
+        class_of, log_share, log_unseen, weights = table.value
+        model, words_ = Network(weights), Words({}, class_of, log_share, log_unseen)
+        for b in batches:
+            for part in (b.slice(i, 1000) for i in range(0, b.num_rows, 1000)):
+                texts = _texts(part.column(3))
+                each = log_probabilities(model, words_, texts)
+                if len(each):
+                    each += log_unseen[np.concatenate(texts)]
+                sums = np.bincount(np.repeat(np.arange(len(texts)), [len(t) for t in texts]), weights=each, minlength=len(texts))
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(sums.astype(float))], names=["row", "doc_id", "n_words", "log_prob"])
+
+    schema = T.StructType([T.StructField("row", T.LongType()), rows.schema["doc_id"], T.StructField("n_words", T.LongType()), T.StructField("log_prob", T.DoubleType())])
+    found = rows.select("row", "doc_id", "n_words", "numbers").mapInArrow(run, schema)
     if counts is not None:
         # a counted word's share is n times that of one never counted
-        found = stored(found.withColumn("row", F.monotonically_increasing_id()), "lm-rows")
         several = counts.filter("n > 1").select(F.col("word").cast("binary").alias("word"), F.log("n").alias("more"))
-        more = (
-            found.select("row", F.explode("tail").alias("word")).join(several, "word")
-            .groupBy("row").agg(F.sum("more").alias("more"))
-        )
-        found = found.drop("tail").join(more, "row", "left").withColumn("log_prob", F.col("log_prob") + F.coalesce("more", F.lit(0.0)))
+        tails = rows.select("row", F.explode("tail").alias("t")).select("row", "t.word", F.col("t.n").alias("times"))
+        more = tails.join(several, "word").groupBy("row").agg(F.sum(F.col("more") * F.col("times")).alias("more"))
+        found = found.join(more, "row", "left").withColumn("log_prob", F.col("log_prob") + F.coalesce("more", F.lit(0.0)))
     return found.select(
         "doc_id", "n_words", "log_prob", F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words")).alias("mean_log_prob")
     )
@@ -284,4 +345,5 @@ def scores(
 def pseudo_likelihood(docs: DataFrame) -> DataFrame:
     """Counts, trains and scores over the same documents."""
     words, counts = counted_words(docs)
-    return scores(docs, train(docs, words), words, counts=counts)
+    rows = encoded_rows(docs, words)
+    return scored(rows, trained(rows, words), words, counts)

@@ -20,7 +20,7 @@ def small_words(texts):
 
 
 def test_word_counts_over_all_documents(spark, monkeypatch):
-    monkeypatch.setattr(L, "VOCABULARY", 3)
+    monkeypatch.setattr(L, "vocabulary_size", lambda n: 3)
     texts = ["a a a b b c", "a\tb\x0bd e  f", None, "", "b é é"]
     df = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
     words = L.count_words(df)
@@ -45,7 +45,7 @@ def test_probabilities_sum_to_one():
 
 def test_words_beyond_the_vocabulary_have_their_own_share(spark, monkeypatch):
     """All words of a bucket and the one never counted make up the bucket."""
-    monkeypatch.setattr(L, "VOCABULARY", 2)
+    monkeypatch.setattr(L, "vocabulary_size", lambda n: 2)
     bucket = lambda w: zlib.crc32(w.encode()) % L.BUCKETS
     c, d, e, unseen = [w for w in (f"w{i}" for i in range(9000)) if bucket(w) == 5][:4]
     other = next(w for w in (f"w{i}" for i in range(9000)) if bucket(w) != 5)
@@ -128,3 +128,40 @@ def test_empty_table(spark):
     assert L.pseudo_likelihood(spark.createDataFrame([], SCHEMA)).count() == 0
     one = L.pseudo_likelihood(spark.createDataFrame([(1, None), (1, None)], SCHEMA)).collect()
     assert [(r.n_words, r.log_prob, r.mean_log_prob) for r in one] == [(0, 0.0, None)] * 2
+
+
+def test_vocabulary_grows_with_the_corpus():
+    sizes = [L.vocabulary_size(n) for n in (0, 10**6, 10**8, 4 * 10**8, 10**9, 10**13)]
+    assert sizes == [8191, 8191, 20000, 40000, 63244, 64511] and sizes[-1] + L.BUCKETS + 1 <= 1 << 16
+
+
+def test_scores_do_not_depend_on_partitions(spark, monkeypatch):
+    """2 and 32 partitions of rows in other orders, several shards, a text
+    that is a third of all rows, clashing names, a long text."""
+    monkeypatch.setattr(L, "LOCAL", 400)
+    monkeypatch.setattr(L, "FAN_IN", 3)
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices([f"w{i}" for i in range(60)], k=rng.randrange(1, 40))) for _ in range(300)] + ["the same text"] * 150
+    texts += ["", None, "long text " * 20_000]
+    data = [(i, t, "row", "numbers", 1) for i, t in enumerate(texts)]
+    found = []
+    for parts, seed in ((2, 1), (32, 2)):
+        random.Random(seed).shuffle(data)
+        df = spark.createDataFrame(data, SCHEMA + ", row string, numbers string, n long").repartition(parts)
+        rows = L.pseudo_likelihood(df).collect()
+        found.append({r.doc_id: (r.n_words, r.log_prob) for r in rows})
+    assert len(found[0]) == len(texts) and found[0].keys() == found[1].keys()
+    for i, (n, p) in found[0].items():
+        assert found[1][i][0] == n and found[1][i][1] == pytest.approx(p, rel=1e-6, abs=1e-6)
+    assert found[0][len(texts) - 1][0] == 40_000
+
+
+def test_copies_weigh_as_often():
+    rng = np.random.default_rng(1)
+    around, classes = rng.integers(0, 30, (50, 4)), rng.integers(0, 5, 50)
+    copies = rng.integers(1, 4, 50)
+    a, b = L.Network.fresh(30), L.Network.fresh(30)
+    a.step(around, classes, copies)
+    b.step(np.repeat(around, copies, axis=0), np.repeat(classes, copies))
+    for x, y in zip(a.weights, b.weights):
+        assert np.allclose(x, y, atol=1e-4)
