@@ -2,17 +2,24 @@
 words that give it away. DataFrame functions only.
 
 Base spans are e-mail addresses, IP addresses, card and phone numbers. A
-value that occurs in documents is a protected entity ``c``; a term ``t`` (a
-lower-cased run of letters) beside it discloses it by the pointwise mutual
-information ``PMI(t; c) = log2(N * docs(t, c) / (docs(t) * docs(c)))``, at
-most the information content ``IC(c) = log2(N / docs(c))``, which is reached
-when the term never stands without the value. Where ``PMI >= alpha * IC`` in
-at least ``support`` different texts, the term is a span of kind ``term`` in
-every document with the value. Counts are over all documents. ``sanitised``
+value that occurs in documents is a protected entity ``c``, and so are the
+units that it belongs to (the domain and its parent, the networks, the number
+prefixes, the issuer), through which values that are rare themselves are
+judged. A term ``t`` (a lower-cased run of letters) beside it discloses it by
+the pointwise mutual information ``PMI(t; c) = log2(N * docs(t, c) / (docs(t) *
+docs(c)))``, at most the information content ``IC(c) = log2(N / docs(c))``, which
+is reached when the term never stands without the value. Few texts prove
+little: the PMI is discounted by ``n / (n + 1/4)`` for the number ``n`` of
+different texts with both, and again for the lesser number of the two alone.
+Where it still is ``alpha * IC``, the term is a span of kind ``term`` in every
+document with the entity. Counts are over all documents. ``sanitised``
 generalises base spans to their kind and removes terms.
 
-Values in fewer than ``support`` documents can't reach the support, so pairs
-are made for the others only, and pre-aggregated before they are shuffled.
+Spans are found once and stored with the documents. An entity in so few texts
+that even a term that never stands without it falls short of ``alpha`` by the
+discount can't be disclosed, and no pair is made of it; pairs are
+pre-aggregated before they are shuffled. A text's terms are matched on
+(entity, term), so only those that it holds meet.
 
 Defined results: a null text is empty; equal texts get equal spans; a null id
 is kept; an empty table gives an empty result; other columns are ignored, or
@@ -29,8 +36,8 @@ from tessera.llm.common import fresh_names, joined_by_comma, require, stored
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
 ALPHA = 0.8
-SUPPORT = 5
-TERM_LETTERS = 4  # letters of the shortest term
+DOUBT = 0.25  # texts added below the line of a discount
+TERM_LETTERS = 2  # a letter alone names nobody
 
 # Possessive forms of the base patterns with the same matches: where a part
 # can only end at a character outside of it, giving back never helps. A
@@ -131,47 +138,86 @@ def _values(spans: Column) -> Column:
     )))
 
 
+def _units(spans: Column) -> Column:
+    """Protected entities: the values and the units that they belong to."""
+    def of(s: Column) -> Column:
+        digits, low = _digits(s["match"]), F.lower(s["match"])
+        domain = F.substring_index(low, "@", -1)
+        units = F.when(s["kind"] == "email", F.array(F.concat(F.lit("domain:"), domain), F.concat(F.lit("domain:"), F.substring_index(domain, ".", -2))))
+        units = units.when(s["kind"] == "ip", F.array(*[F.concat(F.lit("network:"), F.substring_index(low, ".", n)) for n in (3, 2)]))
+        units = units.when(s["kind"] == "card", F.array(F.concat(F.lit("issuer:"), F.substring(digits, 1, 6))))
+        return units.otherwise(F.array(*[F.concat(F.lit("prefix:"), F.substring(digits, 1, n)) for n in (7, 4)]))
+
+    return F.array_distinct(F.concat(_values(spans), F.flatten(F.transform(spans, of))))
+
+
 def _terms(text: Column) -> Column:
     words = F.split(F.lower(text), NOT_LETTERS)
     return F.array_distinct(F.filter(words, lambda w: F.length(w) >= TERM_LETTERS))
 
 
-def disclosing_terms(docs: DataFrame, text_col: str = "text", alpha: float = ALPHA, support: int = SUPPORT) -> DataFrame:
-    """``(value, term)`` of the terms that disclose a value, with their
-    ``pmi`` and the value's information content ``ic``."""
+def _discount(n: Column) -> Column:
+    return n / (n + F.lit(DOUBT))
+
+
+def least_texts(alpha: float) -> int:
+    """The fewest texts in which a term can disclose an entity."""
+    n = 1
+    while (n / (n + DOUBT)) ** 2 < alpha:
+        n += 1
+    return n
+
+
+def spanned(docs: DataFrame, text_col: str, key: str, base: str) -> DataFrame:
+    """``docs`` with a digest of the text and its base spans, written once."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    texts = docs.select(text.alias("text"))
-    n_docs = texts.count()
-    holding = stored(
-        texts.withColumn("values", _values(base_spans(F.col("text")))).filter(F.size("values") > 0), "pii-holding"
-    )
-    per_value = holding.select(F.explode("values").alias("value")).groupBy("value").agg(F.count(F.lit(1)).alias("n_value"))
-    frequent = stored(per_value.filter(F.col("n_value") >= support), "pii-values")
-    without_addresses = F.regexp_replace("text", PATTERNS["email"], " ")
-    beside = (
-        holding.select(F.explode("values").alias("value"), "text")
-        .join(frequent, "value")
-        .select("value", "n_value", F.xxhash64("text").alias("key"), F.explode(_terms(without_addresses)).alias("term"))
-    )
-    pairs = (
-        beside.groupBy("value", "term", "key").agg(F.count(F.lit(1)).alias("n"), F.first("n_value").alias("n_value"))
-        .groupBy("value", "term").agg(F.sum("n").alias("n_pair"), F.count(F.lit(1)).alias("n_texts"), F.first("n_value").alias("n_value"))
-        .filter(F.col("n_texts") >= support)
-    )
-    per_term = (
-        texts.select(F.explode(_terms(F.col("text"))).alias("term"))
-        .groupBy("term").agg(F.count(F.lit(1)).alias("n_term")).filter(F.col("n_term") >= support)
-    )
-    n = F.lit(float(max(n_docs, 1)))
+    return stored(docs.withColumns({key: F.md5(text), base: base_spans(text)}), "pii-spans")
+
+
+def _beside(rows: DataFrame, text_col: str, key: str, base: str, least: int) -> DataFrame:
+    """The terms beside each entity, per text: ``value``, ``term``, ``key`` and
+    the number of documents with the text; of entities in ``least`` texts or
+    more."""
+    text = F.regexp_replace(F.col(text_col).cast("string"), PATTERNS["email"], " ")
+    holding = rows.filter(F.size(base) > 0).select(F.col(key).alias("key"), F.col(base).alias("spans"), text.alias("text"))
+    each = holding.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.first("text").alias("text"), F.first("spans").alias("spans"))
+    each = stored(each.select("key", "n", _units(F.col("spans")).alias("values"), _terms(F.col("text")).alias("terms")), "pii-holding")
+    per_value = each.select(F.explode("values").alias("value"), "n").groupBy("value").agg(
+        F.sum("n").alias("n_value"), F.count(F.lit(1)).alias("texts"))
+    judged = per_value.filter(F.col("texts") >= least)
+    pairs = each.select("key", "n", "terms", F.explode("values").alias("value")).join(judged, "value")
+    return stored(pairs.select("value", "n_value", F.col("texts").alias("value_texts"), "key", "n", F.explode("terms").alias("term")), "pii-pairs")
+
+
+def _disclosing(rows: DataFrame, beside: DataFrame, text_col: str, alpha: float, least: int) -> DataFrame:
+    pairs = beside.groupBy("value", "term").agg(
+        F.sum("n").alias("n_pair"), F.count(F.lit(1)).alias("texts"), F.first("n_value").alias("n_value"), F.first("value_texts").alias("value_texts")
+    ).filter(F.col("texts") >= least)
+    candidates = pairs.select("term").distinct()
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    per_term = rows.select(F.explode(_terms(text)).alias("term")).join(candidates, "term", "left_semi").groupBy("term").agg(
+        F.count(F.lit(1)).alias("n_term"))
+    n = F.lit(float(max(rows.count(), 1)))
+    pmi = F.log2(n * F.col("n_pair") / (F.col("n_term") * F.col("n_value")))
+    # the texts with the term are at least those with both
+    few = F.least("n_term", F.greatest("value_texts", "texts"))
     return (
         pairs.join(per_term, "term")
         .withColumn("ic", F.log2(n / F.col("n_value")))
-        .withColumn("pmi", F.log2(n * F.col("n_pair") / (F.col("n_term") * F.col("n_value"))))
+        .withColumn("pmi", pmi * _discount(F.col("texts")) * _discount(few))
         .filter((F.col("ic") > 0) & (F.col("pmi") >= F.col("ic") * alpha))
         .select("value", "term", "pmi", "ic")
     )
 
 
+def disclosing_terms(docs: DataFrame, text_col: str = "text", alpha: float = ALPHA) -> DataFrame:
+    """``(value, term)`` of the terms that disclose an entity, with their
+    discounted ``pmi`` and the entity's information content ``ic``."""
+    rows = spanned(docs.select(F.col(text_col).alias("text")), "text", "key", "spans")
+    least = least_texts(alpha)
+    return _disclosing(rows, _beside(rows, "text", "key", "spans", least), "text", alpha, least)
+
+
 def _term_spans(text: Column, terms: Column, base: Column) -> Column:
     """Occurrences of the terms outside of base spans."""
     words = F.filter(_places(text, r"\p{L}+"), lambda w: F.array_contains(terms, F.lower(w["match"])))
@@ -183,24 +229,19 @@ def _term_spans(text: Column, terms: Column, base: Column) -> Column:
     return F.coalesce(F.when(F.size(terms) > 0, shaped), F.array().cast(SPAN))
 
 
-def with_spans(docs: DataFrame, text_col: str, base: str, full: str, alpha: float = ALPHA, support: int = SUPPORT) -> DataFrame:
+def with_spans(docs: DataFrame, text_col: str, base: str, full: str, alpha: float = ALPHA) -> DataFrame:
     """``docs`` with two columns of spans: of the base kinds, and all."""
-    found = stored(disclosing_terms(docs, text_col, alpha, support).select("value", "term"), "pii-terms")
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    # the terms of a document depend on its text only: found once per text
     key, disclosed = fresh_names([*docs.columns, base, full], ["pii_key", "pii_terms"])
-    holding = docs.select(text.alias("text")).withColumn("value", F.explode(_values(base_spans(F.col("text")))))
-    of_text = stored(
-        holding.select(F.md5("text").alias(key), "value").distinct().join(found, "value")
-        .groupBy(key).agg(F.collect_set("term").alias(disclosed)), "pii-texts"
-    )
-    joined = docs.withColumn(key, F.md5(text)).join(of_text, key, "left")
+    rows = spanned(docs, text_col, key, base)
+    least = least_texts(alpha)
+    beside = _beside(rows, text_col, key, base, least)
+    found = stored(_disclosing(rows, beside, text_col, alpha, least).select("value", "term"), "pii-terms")
+    of_text = beside.join(found, ["value", "term"]).groupBy(F.col("key").alias(key)).agg(F.collect_set("term").alias(disclosed))
+    joined = rows.join(stored(of_text, "pii-texts"), key, "left")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     terms = F.coalesce(F.col(disclosed), F.array().cast("array<string>"))
-    return (
-        joined.withColumn(base, base_spans(text))
-        .withColumn(full, F.when(F.size(terms) > 0, F.array_sort(F.concat(F.col(base), _term_spans(text, terms, F.col(base))))).otherwise(F.col(base)))
-        .drop(key, disclosed)
-    )
+    every = F.array_sort(F.concat(F.col(base), _term_spans(text, terms, F.col(base))))
+    return joined.withColumn(full, F.when(F.size(terms) > 0, every).otherwise(F.col(base))).drop(key, disclosed)
 
 
 def _number_of(spans: str, kind: str) -> Column:
@@ -211,11 +252,11 @@ def _written(spans: Column) -> Column:
     return joined_by_comma(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
 
 
-def pii_report(docs: DataFrame, alpha: float = ALPHA, support: int = SUPPORT) -> DataFrame:
+def pii_report(docs: DataFrame, alpha: float = ALPHA) -> DataFrame:
     """Per document the counts of the base kinds, a digest of the base spans
     and all spans."""
     require(docs, ["doc_id", "text"])
-    found = with_spans(docs.select("doc_id", "text"), "text", "base", "full", alpha, support)
+    found = with_spans(docs.select("doc_id", "text"), "text", "base", "full", alpha)
     counts = [_number_of("base", k).alias(f"n_{k}") for k in KINDS]
     return found.select("doc_id", *counts, F.sha2(_written(F.col("base")), 256).alias("base_sha256"), _written(F.col("full")).alias("spans"))
 
@@ -242,11 +283,11 @@ def _without(text: Column, spans: Column) -> Column:
     return F.concat(F.array_join(kept, ""), tail)
 
 
-def sanitised(docs: DataFrame, alpha: float = ALPHA, support: int = SUPPORT) -> DataFrame:
+def sanitised(docs: DataFrame, alpha: float = ALPHA) -> DataFrame:
     """``docs`` with the texts sanitised; ``n_chars``, if there, follows the
     new text. Documents without a span are unchanged."""
     base, full = fresh_names(docs.columns, ["base", "full"])
-    found = with_spans(docs, "text", base, full, alpha, support)
+    found = with_spans(docs, "text", base, full, alpha)
     changed = F.size(full) > 0
     out = found.withColumn("text", F.when(changed, _without(F.col("text").cast("string"), F.col(full))).otherwise(F.col("text").cast("string")))
     if "n_chars" in docs.columns:

@@ -1,6 +1,5 @@
 """The pipeline's rows against brute force over the same documents."""
 
-import math
 import re
 from collections import Counter
 
@@ -10,10 +9,10 @@ import public_tokenizers
 import tiktoken
 
 import corpus_pipeline as C
-from tessera.llm import bpe, pii, quality
+from tessera.llm import bpe, quality
 from tests.llm.test_decontam import brute as leaks
 from tests.llm.test_decontam import brute_words
-from tests.llm.test_pii import BASE, valid
+from tests.llm.test_pii import BASE, brute_terms, entities_of, valid
 from tests.llm.test_quality import brute as base_measures
 from tests.llm.test_simhash import brute_components, brute_fp
 
@@ -65,37 +64,21 @@ def cut(text, hit):
     return out + text[at:]
 
 
-def entities(text):
+def places(text):
     for kind, p in BASE.items():
         for m in re.finditer(p, text):
             if valid(kind, m.group()):
-                key = re.sub("[^0-9]", "", m.group()) if kind in ("card", "phone") else m.group().lower()
-                yield m.start(), kind, m.end(), f"{kind}:{key}"
-
-
-def terms(text):
-    return {w for w in re.findall(r"[^\W\d_]+", text.lower()) if len(w) >= pii.TERM_LETTERS}
+                yield m.start(), kind, m.end()
 
 
 def sanitised(texts):
-    n = len(texts)
-    of_value, of_term = {}, Counter()
-    for t in texts.values():
-        of_term.update(terms(t))
-        for v in {x[3] for x in entities(t)}:
-            of_value.setdefault(v, []).append(t)
     disclosing = {}
-    for v, where in of_value.items():
-        together = Counter(w for t in where for w in terms(re.sub(BASE["email"], " ", t)))
-        for w, k in together.items():
-            distinct = {t for t in where if w in terms(re.sub(BASE["email"], " ", t))}
-            ic = math.log2(n / len(where))
-            if len(distinct) >= pii.SUPPORT and ic > 0 and math.log2(n * k / (of_term[w] * len(where))) >= pii.ALPHA * ic:
-                disclosing.setdefault(v, set()).add(w)
+    for v, w in brute_terms(list(texts.values())):
+        disclosing.setdefault(v, set()).add(w)
     out = {}
     for d, t in texts.items():
-        spans = sorted((s, list(BASE).index(k), e, f"<{k.upper()}>") for s, k, e, _ in entities(t))
-        gone = set().union(*(disclosing.get(x[3], set()) for x in entities(t)))
+        spans = sorted((s, list(BASE).index(k), e, f"<{k.upper()}>") for s, k, e in places(t))
+        gone = set().union(*(disclosing.get(v, set()) for v in entities_of(t)))
         for m in re.finditer(r"[^\W\d_]+", t):
             if m.group().lower() in gone and not any(s < m.end() and m.start() < e for s, _, e, _ in spans):
                 spans.append((m.start(), 9, m.end(), ""))
