@@ -42,7 +42,7 @@ from tessera.llm.elias_fano import EliasFano
 MAGIC = b"TOKSEF01"
 HEAD = struct.Struct("<8sBQQq")
 MAX_IDS = 1 << 25  # of one file
-CACHED = 250_000  # encoded words kept per generation in a worker
+CACHED = 400_000  # encoded words kept per generation in a worker
 BLOCK_CHARS = 1 << 21  # of texts encoded together
 JOINED = 64  # words given to the library as one text
 
