@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import require, small_batches, stored
+from tessera.llm.common import fresh_names, require, small_batches, stored
 from tessera.llm.components import connected_components
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -218,9 +218,13 @@ def near_duplicates(
 
 def deduplicated(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
     """The rows of ``docs`` with one document of each group of near
-    duplicates: the one with the smallest ``doc_id``, once if its row is
-    repeated. Rows without a ``doc_id`` stay."""
-    groups = near_duplicates(docs, shingle, max_bits)
-    keep = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    duplicates: the one with the smallest ``doc_id`` and, where two texts have
+    one id, the smallest hash of its text; once if its row is repeated. Rows
+    without a ``doc_id`` stay."""
+    (mark,) = fresh_names(docs.columns, ["mark"])
+    text = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    marked = docs.withColumn(mark, F.when(F.col("doc_id").isNotNull(), F.struct(F.col("doc_id").alias("id"), text.alias("text"))))
+    groups = near_duplicates(marked, shingle, max_bits, id_col=mark)
+    keep = groups.filter("doc_id = component_id").select(F.col("doc_id").alias(mark)).distinct()
+    kept = marked.join(keep, mark, "left_semi").dropDuplicates([mark])
     return kept.select(docs.columns).unionByName(docs.filter("doc_id is null"))

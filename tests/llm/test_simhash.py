@@ -125,3 +125,11 @@ def test_deduplicated_keeps_one_of_each_group(spark):
     got = S.deduplicated(df)
     assert got.columns == df.columns
     assert sorted((r.doc_id or 0) for r in got.collect()) == [0, 4, 9]
+
+
+def test_two_texts_of_one_id_are_two_documents(spark):
+    a, b, c = ("one two three four five six " * 4, "other words stand here in their own order " * 3, "and a third text without any of them " * 3)
+    rows = [(5, a), (5, b), (5, b), (6, a), (7, b), (2, c), (None, a), (None, a)]
+    got = S.deduplicated(spark.createDataFrame([(d, t, "m") for d, t in rows], "doc_id long, text string, mark string"))
+    assert got.columns == ["doc_id", "text", "mark"]
+    assert sorted((d or 0, t) for d, t, _ in got.collect()) == sorted([(5, a), (5, b), (2, c), (0, a), (0, a)])
