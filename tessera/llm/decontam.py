@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import fresh_names, joined_by_comma, require, small_batches
+from tessera.llm.common import fresh_names, joined_by_comma, require, small_batches, stored
 from tessera.llm.fm_index import FMIndex
 
 #: A-Z lower-cased; bytes that are not digits, letters or non-ASCII become a space.
@@ -147,15 +147,20 @@ def cut_words(text: str, spans: list[tuple[int, int]]) -> str:
     return b"".join(out).decode("utf-8", "surrogatepass")
 
 
-def benchmark_blocks(benchmark: DataFrame, block_bytes: int, id_col: str, text_col: str) -> Iterator[list]:
-    """The items in blocks of about ``block_bytes`` at most, one at a time."""
+def benchmark_blocks(benchmark: DataFrame, block_bytes: int, id_col: str, text_col: str) -> tuple[int, Iterator[list]]:
+    """The number of blocks of about ``block_bytes`` at most, and the items
+    block by block, each collected when it is asked for."""
     require(benchmark, [id_col, text_col])
     items = benchmark.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text"))
     size = items.agg(F.sum(F.octet_length("text") + 32)).first()[0] or 0
     n = -(-size // block_bytes)
-    for k in range(n):
-        block = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k) if n > 1 else items
-        yield [tuple(r) for r in block.collect()]
+
+    def blocks() -> Iterator[list]:
+        for k in range(n):
+            block = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k) if n > 1 else items
+            yield [tuple(r) for r in block.collect()]
+
+    return n, blocks()
 
 
 def contamination(
@@ -172,10 +177,12 @@ def contamination(
     found = docs.withColumn("text", F.col("text").cast("string"))
     for name, kind in zip(added, types):
         found = found.withColumn(name, F.lit(None).cast(kind))
-    blocks = list(benchmark_blocks(benchmark, block_bytes, id_col, text_col)) or [[]]
-    for k, block in enumerate(blocks):
-        last = k + 1 == len(blocks)
-        found = _pass(found, Phrases(block, window), rate, added, keep_text=cut or not last, cut=cut and last)
+    n, blocks = benchmark_blocks(benchmark, block_bytes, id_col, text_col)
+    for k in range(max(n, 1)):
+        last = k + 1 >= n
+        found = _pass(found, Phrases(next(blocks, []), window), rate, added, keep_text=cut or not last, cut=cut and last)
+        if not last:  # this block has done its work before the next one is collected
+            found = stored(found, "decontam-pass")
     return found, added
 
 

@@ -87,7 +87,7 @@ def test_one_language_of_a_long_text_in_small_blocks(spark, monkeypatch):
         found = Counter()
         for _, block in C.blocks(data):
             at, _ = block.grams(n)
-            found.update(block.phrase(i, n) for i in at)
+            found.update(block.phrases(at, n))
         want = Counter(" ".join(w[i : i + n]).encode() for w in pieces(data.decode()) for i in range(len(w) - n + 1))
         assert found == want
 
@@ -104,8 +104,8 @@ def test_fingerprints_of_equal_phrases_do_not_depend_on_place():
     for n in range(1, 5):
         at, prints = block.grams(n)
         by = {}
-        for i, p in zip(at, prints):
-            assert by.setdefault(block.phrase(i, n), p) == p
+        for phrase, p in zip(block.phrases(at, n), prints):
+            assert by.setdefault(phrase, p) == p
         assert len(set(by.values())) == len(by)
 
 
@@ -119,7 +119,8 @@ def test_colliding_fingerprints_change_no_result(spark, monkeypatch):
     ids = block.exact()
     words = data.split()
     assert all((ids[i] == ids[j]) == (words[i] == words[j]) for i in range(9) for j in range(9))
-    got = {block.phrase(i, 2): c for i, c, _ in C.distinct_phrases(ids, np.arange(8), np.zeros(8, np.uint64), np.zeros(8, np.int64), 2)}
+    first, counts, _ = C.distinct_phrases(ids, np.arange(8), np.zeros(8, np.uint64), np.zeros(8, np.int64), 2)
+    got = dict(zip(block.phrases(first, 2), counts))
     assert got == {b"a b": 2, b"b c": 1, b"c a": 1, b"b d": 1, b"d e": 1, b"e a": 1, b"a c": 1}
     # a bitmap of 64 bits lets nearly everything through
     low = C.frequent_phrases(spark.createDataFrame(docs, SCHEMA), least=3, filter_bits=6).counts.orderBy("lang", "phrase").collect()

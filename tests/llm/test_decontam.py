@@ -110,3 +110,13 @@ def test_empty_tables(spark):
     assert [r.contaminated for r in D.contamination_report(docs, bench.limit(0)).collect()] == [False]
     assert [r.contaminated for r in D.contamination_report(docs, bench).collect()] == [True]
     assert D.contamination_report(docs.limit(0), bench).count() == 0
+
+
+def test_long_text(spark):
+    """A window at the start, in the middle and at the end of 200,000 words."""
+    item = " ".join(f"leak{i}" for i in range(10))
+    filler = "plain words that are in no item " * 14_000
+    docs = spark.createDataFrame([(1, f"{item} {filler} {item}, {filler} {item.upper()}"), (2, filler)], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    got = {r.doc_id: (r.n_words, r.n_hit, r.n_items) for r in D.contamination_report(docs, bench).collect()}
+    assert got == {1: (30 + 2 * 7 * 14_000, 30, 1), 2: (7 * 14_000, 0, 0)}

@@ -133,3 +133,12 @@ def test_inheritance(spark):
 
 def test_empty_table(spark):
     assert L.licence_scan(spark.createDataFrame([], SCHEMA), "doc_id").count() == 0
+
+
+def test_clashing_columns(spark):
+    """Columns named like results, or like the operator's own, are ignored."""
+    text = "SPDX-License-Identifier: MIT"
+    names = ["licence", "cosine", "basis", "id", "directory", "own_licence", "whole", "ancestor", "word"]
+    df = spark.createDataFrame([(1, "a/b.txt", text, *["x"] * len(names))], f"{SCHEMA}, {', '.join(f'{n} string' for n in names)}")
+    r = L.licence_scan(df, "doc_id").first()
+    assert (r.path, r.licence, r.basis) == ("a/b.txt", "MIT", "line")

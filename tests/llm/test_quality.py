@@ -95,3 +95,11 @@ def test_repeated_words_windows(n):
     for _ in range(50):
         words = [rng.choice([b"a", b"b"]) for _ in range(n)]
         assert Q.repeated_words(words) == brute(b" ".join(words).decode())[4]
+
+
+def test_long_text(spark):
+    rng = random.Random(6)
+    text = "\n".join(" ".join(rng.choices([f"w{i}" for i in range(5000)], k=20)) + "." for _ in range(12_000))
+    assert Q.measure(text)[:5] == brute(text)
+    got = Q.quality_report(spark.createDataFrame([(1, text), (2, "x " * 500_000)], "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_words, r.base_failed) for r in got} == {1: (240_000, False), 2: (500_000, True)}
