@@ -140,8 +140,18 @@ class Block:
                 ids[i] = known.setdefault(self.data[self.starts[i] : self.ends[i]], len(first) + len(known))
         return ids
 
-    def phrase(self, i: int, n: int) -> bytes:
-        return b" ".join(self.data[s:e] for s, e in zip(self.starts[i : i + n].tolist(), self.ends[i : i + n].tolist()))
+    def phrases(self, first: np.ndarray, n: int) -> list[bytes]:
+        """The phrases of ``n`` words that begin with the words ``first``. Where
+        single spaces part the words, a phrase is a piece of the text."""
+        data, tight = self.data, np.ones(len(first), dtype=bool)
+        for k in range(n - 1):
+            ends = self.ends[first + k]
+            tight &= (self.starts[first + k + 1] == ends + 1) & (self.bytes[ends] == 32)
+        out = [data[s:e] for s, e in zip(self.starts[first].tolist(), self.ends[first + n - 1].tolist())]
+        for j in np.flatnonzero(~tight):
+            i = first[j]
+            out[j] = b" ".join(data[s:e] for s, e in zip(self.starts[i : i + n].tolist(), self.ends[i : i + n].tolist()))
+        return out
 
 
 def blocks(data: bytes) -> Iterator[tuple[int, Block]]:
@@ -306,13 +316,13 @@ def _materialised(texts: DataFrame, frequent: Frequent, least: int) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        held: dict[tuple[str, int, bytes], list[int]] = {}
+        held: dict[tuple[str, int], dict[bytes, tuple[int, int]]] = {}
 
         def emitted() -> Iterator[pa.RecordBatch]:
-            if held:
-                lang, n, phrase = zip(*held)
-                f, doc = zip(*held.values())
-                columns = [pa.array(lang, pa.string()), pa.array(n, pa.int32()), pa.array([p.decode("utf-8", "surrogatepass") for p in phrase], pa.string())]
+            for (lang, n), phrases in held.items():
+                f, doc = zip(*phrases.values())
+                text = pa.array(list(phrases), pa.binary()).cast(pa.string())
+                columns = [pa.array([lang] * len(text), pa.string()), pa.array(np.full(len(text), n, np.int32)), text]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(f, pa.int64()), pa.array(doc, pa.int64())], names=["lang", "n_words", "phrase", "f", "first_doc"])
 
         for lang, found in gathered(batches):
@@ -321,11 +331,14 @@ def _materialised(texts: DataFrame, frequent: Frequent, least: int) -> DataFrame
                 for n in range(1, LONGEST + 1):
                     at, prints = block.grams(n)
                     some = known(prints)
-                    for i, f, doc in distinct_phrases(ids, at[some], prints[some], docs[at[some]], n):
-                        now = held.setdefault((lang, n, block.phrase(i, n)), [0, NO_DOC])
-                        now[0] += f
-                        now[1] = min(now[1], doc)
-                if len(held) >= HELD:
+                    first, counts, first_docs = distinct_phrases(ids, at[some], prints[some], docs[at[some]], n)
+                    if not len(first):
+                        continue
+                    mine = held.setdefault((lang, n), {})
+                    for phrase, f, doc in zip(block.phrases(first, n), counts.tolist(), first_docs.tolist()):
+                        now = mine.get(phrase)
+                        mine[phrase] = (f, doc) if now is None else (now[0] + f, doc if doc < now[1] else now[1])
+                if sum(map(len, held.values())) >= HELD:
                     yield from emitted()
                     held.clear()
         yield from emitted()
@@ -336,25 +349,25 @@ def _materialised(texts: DataFrame, frequent: Frequent, least: int) -> DataFrame
     return stored(sums.filter(F.col("f") >= least), "phrases")
 
 
-def distinct_phrases(ids: np.ndarray, at: np.ndarray, prints: np.ndarray, docs: np.ndarray, n: int) -> Iterator[tuple[int, int, int]]:
+def distinct_phrases(ids: np.ndarray, at: np.ndarray, prints: np.ndarray, docs: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First occurrence, count and first document of each distinct phrase
     among the n-grams at words ``at``, by the exact numbers of their words."""
     if not len(at):
-        return
+        return at, at, at
     order = np.argsort(prints, kind="stable")
     at, prints, docs = at[order], prints[order], docs[order]
     first = np.flatnonzero(np.concatenate([[True], prints[1:] != prints[:-1]]))
-    pointer = np.repeat(at[first], np.diff(np.append(first, len(at))))
+    counts = np.diff(np.append(first, len(at)))
+    pointer = np.repeat(at[first], counts)
     like = np.logical_and.reduce([ids[at + k] == ids[pointer + k] for k in range(n)])
     if like.all():
-        yield from zip(at[first].tolist(), np.diff(np.append(first, len(at))).tolist(), np.minimum.reduceat(docs, first).tolist())
-        return
+        return at[first], counts, np.minimum.reduceat(docs, first)
     parted: dict[tuple[int, ...], list[int]] = {}
     for i, doc in zip(at.tolist(), docs.tolist()):
         now = parted.setdefault(tuple(ids[i : i + n].tolist()), [i, 0, doc])
         now[1] += 1
         now[2] = min(now[2], doc)
-    yield from map(tuple, parted.values())
+    return tuple(np.array(x) for x in zip(*parted.values()))
 
 
 @dataclass(frozen=True)
