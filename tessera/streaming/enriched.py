@@ -55,6 +55,8 @@ class EnrichedFacts:
         """Enrich and store new facts as step ``number``; steps of either kind
         are numbered together."""
         spark = facts.sparkSession
+        if facts.isEmpty():
+            return
         self._write(self.facts, facts, number)
         stored = spark.read.parquet(self.facts.path(number)).drop("fact_bucket", "since")
         known = self.history.history(spark)
@@ -68,15 +70,15 @@ class EnrichedFacts:
     def restate(self, spark: SparkSession, change_batch: int, number: int) -> None:
         """Enrich again the facts whose version batch ``change_batch`` of the
         history has changed, as step ``number``."""
-        gone, put = self.history.replaced(spark, change_batch)
+        replaced, facts = self.history.replaced(spark, change_batch), self.facts.read(spark)
+        if replaced is None or facts is None:
+            return
+        gone, put = replaced
         key = self.history.keys[0]
         spans = gone.select(key, START, END).unionByName(put.select(key, START, END))
         bounds = spans.groupBy(self._bucket(key).alias("b")).agg(
             F.min(self._since(F.col(START))).alias("lo"), F.max(self._since(F.coalesce(END, F.lit("9999-12-31").cast("timestamp_ntz")))).alias("hi"),
         ).collect()  # at most KEY_BUCKETS
-        facts = self.facts.read(spark)
-        if facts is None:
-            return
         near = F.lit(False)
         for r in bounds:
             near = near | ((F.col("fact_bucket") == r.b) & F.col("since").between(F.lit(r.lo), F.lit(r.hi)))

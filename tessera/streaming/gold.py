@@ -94,7 +94,10 @@ class IncrementalGold:
             F.coalesce(fell, F.lit(False)).alias("fell"),
         ))
         fallen = merged.where("fell")
-        left = self.prices.read(spark, batch_id).where(F.col("bucket").isin(self._buckets(fallen)))
+        prices = self.prices.read(spark, batch_id)
+        if prices is None:  # no row has ever had a price
+            return merged.drop("fell")
+        left = prices.where(F.col("bucket").isin(self._buckets(fallen)))
         left = left.join(fallen.select(*self.group), _same_group(left, fallen, self.group), "left_semi")
         tops = left.groupBy(*self.group, self.price).agg(F.sum("n").alias("n")).where("n > 0").groupBy(*self.group).agg(
             F.max(self.price).alias("found"))

@@ -91,11 +91,15 @@ class CdcStream:
         """The type of an attribute before any version is stored."""
         return {START: "timestamp_ntz", END: "timestamp_ntz"}.get(column, self.types.get(column, "string"))
 
-    def replaced(self, spark: SparkSession, batch_id: int) -> tuple[DataFrame, DataFrame]:
+    def replaced(self, spark: SparkSession, batch_id: int) -> tuple[DataFrame, DataFrame] | None:
         """The versions that batch ``batch_id`` took away and those that it put
-        there, without the ones that are the same on both sides."""
-        put = spark.read.parquet(self.versions.path(batch_id)).drop("key_bucket", "since")
+        there, without the ones that are the same on both sides; None while
+        there is no version at all."""
+        put = self.versions.batch(spark, batch_id)
         before = self.versions.read(spark, batch_id - 1, with_batch=True)
+        if put is None and before is None:
+            return None
+        put = (before.drop("batch_id").limit(0) if put is None else put).drop("key_bucket", "since")
         if before is None:
             return put.limit(0), put
         cuts = spark.read.parquet(self.cuts.path(batch_id))

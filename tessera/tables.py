@@ -150,14 +150,29 @@ class BatchTable:
         before the first. New batches are numbered after it."""
         return max([*self.batches(spark), *committed_snapshots_named(spark, self.root, "base")], default=-1)
 
+    def _filled(self, spark: SparkSession, path: str) -> bool:
+        """Whether a folder has rows, as far as its names tell: a partitioned
+        write of none leaves no file to take a schema from."""
+        if not self.partition_by:
+            return True
+        fs, p = _fs(spark, path)
+        return any(st.isDirectory() for st in fs.listStatus(p))
+
+    def batch(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
+        """The rows of one committed batch; None if a partitioned one is
+        empty."""
+        path = self.path(batch_id)
+        return spark.read.parquet(path) if self._filled(spark, path) else None
+
     def read(self, spark: SparkSession, upto: int | None = None, with_batch: bool = False) -> DataFrame | None:
         """Rows of the committed batches with numbers up to ``upto`` (None:
-        all); None if there is none."""
+        all); None if there is no batch, or no row in a partitioned table."""
         inside = lambda n: upto is None or n <= upto
         base = max(filter(inside, committed_snapshots_named(spark, self.root, "base")), default=None)
         later = [n for n in self.batches(spark) if inside(n) and (base is None or n > base)]
+        later = [n for n in later if self._filled(spark, self.path(n))]
         parts = []
-        if base is not None:
+        if base is not None and self._filled(spark, f"{self.root}/base={base}"):
             parts.append(spark.read.parquet(f"{self.root}/base={base}").withColumn("batch_id", F.lit(base).cast("long")))
         if later:
             found = spark.read.option("basePath", self.root).parquet(*map(self.path, later))
