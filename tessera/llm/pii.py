@@ -175,9 +175,10 @@ def spanned(docs: DataFrame, text_col: str, key: str, base: str) -> DataFrame:
 
 
 def _beside(rows: DataFrame, text_col: str, key: str, base: str, least: int) -> DataFrame:
-    """The terms beside each entity, per text: ``value``, ``term``, ``key`` and
-    the number of documents with the text; of entities in ``least`` texts or
-    more."""
+    """The terms beside each entity, a row per different text: ``value``,
+    ``term``, ``key`` and the number of documents with the text; of entities
+    in ``least`` texts or more. What is stored are the terms of each text; the
+    rows are made from them where they are counted or matched."""
     text = F.regexp_replace(F.col(text_col).cast("string"), PATTERNS["email"], " ")
     holding = rows.filter(F.size(base) > 0).select(F.col(key).alias("key"), F.col(base).alias("spans"), text.alias("text"))
     each = holding.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.first("text").alias("text"), F.first("spans").alias("spans"))
@@ -186,7 +187,7 @@ def _beside(rows: DataFrame, text_col: str, key: str, base: str, least: int) ->
         F.sum("n").alias("n_value"), F.count(F.lit(1)).alias("texts"))
     judged = per_value.filter(F.col("texts") >= least)
     pairs = each.select("key", "n", "terms", F.explode("values").alias("value")).join(judged, "value")
-    return stored(pairs.select("value", "n_value", F.col("texts").alias("value_texts"), "key", "n", F.explode("terms").alias("term")), "pii-pairs")
+    return pairs.select("value", "n_value", F.col("texts").alias("value_texts"), "key", "n", F.explode("terms").alias("term"))
 
 
 def _disclosing(rows: DataFrame, beside: DataFrame, text_col: str, alpha: float, least: int) -> DataFrame:
