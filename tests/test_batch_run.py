@@ -295,3 +295,25 @@ def test_sync_after_compaction_and_files_that_land_during_a_sync(tmp_path, spark
         C.sync_catalog(spark, landing, root)
     monkeypatch.setattr("tessera.tables.BatchTable.write", write)
     assert C.sync_catalog(spark, landing, root) and (3, "SUV", True) in got()
+
+
+def test_many_files_are_removed_in_few_calls(tmp_path, spark):
+    """More files than one round of the threads takes, in folders that they
+    leave empty or not."""
+    from tessera import tables as T
+
+    n = 50
+    names = []
+    for i in range(n):
+        d = tmp_path / "landing" / f"day={i % 2}" / f"file key={i}%"
+        d.mkdir(parents=True)
+        (d / "a[1].json").write_text("{}")
+        names.append((d / "a[1].json").as_uri())
+    (tmp_path / "landing" / "day=1" / "late.json").write_text("{}")
+    before, T.DELETE_CHUNK, T.DELETE_THREADS = (T.DELETE_CHUNK, T.DELETE_THREADS), 3, 4
+    try:
+        T.delete_files(spark, iter(names), str(tmp_path / "landing"))
+    finally:
+        T.DELETE_CHUNK, T.DELETE_THREADS = before
+    left = [str(p.relative_to(tmp_path)) for p in sorted(tmp_path.rglob("*")) if not p.name.startswith(".")]
+    assert left == ["landing", "landing/day=1", "landing/day=1/late.json"]
