@@ -317,3 +317,59 @@ def test_many_files_are_removed_in_few_calls(tmp_path, spark):
         T.DELETE_CHUNK, T.DELETE_THREADS = before
     left = [str(p.relative_to(tmp_path)) for p in sorted(tmp_path.rglob("*")) if not p.name.startswith(".")]
     assert left == ["landing", "landing/day=1", "landing/day=1/late.json"]
+
+
+def _lines(spark, root, orders=6):
+    """Small tables of line items and what they refer to."""
+    li = spark.range(orders * 3).selectExpr(
+        "id DIV 3 AS l_orderkey", "id % 2 AS l_partkey", "0L AS l_suppkey", "CAST(id % 3 AS INT) AS l_linenumber", "CAST(id AS DOUBLE) AS l_quantity",
+        "CAST(id AS DOUBLE) AS l_extendedprice", "0D AS l_discount", "0D AS l_tax", "'A' AS l_returnflag", "'O' AS l_linestatus",
+        "TIMESTAMP '2020-01-01' AS l_shipdate")
+    tables = {
+        "lineitem": li,
+        "part": spark.range(2).selectExpr("id AS p_partkey", "'a \"b\" ' || id AS p_name", "'B' AS p_brand", "'T' AS p_type", "1 AS p_size"),
+        "supplier": spark.range(1).selectExpr("id AS s_suppkey", "'S' AS s_name", "0 AS s_nationkey"),
+        "nation": spark.range(1).selectExpr("CAST(id AS INT) AS n_nationkey", "'N' AS n_name", "0 AS n_regionkey"),
+        "region": spark.range(1).selectExpr("CAST(id AS INT) AS r_regionkey", "'R' AS r_name"),
+    }
+    for name, df in tables.items():
+        df.write.parquet(f"{root}/{name}.parquet")
+
+
+def test_landing_takes_one_shuffle_and_gives_the_same_records(tmp_path, spark):
+    from pyspark.sql import functions as F
+
+    from tessera.operators.flatten import extract_positions, flatten
+    from tessera.plans import registrations as R
+    from tessera.sources.json_docs import ingest_json
+
+    root = str(tmp_path / "t")
+    _lines(spark, root)
+    for part in (F.col("file_no") > 0, F.col("file_no") <= 0):
+        R.write_landing_files(spark, root, str(tmp_path / "landing"), orders_per_file=2, file_filter=part)
+    files = [p for p in (tmp_path / "landing").rglob("part-*")]
+    assert len(files) == 3 and all(p.name.endswith(".txt.gz") for p in files)
+    landed = extract_positions(flatten(ingest_json(spark, str(tmp_path / "landing"), R.AS_OF)), R.REGISTRATION_POSITIONS, keep=["source_file", "pos"])
+    want = R.flat_registrations(spark, root, via_json=False)
+    cols = [name for _, name, _ in R.REGISTRATION_POSITIONS]
+    assert rows(landed, *cols) == rows(want, *cols)
+    assert [r.n for r in landed.groupBy("source_file").agg(F.max("pos").alias("n")).collect()] == [5, 5, 5]
+    plan = R.typed_lines(spark, root, 2)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_shuffle_partitions_follow_the_input(spark):
+    from tessera.session import size_shuffles
+
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(key, None)
+    spark.conf.unset(key)
+    try:
+        size_shuffles(spark, 1)
+        assert spark.conf.get(key, None) is None
+        size_shuffles(spark, 400 << 20)
+        assert spark.conf.get(key) == "100"
+        size_shuffles(spark, 40 << 20)
+        assert spark.conf.get(key) == "100"
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
