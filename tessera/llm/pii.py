@@ -194,10 +194,10 @@ def _disclosing(rows: DataFrame, beside: DataFrame, text_col: str, alpha: float,
     pairs = beside.groupBy("value", "term").agg(
         F.sum("n").alias("n_pair"), F.count(F.lit(1)).alias("texts"), F.first("n_value").alias("n_value"), F.first("value_texts").alias("value_texts")
     ).filter(F.col("texts") >= least)
-    candidates = pairs.select("term").distinct()
+    # counted before they meet the pairs: what is shuffled are a task's
+    # different terms, not the terms of every document
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    per_term = rows.select(F.explode(_terms(text)).alias("term")).join(candidates, "term", "left_semi").groupBy("term").agg(
-        F.count(F.lit(1)).alias("n_term"))
+    per_term = rows.select(F.explode(_terms(text)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     n = F.lit(float(max(rows.count(), 1)))
     pmi = F.log2(n * F.col("n_pair") / (F.col("n_term") * F.col("n_value")))
     # the texts with the term are at least those with both

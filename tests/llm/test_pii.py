@@ -178,3 +178,13 @@ def test_running_sums(spark, n):
     df = spark.createDataFrame([(x,)], "x array<int>")
     got = df.select(F.when(F.size("x") > 0, P._running(F.col("x"))).otherwise(F.array().cast("array<int>")).alias("s")).first().s
     assert got == [sum(x[:i]) for i in range(n)]
+
+
+def test_terms_are_counted_before_they_are_joined(spark):
+    """No join reads the terms of every document: below it they are counted."""
+    rows = P.spanned(spark.createDataFrame([("Zora a@b.c",), ("Zora",)], "text string"), "text", "key", "spans")
+    found = P._disclosing(rows, P._beside(rows, "text", "key", "spans", 1), "text", P.ALPHA, 1)
+    plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    (at,) = [i for i, line in enumerate(plan) if "n_term" in line and "Aggregate" in line]
+    assert not any("Join" in line and depth(line) > depth(plan[at]) for line in plan[at:])
