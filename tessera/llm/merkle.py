@@ -92,8 +92,8 @@ def _climb(nodes: DataFrame, fanout: int) -> list[DataFrame]:
 
 
 def _tops(levels: list[DataFrame]) -> DataFrame:
-    """The last node of every tree: ``tree``, ``level``, ``hash``."""
-    found = [t.filter("n = 1").select("tree", F.lit(i).alias("level"), "hash") for i, t in enumerate(levels)]
+    """The last node of every tree: ``tree``, ``hash``."""
+    found = [t.filter("n = 1").select("tree", "hash") for t in levels]
     out = found[0]
     for t in found[1:]:
         out = out.unionByName(t)
@@ -118,20 +118,25 @@ def _children(parents: DataFrame, fanout: int) -> DataFrame:
     return each.select("tree", "c.pos", "c.child", F.concat(F.array("c.step"), "path").alias("path"), "top")
 
 
-def _descend(levels: list[DataFrame], tops: DataFrame, fanout: int) -> DataFrame:
+def _descend(levels: list[DataFrame], ends: DataFrame, fanout: int) -> DataFrame:
     """The nodes of ``levels[0]`` with ``path``, their siblings level by level
-    up to the end of their tree and then the path of that (``tops``), and
-    ``top``, the last node of their tree."""
+    up to the end of their tree and then the path of that (``ends``: ``tree``,
+    ``path``, ``top``), and ``top``, the last node of their tree. The paths of
+    every level but the lowest are written, so that a plan, which the driver
+    holds, has one level and not all of them."""
     paths = None
     for i in range(len(levels) - 1, -1, -1):
-        ended = tops.filter(F.col("level") == i).select("tree", F.lit(0).cast("long").alias("pos"), "path", "top")
-        here = ended if paths is None else paths.select("tree", "pos", "path", "top").unionByName(ended)
+        last = levels[i].filter("n = 1").join(ends, "tree")
         if i == 0:
-            lone = levels[0].filter("n = 1").join(ended, ["tree", "pos"])
             child = F.struct("hash", *(["kept"] if "kept" in levels[0].columns else [])).alias("child")
-            lone = lone.select("tree", "pos", child, "path", "top")
+            lone = last.select("tree", "pos", child, "path", "top")
             return lone if paths is None else paths.unionByName(lone)
+        here = last.select("tree", "pos", "path", "top")
+        if paths is not None:
+            here = here.unionByName(paths)
         paths = _children(levels[i].join(here, ["tree", "pos"]), fanout)
+        if i > 1:
+            paths = stored(paths.select("tree", "pos", "path", "top"), f"merkle-paths-{i}")
 
 
 @dataclass(frozen=True)
@@ -149,11 +154,10 @@ class Manifest:
         """Per leaf ``kept``, ``leaf``, ``subroot`` (the last node of its
         group) and ``path``, its siblings ``before`` and ``after`` it in every
         run from the leaf to the root."""
-        start = _tops(self.group_levels).select("tree", "level", F.expr(f"CAST(array() AS {PATH})").alias("path"), F.col("hash").alias("top"))
+        start = _tops(self.group_levels).select("tree", F.expr(f"CAST(array() AS {PATH})").alias("path"), F.col("hash").alias("top"))
         groups = _descend(self.group_levels, start, self.fanout)
-        groups = groups.select(F.col("child.kept.tree").alias("tree"), "path", F.col("child.hash").alias("top"))
-        tops = _tops(self.levels).drop("hash").join(groups, "tree")
-        found = _descend(self.levels, tops, self.fanout)
+        groups = stored(groups.select(F.col("child.kept.tree").alias("tree"), "path", F.col("child.hash").alias("top")), "merkle-group-paths")
+        found = _descend(self.levels, groups, self.fanout)
         return found.select("child.kept", F.col("child.hash").alias("leaf"), F.col("top").alias("subroot"), "path")
 
 

@@ -105,3 +105,14 @@ def test_general_manifest_detects_any_change(spark):
     found = m.proofs().select("kept.n_chars", M.folded(F.col("path"), F.col("kept.now")).alias("end")).collect()
     assert len(found) == 50
     assert [r.n_chars for r in found if r.end != m.root] == [17]
+
+
+def test_a_plan_has_one_level(spark):
+    """The plan of the proofs, which the driver holds, doesn't grow with the
+    number of levels."""
+    def joins(n):
+        docs = spark.createDataFrame([(i, f"s{i % 3}", None, i, f"t{i}", "", 0, "") for i in range(n)], SCHEMA)
+        plan = M.manifest(docs, ["text"], "source", ["doc_id"]).proofs()._jdf.queryExecution().optimizedPlan().toString()
+        return plan.count("Join ")
+
+    assert joins(15) == joins(300)
