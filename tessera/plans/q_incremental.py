@@ -19,7 +19,7 @@ from tessera.session import scratch_path
 from tessera.sources.json_split import read_split_json
 from tessera.streaming.enriched import EnrichedFacts
 from tessera.streaming.history import CdcStream
-from tessera.tables import BatchTable, delete_path, materialize
+from tessera.tables import BatchTable, delete_path, materialize, path_bytes
 
 _ORDER = "CAST(substr(source_file, 15, 12) AS BIGINT)"
 _MEMBERS_SQL = "\n  UNION ALL ".join(
@@ -94,7 +94,9 @@ def q_split_document_records(spark, sf_dir):
     write_large_documents(spark, sf_dir, root, LARGE_DOCUMENT_ORDERS)
     conf = "spark.sql.files.maxPartitionBytes"
     old = spark.conf.get(conf)
-    spark.conf.set(conf, str(1 << 20))  # splits of a megabyte, as documents here are of some ten
+    # splits of a megabyte, as documents here are of some ten; up to eight of
+    # them where many documents keep all tasks busy
+    spark.conf.set(conf, str(min(max(1 << 20, path_bytes(spark, root) >> 9), 1 << 23)))
     try:
         found = materialize(extract_positions(read_split_json(spark, root), REGISTRATION_POSITIONS, keep=["source_file", "pos"]))
     finally:

@@ -33,7 +33,6 @@ from pyspark.sql import functions as F
 from tessera.tables import materialize
 
 _ESCAPED = re.compile(r"\\.", re.S)
-_STRING = re.compile(r'"[^"]*"?')
 #: Depth of the elements of a top-level field's array: the object, the array.
 ARRAY_DEPTH = 2
 
@@ -48,10 +47,20 @@ def _quotes(text: str) -> int:
 
 def _depth(text: str, in_string: bool) -> int:
     """Opened less closed brackets outside strings."""
-    bare = _STRING.sub("", ('"' if in_string else "") + _ESCAPED.sub("", text))
+    return scanned(text)[1 + in_string]
+
+
+def _brackets(bare: str) -> int:
     return bare.count("[") + bare.count("{") - bare.count("]") - bare.count("}")
 
 
+def scanned(text: str) -> tuple[bool, int, int]:
+    """Whether a piece turns a string on or off, and its opened less closed
+    brackets if it begins outside of a string and if it begins within one."""
+    parts = (_ESCAPED.sub("", text) if "\\" in text else text).split('"')
+    return len(parts) % 2 == 0, _brackets("".join(parts[::2])), _brackets("".join(parts[1::2]))
+
+
 def array_start(text: str, in_string: bool, depth: int, field: str) -> int | None:
     """Where the array of the top-level ``field`` begins in a piece that
     starts at ``depth``: the place after its bracket."""
@@ -86,10 +95,10 @@ def _summaries(pieces: DataFrame) -> DataFrame:
         splits: dict[tuple, list] = {}
         for key, text in _rows(batches):
             odd, deltas, closed = s = splits.setdefault(key, [False, [0, 0], [Counter(), Counter()]])
-            turns = bool(_quotes(text) % 2)
+            turns, *depths = scanned(text)
             for way in (0, 1):
                 inside = bool(way) ^ odd
-                deltas[way] += _depth(text, inside)
+                deltas[way] += depths[inside]
                 if inside ^ turns:
                     continue  # the bracket stands in a string
                 deltas[way] -= 1
@@ -141,8 +150,8 @@ def _parts(pieces: DataFrame, states: DataFrame, field: str) -> DataFrame:
                 inside, level, count, held, whole, seq = s
                 start = array_start(text, inside, level, field)
                 seq += 1
-                turns = bool(_quotes(text) % 2)
-                level += _depth(text, inside)
+                turns, *depths = scanned(text)
+                level += depths[inside]
                 if start is not None:
                     out.append((file, block, count, "start", 2 * seq, None))
                     held.clear()
@@ -188,7 +197,8 @@ def read_split_json(spark: SparkSession, path: str | list[str], field: str = "da
     whole = parts.where("kind = 'element'").select("source_file", "n", "text")
     crossing = parts.where("kind = 'part'").groupBy("source_file", "n").agg(F.sort_array(F.collect_list(F.struct("block", "text"))).alias("p"))
     crossing = crossing.select("source_file", "n", F.array_join(F.transform("p", lambda x: x["text"]), "]").alias("text"))
-    every = whole.unionByName(crossing).join(bounds, "source_file").where("n >= first AND n < last")
+    # one row per file, so the elements stay where they were read
+    every = whole.unionByName(crossing).join(F.broadcast(bounds), "source_file").where("n >= first AND n < last")
     text = F.concat(F.regexp_replace("text", r"^\s*,?\s*", ""), F.lit("]"))
     out = every.select("source_file", (F.col("n") - F.col("first")).cast("int").alias("pos"), F.parse_json(text).alias("value"))
     return out if as_of is None else out.withColumn("load_timestamp", F.lit(as_of).cast("timestamp"))

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators.flatten import flatten
+from tessera.plans.registrations import flat_registrations, large_document_lines, write_large_documents
 from tessera.sources.json_docs import ingest_json
 from tessera.sources.json_split import read_split_json
 
@@ -79,3 +80,37 @@ def test_elements_that_are_no_arrays_fail_the_read(tmp_path, spark):
     (tmp_path / "d.json").write_text('{"data": [[1], 5, [2]]}')
     with pytest.raises(Exception, match="MALFORMED|parse|JSON"):
         split(spark, tmp_path / "d.json")
+
+
+def test_elements_are_not_shuffled_to_the_bounds_of_their_file(tmp_path, spark):
+    (tmp_path / "d.json").write_text('{"data": [[1], [2]]}')
+    plan = read_split_json(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    (join,) = [line for line in plan.splitlines() if "Join " in line]
+    assert "strategy=broadcast" in join
+
+
+def test_large_documents_are_made_from_one_scan(tmp_path, spark):
+    """The lines are read and joined once, and the documents have the records
+    of the flatten, in order."""
+    tables = {
+        "region": [("r_regionkey int, r_name string", [(0, "ASIA")])],
+        "nation": [("n_nationkey int, n_name string, n_regionkey int", [(3, "JAPAN", 0)])],
+        "supplier": [("s_suppkey long, s_name string, s_nationkey int", [(i, f'S"{i}', 3) for i in range(3)])],
+        "part": [("p_partkey long, p_name string, p_brand string, p_type string, p_size int", [(i, f"n]{i}", "B", None, i) for i in range(5)])],
+        "lineitem": [(
+            "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, "
+            "l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp",
+            [(i // 3, i % 5, i % 3, i % 3, float(i % 50), 1.5 * i, 0.0, 0.0, "N", "O", None) for i in range(60)])],
+    }
+    for name, [(schema, data)] in tables.items():
+        spark.createDataFrame(data, schema).write.parquet(str(tmp_path / f"sf/{name}.parquet"))
+    sf = str(tmp_path / "sf")
+    plan = large_document_lines(spark, sf, 7)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_orderkey#") and sum("Relation" in line and "l_orderkey" in line for line in plan.splitlines()) == 1
+    write_large_documents(spark, sf, str(tmp_path / "landed"), 7)
+    got = read_split_json(spark, str(tmp_path / "landed")).select("source_file", "pos", F.to_json("value").alias("v")).collect()
+    per_file = {}
+    for r in sorted(got):
+        per_file.setdefault(r.source_file.split("file_key=")[-1][:6], []).append(json.loads(r.v)[21])
+    want = [r.dol_vehicle_id for r in sorted(flat_registrations(spark, sf).collect(), key=lambda r: (r.source_file, r.pos))]
+    assert sorted(per_file) == ["000000", "000001", "000002"] and sum((per_file[k] for k in sorted(per_file)), []) == want
