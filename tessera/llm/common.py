@@ -12,6 +12,7 @@ from tessera.session import ensure_checkpoint_dir
 
 
 BATCH_BYTES = 16 << 20
+SHORT_BATCH_BYTES = 4 << 20  # for functions that hold their rows as Python objects
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -31,13 +32,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Batches of at most 16 MB between Spark and Python workers, which hold
+def small_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:
+    """Batches of at most ``most`` bytes between Spark and Python workers, which hold
     several of them each, unless the session asks for less."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     now = str(spark.conf.get(key)).lower().rstrip("b")
-    if not now.isdigit() or not 0 < int(now) <= BATCH_BYTES:
-        spark.conf.set(key, str(BATCH_BYTES))
+    if not now.isdigit() or not 0 < int(now) <= most:
+        spark.conf.set(key, str(most))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import fresh_names, require, small_batches, stored
+from tessera.llm.common import SHORT_BATCH_BYTES, fresh_names, require, small_batches, stored
 
 SPACE = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
@@ -89,7 +89,7 @@ def measure(text: str | None) -> tuple[int, ...]:
 def measured(docs: DataFrame, keep: list[str], into: str) -> DataFrame:
     """The columns ``keep`` of ``docs`` and a struct of measures."""
     require(docs, ["text", *keep])
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, SHORT_BATCH_BYTES)
     columns = [*keep, *(["text"] if "text" not in keep else [])]
     schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField(into, MEASURED)])
     kind = pa.struct([(m, pa.int64()) for m in MEASURES])

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import fresh_names, require, small_batches, stored
+from tessera.llm.common import SHORT_BATCH_BYTES, fresh_names, require, small_batches, stored
 from tessera.llm.components import connected_components
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -68,7 +68,7 @@ def fingerprints(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col
     """One row per input row: the id and ``fp``, the fingerprint as a signed
     long."""
     require(docs, [id_col, text_col])
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, SHORT_BATCH_BYTES)
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = T.StructType([slim.schema["doc_id"], T.StructField("fp", T.LongType())])
 

@@ -103,3 +103,9 @@ def test_long_text(spark):
     assert Q.measure(text)[:5] == brute(text)
     got = Q.quality_report(spark.createDataFrame([(1, text), (2, "x " * 500_000)], "doc_id long, text string")).collect()
     assert {r.doc_id: (r.n_words, r.base_failed) for r in got} == {1: (240_000, False), 2: (500_000, True)}
+
+
+def test_batches_of_long_texts_are_small(spark):
+    """Workers hold several batches, with the texts in them, at a time."""
+    Q.measured(spark.createDataFrame([("a b",)], "text string"), [], "m")
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 4 << 20
