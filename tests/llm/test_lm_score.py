@@ -165,3 +165,49 @@ def test_copies_weigh_as_often():
     b.step(np.repeat(around, copies, axis=0), np.repeat(classes, copies))
     for x, y in zip(a.weights, b.weights):
         assert np.allclose(x, y, atol=1e-4)
+
+
+def test_frequent_words_beyond_the_vocabulary_are_not_joined(spark, monkeypatch):
+    """Their counts go to every task, as many as ``MIDDLE`` allows; only rarer
+    words are left to the join, and the scores are the same."""
+    monkeypatch.setattr(L, "vocabulary_size", lambda n: 2)
+    texts = ["a a a a a a b b b b b c c c c d d d e e f", "a c d e f zz", "b b", "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+    net, found = L.Network.fresh(3 + L.BUCKETS), []
+    for most, left in ((4, {b"e", b"f", b"zz"}), (0, {b"c", b"d", b"e", b"f", b"zz"})):
+        monkeypatch.setattr(L, "MIDDLE", most)
+        words, counts = L.counted_words(df)
+        assert list(words.numbers) == [b"a", b"b"] and len(words.middle) <= most
+        rows = L.encoded_rows(df, words)
+        assert {bytes(t.word) for r in rows.collect() for t in r.tail} == left
+        found.append({r.doc_id: r.log_prob for r in L.scored(rows, net, words, counts).collect()})
+        without = {r.doc_id: r.log_prob for r in L.scored(rows, net, words).collect()}
+        assert without[1] == pytest.approx(found[-1][1] - math.log(5 * 4 * 3 * 2), abs=1e-9)
+    assert found[0].keys() == found[1].keys()
+    assert all(found[0][i] == pytest.approx(p, rel=1e-12) for i, p in found[1].items())
+
+
+def test_least_counts_of_frequent_words(spark, monkeypatch):
+    counts = spark.createDataFrame([(f"w{i}", n) for i, n in enumerate([10**9, 10**9 + 1, 5000, 300, 7, 7, 7, 2, 1, 1])], "word string, n long")
+    n_of = lambda least: counts.filter(f"n >= {least}").count()
+    for size, most in ((1, 0), (3, 1), (4, 6), (6, 7), (9, 8), (99, 99)):
+        monkeypatch.setattr(L, "MIDDLE", most)
+        top, middle = L._least_counts(counts, size)
+        assert n_of(top) >= min(size, 10) and n_of(middle) <= most and middle > 1
+
+
+def test_a_task_writes_one_mean_of_its_shards(spark, monkeypatch):
+    """The weights that a round writes do not grow with the shards, as long as
+    these are few."""
+    monkeypatch.setattr(L, "LOCAL", 30)
+    monkeypatch.setattr(L, "FAN_IN", 4)
+    written, plain = [], L._mean_of
+
+    def mean_of(rows, net):
+        written.append(rows.count())
+        return plain(rows, net)
+
+    monkeypatch.setattr(L, "_mean_of", mean_of)
+    df = spark.createDataFrame([(i, f"w{i} w{i % 7} w{i % 5} x y") for i in range(700)], SCHEMA)
+    L.train(df, L.count_words(df))
+    assert len(written) == L.ROUNDS and 2 <= max(written) <= 4
