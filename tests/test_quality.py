@@ -206,3 +206,25 @@ def test_run_rules(spark):
     got = rows(run_violations(m), "run_no", "field", "rule", "previous", "current")
     assert got == [(2, None, "ROW_COUNT_DROP", "10", "7"), (2, "b", "FIELD_LOST", "STRING", ""), (3, "a", "MISSING_RISE", "0", "1"),
                    (3, "a", "TYPE_CHANGED", "BIGINT", "STRING"), (3, "b", "FIELD_ADDED", "", "BIGINT")]
+
+
+def test_layers_are_landed_once(tmp_path, spark):
+    """The reconciliation and what carries its status read the written layers,
+    the raw documents are counted by the pass that writes them."""
+    from tessera.plans.q_operations import q_consumption_rows
+    from tessera.plans.q_quality import Layers
+    from tests.test_batch_run import _lines
+
+    root = str(tmp_path)
+    _lines(spark, root)
+    spark.range(40).selectExpr(
+        "id AS event_id", "id % 4 AS user_id", "CAST(timestampadd(HOUR, id, TIMESTAMP '2024-01-01') AS TIMESTAMP_NTZ) AS ts",
+        "element_at(array('purchase', 'signup', 'error'), CAST(id % 3 + 1 AS INT)) AS event_type", "CAST(id AS DOUBLE) AS value",
+        "concat('{\"k\": ', id, '}') AS props").write.parquet(f"{root}/events.parquet")
+    layers = Layers(spark, root)
+    assert layers.raw_rows == 6
+    found = layers.reconciliation().collect()[0]
+    assert (found.bronze_raw_rows, found.bronze_flattened_rows, found.silver_rows, found.status) == (6, 18, 2, "PASS")
+    rows_ = q_consumption_rows(spark, root)
+    assert "l_orderkey" not in rows_._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.quality_status for r in rows_.collect()} == {"PASS"} and rows_.count() == 14
