@@ -228,3 +228,20 @@ def test_layers_are_landed_once(tmp_path, spark):
     rows_ = q_consumption_rows(spark, root)
     assert "l_orderkey" not in rows_._jdf.queryExecution().optimizedPlan().toString()
     assert {r.quality_status for r in rows_.collect()} == {"PASS"} and rows_.count() == 14
+
+
+def test_only_rows_without_a_key_keep_their_raw_record(tmp_path, spark, monkeypatch):
+    from tessera.plans import q_quality as P
+    from tests.test_batch_run import _lines
+
+    _lines(spark, str(tmp_path))
+    written, plain = [], P.materialize
+
+    def materialize(df):
+        written.append(plain(df))
+        return written[-1]
+
+    monkeypatch.setattr(P, "materialize", materialize)
+    assert {r.error_type: r.error_count for r in P.q_dq_error_trend(spark, str(tmp_path)).collect()}["NULL_VIN"] == 1
+    assert [(r.vin is None, r.value is None) for r in written[0].collect()].count((True, False)) == 1
+    assert written[0].where("vin IS NOT NULL AND value IS NOT NULL").count() == 0
