@@ -245,3 +245,24 @@ def test_only_rows_without_a_key_keep_their_raw_record(tmp_path, spark, monkeypa
     assert {r.error_type: r.error_count for r in P.q_dq_error_trend(spark, str(tmp_path)).collect()}["NULL_VIN"] == 1
     assert [(r.vin is None, r.value is None) for r in written[0].collect()].count((True, False)) == 1
     assert written[0].where("vin IS NOT NULL AND value IS NOT NULL").count() == 0
+
+
+def test_checks_write_only_the_fields_that_they_read(tmp_path, spark, monkeypatch):
+    from tessera.plans import medallion as M
+    from tessera.plans import q_quality as P
+    from tessera.plans.registrations import flat_registrations
+    from tests.test_batch_run import _lines
+
+    root = str(tmp_path)
+    _lines(spark, root)
+    monkeypatch.setattr(P, "EXCLUDED_BRANDS", ["B"])  # all are orphans
+    written, plain = [], P.materialize
+    monkeypatch.setattr(P, "materialize", lambda df: written.append(plain(df)) or written[-1])
+    got = P.q_dq_error_rows(spark, root)
+    flat = flat_registrations(spark, root)
+    rules = Q.clean_rules("_known")
+    whole = Q.broken_rules(Q.with_known(M.clean_registrations(flat), P.manufacturers(spark, root)), rules)
+    assert rows(got) == rows(Q.quarantine([Q.dq_null_key(flat), whole], detected_at=P.AS_OF)) != []
+    P.Layers(spark, root)
+    read = {"vin", "make", "model", "model_year", "ev_type", "electric_range", "base_msrp", "source_file", "pos"}
+    assert len(written) == 3 and all(set(w.columns) <= read for w in written)
