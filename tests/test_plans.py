@@ -106,3 +106,11 @@ def test_stored_tables_are_read_without_a_shuffle(tmp_path, spark):
     n = tables.base.count()
     C.refresh_consumption(star, str(tmp_path / "c"), 3, buckets=4)  # the run again
     assert C.open_consumption(spark, str(tmp_path / "c"), 4).base.count() == n
+
+
+def test_star_writes_only_the_columns_that_it_reads(spark, monkeypatch):
+    flat = flat_registrations(spark, SF, via_json=False)
+    written, plain = [], S.materialize
+    monkeypatch.setattr(S, "materialize", lambda df: written.append(plain(df)) or written[-1])
+    S.build_star(flat)
+    assert set(written[0].columns) == {u.source for u in S.DIM_USES.values()} | set(S.RECORD_COLUMNS)
