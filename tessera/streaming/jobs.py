@@ -22,6 +22,7 @@ from tessera.operators.dedup import latest_per_key
 from tessera.operators.flatten import PositionSpec, extract_positions, flatten
 from tessera.operators.filters import reject_null_keys
 from tessera.streaming.history import CdcStream  # noqa: F401 - part of the jobs' interface
+from tessera.session import size_listings
 from tessera.tables import BatchTable
 
 
@@ -32,6 +33,7 @@ def json_document_stream(spark: SparkSession, path: str, max_files_per_trigger:
     files after their batch is committed (the load-and-purge of the
     source's ingestion; Spark does it in the background of later
     batches)."""
+    size_listings(spark)
     r = (
         spark.readStream.format("json")
         .option("singleVariantColumn", "json_data")

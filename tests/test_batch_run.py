@@ -373,3 +373,75 @@ def test_shuffle_partitions_follow_the_input(spark):
         assert spark.conf.get(key) == "100"
     finally:
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def test_documents_land_in_one_folder(tmp_path, spark):
+    """No folder per file; a document may span batches, and what has landed
+    before stays."""
+    import gzip
+
+    from tessera.sources.json_docs import write_documents
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    land = tmp_path / "landing"
+    spark.conf.set(key, "3")
+    try:
+        for first in (0, 2):
+            data = [(n, f'["{n}","é]\\"{i}"]') for n in (first, first + 1) for i in range(5)] + [(None, '["x"]')] * (first == 0)
+            write_documents(spark.createDataFrame(data, "file_no long, value string").coalesce(1), str(land))
+    finally:
+        spark.conf.set(key, old)
+    files = sorted(p for p in land.rglob("part-*"))
+    assert [p.name.split("-")[1] for p in files] == [f"file_key={n:06d}" for n in range(4)] + ["file_key=__HIVE_DEFAULT_PARTITION__"]
+    assert all(p.parent == land for p in files) and not list(land.glob("_part*"))
+    for n, p in enumerate(files[:4]):
+        assert json.loads(gzip.open(p, "rt").read()) == {"data": [[str(n), f'é]"{i}'] for i in range(5)]}
+    assert json.loads(gzip.open(files[4], "rt").read()) == {"data": [["x"]]}
+
+
+def test_a_landing_without_loaded_files_is_read_as_a_folder(tmp_path, spark):
+    """Names of single files go through the driver only where some of the
+    landing are loaded; listing and reading small files take few tasks."""
+    from tessera.session import size_listings, small_files
+    from tessera.sources.json_docs import new_files
+
+    land = tmp_path / "landing"
+    land.mkdir()
+    assert new_files(spark, str(land), None) == []
+    (land / "f1.json").write_text("{}")
+    purged = spark.createDataFrame([((land / "f0.json").as_uri(),)], "source_file string")
+    assert new_files(spark, str(land), None) == new_files(spark, str(land), purged) == [str(land)]
+    named = spark.read.format("binaryFile").load(str(land)).select(F.col("_metadata.file_path").alias("source_file"))
+    assert new_files(spark, str(land), named) == []
+    names = spark.createDataFrame(named.collect(), named.schema)
+    (land / "f2.json").write_text("{}")
+    assert [f.rpartition("/")[2] for f in new_files(spark, str(land), names)] == ["f2.json"]
+    key, cost = "spark.sql.sources.parallelPartitionDiscovery.parallelism", "spark.sql.files.openCostInBytes"
+    size_listings(spark)
+    assert int(spark.conf.get(key)) == 4 * spark.sparkContext.defaultParallelism
+    before = spark.conf.get(cost)
+    with small_files(spark):
+        assert spark.conf.get(cost) == str(256 * 1024)
+    assert spark.conf.get(cost) == before
+
+
+def test_local_files_are_removed_with_their_checksums(tmp_path, spark):
+    from tessera.tables import delete_files
+
+    land = tmp_path / "landing"
+    spark.createDataFrame([("a",)], "v string").coalesce(1).write.text(str(land))
+    names = [p.as_uri() for p in land.glob("part-*")]
+    assert names and list(land.glob(".part-*.crc"))
+    delete_files(spark, [*names, (land / "gone.json").as_uri()], str(land))
+    assert not land.exists()
+
+
+def test_landed_records_are_sorted_once(tmp_path, spark):
+    from tessera.plans import registrations as R
+
+    root = str(tmp_path / "t")
+    _lines(spark, root)
+    lines = R.typed_lines(spark, root, 2).sortWithinPartitions("file_no", "l_orderkey", *R._LINE_ORDER)
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Window", 1)[0].count("Sort ") == 0
