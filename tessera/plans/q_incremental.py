@@ -4,7 +4,9 @@ restated facts, rules over runs, and one huge document read in splits."""
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.flatten import extract_positions
@@ -13,7 +15,7 @@ from tessera.plans import feeds
 from tessera.plans import star as S
 from tessera.plans.oracle_sql import file_flat_cte, with_flat
 from tessera.plans.q_cdc import KEYS, TRACKED, with_hist
-from tessera.plans.registrations import REGISTRATION_POSITIONS, flat_registrations, write_large_documents
+from tessera.plans.registrations import REGISTRATION_POSITIONS, flat_registrations, large_document_rounds, write_large_documents
 from tessera.plans.registry import query
 from tessera.session import scratch_path
 from tessera.sources.json_split import read_split_json
@@ -79,6 +81,8 @@ def q_restated_purchases(spark, sf_dir):
 
 
 LARGE_DOCUMENT_ORDERS = 20_000
+#: Lines that land at a time, some 7 GB of text.
+ROUND_LINES = 24_000_000
 _LARGE_FLAT_CTE = file_flat_cte(LARGE_DOCUMENT_ORDERS)
 
 
@@ -89,19 +93,25 @@ _LARGE_FLAT_CTE = file_flat_cte(LARGE_DOCUMENT_ORDERS)
 )
 def q_split_document_records(spark, sf_dir):
     """A few large documents, each read by many tasks: the same records as
-    from many small ones (SRC-1, PRJ-1)."""
+    from many small ones (SRC-1, PRJ-1). They land and are read in rounds, as
+    the documents, which only plain text lets many tasks read, take many times
+    the room of their records."""
     root = scratch_path(spark, "large-documents", uuid.uuid4().hex)
-    write_large_documents(spark, sf_dir, root, LARGE_DOCUMENT_ORDERS)
     conf = "spark.sql.files.maxPartitionBytes"
     old = spark.conf.get(conf)
-    # splits of a megabyte, as documents here are of some ten; up to eight of
-    # them where many documents keep all tasks busy
-    spark.conf.set(conf, str(min(max(1 << 20, path_bytes(spark, root) >> 9), 1 << 23)))
-    try:
-        found = materialize(extract_positions(read_split_json(spark, root), REGISTRATION_POSITIONS, keep=["source_file", "pos"]))
-    finally:
-        spark.conf.set(conf, old)
-    delete_path(spark, root)
+    rounds = []
+    for part in large_document_rounds(spark, sf_dir, LARGE_DOCUMENT_ORDERS, ROUND_LINES):
+        write_large_documents(spark, sf_dir, f"{root}/documents", LARGE_DOCUMENT_ORDERS, part)
+        # splits of a megabyte, as documents here are of some ten; up to 32 of
+        # them where many documents keep all tasks busy
+        spark.conf.set(conf, str(min(max(1 << 20, path_bytes(spark, f"{root}/documents") >> 7), 1 << 25)))
+        try:
+            records = read_split_json(spark, f"{root}/documents", copies=f"{root}/copies")
+            rounds.append(materialize(extract_positions(records, REGISTRATION_POSITIONS, keep=["source_file", "pos"])))
+        finally:
+            spark.conf.set(conf, old)
+        delete_path(spark, root)
+    found = reduce(DataFrame.unionAll, rounds)
     return found.select(
         F.regexp_extract("source_file", "file_key=[0-9]+", 0).alias("source_file"), "pos", "vin", "make", "model", "model_year", "ev_type",
         "electric_range", "base_msrp", "dol_vehicle_id", "counties")

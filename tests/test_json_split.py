@@ -114,3 +114,69 @@ def test_large_documents_are_made_from_one_scan(tmp_path, spark):
         per_file.setdefault(r.source_file.split("file_key=")[-1][:6], []).append(json.loads(r.v)[21])
     want = [r.dol_vehicle_id for r in sorted(flat_registrations(spark, sf).collect(), key=lambda r: (r.source_file, r.pos))]
     assert sorted(per_file) == ["000000", "000001", "000002"] and sum((per_file[k] for k in sorted(per_file)), []) == want
+
+
+def test_all_pieces_are_scanned_as_one_by_one():
+    import pyarrow as pa
+
+    from tessera.sources.json_split import _bytes_of, scanned, scanned_all
+
+    rng = random.Random(5)
+    texts = ["".join(rng.choice(['"', "\\", "[", "]", "{", "}", "a", "é", ",", '\\"', "\\\\"]) for _ in range(rng.randrange(12))) for _ in range(3000)]
+    for kind in (pa.string(), pa.large_string()):
+        for some in (pa.array(texts, kind), pa.array(texts, kind).slice(7, 100), pa.array(["", ""], kind)):
+            turns, outside, within = scanned_all(*_bytes_of(some))
+            assert [*zip((turns == 1).tolist(), outside.tolist(), within.tolist())] == [scanned(t) for t in some.to_pylist()]
+
+
+@pytest.mark.parametrize("rows", ["1", "3"])
+def test_batches_that_end_within_an_element(tmp_path, spark, small_splits, rows):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    rng = random.Random(int(rows))
+    (tmp_path / "d.json").write_text(json.dumps(document(rng, 40)))
+    (tmp_path / "e.json").write_text(json.dumps({"data": [["a", [["]" * 50], {"c": ["d"] * 20}]], ["e"], [[[]], []], ["f"], ["g"]]}))
+    spark.conf.set(key, rows)
+    try:
+        assert split(spark, tmp_path) == whole(spark, tmp_path)
+    finally:
+        spark.conf.set(key, old)
+
+
+def test_large_documents_land_in_rounds(tmp_path, spark, monkeypatch):
+    """A round lands some of the documents and leaves only its records."""
+    from tessera.plans import q_incremental as Q
+    from tessera.plans.registrations import large_document_rounds
+    from tessera.session import scratch_path
+
+    tables = {
+        "region": ("r_regionkey int, r_name string", [(0, "ASIA")]),
+        "nation": ("n_nationkey int, n_name string, n_regionkey int", [(3, "JAPAN", 0)]),
+        "supplier": ("s_suppkey long, s_name string, s_nationkey int", [(i, f'S"{i}', 3) for i in range(3)]),
+        "part": ("p_partkey long, p_name string, p_brand string, p_type string, p_size int", [(i, f"n]{i}", "B", None, i) for i in range(5)]),
+        "lineitem": (
+            "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, "
+            "l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp",
+            [(i // 3, i % 5, i % 3, i % 3, float(i % 50), 1.5 * i, 0.0, 0.0, "N", "O", None) for i in range(60)] + [(None, 0, 0, 0, 1.0, 1.0, 0.0, 0.0, "N", "O", None)]),
+    }
+    for name, (schema, data) in tables.items():
+        spark.createDataFrame(data, schema).write.parquet(str(tmp_path / f"sf/{name}.parquet"))
+    sf = str(tmp_path / "sf")
+    numbers = spark.createDataFrame([(n,) for n in range(-1, 4)] + [(None,)], "file_no long")
+    for most, want in ((1000, 1), (30, 3), (1, 3)):
+        parts = large_document_rounds(spark, sf, 7, most)
+        kept = [sorted(r.file_no for r in numbers.where(p).collect()) for p in parts]
+        assert len(kept) == want and sorted(sum(kept, [])) == [-1, 0, 1, 2, 3]
+    monkeypatch.setattr(Q, "LARGE_DOCUMENT_ORDERS", 7)
+    monkeypatch.setattr(Q, "ROUND_LINES", 25)
+    lands = []
+    real = Q.write_large_documents
+    monkeypatch.setattr(Q, "write_large_documents", lambda *a: (lands.append(a[2]), real(*a)))
+    got = sorted((r.source_file, r.pos, r.dol_vehicle_id) for r in Q.q_split_document_records(spark, sf).collect())
+    want = sorted((int(r.dol_vehicle_id.split("-")[0]) // 7, int(r.dol_vehicle_id.split("-")[0]), r.pos, r.dol_vehicle_id)
+                  for r in flat_registrations(spark, sf).where("dol_vehicle_id IS NOT NULL").collect())
+    assert [d for *_, d in got] == [d for *_, d in want] and {f for f, *_ in got} == {f"file_key=00000{n}" for n in range(3)}
+    assert len(lands) == 3
+    fs = spark._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, "large-documents"))
+    left = fs.getFileSystem(spark._jsc.hadoopConfiguration())
+    assert not left.exists(fs) or not list(left.listStatus(fs))
